@@ -149,13 +149,13 @@ def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
     return out, (~null) & out.isNull()
 
 
-def coerce_rows(pending: DataFrame, schema: T.StructType) -> DataFrame:
+def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = ()) -> DataFrame:
     """P5 + C*: one typed column per schema field, in schema order, by exact
     name; keys not in the schema are ignored.  Adds ``_dl_src`` (record
     coordinates) and ``_dl_error`` (first column that failed, or null)."""
     names = [f.name for f in schema.fields]
     staged = pending.select(
-        F.struct("topic", "partition", "offset").alias(SRC),
+        F.struct("topic", "partition", "offset", *carry).alias(SRC),
         variant_fields(F.col("body"), names).alias("_dl_v"))
     cols, errs = [], []
     for f in schema.fields:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from driftline.config import IngestConfig
 from driftline.functions.route import topic_to_table
-from driftline.operators.admit import EMITTED, ERROR, PENDING, admit
+from driftline.operators.admit import EMITTED, ERROR, PENDING, SKIPPED, admit
 from driftline.operators.coerce import ERR, SRC, coerce_rows
 from driftline.operators.infer import FieldChange, change_frame, infer_new_fields, merge_schema
 
@@ -43,30 +43,41 @@ class BatchResult:
         known = {f.name for f in (self.known.get(table) or T.StructType()).fields}
         return [f for f in self.schemas[table].fields if f.name not in known]
 
-    def coerced(self, table: str) -> DataFrame:
+    def coerced(self, table: str, carry: tuple = ()) -> DataFrame:
         """Typed rows of one table, with record coordinates and error column."""
         rows = self.pending.filter(F.col("table") == F.lit(table))
-        return coerce_rows(rows, self.schemas[table])
+        return coerce_rows(rows, self.schemas[table], carry)
 
     def rows(self, table: str) -> DataFrame:
         """The rows that land in ``table``: emitted records, schema order."""
         names = [f.name for f in self.schemas[table].fields]
         return self.coerced(table).filter(F.col(ERR).isNull()).select(*[F.col(n) for n in names])
 
-    def dispositions(self) -> DataFrame:
+    def dispositions(self, with_text: bool = False) -> DataFrame:
         """One row per record: topic, partition, offset, table, disposition,
-        reason, detail (failing column for ``convert_error``)."""
+        reason, detail (failing column for ``convert_error``).  With
+        ``with_text`` rejected records also carry ``text`` and ``first_byte``
+        (null for emitted ones), so reject reports need no join."""
+        extra = ["text", "first_byte"] if with_text else []
         skipped = (self.admitted.filter(F.col("disposition") != PENDING)
                    .select("topic", "partition", "offset", "table", "disposition", "reason",
-                           F.lit(None).cast("string").alias("detail")))
-        parts = [skipped]
+                           F.lit(None).cast("string").alias("detail"), *extra))
+        # Pending records of a table that got no columns (only `{}` seen).
+        empty = (self.pending.filter(~F.col("table").isin(*self.tables) if self.tables else F.lit(True))
+                 .select("topic", "partition", "offset", "table", F.lit(SKIPPED).alias("disposition"),
+                         F.lit("no_columns").alias("reason"), F.lit(None).cast("string").alias("detail"),
+                         *extra))
+        parts = [skipped, empty]
         for table in self.tables:
-            c = self.coerced(table).select(
+            c = self.coerced(table, tuple(extra))
+            failed = F.col(ERR).isNotNull()
+            c = c.select(
                 F.col(f"{SRC}.topic").alias("topic"), F.col(f"{SRC}.partition").alias("partition"),
                 F.col(f"{SRC}.offset").alias("offset"), F.lit(table).alias("table"),
-                F.when(F.col(ERR).isNull(), F.lit(EMITTED)).otherwise(F.lit(ERROR)).alias("disposition"),
-                F.when(F.col(ERR).isNotNull(), F.lit("convert_error")).alias("reason"),
-                F.col(ERR).alias("detail"))
+                F.when(failed, F.lit(ERROR)).otherwise(F.lit(EMITTED)).alias("disposition"),
+                F.when(failed, F.lit("convert_error")).alias("reason"),
+                F.col(ERR).alias("detail"),
+                *[F.when(failed, F.col(f"{SRC}.{x}")).alias(x) for x in extra])
             parts.append(c)
         out = parts[0]
         for p in parts[1:]:

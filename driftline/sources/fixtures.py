@@ -205,6 +205,7 @@ def dated(spark, sf_dir) -> DataFrame:
     microseconds), 2 instant with ``+00:00`` (error), 3 day ``2024-1-1``
     (error), 4 nulls, 5 fields absent."""
     e = table(spark, sf_dir, "events")
+    e = e.withColumn("ts", F.col("ts").cast("timestamp"))
     k = e.event_id
     m = k % 6
     idf = k.cast("string").alias("id")
