@@ -49,6 +49,7 @@ class IngestConfig:
     # batch instead of cutting data.
     max_new_fields: int = 10_000
     max_exemplar_bytes: int = 4 * 1024 * 1024
+    max_tables: int = 100_000
     # Threads used to write the tables of one micro-batch concurrently.
     table_write_threads: int = 4
     extra: dict = field(default_factory=dict)

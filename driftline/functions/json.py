@@ -39,11 +39,15 @@ def is_array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
-NUMERIC_KIND = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(.*)$"
+INTEGER_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+
+
+def is_integer_kind(kind: Column) -> Column:
+    return kind.isin(*INTEGER_KINDS)
 
 
 def is_number_kind(kind: Column) -> Column:
-    return kind.rlike(NUMERIC_KIND)
+    return kind.isin(*INTEGER_KINDS, "FLOAT", "DOUBLE") | kind.startswith("DECIMAL")
 
 
 def jvm_number_text(v: Column, kind: Column) -> Column:
@@ -55,8 +59,8 @@ def jvm_number_text(v: Column, kind: Column) -> Column:
     double) or an integer beyond 64 bits (printed as digits)."""
     as_double = F.try_variant_get(v, "$", "double").cast("string")
     digits = F.try_variant_get(v, "$", "string")
-    zero_scale = kind.rlike(r"^DECIMAL\(\d+,0\)$")
+    zero_scale = kind.startswith("DECIMAL") & kind.endswith(",0)")
     fits_long = F.try_variant_get(v, "$", "bigint").isNotNull()
-    return (F.when(kind.rlike(r"^(TINYINT|SMALLINT|INT|BIGINT)$"), digits)
+    return (F.when(is_integer_kind(kind), digits)
             .when(zero_scale & ~fits_long, digits)
             .otherwise(as_double))

@@ -127,19 +127,23 @@ def _known_names_map(known: dict[str, T.StructType]):
 def first_occurrences(pending: DataFrame, known: dict[str, T.StructType],
                       fields_filter: dict[str, list[str]] | None = None) -> DataFrame:
     """(table, field, topic, partition, offset) of the first record carrying
-    each field the table does not know yet.
+    each field the table does not know yet.  Every table with pending
+    records also gets one row with a null ``field`` (tables present).
 
     With ``fields_filter`` only those fields are looked for, and only in
     records where the field is a non-empty value (used to skip ``{}``)."""
-    keys = F.json_object_keys(body_text())
+    # Key set of the row object, read from the parsed VARIANT (no re-parse;
+    # order does not matter here, positions are read for winners only).
+    keys = F.map_keys(F.try_variant_get(F.col("body"), "$", "map<string,variant>"))
     known_map = _known_names_map(known)
     if known_map is not None:
         known_here = F.coalesce(F.element_at(known_map, F.col("table")), F.array().cast("array<string>"))
         new_keys = F.array_except(keys, known_here)
     else:
-        new_keys = F.array_distinct(keys)
+        new_keys = keys
     carry = ["body"] if fields_filter is not None else []
-    rows = pending.select("table", "topic", "partition", "offset", *carry, F.explode(new_keys).alias("field"))
+    rows = pending.select("table", "topic", "partition", "offset", *carry,
+                          F.explode_outer(new_keys).alias("field"))
     if fields_filter is not None:
         cond = None
         for table, names in fields_filter.items():
@@ -193,13 +197,23 @@ def read_exemplars(spark: SparkSession, pending: DataFrame, winners: list, max_b
 
 
 def infer_new_fields(pending: DataFrame, known: dict[str, T.StructType],
-                     max_new_fields: int = 10_000, max_exemplar_bytes: int = 4 << 20) -> list[FieldChange]:
-    """The new columns of every table in this batch, in append order."""
+                     max_new_fields: int = 10_000, max_exemplar_bytes: int = 4 << 20,
+                     tables_out: list | None = None, max_tables: int = 100_000) -> list[FieldChange]:
+    """The new columns of every table in this batch, in append
+    order.  ``tables_out`` receives the tables that have pending records."""
     spark = pending.sparkSession
     changes: list[FieldChange] = []
     todo = None
     for _ in range(8):
-        winners = first_occurrences(pending, known, todo).limit(max_new_fields + 1).collect()
+        # One row per (table, new field) plus one per table: bounded by the
+        # schema growth of the batch, checked before anything else is done.
+        found = first_occurrences(pending, known, todo).limit(max_new_fields + max_tables + 1).collect()
+        present = sorted({w["table"] for w in found})
+        if len(present) > max_tables:
+            raise InferenceLimitError(f"more than {max_tables} tables in one batch; raise max_tables")
+        if todo is None and tables_out is not None:
+            tables_out.extend(present)
+        winners = [w for w in found if w["field"] is not None]
         if len(winners) > max_new_fields:
             raise InferenceLimitError(
                 f"more than {max_new_fields} new fields in one batch; raise max_new_fields")

@@ -91,12 +91,6 @@ class BatchResult:
         self.admitted.unpersist()
 
 
-def tables_in(admitted: DataFrame) -> list[str]:
-    """Distinct target tables of the pending records (bounded by topics)."""
-    rows = admitted.filter(F.col("disposition") == PENDING).select("table").distinct().collect()
-    return sorted(r["table"] for r in rows)
-
-
 def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
            cfg: IngestConfig | None = None,
            route: Callable[[Column], Column] = topic_to_table,
@@ -112,12 +106,14 @@ def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
     admitted = admit(records, route)
     if persist:
         admitted = admitted.persist(StorageLevel.MEMORY_AND_DISK)
-    present = tables_in(admitted)
     if known_loader is not None:
-        known = known_loader(present)
-    known = {t: s for t, s in (known or {}).items() if t in present and s is not None}
+        known = known_loader(None)
+    known = {t: s for t, s in (known or {}).items() if s is not None}
+    present: list[str] = []
     changes = infer_new_fields(admitted.filter(F.col("disposition") == PENDING), known,
-                               cfg.max_new_fields, cfg.max_exemplar_bytes)
+                               cfg.max_new_fields, cfg.max_exemplar_bytes, tables_out=present,
+                               max_tables=cfg.max_tables)
+    known = {t: s for t, s in known.items() if t in present}
     schemas: dict[str, T.StructType] = {}
     for table in present:
         merged = merge_schema(known.get(table), [c for c in changes if c.table == table])

@@ -36,6 +36,9 @@ class TableStore:
         self.spark = spark
         self.namespace = namespace
         self.location = location
+        # Schemas this writer has seen or changed (one catalog read per table
+        # and process, like the reference's per-task cache).
+        self._cache: dict[str, T.StructType] = {}
 
     # -- catalog -----------------------------------------------------------
     def ensure_namespace(self) -> None:
@@ -49,17 +52,23 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(table, self.namespace)
 
-    def schema(self, table: str) -> T.StructType | None:
+    def schema(self, table: str, fresh: bool = False) -> T.StructType | None:
         """The table's columns in table order, without the hidden column."""
+        if not fresh and table in self._cache:
+            return self._cache[table]
         if not self.exists(table):
             return None
         fields = [f for f in self.spark.table(self.name(table)).schema.fields if f.name != BATCH_COL]
         for f in fields:
             if isinstance(f.dataType, T.MapType):
                 raise TypeError(f"{table}.{f.name}: MAP columns cannot be ingest targets")
-        return T.StructType(fields)
+        self._cache[table] = T.StructType(fields)
+        return self._cache[table]
 
-    def schemas(self, tables: list[str]) -> dict[str, T.StructType]:
+    def schemas(self, tables: list[str] | None = None) -> dict[str, T.StructType]:
+        """Schemas of ``tables`` (default: every table of the namespace)."""
+        if tables is None:
+            tables = [t.name for t in self.spark.catalog.listTables(self.namespace)]
         return {t: s for t in tables if (s := self.schema(t)) is not None}
 
     def create(self, table: str, schema: T.StructType) -> None:
@@ -68,14 +77,16 @@ class TableStore:
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({cols}, {BATCH_COL} STRING) "
             f"USING parquet PARTITIONED BY ({BATCH_COL})")
+        self.schema(table, fresh=True)
 
     def add_columns(self, table: str, fields: list[T.StructField]) -> None:
         """K3: widen a live table; columns already there are left alone."""
-        have = {f.name for f in (self.schema(table) or T.StructType()).fields}
+        have = {f.name for f in (self.schema(table, fresh=True) or T.StructType()).fields}
         todo = [f for f in fields if f.name not in have]
         if todo:
             cols = ", ".join(f"{quote(f.name)} {ddl_type(f.dataType)}" for f in todo)
             self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({cols})")
+            self.schema(table, fresh=True)
 
     def append(self, table: str, rows: DataFrame, batch_tag: str, parallelism: int | None = None) -> None:
         """K4/K7: append one batch's rows; a replay of the same tag replaces them."""
@@ -111,10 +122,13 @@ class IcebergTableStore(TableStore):
         cols = ", ".join(f"{quote(f.name)} {ddl_type(f.dataType)}" for f in schema.fields)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({cols}) USING iceberg")
 
-    def schema(self, table: str) -> T.StructType | None:
+    def schema(self, table: str, fresh: bool = False) -> T.StructType | None:
+        if not fresh and table in self._cache:
+            return self._cache[table]
         if not self.exists(table):
             return None
-        return self.spark.table(self.name(table)).schema
+        self._cache[table] = self.spark.table(self.name(table)).schema
+        return self._cache[table]
 
     def append(self, table: str, rows: DataFrame, batch_tag: str, parallelism: int | None = None) -> None:
         snaps = self.spark.sql(
