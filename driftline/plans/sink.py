@@ -50,7 +50,7 @@ class TableStore:
         return f"{quote(self.namespace)}.{quote(table)}"
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(table, self.namespace)
+        return self.spark.catalog.tableExists(self.name(table))
 
     def schema(self, table: str, fresh: bool = False) -> T.StructType | None:
         """The table's columns in table order, without the hidden column."""

@@ -55,7 +55,7 @@ def start_ingest(stream: DataFrame, store: TableStore, checkpoint: str,
                 stats = batch_stats(result.dispositions(), batch_id)
                 spark = batch_df.sparkSession
                 name = store.name(STATS_TABLE)
-                if not spark.catalog.tableExists(STATS_TABLE, store.namespace):
+                if not store.exists(STATS_TABLE):
                     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id BIGINT, received BIGINT, "
                               f"emitted BIGINT, skipped BIGINT, errors BIGINT, _ingest_batch STRING) "
                               f"USING parquet PARTITIONED BY (_ingest_batch)")
