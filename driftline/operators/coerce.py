@@ -149,17 +149,58 @@ def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
     return out, (~null) & out.isNull()
 
 
-def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = ()) -> DataFrame:
+# Types that Spark's own typed JSON parser reads with the reference's result
+# whenever it succeeds: booleans only from true/false, integers only from
+# integer tokens, doubles from any number, text from scalars (numbers printed
+# as the JVM prints the parsed node).  Anything it cannot convert comes back
+# null and takes the exact VARIANT path instead.
+_FAST = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+         T.StringType, T.BinaryType)
+JSON_READ_OPTS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+                  "allowNumericLeadingZeros": "false", "allowUnquotedControlChars": "false"}
+
+
+def _fast_parse_type(dtype: T.DataType) -> T.DataType:
+    return T.StringType() if isinstance(dtype, T.BinaryType) else dtype
+
+
+def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fast: bool = True) -> DataFrame:
     """P5 + C*: one typed column per schema field, in schema order, by exact
     name; keys not in the schema are ignored.  Adds ``_dl_src`` (record
-    coordinates) and ``_dl_error`` (first column that failed, or null)."""
-    names = [f.name for f in schema.fields]
-    staged = pending.select(
-        F.struct("topic", "partition", "offset", *carry).alias(SRC),
-        variant_fields(F.col("body"), names).alias("_dl_v"))
+    coordinates) and ``_dl_error`` (first column that failed, or null).
+
+    Scalar columns are read by one typed ``from_json`` of the row text (the
+    common case: right kind, no repeated keys); a null or doubtful result
+    falls back, per field and lazily, to ``coerce_value`` on the parsed
+    VARIANT.  Nested, date/time and other columns always use ``coerce_value``.
+    """
+    fast_fields = [f for f in schema.fields if fast and isinstance(f.dataType, _FAST)]
+    slow_fields = [f for f in schema.fields if f not in fast_fields]
+    staged_cols = [F.struct("topic", "partition", "offset", *carry).alias(SRC)]
+    if slow_fields:
+        staged_cols.append(variant_fields(F.col("body"), [f.name for f in slow_fields]).alias("_dl_v"))
+    if fast_fields:
+        tddl = "struct<" + ",".join(f"{quote(f.name)}: {ddl_type(_fast_parse_type(f.dataType))}"
+                                    for f in fast_fields) + ">"
+        plain = F.from_json(F.col("text"), tddl, JSON_READ_OPTS)
+        wrapped = F.from_json(F.col("text"), f"struct<payload: {tddl}>", JSON_READ_OPTS).getField("payload")
+        staged_cols += [F.when(F.col("envelope"), wrapped).otherwise(plain).alias("_dl_t"),
+                        F.col("dup_keys"), F.col("body")]
+    staged = pending.select(*staged_cols)
     cols, errs = [], []
     for f in schema.fields:
-        val, err = coerce_value(F.col("_dl_v").getField(f.name), f.dataType)
+        if f in fast_fields:
+            exact = variant_fields(F.col("body"), [f.name]).getField(f.name)
+            fallback, err = coerce_value(exact, f.dataType)
+            t = F.col("_dl_t").getField(f.name)
+            ok = ~F.col("dup_keys") & t.isNotNull()
+            if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+                ok = ok & ~(t.startswith("{") | t.startswith("["))
+            if isinstance(f.dataType, T.BinaryType):
+                t = F.encode(t, "UTF-8")
+            val = F.when(ok, t).otherwise(fallback)
+        else:
+            val, err = coerce_value(F.col("_dl_v").getField(f.name), f.dataType)
         cols.append(val.alias(f.name))
         if not f.nullable:
             err = _or(err, val.isNull())

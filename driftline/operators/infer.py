@@ -132,9 +132,7 @@ def first_occurrences(pending: DataFrame, known: dict[str, T.StructType],
 
     With ``fields_filter`` only those fields are looked for, and only in
     records where the field is a non-empty value (used to skip ``{}``)."""
-    # Key set of the row object, read from the parsed VARIANT (no re-parse;
-    # order does not matter here, positions are read for winners only).
-    keys = F.map_keys(F.try_variant_get(F.col("body"), "$", "map<string,variant>"))
+    keys = F.col("keys")          # key names of the row object, kept by admission
     known_map = _known_names_map(known)
     if known_map is not None:
         known_here = F.coalesce(F.element_at(known_map, F.col("table")), F.array().cast("array<string>"))
@@ -183,7 +181,7 @@ def read_exemplars(spark: SparkSession, pending: DataFrame, winners: list, max_b
     val = F.element_at(F.try_variant_get(F.col("body"), "$", "map<string,variant>"), F.col("field"))
     out = joined.select(
         "table", "field", "topic", "partition", "offset",
-        (F.array_position(F.json_object_keys(text), F.col("field")) - 1).alias("pos"),
+        (F.array_position(F.col("keys"), F.col("field")) - 1).alias("pos"),
         F.schema_of_variant(val).alias("kind"),
         F.element_at(raw_map, F.col("field")).alias("raw"),
     ).withColumn("raw_len", F.length("raw"))

@@ -21,6 +21,10 @@ ENGINE_SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Replaying one micro-batch rewrites only that batch's hidden partition.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Coercion projections are wide CASE trees; a whole-stage method above
+    # HotSpot's 8000-byte limit would never be JIT-compiled, so such stages
+    # fall back to split expression code instead (Spark's documented setting).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
