@@ -124,24 +124,35 @@ def _known_names_map(known: dict[str, T.StructType]):
     return F.create_map(*entries) if entries else None
 
 
-def first_occurrences(pending: DataFrame, known: dict[str, T.StructType],
+def first_occurrences(admitted: DataFrame, known: dict[str, T.StructType],
                       fields_filter: dict[str, list[str]] | None = None) -> DataFrame:
-    """(table, field, topic, partition, offset) of the first record carrying
-    each field the table does not know yet.  Every table with pending
-    records also gets one row with a null ``field`` (tables present).
+    """One small frame answering two questions in a single pass:
+
+    * ``kind = 'field'``: (table, field) -> the first record (offset, topic,
+      partition) whose row object carries a field the table does not know;
+    * ``kind = 'census'``: (table, topic, reason) -> number of records
+      (reason null = pending), i.e. the tables present and the skip counts.
 
     With ``fields_filter`` only those fields are looked for, and only in
-    records where the field is a non-empty value (used to skip ``{}``)."""
+    records where the field is a non-empty value (used to skip ``{}``); no
+    census rows are produced then."""
+    pending = F.col("reason").isNull()
     keys = F.col("keys")          # key names of the row object, kept by admission
     known_map = _known_names_map(known)
     if known_map is not None:
         known_here = F.coalesce(F.element_at(known_map, F.col("table")), F.array().cast("array<string>"))
         new_keys = F.array_except(keys, known_here)
     else:
-        new_keys = keys
+        new_keys = F.array_distinct(keys)
+    none = F.array(F.lit(None).cast("string"))
+    if fields_filter is None:
+        # a null entry stands for the record itself (census)
+        fields = F.when(pending, F.concat(none, new_keys)).otherwise(none)
+    else:
+        fields = F.when(pending, new_keys)
     carry = ["body"] if fields_filter is not None else []
-    rows = pending.select("table", "topic", "partition", "offset", *carry,
-                          F.explode_outer(new_keys).alias("field"))
+    rows = admitted.select("table", "topic", "partition", "offset", "reason", *carry,
+                           F.explode(fields).alias("field"))
     if fields_filter is not None:
         cond = None
         for table, names in fields_filter.items():
@@ -152,71 +163,86 @@ def first_occurrences(pending: DataFrame, known: dict[str, T.StructType],
                     (F.coalesce(F.schema_of_variant(val), F.lit("")) != F.lit("OBJECT<>"))
                 cond = hit if cond is None else cond | hit
         rows = rows.filter(cond)
-    firsts = (rows.groupBy("table", "field", "topic", "partition")
-              .agg(F.min("offset").alias("offset")))
-    # Tiny from here on: one row per (table, field, topic, partition).
-    best = firsts.groupBy("table", "field").agg(
-        F.min(F.struct("offset", "topic", "partition")).alias("w"))
-    return best.select("table", "field", "w.topic", "w.partition", "w.offset")
+    # Hash aggregation with a map-side partial: one row per group and input
+    # partition crosses the shuffle, however hot a topic or key is.
+    firsts = (rows.groupBy("table", "field", "topic", "partition", "reason")
+              .agg(F.min("offset").alias("offset"), F.count(F.lit(1)).alias("records")))
+    found = (firsts.filter(F.col("field").isNotNull())
+             .groupBy("table", "field").agg(F.min(F.struct("offset", "topic", "partition")).alias("w"))
+             .select(F.lit("field").alias("kind"), "table", "field", "w.topic", "w.partition", "w.offset",
+                     F.lit(None).cast("string").alias("reason"), F.lit(None).cast("bigint").alias("records")))
+    census = (firsts.filter(F.col("field").isNull())
+              .groupBy("table", "topic", "reason").agg(F.sum("records").alias("records"))
+              .select(F.lit("census").alias("kind"), "table", F.lit(None).cast("string").alias("field"),
+                      "topic", F.lit(None).cast("int").alias("partition"),
+                      F.lit(None).cast("bigint").alias("offset"), "reason", "records"))
+    return found.unionByName(census)
 
 
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def read_exemplars(spark: SparkSession, pending: DataFrame, winners: list, max_bytes: int):
-    """Raw text, variant kind and document position of each winner field."""
+def read_exemplars(spark: SparkSession, admitted: DataFrame, winners: list, max_bytes: int):
+    """Raw text, variant kind and document position of each winner field.
+    Oversized raw texts never leave the executors: they are checked there."""
     if not winners:
         return []
     small = spark.createDataFrame(
         [(w["table"], w["field"], w["topic"], int(w["partition"]), int(w["offset"])) for w in winners],
         "w_table string, field string, w_topic string, w_partition int, w_offset bigint")
     # Size is known on the driver (at most max_new_fields rows): broadcast.
-    joined = pending.join(
+    joined = admitted.join(
         F.broadcast(small),
-        (pending["topic"] == small["w_topic"]) & (pending["partition"] == small["w_partition"])
-        & (pending["offset"] == small["w_offset"]) & (pending["table"] == small["w_table"]))
+        (admitted["topic"] == small["w_topic"]) & (admitted["partition"] == small["w_partition"])
+        & (admitted["offset"] == small["w_offset"]) & (admitted["table"] == small["w_table"]))
     text = body_text()
     raw_map = F.map_from_entries(F.map_entries(F.from_json(text, "map<string,string>")))
     val = F.element_at(F.try_variant_get(F.col("body"), "$", "map<string,variant>"), F.col("field"))
+    raw = F.element_at(raw_map, F.col("field"))
     out = joined.select(
         "table", "field", "topic", "partition", "offset",
         (F.array_position(F.col("keys"), F.col("field")) - 1).alias("pos"),
         F.schema_of_variant(val).alias("kind"),
-        F.element_at(raw_map, F.col("field")).alias("raw"),
-    ).withColumn("raw_len", F.length("raw"))
-    big = out.filter(F.col("raw_len") > max_bytes).limit(1).collect()
-    if big:
-        b = big[0]
-        raise InferenceLimitError(
-            f"exemplar for {b['table']}.{b['field']} is {b['raw_len']} characters "
-            f"(limit {max_bytes}); raise max_exemplar_bytes")
-    return out.drop("raw_len").collect()
-
-
-def infer_new_fields(pending: DataFrame, known: dict[str, T.StructType],
+        raw.alias("raw"),
+    ).withColumn("raw_len", F.length("raw")).withColumn(
+        "raw", F.when(F.col("raw_len") <= max_bytes, F.col("raw")))
+    rows = out.collect()
+    for r in rows:
+        if r["raw_len"] is not None and r["raw_len"] > max_bytes:
+            raise InferenceLimitError(
+                f"exemplar for {r['table']}.{r['field']} is {r['raw_len']} characters "
+                f"(limit {max_bytes}); raise max_exemplar_bytes")
+    return rows
+
+
+def infer_new_fields(admitted: DataFrame, known: dict[str, T.StructType],
                      max_new_fields: int = 10_000, max_exemplar_bytes: int = 4 << 20,
-                     tables_out: list | None = None, max_tables: int = 100_000) -> list[FieldChange]:
+                     census_out: list | None = None, max_tables: int = 100_000) -> list[FieldChange]:
     """The new columns of every table in this batch, in append
-    order.  ``tables_out`` receives the tables that have pending records."""
-    spark = pending.sparkSession
+    order.  ``census_out`` receives (table, topic, reason, records) rows."""
+    spark = admitted.sparkSession
     changes: list[FieldChange] = []
     todo = None
     for _ in range(8):
-        # One row per (table, new field) plus one per table: bounded by the
-        # schema growth of the batch, checked before anything else is done.
-        found = first_occurrences(pending, known, todo).limit(max_new_fields + max_tables + 1).collect()
-        present = sorted({w["table"] for w in found})
-        if len(present) > max_tables:
+        # Bounded by the schema growth and the topics of the batch (census:
+        # at most 5 reasons per topic); checked before anything else is done.
+        limit = max_new_fields + 5 * max_tables + 1
+        found = first_occurrences(admitted, known, todo).limit(limit).collect()
+        if len(found) == limit:
+            raise InferenceLimitError("too many new fields or topics in one batch; "
+                                      "raise max_new_fields / max_tables")
+        census = [r for r in found if r["kind"] == "census"]
+        winners = [r for r in found if r["kind"] == "field"]
+        if len({r["table"] for r in census}) > max_tables:
             raise InferenceLimitError(f"more than {max_tables} tables in one batch; raise max_tables")
-        if todo is None and tables_out is not None:
-            tables_out.extend(present)
-        winners = [w for w in found if w["field"] is not None]
+        if todo is None and census_out is not None:
+            census_out.extend((r["table"], r["topic"], r["reason"], int(r["records"])) for r in census)
         if len(winners) > max_new_fields:
             raise InferenceLimitError(
                 f"more than {max_new_fields} new fields in one batch; raise max_new_fields")
         empty: dict[str, list[str]] = {}
-        for ex in read_exemplars(spark, pending, winners, max_exemplar_bytes):
+        for ex in read_exemplars(spark, admitted, winners, max_exemplar_bytes):
             dtype = exemplar_type(ex["kind"], ex["raw"])
             if dtype is None:
                 # `{}`: no type yet; look for a later record with content.

@@ -30,6 +30,11 @@ class BatchResult:
     schemas: dict[str, T.StructType]
     changes: list[FieldChange]
     known: dict[str, T.StructType] = field(default_factory=dict)
+    # (table, topic, reason, records) for every record of the batch; reason
+    # None = pending (emitted or error after coercion).
+    census: list = field(default_factory=list)
+    # {table: (records, convert errors)} once written by the sink
+    written: dict = field(default_factory=dict)
 
     @property
     def pending(self) -> DataFrame:
@@ -109,14 +114,14 @@ def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
     if known_loader is not None:
         known = known_loader(None)
     known = {t: s for t, s in (known or {}).items() if s is not None}
-    present: list[str] = []
-    changes = infer_new_fields(admitted.filter(F.col("disposition") == PENDING), known,
-                               cfg.max_new_fields, cfg.max_exemplar_bytes, tables_out=present,
-                               max_tables=cfg.max_tables)
+    census: list = []
+    changes = infer_new_fields(admitted, known, cfg.max_new_fields, cfg.max_exemplar_bytes,
+                               census_out=census, max_tables=cfg.max_tables)
+    present = sorted({table for table, _, reason, _ in census if reason is None})
     known = {t: s for t, s in known.items() if t in present}
     schemas: dict[str, T.StructType] = {}
     for table in present:
         merged = merge_schema(known.get(table), [c for c in changes if c.table == table])
         if len(merged.fields):
             schemas[table] = merged
-    return BatchResult(admitted, schemas, changes, known)
+    return BatchResult(admitted, schemas, changes, known, census)

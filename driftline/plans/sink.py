@@ -15,14 +15,15 @@ own schema evolution and atomic appends.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.config import IngestConfig
-from driftline.operators.coerce import ddl_type
+from driftline.operators.coerce import ERR, ddl_type
 from driftline.operators.infer import quote
 from driftline.plans.ingest import BatchResult, ingest
 
@@ -145,9 +146,13 @@ class IcebergTableStore(TableStore):
         return self.spark.table(self.name(table))
 
 
-def write_result(store: TableStore, result: BatchResult, batch_tag: str, cfg: IngestConfig) -> None:
+def write_result(store: TableStore, result: BatchResult, batch_tag: str,
+                 cfg: IngestConfig) -> dict[str, tuple[int, int]]:
     """K1: DDL for every table of the batch first, then the appends (a few
-    tables at a time; each append is its own distributed job)."""
+    tables at a time; each append is its own distributed job).
+
+    Returns {table: (records, convert errors)}, observed while writing, so
+    counting needs no extra pass over the batch."""
     for table in result.tables:
         if not store.exists(table):
             store.create(table, result.schemas[table])
@@ -155,15 +160,30 @@ def write_result(store: TableStore, result: BatchResult, batch_tag: str, cfg: In
             store.add_columns(table, result.new_fields(table))
 
     def one(table):
-        store.append(table, result.rows(table), batch_tag, cfg.write_parallelism)
+        obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
+        coerced = result.coerced(table).observe(
+            obs, F.count(F.lit(1)).alias("records"), F.count(F.col(ERR)).alias("errors"))
+        names = [f.name for f in result.schemas[table].fields]
+        rows = coerced.filter(F.col(ERR).isNull()).select(*[F.col(quote(n)) for n in names])
+        store.append(table, rows, batch_tag, cfg.write_parallelism)
+        m = obs.get
+        return table, (int(m.get("records", 0)), int(m.get("errors", 0)))
 
     threads = max(1, min(cfg.table_write_threads, len(result.tables)))
     if threads == 1:
-        for t in result.tables:
-            one(t)
-    else:
-        with ThreadPoolExecutor(threads) as pool:
-            list(pool.map(one, result.tables))
+        return dict(one(t) for t in result.tables)
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(pool.map(one, result.tables))
+
+
+def batch_counts(result: BatchResult, written: dict[str, tuple[int, int]]) -> dict[str, int]:
+    """O1/O5 for one batch from the inference census and the write
+    observations: received = emitted + skipped + errors."""
+    received = sum(n for _, _, _, n in result.census)
+    skipped = sum(n for t, _, reason, n in result.census if reason is not None or t not in written)
+    errors = sum(e for _, e in written.values())
+    emitted = sum(n - e for n, e in written.values())
+    return {"received": received, "emitted": emitted, "skipped": skipped, "errors": errors}
 
 
 def ingest_into(store: TableStore, records: DataFrame, batch_tag: str,
@@ -175,7 +195,7 @@ def ingest_into(store: TableStore, records: DataFrame, batch_tag: str,
     kwargs = {"route": route} if route is not None else {}
     result = ingest(records, cfg=cfg, known_loader=store.schemas, **kwargs)
     try:
-        write_result(store, result, batch_tag, cfg)
+        result.written = write_result(store, result, batch_tag, cfg)
     finally:
         if not keep:
             result.release()

@@ -13,12 +13,10 @@ import json
 import logging
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftline.config import IngestConfig
-from driftline.operators.observe import batch_stats
-from driftline.plans.sink import TableStore, ingest_into
+from driftline.plans.sink import TableStore, batch_counts, ingest_into
 
 log = logging.getLogger(__name__)
 
@@ -46,22 +44,21 @@ def start_ingest(stream: DataFrame, store: TableStore, checkpoint: str,
     cfg = cfg or IngestConfig()
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
         tag = batch_tag_for(batch_df, batch_id, checkpoint)
-        result = ingest_into(store, batch_df, tag, cfg, keep=True)
-        try:
-            if record_stats:
-                stats = batch_stats(result.dispositions(), batch_id)
-                spark = batch_df.sparkSession
-                name = store.name(STATS_TABLE)
-                if not store.exists(STATS_TABLE):
-                    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id BIGINT, received BIGINT, "
-                              f"emitted BIGINT, skipped BIGINT, errors BIGINT, _ingest_batch STRING) "
-                              f"USING parquet PARTITIONED BY (_ingest_batch)")
-                stats.withColumn("_ingest_batch", F.lit(tag)).write.insertInto(name, overwrite=True)
-        finally:
-            result.release()
+        result = ingest_into(store, batch_df, tag, cfg)
+        c = batch_counts(result, result.written)
+        if record_stats and c["received"]:          # file streams can yield empty batches
+            log.info("batch %s: %s", batch_id, c)
+            spark = batch_df.sparkSession
+            name = store.name(STATS_TABLE)
+            if not store.exists(STATS_TABLE):
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id BIGINT, received BIGINT, "
+                          f"emitted BIGINT, skipped BIGINT, errors BIGINT, _ingest_batch STRING) "
+                          f"USING parquet PARTITIONED BY (_ingest_batch)")
+            row = [(int(batch_id), c["received"], c["emitted"], c["skipped"], c["errors"], tag)]
+            (spark.createDataFrame(row, "batch_id bigint, received bigint, emitted bigint, skipped bigint, "
+                                        "errors bigint, _ingest_batch string")
+             .coalesce(1).write.insertInto(name, overwrite=True))
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if query_name:
