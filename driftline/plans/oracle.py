@@ -26,6 +26,7 @@ UNION ALL SELECT 'kinds', count(*), min(p_partkey), max(p_partkey) FROM part
 UNION ALL SELECT 'cdc.customers', count(*), min(c_custkey), max(c_custkey) FROM customer
 UNION ALL SELECT 'faulty', count(*), min(o_orderkey), max(o_orderkey) FROM orders
 UNION ALL SELECT 'dated', count(*), min(event_id), max(event_id) FROM events
+UNION ALL SELECT 'typed', count(*), min(p_partkey), max(p_partkey) FROM part
 UNION ALL SELECT '__offsets', count(*), CAST(min(r_regionkey) AS BIGINT), CAST(max(r_regionkey) AS BIGINT) FROM region
 UNION ALL SELECT 'a.b', count(*), CAST(min(n_nationkey) AS BIGINT), CAST(max(n_nationkey) AS BIGINT) FROM nation WHERE n_nationkey % 2 = 0
 UNION ALL SELECT 'a-b', count(*), CAST(min(n_nationkey) AS BIGINT), CAST(max(n_nationkey) AS BIGINT) FROM nation WHERE n_nationkey % 2 = 1
@@ -171,6 +172,17 @@ SELECT event_id AS "offset",
        CASE WHEN event_id % 6 IN (0, 1) THEN epoch_us(ts) // 1000 END AS at_ms
 FROM events""",
 
+    "coerce_existing_types": """
+SELECT p_partkey AS "offset",
+       CASE WHEN p_partkey % 4 = 2 THEN 'error' ELSE 'emitted' END AS disposition,
+       CAST(CASE p_partkey % 4 WHEN 0 THEN p_size WHEN 1 THEN 1 END AS INTEGER) AS i,
+       CAST(CASE p_partkey % 4 WHEN 0 THEN p_retailprice WHEN 1 THEN 0 END AS FLOAT) AS f,
+       CASE p_partkey % 4 WHEN 0 THEN hex(p_brand) WHEN 1 THEN '37' END AS bin_hex,
+       CAST(CASE p_partkey % 4 WHEN 0 THEN CAST(p_retailprice AS DECIMAL(10, 2)) WHEN 1 THEN 12.5 END
+            AS DECIMAL(10, 2)) AS dec,
+       CASE WHEN p_partkey % 4 = 0 THEN p_type END AS note
+FROM part""",
+
     "route_topics_to_tables": f"SELECT topic, replace(replace(topic, '.', '_'), '-', '_') AS table_name, records "
                               f"FROM ({_TOPIC_COUNTS}) t",
 

@@ -171,6 +171,19 @@ def coerce_date_timestamp(spark, sf):
                       F.unix_millis("at").alias("at_ms"))
 
 
+TYPED_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("i", T.IntegerType()),
+                             T.StructField("f", T.FloatType()), T.StructField("bin", T.BinaryType()),
+                             T.StructField("dec", T.DecimalType(10, 2)), T.StructField("note", T.StringType())])
+
+
+def coerce_existing_types(spark, sf):
+    """INT, FLOAT, BINARY and DECIMAL columns of a table that
+    already exists (inference never creates them)."""
+    res = _ingest(spark, sf, ["typed_kinds"], known={"typed": TYPED_SCHEMA})
+    out = outcomes(res, "typed", ["i", "f", "bin", "dec", "note"])
+    return out.select("offset", "disposition", "i", "f", F.hex("bin").alias("bin_hex"), "dec", "note")
+
+
 # -- routing and sink --------------------------------------------------------
 
 def route_topics_to_tables(spark, sf):
@@ -352,6 +365,7 @@ QUERIES = {
     "nested_field_not_evolved": nested_field_not_evolved,
     "coerce_wrong_kind": coerce_wrong_kind,
     "coerce_date_timestamp": coerce_date_timestamp,
+    "coerce_existing_types": coerce_existing_types,
     "route_topics_to_tables": route_topics_to_tables,
     "multi_table_sink_counts": multi_table_sink_counts,
     "append_change_log": append_change_log,

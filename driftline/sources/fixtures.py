@@ -225,6 +225,27 @@ def dated(spark, sf_dir) -> DataFrame:
 DATED_DDL = "id STRING, day DATE, at TIMESTAMP"
 
 
+def typed_kinds(spark, sf_dir) -> DataFrame:
+    """``typed``: goes into a pre-made table (id STRING, i INT, f FLOAT,
+    bin BINARY, dec DECIMAL(10,2), note STRING).  By K % 4: 0 right kinds from
+    ``part``; 1 i=1.5, f="x", bin=7, dec="12.5"; 2 i="7", f=true,
+    bin={"a":1}, dec="abc" (error); 3 all null."""
+    p = table(spark, sf_dir, "part")
+    k = p.p_partkey
+    m = k % 4
+    idf = k.cast("string").alias("id")
+    right = to_json(idf, p.p_size.alias("i"), p.p_retailprice.alias("f"), p.p_brand.alias("bin"),
+                    p.p_retailprice.alias("dec"), p.p_type.alias("note"))
+    one = F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","i":1.5,"f":"x","bin":7,"dec":"12.5"}'))
+    two = F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","i":"7","f":true,"bin":{"a":1},"dec":"abc"}'))
+    three = F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","i":null,"f":null,"bin":null,"dec":null}'))
+    value = F.when(m == 0, right).when(m == 1, one).when(m == 2, two).otherwise(three)
+    return frame(p, "typed", k, value)
+
+
+TYPED_DDL = "id STRING, i INT, f FLOAT, bin BINARY, dec DECIMAL(10,2), note STRING"
+
+
 def internal(spark, sf_dir) -> DataFrame:
     """``__offsets``: an internal topic; never passes the default pattern."""
     r = table(spark, sf_dir, "region")
@@ -274,6 +295,7 @@ FRAMES = {
     "enveloped": enveloped,
     "faulty": faulty,
     "dated": dated,
+    "typed_kinds": typed_kinds,
     "internal": internal,
     "collide": collide,
 }
