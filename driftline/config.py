@@ -9,22 +9,26 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field, replace
 
-# Environment variable names and their defaults, as the
-# reference job reads them (code defaults win where its docs disagree).
+# Environment variable names, and the defaults that change
+# results (topic pattern, start position, namespace, commit interval) as the
+# reference job reads them; code defaults win where its docs disagree.
+# Group id and catalog name are deployment labels with defaults of our own.
+# WRITE_PARALLELISM unset means: keep the input parallelism (no coalesce).
 ENV_DEFAULTS = {
     "KAFKA_BOOTSTRAP_SERVERS": "localhost:9092",
     "KAFKA_TOPICS_PATTERN": "[^_].*",
-    "KAFKA_CONSUMER_GROUP": "flink-lakehouse-sink",
+    "KAFKA_CONSUMER_GROUP": "driftline-ingest",
     "KAFKA_STARTING_OFFSET": "earliest",
-    "CATALOG_NAME": "iceberg_oss",
+    "CATALOG_NAME": "spark_catalog",
     "CATALOG_NAMESPACE": "raw",
     "WAREHOUSE_PATH": "",
-    "WRITE_PARALLELISM": "2",
+    "WRITE_PARALLELISM": "",
     "CHECKPOINT_INTERVAL_MS": "30000",
 }
 
 
 def _env(environ, name: str) -> str:
+    """A blank value counts as unset."""
     value = environ.get(name)
     if value is None or value.strip() == "":
         return ENV_DEFAULTS[name]
