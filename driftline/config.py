@@ -24,6 +24,7 @@ ENV_DEFAULTS = {
     "WAREHOUSE_PATH": "",
     "WRITE_PARALLELISM": "",
     "CHECKPOINT_INTERVAL_MS": "30000",
+    "MAX_OFFSETS_PER_TRIGGER": "",
 }
 
 
@@ -54,8 +55,12 @@ class IngestConfig:
     max_new_fields: int = 10_000
     max_exemplar_bytes: int = 4 * 1024 * 1024
     max_tables: int = 100_000
-    # Threads used to write the tables of one micro-batch concurrently.
-    table_write_threads: int = 4
+    # Threads used to write the tables of one micro-batch concurrently
+    # (pair with spark.scheduler.mode=FAIR on a shared cluster).
+    table_write_threads: int = 8
+    # Upper bound of records per micro-batch from Kafka: sizes the persisted
+    # batch to executor memory (+ disk).  None = no bound.
+    max_offsets_per_trigger: int | None = None
     extra: dict = field(default_factory=dict)
 
     @classmethod
@@ -72,6 +77,7 @@ class IngestConfig:
             warehouse=_env(environ, "WAREHOUSE_PATH"),
             write_parallelism=int(parallelism) if parallelism and parallelism.strip() else None,
             checkpoint_interval_ms=int(_env(environ, "CHECKPOINT_INTERVAL_MS")),
+            max_offsets_per_trigger=int(_env(environ, "MAX_OFFSETS_PER_TRIGGER") or 0) or None,
         )
         return replace(cfg, **overrides) if overrides else cfg
 

@@ -30,12 +30,12 @@ PENDING, EMITTED, SKIPPED, ERROR = "pending", "emitted", "skipped", "error"
 def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table) -> DataFrame:
     """Record frame -> admitted frame.
 
-    Output columns: topic, partition, offset, timestamp, table, text,
+    Output columns: topic, partition, offset, table, text,
     first_byte, envelope, body (VARIANT of the row object), keys (its key
     names in document order), dup_keys, disposition, reason.
     """
     decoded = records.select(
-        "topic", "partition", "offset", "timestamp",
+        "topic", "partition", "offset",
         route(F.col("topic")).alias("table"),
         decode_utf8(F.col("value")).alias("text"),
         F.hex(F.substring(F.col("value"), 1, 1)).alias("first_byte"),
@@ -62,7 +62,7 @@ def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table
         "keys", F.when(F.col("reason").isNull(), F.json_object_keys(body_text())))
     dup_keys = F.size(F.col("keys")) != F.size(F.array_distinct(F.col("keys")))
     out = keyed.select(
-        "topic", "partition", "offset", "timestamp", "table", "text", "first_byte", "envelope",
+        "topic", "partition", "offset", "table", "text", "first_byte", "envelope",
         F.when(F.col("reason").isNull(), F.col("body")).alias("body"),
         "keys",
         F.coalesce(F.when(F.col("reason").isNull(), dup_keys), F.lit(False)).alias("dup_keys"),

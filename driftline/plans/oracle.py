@@ -130,6 +130,32 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id,
             ELSE '0.' || lpad(CAST(o_orderkey % 30 AS VARCHAR), 2, '0') END AS discount_pct
 FROM orders""",
 
+    "producer_demo_schema": """
+SELECT * FROM (VALUES
+ ('demo_customers', 0, 'customer_id', 'string'), ('demo_customers', 1, 'name', 'string'),
+ ('demo_customers', 2, 'email', 'string'), ('demo_customers', 3, 'phone', 'string'),
+ ('demo_customers', 4, 'segment', 'string'), ('demo_customers', 5, 'created_at', 'string'),
+ ('demo_orders', 0, 'order_id', 'string'), ('demo_orders', 1, 'customer_id', 'string'),
+ ('demo_orders', 2, 'product_id', 'string'), ('demo_orders', 3, 'quantity', 'bigint'),
+ ('demo_orders', 4, 'unit_price', 'double'), ('demo_orders', 5, 'status', 'string'),
+ ('demo_orders', 6, 'created_at', 'string'), ('demo_orders', 7, 'discount_pct', 'string'),
+ ('demo_payments', 0, 'payment_id', 'string'), ('demo_payments', 1, 'order_id', 'string'),
+ ('demo_payments', 2, 'amount', 'double'), ('demo_payments', 3, 'currency', 'string'),
+ ('demo_payments', 4, 'method', 'string'), ('demo_payments', 5, 'paid_at', 'string')
+) AS t(table_name, position, field, type)""",
+
+    "producer_demo_orders": """
+SELECT 'ORD-' || CAST(o_orderkey AS VARCHAR) AS order_id,
+       'CUST-' || CAST(1000 + o_custkey % 9000 AS VARCHAR) AS customer_id,
+       'PROD-' || CAST(100 + o_orderkey % 900 AS VARCHAR) AS product_id,
+       CAST(1 + o_orderkey % 50 AS BIGINT) AS quantity,
+       o_totalprice AS unit_price,
+       (['PENDING', 'CONFIRMED', 'SHIPPED', 'DELIVERED', 'CANCELLED'])[CAST(o_orderkey % 5 AS INTEGER) + 1] AS status,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS created_at,
+       CASE WHEN o_orderkey < 50 OR o_orderkey % 2 = 0 THEN NULL
+            ELSE '0.' || lpad(CAST(o_orderkey % 30 AS VARCHAR), 2, '0') END AS discount_pct
+FROM orders""",
+
     "value_first_pins_double": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, {_DISCOUNT} AS discount_pct FROM orders",
 
     "evolve_add_column": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price, "

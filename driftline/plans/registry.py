@@ -154,6 +154,20 @@ def value_first_pins_double(spark, sf):
     return _rows(spark, sf, "orders", "orders").select("id", "discount_pct")
 
 
+def producer_demo_schema(spark, sf):
+    """The demo producer's topics; ``discount_pct`` first appears null
+    (record 50), so it is pinned to text, as the reference would do."""
+    res = _ingest(spark, sf, ["demo_producer"])
+    rows = [(t, i, f.name, f.dataType.simpleString())
+            for t in res.tables for i, f in enumerate(res.schemas[t].fields)]
+    res.release()
+    return spark.createDataFrame(rows, "table_name string, position int, field string, type string")
+
+
+def producer_demo_orders(spark, sf):
+    return _ingest(spark, sf, ["demo_producer"]).rows("demo_orders")
+
+
 # -- coercion ----------------------------------------------------------------
 
 def coerce_wrong_kind(spark, sf):
@@ -359,6 +373,8 @@ QUERIES = {
     "ingest_line_arrays": ingest_line_arrays,
     "infer_schema_frame": infer_schema_frame,
     "null_first_pins_string": null_first_pins_string,
+    "producer_demo_schema": producer_demo_schema,
+    "producer_demo_orders": producer_demo_orders,
     "value_first_pins_double": value_first_pins_double,
     "evolve_add_column": evolve_add_column,
     "schema_change_log": schema_change_log,

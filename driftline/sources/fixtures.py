@@ -110,7 +110,11 @@ def events(spark, sf_dir) -> DataFrame:
 
 def lines(spark, sf_dir) -> DataFrame:
     """``line-items``: one record per order key, ``items`` = array of
-    (line, qty, price) sorted by all three, ``flags`` = sorted return flags."""
+    (line, qty, price) sorted by all three, ``flags`` = sorted return flags.
+
+    One record holds one order's lines by definition (a message value), so
+    its size is bounded like a message: by the lines of one order (at most
+    seven in these tables), not by the table."""
     li = table(spark, sf_dir, "lineitem")
     g = li.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(F.struct(
@@ -265,6 +269,55 @@ def collide(spark, sf_dir) -> DataFrame:
                  F.when(k % 2 == 0, even).otherwise(odd))
 
 
+# The value lists of the reference's demo producer.
+STATUSES = ["PENDING", "CONFIRMED", "SHIPPED", "DELIVERED", "CANCELLED"]
+CURRENCIES = ["IDR", "USD", "SGD"]
+METHODS = ["BANK_TRANSFER", "CREDIT_CARD", "GOPAY", "OVO", "QRIS"]
+SEGMENTS = ["RETAIL", "CORPORATE", "PREMIUM", "SME"]
+EVOLVE_AT = 50
+
+
+def _pick(values: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
+
+
+def _iso(ts: Column) -> Column:
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+
+
+def demo_producer(spark, sf_dir) -> DataFrame:
+    """The demo producer's three topics, derived from the test tables:
+    ``demo.orders`` (from record ``EVOLVE_AT`` on also ``discount_pct``,
+    null for even keys), ``demo.payments`` (from orders) and
+    ``demo.customers`` (``phone`` null when K % 10 < 3)."""
+    o = table(spark, sf_dir, "orders")
+    k = o.o_orderkey
+    order_fields = [F.concat(F.lit("ORD-"), k.cast("string")).alias("order_id"),
+                    F.concat(F.lit("CUST-"), (F.lit(1000) + o.o_custkey % 9000).cast("string")).alias("customer_id"),
+                    F.concat(F.lit("PROD-"), (F.lit(100) + k % 900).cast("string")).alias("product_id"),
+                    (F.lit(1) + k % 50).alias("quantity"), o.o_totalprice.alias("unit_price"),
+                    _pick(STATUSES, k).alias("status"), _iso(o.o_orderdate).alias("created_at")]
+    disc = F.when(k % 2 == 0, F.lit(None).cast("double")).otherwise((k % 30).cast("double") / F.lit(100.0))
+    orders_v = F.when(k >= EVOLVE_AT, to_json(*order_fields, disc.alias("discount_pct"))).otherwise(
+        to_json(*order_fields))
+    pay = to_json(F.concat(F.lit("PAY-"), k.cast("string")).alias("payment_id"),
+                  F.concat(F.lit("ORD-"), k.cast("string")).alias("order_id"),
+                  o.o_totalprice.alias("amount"), _pick(CURRENCIES, k).alias("currency"),
+                  _pick(METHODS, k).alias("method"), _iso(o.o_orderdate).alias("paid_at"))
+    c = table(spark, sf_dir, "customer")
+    ck = c.c_custkey
+    phone = F.when(ck % 10 < 3, F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("+62"), (F.lit(8000000000) + ck).cast("string")))
+    cust = to_json(F.concat(F.lit("CUST-"), (F.lit(1000) + ck).cast("string")).alias("customer_id"),
+                   F.concat(F.lit("Customer "), ck.cast("string")).alias("name"),
+                   F.concat(F.lit("user"), ck.cast("string"), F.lit("@example.com")).alias("email"),
+                   phone.alias("phone"), _pick(SEGMENTS, ck).alias("segment"),
+                   F.lit("2024-01-01T00:00:00+00:00").alias("created_at"))
+    return (frame(o, "demo.orders", k, orders_v)
+            .unionByName(frame(o, "demo.payments", k, pay))
+            .unionByName(frame(c, "demo.customers", ck, cust)))
+
+
 # Fixed value: the region part of the data-lake endpoint used in ``locations``.
 DLS_REGION = "ap-southeast-5"
 
@@ -296,6 +349,7 @@ FRAMES = {
     "faulty": faulty,
     "dated": dated,
     "typed_kinds": typed_kinds,
+    "demo_producer": demo_producer,
     "internal": internal,
     "collide": collide,
 }
