@@ -27,6 +27,9 @@ UNION ALL SELECT 'cdc.customers', count(*), min(c_custkey), max(c_custkey) FROM
 UNION ALL SELECT 'faulty', count(*), min(o_orderkey), max(o_orderkey) FROM orders
 UNION ALL SELECT 'dated', count(*), min(event_id), max(event_id) FROM events
 UNION ALL SELECT 'typed', count(*), min(p_partkey), max(p_partkey) FROM part
+UNION ALL SELECT 'demo.orders', count(*), min(o_orderkey), max(o_orderkey) FROM orders
+UNION ALL SELECT 'demo.payments', count(*), min(o_orderkey), max(o_orderkey) FROM orders
+UNION ALL SELECT 'demo.customers', count(*), min(c_custkey), max(c_custkey) FROM customer
 UNION ALL SELECT '__offsets', count(*), CAST(min(r_regionkey) AS BIGINT), CAST(max(r_regionkey) AS BIGINT) FROM region
 UNION ALL SELECT 'a.b', count(*), CAST(min(n_nationkey) AS BIGINT), CAST(max(n_nationkey) AS BIGINT) FROM nation WHERE n_nationkey % 2 = 0
 UNION ALL SELECT 'a-b', count(*), CAST(min(n_nationkey) AS BIGINT), CAST(max(n_nationkey) AS BIGINT) FROM nation WHERE n_nationkey % 2 = 1
