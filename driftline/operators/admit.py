@@ -76,4 +76,5 @@ def body_text(admitted: DataFrame | None = None) -> Column:
     """Text of the row object in document order: the whole value, or the raw
     text of ``payload`` for an envelope.  Used where key order or raw number
     text matters (inference); the VARIANT body serves everything else."""
-    return F.when(F.col("envelope"), F.get_json_object(F.col("text"), "$.payload")).otherwise(F.col("text"))
+    payload = F.from_json(F.col("text"), "struct<payload: string>").getField("payload")  # last one wins
+    return F.when(F.col("envelope"), payload).otherwise(F.col("text"))

@@ -300,24 +300,24 @@ STREAM_CUTS = [300, 1000]
 
 
 def _stream_run(spark, sf):
-    """Record files cut in key order; two files, stop, a third, restart."""
+    """Record files cut in key order; after each cut the ingest query is
+    (re)started on the same checkpoint and drains what is new, so every cut
+    is one micro-batch and the run restarts twice."""
     _prep(spark)
     base = shared_dir(spark, "stream", unique=True)
     src, ckpt = f"{base}/records", f"{base}/checkpoint"
     recs = fx.orders(spark, sf)
     bounds = [0, *STREAM_CUTS, None]
     store = _store(spark, "stream")
-    cfg = IngestConfig(table_write_threads=1)
-    for part in range(3):
+    for part in range(len(bounds) - 1):
         lo, hi = bounds[part], bounds[part + 1]
         cond = F.col("offset") >= lo
         if hi is not None:
             cond = cond & (F.col("offset") < hi)
-        recs.filter(cond).coalesce(1).write.mode("append").parquet(src)
-        if part == 1 or part == 2:
-            q = start_ingest(read_record_stream(spark, src, DEFAULT_PATTERN, max_files_per_trigger=1),
-                             store, ckpt, cfg, query_name=None, available_now=True)
-            q.awaitTermination()
+        recs.filter(cond).write.mode("append").parquet(src)
+        q = start_ingest(read_record_stream(spark, src, DEFAULT_PATTERN), store, ckpt,
+                         IngestConfig(), query_name=None, available_now=True)
+        q.awaitTermination()
     return store
 
 

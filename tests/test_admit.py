@@ -45,3 +45,10 @@ def test_envelope_only_when_payload_is_object(spark, records):
 def test_table_routing(spark, records):
     rows = [("a.b-C", 0, 0, '{"x":1}')]
     assert admit(records(rows)).first().table == "a_b_C"
+
+
+def test_repeated_payload_last_wins(spark, records):
+    from driftline.plans.ingest import ingest
+    res = ingest(records([("t", 0, 0, '{"payload":{"a":1},"payload":{"b":2,"c":"x"}}')]))
+    assert [f.name for f in res.schemas["t"].fields] == ["b", "c"]
+    assert tuple(res.rows("t").first()) == (2, "x")
