@@ -167,16 +167,16 @@ def first_occurrences(admitted: DataFrame, known: dict[str, T.StructType],
     # partition crosses the shuffle, however hot a topic or key is.
     firsts = (rows.groupBy("table", "field", "topic", "partition", "reason")
               .agg(F.min("offset").alias("offset"), F.count(F.lit(1)).alias("records")))
-    found = (firsts.filter(F.col("field").isNotNull())
-             .groupBy("table", "field").agg(F.min(F.struct("offset", "topic", "partition")).alias("w"))
-             .select(F.lit("field").alias("kind"), "table", "field", "w.topic", "w.partition", "w.offset",
-                     F.lit(None).cast("string").alias("reason"), F.lit(None).cast("bigint").alias("records")))
-    census = (firsts.filter(F.col("field").isNull())
-              .groupBy("table", "topic", "reason").agg(F.sum("records").alias("records"))
-              .select(F.lit("census").alias("kind"), "table", F.lit(None).cast("string").alias("field"),
-                      "topic", F.lit(None).cast("int").alias("partition"),
-                      F.lit(None).cast("bigint").alias("offset"), "reason", "records"))
-    return found.unionByName(census)
+    # Second level, on the tiny first-level result, in one aggregation so the
+    # batch is scanned once: fields reduce to (table, field), the census to
+    # (table, topic, reason).
+    is_census = F.col("field").isNull()
+    out = (firsts.groupBy("table", "field", F.when(is_census, F.col("topic")).alias("t_key"), "reason")
+           .agg(F.min(F.struct("offset", "topic", "partition")).alias("w"), F.sum("records").alias("records")))
+    return out.select(
+        F.when(F.col("field").isNull(), F.lit("census")).otherwise(F.lit("field")).alias("kind"),
+        "table", "field", F.col("w.topic").alias("topic"), F.col("w.partition").alias("partition"),
+        F.col("w.offset").alias("offset"), "reason", "records")
 
 
 def quote(name: str) -> str:

@@ -27,7 +27,7 @@ from driftline.sources import fixtures as fx
 from driftline.sources.records import read_record_stream, slice_from_offsets, topic_filter
 from driftline.streaming.runner import STATS_TABLE, start_ingest
 
-DEFAULT_PATTERN = IngestConfig().topic_pattern
+DEFAULT_PATTERN = IngestConfig().topic_pattern      # "[^_].*"
 DATED_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("day", T.DateType()),
                              T.StructField("at", T.TimestampType())])
 

@@ -36,10 +36,18 @@ def topic_matches(pattern: str, topic: Column | None = None) -> Column:
     return topic.rlike(f"^(?:{pattern})$")
 
 
+# Fixed value: the default topic pattern (every topic not starting with `_`).
+DEFAULT_PATTERN = "[^_].*"
+
+
 def topic_filter(df: DataFrame, pattern: str) -> DataFrame:
-    """S1/S2 on an already-read frame.  Pushed into the Parquet scan as a
-    post-scan filter; Kafka applies the pattern at subscription instead."""
-    return df.filter(topic_matches(pattern))
+    """S1/S2 on an already-read frame (Kafka applies the pattern at
+    subscription instead).  A regex is not pushed into a Parquet scan, so
+    the default pattern also gets its pushable equivalent."""
+    cond = topic_matches(pattern)
+    if pattern == DEFAULT_PATTERN:
+        cond = (~F.col("topic").startswith("_")) & (F.col("topic") != "") & cond
+    return df.filter(cond)
 
 
 EARLIEST, LATEST = -2, -1
@@ -63,16 +71,21 @@ def slice_from_offsets(df: DataFrame, starting: str | dict) -> DataFrame:
         if mode == "committed":
             raise ValueError("'committed' resumes from a checkpoint; use the streaming runner")
         starting = json.loads(starting)
-    cond = None
+    # Plain AND/OR of comparisons, so a Parquet replay prunes row groups.
+    listed, keep = None, None
     for topic, parts in starting.items():
         for part, off in parts.items():
             off = int(off)
             here = (F.col("topic") == F.lit(topic)) & (F.col("partition") == F.lit(int(part)))
-            keep = F.lit(True) if off == EARLIEST else (F.lit(False) if off == LATEST else F.col("offset") >= F.lit(off))
-            cond = F.when(here, keep) if cond is None else cond.when(here, keep)
-    if cond is None:
+            listed = here if listed is None else listed | here
+            if off == LATEST:
+                continue
+            take = here if off == EARLIEST else here & (F.col("offset") >= F.lit(off))
+            keep = take if keep is None else keep | take
+    if listed is None:
         return df
-    return df.filter(cond.otherwise(F.lit(True)))
+    rest = ~listed
+    return df.filter(rest if keep is None else keep | rest)
 
 
 def read_records(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:

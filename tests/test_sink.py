@@ -47,3 +47,14 @@ def test_one_batch_many_tables(spark, records):
     assert counts == {"a": 2, "b_c": 1}
     assert store.read_limit("a", 1).count() == 1
     assert store.read("a").agg(F.sum("x")).first()[0] == 3
+
+
+def test_awkward_field_names(spark, records):
+    store = new_store(spark)
+    recs = records([("odd", 0, 0, '{"a.b":1,"c d":"x","e`f":true,"Id":1,"id":2,"n":{"p.q":1.5,"r s":[1]}}'),
+                    ("odd", 0, 1, '{"a.b":2,"g-h":"y"}')])
+    ingest_into(store, recs, "q-0")
+    assert [f.name for f in store.schema("odd").fields] == ["a.b", "c d", "e`f", "Id", "id", "n", "g-h"]
+    rows = sorted((tuple(r) for r in store.read("odd").collect()), key=lambda r: r[0])
+    assert rows[0][:5] == (1, "x", True, 1, 2) and rows[0][5] == (1.5, [1])
+    assert rows[1][0] == 2 and rows[1][6] == "y"
