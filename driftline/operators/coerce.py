@@ -110,7 +110,7 @@ def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
         out = F.when(null, typed_null).otherwise(val)
         return out, (~null) & out.isNull()
 
-    if isinstance(dtype, T.StructType):
+    if isinstance(dtype, T.StructType):            # C10: recursive, non-object -> null
         names = [f.name for f in dtype.fields]
         members = variant_fields(v, names) if names else None
         children, err = [], None
@@ -125,7 +125,7 @@ def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
         out = F.when(null, typed_null).otherwise(val)
         return out, (F.coalesce(obj & err, F.lit(False)) if err is not None else None)
 
-    if isinstance(dtype, T.ArrayType):
+    if isinstance(dtype, T.ArrayType):             # C11: per element; scalar -> []
         et = dtype.elementType
         items = F.try_variant_get(v, "$", "array<variant>")
         values = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))

@@ -70,7 +70,9 @@ class _Obj(dict):
 
 
 def value_type(value) -> T.DataType | None:
-    """Type of a parsed JSON value.  ``None`` = nothing to pin (an object
+    """Type of a parsed JSON value (I2-I5).  Objects become structs of
+    optional fields in key order (I3); arrays take the first element's type,
+    empty ones array<string> (I4).  ``None`` = nothing to pin (an object
     without fields, which Parquet cannot store)."""
     if value is None:
         return T.StringType()

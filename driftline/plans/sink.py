@@ -54,7 +54,9 @@ class TableStore:
         return self.spark.catalog.tableExists(self.name(table))
 
     def schema(self, table: str, fresh: bool = False) -> T.StructType | None:
-        """The table's columns in table order, without the hidden column."""
+        """The table's columns in table order, without the hidden column.
+        I9: a catalog error propagates and fails the batch (no re-inference
+        from scratch, which could reorder or retype columns)."""
         if not fresh and table in self._cache:
             return self._cache[table]
         if not self.exists(table):
@@ -90,7 +92,8 @@ class TableStore:
             self.schema(table, fresh=True)
 
     def append(self, table: str, rows: DataFrame, batch_tag: str, parallelism: int | None = None) -> None:
-        """K4/K7: append one batch's rows; a replay of the same tag replaces them."""
+        """K4/K7: append one batch's rows; a replay of the same tag replaces them.
+        K6: no data partitioning and no shuffle before the write."""
         schema = self.schema(table)
         out = rows.select(*[F.col(quote(f.name)).cast(f.dataType) for f in schema.fields],
                           F.lit(batch_tag).alias(BATCH_COL))
@@ -115,7 +118,7 @@ class TableStore:
 
 class IcebergTableStore(TableStore):
     """Same contract on an Iceberg catalog (needs the Iceberg runtime; not
-    available in this container).  Iceberg commits are atomic per table and
+    available in this container).  K9: writes go to the table's main branch.  Iceberg commits are atomic per table and
     evolve schemas natively; idempotence comes from the snapshot property
     carrying the batch tag."""
 
