@@ -56,7 +56,8 @@ EARLIEST, LATEST = -2, -1
 def slice_from_offsets(df: DataFrame, starting: str | dict) -> DataFrame:
     """S3 on a replayed frame.
 
-    ``starting`` is ``"earliest"``, ``"latest"`` or the Kafka source's JSON
+    ``starting`` is ``"earliest"``, ``"latest"`` (as is any other word,
+    compared case-insensitively) or the Kafka source's JSON
     form ``{"topic": {"partition": offset}}`` where -2 means earliest and -1
     latest.  Partitions not named start at earliest.  ``latest`` on a replay
     means: nothing that is already there.  (``committed`` has no meaning for a
@@ -66,10 +67,10 @@ def slice_from_offsets(df: DataFrame, starting: str | dict) -> DataFrame:
         mode = starting.strip().lower()
         if mode == "earliest":
             return df
-        if mode == "latest":
-            return df.filter(F.lit(False))
         if mode == "committed":
             raise ValueError("'committed' resumes from a checkpoint; use the streaming runner")
+        if not mode.startswith("{"):
+            return df.filter(F.lit(False))         # "latest", and any other word
         starting = json.loads(starting)
     # Plain AND/OR of comparisons, so a Parquet replay prunes row groups.
     listed, keep = None, None

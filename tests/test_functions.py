@@ -24,6 +24,8 @@ def test_start_offsets(spark, records):
     got = slice_from_offsets(recs, {"a": {"0": 3, "1": -2, "2": -1}}).collect()
     assert sorted((r.partition, r.offset) for r in got) == [(0, 3), (0, 4)] + [(1, o) for o in range(5)]
     assert slice_from_offsets(recs, "latest").count() == 0
+    assert slice_from_offsets(recs, "Whatever").count() == 0
+    assert slice_from_offsets(recs, "EARLIEST").count() == 15
     assert slice_from_offsets(recs, "earliest").count() == 15
 
 
