@@ -31,8 +31,8 @@ def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table
     """Record frame -> admitted frame.
 
     Output columns: topic, partition, offset, table, text,
-    first_byte, envelope, body (VARIANT of the row object), keys (its key
-    names in document order), dup_keys, disposition, reason.
+    first_byte, envelope, body (VARIANT of the row object), disposition,
+    reason.
     """
     decoded = records.select(
         "topic", "partition", "offset",
@@ -53,19 +53,9 @@ def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table
               .when(F.col("_doc").isNull(), F.lit("unparsable"))
               .when(~is_object(F.col("_doc")), F.lit("non_object"))
               .when(F.coalesce(deleted, F.lit(False)), F.lit("deleted")))
-    # Repeated keys in the row object: the fast typed parse in coercion keeps
-    # the last *convertible* value, the reference the last value; such rows
-    # take the exact path.
-    # The key list (document order) is kept: inference reads new names and
-    # positions from it without parsing again.
-    keyed = with_body.withColumn("reason", reason).withColumn(
-        "keys", F.when(F.col("reason").isNull(), F.json_object_keys(body_text())))
-    dup_keys = F.size(F.col("keys")) != F.size(F.array_distinct(F.col("keys")))
-    out = keyed.select(
+    out = with_body.withColumn("reason", reason).select(
         "topic", "partition", "offset", "table", "text", "first_byte", "envelope",
         F.when(F.col("reason").isNull(), F.col("body")).alias("body"),
-        "keys",
-        F.coalesce(F.when(F.col("reason").isNull(), dup_keys), F.lit(False)).alias("dup_keys"),
         F.when(F.col("reason").isNull(), F.lit(PENDING)).otherwise(F.lit(SKIPPED)).alias("disposition"),
         "reason",
     )

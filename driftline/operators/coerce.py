@@ -149,18 +149,62 @@ def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
     return out, (~null) & out.isNull()
 
 
-# Types that Spark's own typed JSON parser reads with the reference's result
-# whenever it succeeds: booleans only from true/false, integers only from
-# integer tokens, doubles from any number, text from scalars (numbers printed
-# as the JVM prints the parsed node).  Anything it cannot convert comes back
-# null and takes the exact VARIANT path instead.
-_FAST = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-         T.StringType, T.BinaryType)
+# Spark's own typed JSON reader gives the reference's value for these types
+# whenever it converts a record without any failure: booleans only from
+# true/false, integers only from integer tokens in range, doubles from any
+# number, text from scalars (numbers printed as the JVM prints the parsed
+# node), structs and arrays recursively; JSON null and absent are null; with
+# repeated keys the last one wins.  A failure anywhere in the record (a wrong
+# kind, a repeated key whose value does not convert, ...) is reported in the
+# corrupt-record column, and that record takes the exact VARIANT path.
+# FLOAT (parsed straight to float, not via double), TINYINT/SMALLINT (Jackson
+# accepts 0..255 for bytes), DATE, TIMESTAMP, DECIMAL and BINARY inside nested
+# types always take the exact path.
+_FAST_LEAVES = (T.BooleanType, T.IntegerType, T.LongType, T.DoubleType, T.StringType)
+BAD = "_dl_corrupt_record"
 JSON_READ_OPTS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
-                  "allowNumericLeadingZeros": "false", "allowUnquotedControlChars": "false"}
+                  "allowNumericLeadingZeros": "false", "allowUnquotedControlChars": "false",
+                  "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
 
 
-def _fast_parse_type(dtype: T.DataType) -> T.DataType:
+def is_fast(dtype: T.DataType, top: bool = True) -> bool:
+    if isinstance(dtype, _FAST_LEAVES) or (top and isinstance(dtype, T.BinaryType)):
+        return True
+    if isinstance(dtype, T.StructType):
+        return len(dtype.fields) > 0 and all(is_fast(f.dataType, False) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return is_fast(dtype.elementType, False)
+    return False
+
+
+def _has_text(dtype: T.DataType) -> bool:
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return True
+    if isinstance(dtype, T.StructType):
+        return any(_has_text(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _has_text(dtype.elementType)
+    return False
+
+
+def _text_ok(t: Column, dtype: T.DataType) -> Column | None:
+    """False where the typed reader put an object or array into a text
+    field (it gives the JSON text; the reference gives '')."""
+    if not _has_text(dtype):
+        return None
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(~(t.startswith("{") | t.startswith("[")), F.lit(True))
+    if isinstance(dtype, T.StructType):
+        out = None
+        for f in dtype.fields:
+            c = _text_ok(t.getField(f.name), f.dataType)
+            if c is not None:
+                out = c if out is None else out & c
+        return F.coalesce(out, F.lit(True))
+    return F.coalesce(F.forall(t, lambda e: _text_ok(e, dtype.elementType)), F.lit(True))
+
+
+def _parse_type(dtype: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(dtype, T.BinaryType) else dtype
 
 
@@ -169,33 +213,38 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     name; keys not in the schema are ignored.  Adds ``_dl_src`` (record
     coordinates) and ``_dl_error`` (first column that failed, or null).
 
-    Scalar columns are read by one typed ``from_json`` of the row text (the
-    common case: right kind, no repeated keys); a null or doubtful result
-    falls back, per field and lazily, to ``coerce_value`` on the parsed
-    VARIANT.  Nested, date/time and other columns always use ``coerce_value``.
+    Columns of the types above are read by one typed ``from_json`` of the row
+    text; a record whose read reports any failure (or a text field holding an
+    object/array) falls back, lazily, to ``coerce_value`` on the parsed
+    VARIANT.  Other columns always use ``coerce_value``.
     """
-    fast_fields = [f for f in schema.fields if fast and isinstance(f.dataType, _FAST)]
+    fast_fields = [f for f in schema.fields if fast and is_fast(f.dataType)]
     slow_fields = [f for f in schema.fields if f not in fast_fields]
     staged_cols = [F.struct("topic", "partition", "offset", *carry).alias(SRC)]
     if slow_fields:
         staged_cols.append(variant_fields(F.col("body"), [f.name for f in slow_fields]).alias("_dl_v"))
     if fast_fields:
-        tddl = "struct<" + ",".join(f"{quote(f.name)}: {ddl_type(_fast_parse_type(f.dataType))}"
-                                    for f in fast_fields) + ">"
-        plain = F.from_json(F.col("text"), tddl, JSON_READ_OPTS)
-        wrapped = F.from_json(F.col("text"), f"struct<payload: {tddl}>", JSON_READ_OPTS).getField("payload")
-        staged_cols += [F.when(F.col("envelope"), wrapped).otherwise(plain).alias("_dl_t"),
-                        F.col("dup_keys"), F.col("body")]
+        inner = ",".join(f"{quote(f.name)}: {ddl_type(_parse_type(f.dataType))}" for f in fast_fields)
+        plain = F.from_json(F.col("text"), f"struct<{inner},{BAD}: string>", JSON_READ_OPTS)
+        wrapped = F.from_json(F.col("text"), f"struct<payload: struct<{inner}>,{BAD}: string>", JSON_READ_OPTS)
+        # Each record is read once, by the reader that fits its shape.
+        staged_cols += [F.when(~F.col("envelope"), plain).alias("_dl_p"),
+                        F.when(F.col("envelope"), wrapped).alias("_dl_w"),
+                        F.col("envelope"), F.col("body")]
     staged = pending.select(*staged_cols)
+    env = F.col("envelope")
+    clean = F.when(env, F.col("_dl_w").getField(BAD)).otherwise(F.col("_dl_p").getField(BAD)).isNull()
     cols, errs = [], []
     for f in schema.fields:
         if f in fast_fields:
             exact = variant_fields(F.col("body"), [f.name]).getField(f.name)
             fallback, err = coerce_value(exact, f.dataType)
-            t = F.col("_dl_t").getField(f.name)
-            ok = ~F.col("dup_keys") & t.isNotNull()
-            if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-                ok = ok & ~(t.startswith("{") | t.startswith("["))
+            t = F.when(env, F.col("_dl_w").getField("payload").getField(f.name)).otherwise(
+                F.col("_dl_p").getField(f.name))
+            ok = clean
+            text_ok = _text_ok(t, f.dataType)
+            if text_ok is not None:
+                ok = ok & text_ok
             if isinstance(f.dataType, T.BinaryType):
                 t = F.encode(t, "UTF-8")
             val = F.when(ok, t).otherwise(fallback)

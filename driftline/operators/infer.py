@@ -139,7 +139,9 @@ def first_occurrences(admitted: DataFrame, known: dict[str, T.StructType],
     records where the field is a non-empty value (used to skip ``{}``); no
     census rows are produced then."""
     pending = F.col("reason").isNull()
-    keys = F.col("keys")          # key names of the row object, kept by admission
+    # Key set of the row object from the parsed VARIANT (no re-parse; order
+    # does not matter here, positions are read for the winners only).
+    keys = F.map_keys(F.try_variant_get(F.col("body"), "$", "map<string,variant>"))
     known_map = _known_names_map(known)
     if known_map is not None:
         known_here = F.coalesce(F.element_at(known_map, F.col("table")), F.array().cast("array<string>"))
@@ -204,7 +206,7 @@ def read_exemplars(spark: SparkSession, admitted: DataFrame, winners: list, max_
     raw = F.element_at(raw_map, F.col("field"))
     out = joined.select(
         "table", "field", "topic", "partition", "offset",
-        (F.array_position(F.col("keys"), F.col("field")) - 1).alias("pos"),
+        (F.array_position(F.json_object_keys(text), F.col("field")) - 1).alias("pos"),
         F.schema_of_variant(val).alias("kind"),
         raw.alias("raw"),
     ).withColumn("raw_len", F.length("raw")).withColumn(
