@@ -58,6 +58,11 @@ class IngestConfig:
     # Threads used to write the tables of one micro-batch concurrently
     # (pair with spark.scheduler.mode=FAIR on a shared cluster).
     table_write_threads: int = 8
+    # Parallelism of admission and coercion: a batch with fewer partitions
+    # (a few Kafka partitions, one small file) is spread round-robin over
+    # this many; None = the session's default parallelism, 0 = never.
+    # Large inputs already have more partitions and are left alone.
+    min_partitions: int | None = None
     # Upper bound of records per micro-batch from Kafka: sizes the persisted
     # batch to executor memory (+ disk).  None = no bound.
     max_offsets_per_trigger: int | None = None

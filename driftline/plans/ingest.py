@@ -96,6 +96,16 @@ class BatchResult:
         self.admitted.unpersist()
 
 
+def spread(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a thin batch over the cluster before the per-record work.
+    Round-robin, not by key, so a hot topic cannot concentrate; a no-op when
+    the input already has enough partitions."""
+    target = records.sparkSession.sparkContext.defaultParallelism if min_partitions is None else min_partitions
+    if target and records.rdd.getNumPartitions() < target:
+        return records.repartition(target)
+    return records
+
+
 def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
            cfg: IngestConfig | None = None,
            route: Callable[[Column], Column] = topic_to_table,
@@ -108,6 +118,7 @@ def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
     in the batch instead.
     """
     cfg = cfg or IngestConfig()
+    records = spread(records, cfg.min_partitions)
     admitted = admit(records, route)
     if persist:
         admitted = admitted.persist(StorageLevel.MEMORY_AND_DISK)
