@@ -58,10 +58,18 @@ class IngestConfig:
     # Threads used to write the tables of one micro-batch concurrently
     # (pair with spark.scheduler.mode=FAIR on a shared cluster).
     table_write_threads: int = 8
-    # Parallelism of admission and coercion: a batch with fewer partitions
-    # (a few Kafka partitions, one small file) is spread round-robin over
-    # this many; None = the session's default parallelism, 0 = never.
-    # Large inputs already have more partitions and are left alone.
+    # Fan-out of a batch to its tables.  Up to this many tables, each table
+    # is a filter over the persisted batch (one task per batch partition and
+    # table).  Beyond it the pending records are shuffled once by (table,
+    # salt) and staged partitioned by table in the shared checkpoint folder,
+    # so each table's job has tasks in proportion to its own records: one
+    # salt bucket per rows_per_write_task records (a hot table keeps its
+    # parallelism, T x M tiny tasks become ~records/rows_per_write_task).
+    fanout_cached_tables: int = 4
+    rows_per_write_task: int = 500_000
+    # Parallelism floor for a batch: Kafka reads split offset ranges into at
+    # least this many tasks (minPartitions); other inputs with fewer
+    # partitions are spread round-robin.  None = leave the input as it is.
     min_partitions: int | None = None
     # Upper bound of records per micro-batch from Kafka: sizes the persisted
     # batch to executor memory (+ disk).  None = no bound.

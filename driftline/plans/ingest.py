@@ -35,6 +35,9 @@ class BatchResult:
     census: list = field(default_factory=list)
     # {table: (records, convert errors)} once written by the sink
     written: dict = field(default_factory=dict)
+    # Per-table pending records when the batch was fanned out through a
+    # staging folder (``stage_by_table``); else a filter of ``admitted``.
+    sources: dict = field(default_factory=dict)
 
     @property
     def pending(self) -> DataFrame:
@@ -48,11 +51,31 @@ class BatchResult:
         known = {f.name for f in (self.known.get(table) or T.StructType()).fields}
         return [f for f in self.schemas[table].fields if f.name not in known]
 
+    def records_of(self, table: str) -> int:
+        return sum(n for t, _, reason, n in self.census if t == table and reason is None)
+
     def coerced(self, table: str, carry: tuple = ()) -> DataFrame:
         """Typed rows of one table, with record coordinates and error column."""
-        rows = self.pending.filter(F.col("table") == F.lit(table))
+        rows = self.sources.get(table)
+        if rows is None:
+            rows = self.pending.filter(F.col("table") == F.lit(table))
         return coerce_rows(rows, self.schemas[table], carry)
 
+    def stage_by_table(self, path: str, rows_per_task: int) -> None:
+        """Shuffle the pending records once by (table, salt) and write them
+        partitioned by table under ``path``; afterwards each table reads only
+        its own folder.  Salt buckets per table = records / rows_per_task, so
+        a table holding a third of the batch is still spread widely."""
+        buckets = {t: max(1, -(-self.records_of(t) // rows_per_task)) for t in self.tables}
+        kmap = F.create_map(*[x for t, k in buckets.items() for x in (F.lit(t), F.lit(k))])
+        salt = F.pmod(F.xxhash64("topic", "partition", "offset"), F.element_at(kmap, F.col("table")))
+        cols = ["table", "topic", "partition", "offset", "text", "first_byte", "envelope", "body"]
+        staged = (self.pending.filter(F.col("table").isin(*self.tables)).select(*cols)
+                  .repartition(sum(buckets.values()), F.col("table"), salt))
+        staged.write.mode("overwrite").partitionBy("table").parquet(path)
+        base = self.admitted.sparkSession.read.parquet(path)
+        self.sources = {t: base.filter(F.col("table") == F.lit(t)) for t in self.tables}
+
     def rows(self, table: str) -> DataFrame:
         """The rows that land in ``table``: emitted records, schema order."""
         names = [f.name for f in self.schemas[table].fields]
@@ -97,12 +120,12 @@ class BatchResult:
 
 
 def spread(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a thin batch over the cluster before the per-record work.
-    Round-robin, not by key, so a hot topic cannot concentrate; a no-op when
-    the input already has enough partitions."""
-    target = records.sparkSession.sparkContext.defaultParallelism if min_partitions is None else min_partitions
-    if target and records.rdd.getNumPartitions() < target:
-        return records.repartition(target)
+    """Round-robin a thin batch over ``min_partitions`` tasks before the
+    per-record work (opt-in).  Round-robin, not by key, so a hot topic cannot
+    concentrate.  For Kafka prefer the source's own ``minPartitions``, which
+    splits offset ranges without a shuffle."""
+    if min_partitions and records.rdd.getNumPartitions() < min_partitions:
+        return records.repartition(min_partitions)
     return records
 
 

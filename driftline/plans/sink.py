@@ -26,6 +26,7 @@ from driftline.config import IngestConfig
 from driftline.operators.coerce import ERR, ddl_type
 from driftline.operators.infer import quote
 from driftline.plans.ingest import BatchResult, ingest
+from driftline.session import shared_dir
 
 BATCH_COL = "_ingest_batch"
 
@@ -98,7 +99,7 @@ class TableStore:
         out = rows.select(*[F.col(quote(f.name)).cast(f.dataType) for f in schema.fields],
                           F.lit(batch_tag).alias(BATCH_COL))
         if parallelism:
-            out = out.coalesce(parallelism)        # K5, only when asked for
+            out = out.coalesce(parallelism)        # narrow: merges partitions, no shuffle (K5/K6)
         out.write.insertInto(self.name(table), overwrite=True)
 
     # -- read-back -----------------------------------------------------------
@@ -162,6 +163,11 @@ def write_result(store: TableStore, result: BatchResult, batch_tag: str,
         elif result.new_fields(table):
             store.add_columns(table, result.new_fields(table))
 
+    stage = None
+    if len(result.tables) > cfg.fanout_cached_tables:
+        stage = shared_dir(store.spark, "stage", unique=True)
+        result.stage_by_table(stage, cfg.rows_per_write_task)
+
     def one(table):
         obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
         coerced = result.coerced(table).observe(
@@ -172,11 +178,21 @@ def write_result(store: TableStore, result: BatchResult, batch_tag: str,
         m = obs.get
         return table, (int(m.get("records", 0)), int(m.get("errors", 0)))
 
-    threads = max(1, min(cfg.table_write_threads, len(result.tables)))
-    if threads == 1:
-        return dict(one(t) for t in result.tables)
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(pool.map(one, result.tables))
+    try:
+        threads = max(1, min(cfg.table_write_threads, len(result.tables)))
+        if threads == 1:
+            return dict(one(t) for t in result.tables)
+        with ThreadPoolExecutor(threads) as pool:
+            return dict(pool.map(one, result.tables))
+    finally:
+        if stage is not None:
+            remove_path(store.spark, stage)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder through the Hadoop file system of its URI."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def batch_counts(result: BatchResult, written: dict[str, tuple[int, int]]) -> dict[str, int]:

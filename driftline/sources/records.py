@@ -118,6 +118,8 @@ def kafka_records(spark: SparkSession, cfg, stream: bool = True) -> DataFrame:
               .option("subscribePattern", f"^(?:{cfg.topic_pattern})$")
               .option("kafka.group.id", cfg.group_id)
               .option("includeHeaders", "false"))
+    if getattr(cfg, "min_partitions", None):
+        reader = reader.option("minPartitions", str(cfg.min_partitions))
     if stream and getattr(cfg, "max_offsets_per_trigger", None):
         reader = reader.option("maxOffsetsPerTrigger", str(cfg.max_offsets_per_trigger))
     if mode in ("earliest", "latest"):

@@ -58,3 +58,18 @@ def test_awkward_field_names(spark, records):
     rows = sorted((tuple(r) for r in store.read("odd").collect()), key=lambda r: r[0])
     assert rows[0][:5] == (1, "x", True, 1, 2) and rows[0][5] == (1.5, [1])
     assert rows[1][0] == 2 and rows[1][6] == "y"
+
+
+def test_staged_fanout_matches_cached(spark, records):
+    from driftline.config import IngestConfig
+    rows = [(f"t{i % 5}", i % 3, i, f'{{"id":{i},"v":"x{i}","w":{i * 0.5}}}') for i in range(200)]
+    rows += [("t0", 0, 1000, '{"id":"bad","v":1}')]
+    out = {}
+    for mode, fan in (("staged", 0), ("cached", 99)):
+        store = new_store(spark)
+        res = ingest_into(store, records(rows), "q-0", IngestConfig(fanout_cached_tables=fan, rows_per_write_task=7))
+        out[mode] = {t: sorted(tuple(r) for r in store.read(t).collect()) for t in [f"t{i}" for i in range(5)]}
+        assert res.written["t0"] == (41, 0)
+        assert len(store.list_tables().collect()) == 5
+    assert out["staged"] == out["cached"]
+    assert len(out["staged"]["t0"]) == 41
