@@ -25,6 +25,7 @@ ENV_DEFAULTS = {
     "WRITE_PARALLELISM": "",
     "CHECKPOINT_INTERVAL_MS": "30000",
     "MAX_OFFSETS_PER_TRIGGER": "",
+    "MIN_PARTITIONS": "",
 }
 
 
@@ -91,6 +92,7 @@ class IngestConfig:
             write_parallelism=int(parallelism) if parallelism and parallelism.strip() else None,
             checkpoint_interval_ms=int(_env(environ, "CHECKPOINT_INTERVAL_MS")),
             max_offsets_per_trigger=int(_env(environ, "MAX_OFFSETS_PER_TRIGGER") or 0) or None,
+            min_partitions=int(_env(environ, "MIN_PARTITIONS") or 0) or None,
         )
         return replace(cfg, **overrides) if overrides else cfg
 
