@@ -21,3 +21,15 @@ def test_stream_with_restart_equals_batch(spark, records):
     assert rows == [(str(i), i, None if i < 3 or i > 5 else f"n{i}") for i in [0, 1, 2, 3, 4, 5, 7]]
     stats = sorted(tuple(r) for r in store.read(STATS_TABLE).collect())
     assert stats == [(0, 3, 3, 0, 0), (1, 3, 3, 0, 0), (2, 2, 1, 1, 0)]
+
+
+def test_batch_tags_carry_the_query_id(spark, records):
+    import re
+    base = shared_dir(spark, "stream-tag", unique=True)
+    src, ckpt = f"{base}/in", f"{base}/ckpt"
+    store = TableStore(spark, "tag_" + base.rsplit("-", 1)[-1], f"{base}/wh")
+    records([("x", 0, 0, '{"a":1}')]).write.parquet(src)
+    start_ingest(read_record_stream(spark, src), store, ckpt, query_name=None,
+                 available_now=True).awaitTermination()
+    tags = {r[0] for r in spark.table(store.name("x")).select("_ingest_batch").collect()}
+    assert len(tags) == 1 and re.fullmatch(r"[0-9a-f-]{36}-0", tags.pop())
