@@ -196,6 +196,10 @@ def read_exemplars(spark: SparkSession, admitted: DataFrame, winners: list, max_
         [(w["table"], w["field"], w["topic"], int(w["partition"]), int(w["offset"])) for w in winners],
         "w_table string, field string, w_topic string, w_partition int, w_offset bigint")
     # Size is known on the driver (at most max_new_fields rows): broadcast.
+    # The offset list first lets the columnar cache skip whole cached batches
+    # by their offset statistics (offsets are contiguous per partition).
+    offsets = sorted({int(w["offset"]) for w in winners})
+    admitted = admitted.filter(F.col("offset").isin(offsets))
     joined = admitted.join(
         F.broadcast(small),
         (admitted["topic"] == small["w_topic"]) & (admitted["partition"] == small["w_partition"])

@@ -38,6 +38,8 @@ def first_by_order(df: DataFrame, group: list[str], order: list[str], max_groups
     if len(winners) > max_groups:
         raise RuntimeError(f"more than {max_groups} groups; raise max_groups")
     small = df.sparkSession.createDataFrame(winners, best.schema)
+    if first == "offset":                 # lets a columnar cache skip batches by statistics
+        df = df.filter(F.col("offset").isin(sorted({int(w["offset"]) for w in winners})))
     return df.join(F.broadcast(small), on=[*group, *order], how="left_semi")
 
 
