@@ -222,7 +222,7 @@ def multi_table_sink_counts(spark, sf):
     store = _sink_all(_prep(spark), sf, "multi")
     parts = [store.read(t).groupBy().agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(t).alias("table_name"), "rows")
-             for t in sorted(r.table for r in store.list_tables().collect())]
+             for t in store.table_names()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -72,7 +72,7 @@ class TableStore:
     def schemas(self, tables: list[str] | None = None) -> dict[str, T.StructType]:
         """Schemas of ``tables`` (default: every table of the namespace)."""
         if tables is None:
-            tables = [t.name for t in self.spark.catalog.listTables(self.namespace)]
+            tables = self.table_names()
         return {t: s for t in tables if (s := self.schema(t)) is not None}
 
     def create(self, table: str, schema: T.StructType) -> None:
@@ -111,9 +111,14 @@ class TableStore:
         """A few rows for inspection."""
         return self.read(table).limit(n)
 
+    def table_names(self) -> list[str]:
+        """Persistent tables of the namespace (the catalog also lists the
+        session's temporary views; they are not ours)."""
+        return sorted(t.name for t in self.spark.catalog.listTables(self.namespace) if not t.isTemporary)
+
     def list_tables(self) -> DataFrame:
         """The tables of the namespace."""
-        rows = [(self.namespace, t.name) for t in self.spark.catalog.listTables(self.namespace)]
+        rows = [(self.namespace, t) for t in self.table_names()]
         return self.spark.createDataFrame(rows, "namespace string, table string")
 
 

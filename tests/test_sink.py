@@ -73,3 +73,11 @@ def test_staged_fanout_matches_cached(spark, records):
         assert len(store.list_tables().collect()) == 5
     assert out["staged"] == out["cached"]
     assert len(out["staged"]["t0"]) == 41
+
+
+def test_temp_views_are_not_listed(spark, records):
+    store = new_store(spark)
+    spark.range(3).createOrReplaceTempView("region")
+    ingest_into(store, records([("only", 0, 0, '{"a":1}')]), "q-0")
+    assert store.table_names() == ["only"]
+    assert [r.table for r in store.list_tables().collect()] == ["only"]
