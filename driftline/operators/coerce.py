@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.json import (
-    is_array, is_json_null, is_number_kind, is_object, jvm_number_text,
+    is_json_null, is_number_kind, is_object, jvm_number_text,
 )
 from driftline.operators.infer import quote
 
