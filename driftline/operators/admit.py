@@ -48,9 +48,10 @@ def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table
     body = F.when(F.col("envelope"), F.col("_payload")).otherwise(F.col("_doc"))
     with_body = with_body.withColumn("body", body)
     deleted = F.try_variant_get(F.col("body"), "$.__deleted", "string") == F.lit("true")
+    # Blank text also fails to parse; the whitespace test runs only then.
     reason = (F.when(F.col("_empty"), F.lit("empty"))
-              .when(blank_text(F.col("text")), F.lit("non_object"))
-              .when(F.col("_doc").isNull(), F.lit("unparsable"))
+              .when(F.col("_doc").isNull(),
+                    F.when(blank_text(F.col("text")), F.lit("non_object")).otherwise(F.lit("unparsable")))
               .when(~is_object(F.col("_doc")), F.lit("non_object"))
               .when(F.coalesce(deleted, F.lit(False)), F.lit("deleted")))
     out = with_body.withColumn("reason", reason).select(
