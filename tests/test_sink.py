@@ -81,3 +81,13 @@ def test_temp_views_are_not_listed(spark, records):
     ingest_into(store, records([("only", 0, 0, '{"a":1}')]), "q-0")
     assert store.table_names() == ["only"]
     assert [r.table for r in store.list_tables().collect()] == ["only"]
+
+
+def test_later_batch_never_retypes(spark, records):
+    store = new_store(spark)
+    ingest_into(store, records([("t", 0, 0, '{"x":"a","n":null}')]), "q-0")
+    ingest_into(store, records([("t", 0, 1, '{"x":5,"n":2.5,"m":true}')]), "q-1")
+    assert [(f.name, f.dataType.simpleString()) for f in store.schema("t").fields] == [
+        ("x", "string"), ("n", "string"), ("m", "boolean")]
+    rows = sorted(tuple(r) for r in store.read("t").collect())
+    assert rows == [("5", "2.5", True), ("a", None, None)]
