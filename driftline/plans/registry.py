@@ -71,7 +71,8 @@ def outcomes(result: BatchResult, table: str, cols: list[str]) -> DataFrame:
 
 def topic_pattern_scan(spark, sf):
     """Subscribe by pattern; the internal topic is left out."""
-    recs = topic_filter(fx.all_records(_prep(spark), sf), DEFAULT_PATTERN)
+    with fx.unspread():                     # counted, not parsed
+        recs = topic_filter(fx.all_records(_prep(spark), sf), DEFAULT_PATTERN)
     return recs.groupBy("topic").agg(F.count(F.lit(1)).alias("records"),
                                      F.min("offset").alias("min_offset"),
                                      F.max("offset").alias("max_offset"))
@@ -82,7 +83,8 @@ START_SPEC = {"orders": {"0": 3000, "1": -2, "2": -1}, "customers": {"0": -1, "1
 
 def start_offset_slice(spark, sf):
     """S3: per-partition starting offsets (-2 earliest, -1 latest)."""
-    recs = fx.all_records(_prep(spark), sf, ["orders", "customers"])
+    with fx.unspread():
+        recs = fx.all_records(_prep(spark), sf, ["orders", "customers"])
     sliced = slice_from_offsets(recs, START_SPEC)
     return sliced.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("records"),
                                                     F.min("offset").alias("min_offset"))
@@ -201,7 +203,8 @@ def coerce_existing_types(spark, sf):
 # -- routing and sink --------------------------------------------------------
 
 def route_topics_to_tables(spark, sf):
-    recs = fx.all_records(_prep(spark), sf)
+    with fx.unspread():
+        recs = fx.all_records(_prep(spark), sf)
     return recs.groupBy("topic").agg(F.count(F.lit(1)).alias("records")).select(
         "topic", topic_to_table(F.col("topic")).alias("table_name"), "records")
 
@@ -357,7 +360,8 @@ def first_record_samples(spark, sf):
 
 
 def normalize_locations(spark, sf):
-    loc = fx.locations(_prep(spark), sf)
+    with fx.unspread():
+        loc = fx.locations(_prep(spark), sf)
     return loc.select("page_id", "location", normalize_location("location").alias("normalized"))
 
 

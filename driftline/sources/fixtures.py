@@ -11,6 +11,9 @@ record pins types wherever it carries a field.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +22,28 @@ from driftline.sources.records import record_frame
 JSON_OPTS = {"ignoreNullFields": "false"}
 
 
+# Whether source tables are spread over the session's parallelism (see
+# ``table``); switched off for frames that are only counted, not parsed.
+_SPREAD: ContextVar[bool] = ContextVar("driftline_fixture_spread", default=True)
+
+
+@contextmanager
+def unspread():
+    token = _SPREAD.set(False)
+    try:
+        yield
+    finally:
+        _SPREAD.reset(token)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A source table, spread over the session's parallelism when the file
     reads as fewer partitions (the test tables are single row groups): the
-    derived frames then behave like topics with that many partitions."""
+    derived frames then behave like topics with that many partitions, and
+    parsing them uses every core."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if _SPREAD.get() and df.rdd.getNumPartitions() < target:
         df = df.repartition(target)
     return df
 
