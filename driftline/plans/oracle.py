@@ -205,10 +205,10 @@ FROM events""",
 SELECT p_partkey AS "offset",
        CASE WHEN p_partkey % 4 = 2 THEN 'error' ELSE 'emitted' END AS disposition,
        CAST(CASE p_partkey % 4 WHEN 0 THEN p_size WHEN 1 THEN 1 END AS INTEGER) AS i,
-       CAST(CASE p_partkey % 4 WHEN 0 THEN p_retailprice WHEN 1 THEN 0 END AS FLOAT) AS f,
+       CAST(CAST(CASE p_partkey % 4 WHEN 0 THEN p_retailprice WHEN 1 THEN 0 END AS FLOAT) AS DOUBLE) AS f,
        CASE p_partkey % 4 WHEN 0 THEN hex(p_brand) WHEN 1 THEN '37' END AS bin_hex,
-       CAST(CASE p_partkey % 4 WHEN 0 THEN CAST(p_retailprice AS DECIMAL(10, 2)) WHEN 1 THEN 12.5 END
-            AS DECIMAL(10, 2)) AS dec,
+       CAST(CAST(CASE p_partkey % 4 WHEN 0 THEN CAST(p_retailprice AS DECIMAL(10, 2)) WHEN 1 THEN 12.5 END
+            AS DECIMAL(10, 2)) AS VARCHAR) AS dec_text,
        CASE WHEN p_partkey % 4 = 0 THEN p_type END AS note
 FROM part""",
 

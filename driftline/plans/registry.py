@@ -197,7 +197,8 @@ def coerce_existing_types(spark, sf):
     already exists (inference never creates them)."""
     res = _ingest(spark, sf, ["typed_kinds"], known={"typed": TYPED_SCHEMA})
     out = outcomes(res, "typed", ["i", "f", "bin", "dec", "note"])
-    return out.select("offset", "disposition", "i", "f", F.hex("bin").alias("bin_hex"), "dec", "note")
+    return out.select("offset", "disposition", "i", F.col("f").cast("double").alias("f"),
+                      F.hex("bin").alias("bin_hex"), F.col("dec").cast("string").alias("dec_text"), "note")
 
 
 # -- routing and sink --------------------------------------------------------
