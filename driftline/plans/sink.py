@@ -191,6 +191,7 @@ def write_result(store: TableStore, result: BatchResult, batch_tag: str,
             return dict(pool.map(one, result.tables))
     finally:
         if stage is not None:
+            result.sources = {}          # later reads go back to the persisted batch
             remove_path(store.spark, stage)
 
 

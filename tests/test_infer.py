@@ -82,3 +82,18 @@ def test_dispositions_add_up(spark, records):
     d = {r.offset: (r.disposition, r.reason) for r in res.dispositions().collect()}
     assert d == {0: ("emitted", None), 1: ("skipped", "empty"), 2: ("skipped", "non_object"),
                  3: ("skipped", "deleted")}
+
+
+def test_limits_raise_instead_of_cutting(spark, records):
+    import pytest
+
+    from driftline.config import IngestConfig
+    from driftline.operators.infer import InferenceLimitError
+    wide = "{" + ",".join(f'"f{i}":{i}' for i in range(30)) + "}"
+    with pytest.raises(InferenceLimitError):
+        ingest(records([("t", 0, 0, wide)]), cfg=IngestConfig(max_new_fields=10))
+    big = '{"doc":{"text":"' + "x" * 5000 + '"}}'
+    with pytest.raises(InferenceLimitError):
+        ingest(records([("t", 0, 0, big)]), cfg=IngestConfig(max_exemplar_bytes=1000))
+    res = ingest(records([("t", 0, 0, big)]), cfg=IngestConfig(max_exemplar_bytes=10_000))
+    assert res.rows("t").first()["doc"]["text"] == "x" * 5000
