@@ -44,9 +44,42 @@ class TableStore:
 
     # -- catalog -----------------------------------------------------------
     def ensure_namespace(self) -> None:
-        """K8: create the namespace if needed."""
+        """K8: create the namespace if needed; on first use in a process,
+        re-register tables already stored at its location (``attach``)."""
         loc = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(self.namespace)}{loc}")
+        if not getattr(self, "_attached", False):
+            self.attach()
+            self._attached = True
+
+    def attach(self) -> list[str]:
+        """Restart without a persistent catalog: every table folder under the
+        namespace location that the catalog does not know is registered
+        again.  Its schema is merged from the Parquet footers (later files
+        hold every earlier column, so table order is kept) and its batch
+        partitions are recovered.  With a persistent catalog this finds
+        nothing to do."""
+        if not self.location:
+            return []
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.location)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        known = set(self.table_names())
+        found = []
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if not st.isDirectory() or name.startswith(".") or name in known:
+                continue
+            if not any(c.getPath().getName().startswith(BATCH_COL + "=") for c in fs.listStatus(st.getPath())):
+                continue
+            path = st.getPath().toString()
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(name)} USING parquet "
+                           f"OPTIONS (mergeSchema 'true') LOCATION '{path}'")
+            self.spark.sql(f"ALTER TABLE {self.name(name)} RECOVER PARTITIONS")
+            found.append(name)
+        return found
 
     def name(self, table: str) -> str:
         return f"{quote(self.namespace)}.{quote(table)}"

@@ -91,3 +91,18 @@ def test_later_batch_never_retypes(spark, records):
         ("x", "string"), ("n", "string"), ("m", "boolean")]
     rows = sorted(tuple(r) for r in store.read("t").collect())
     assert rows == [("5", "2.5", True), ("a", None, None)]
+
+
+def test_restart_without_catalog_reattaches_tables(spark, records):
+    first = new_store(spark)
+    ingest_into(first, records([("r", 0, 0, '{"b":"x","a":1}')]), "q-0")
+    ingest_into(first, records([("r", 0, 1, '{"a":2,"c":1.5}')]), "q-1")
+    # a new process: same warehouse folder, a catalog that knows nothing of it
+    again = TableStore(spark, first.namespace + "_again", first.location)
+    again.ensure_namespace()
+    assert again.table_names() == ["r"]
+    assert [f.name for f in again.schema("r").fields] == ["b", "a", "c"]
+    ingest_into(again, records([("r", 0, 2, '{"a":3,"d":true}')]), "q-2")
+    ingest_into(again, records([("r", 0, 2, '{"a":3,"d":true}')]), "q-2")     # replay
+    rows = sorted((tuple(r) for r in again.read("r").collect()), key=lambda r: r[1])
+    assert rows == [("x", 1, None, None), (None, 2, 1.5, None), (None, 3, None, True)]

@@ -33,3 +33,18 @@ def test_batch_tags_carry_the_query_id(spark, records):
                  available_now=True).awaitTermination()
     tags = {r[0] for r in spark.table(store.name("x")).select("_ingest_batch").collect()}
     assert len(tags) == 1 and re.fullmatch(r"[0-9a-f-]{36}-0", tags.pop())
+
+
+def test_stream_restart_in_a_new_catalog(spark, records):
+    base = shared_dir(spark, "stream-reattach", unique=True)
+    src, ckpt, wh = f"{base}/in", f"{base}/ckpt", f"{base}/wh"
+    suffix = base.rsplit("-", 1)[-1]
+    records([("y", 0, 0, '{"a":1}')]).write.mode("append").parquet(src)
+    start_ingest(read_record_stream(spark, src), TableStore(spark, "ra_" + suffix, wh), ckpt,
+                 query_name=None, available_now=True).awaitTermination()
+    records([("y", 0, 1, '{"a":2,"b":"n"}')]).write.mode("append").parquet(src)
+    fresh = TableStore(spark, "rb_" + suffix, wh)          # the catalog of a new process
+    start_ingest(read_record_stream(spark, src), fresh, ckpt, query_name=None,
+                 available_now=True).awaitTermination()
+    assert sorted(tuple(r) for r in fresh.read("y").collect()) == [(1, None), (2, "n")]
+    assert [tuple(r)[:2] for r in fresh.read(STATS_TABLE).orderBy("batch_id").collect()] == [(0, 1), (1, 1)]
