@@ -240,6 +240,9 @@ FROM customer, unnest([1, 2, 3]) AS u(v)""",
     "read_limit": "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price FROM orders "
                   "ORDER BY CAST(o_orderkey AS VARCHAR) LIMIT 10",
 
+    "restart_reattach": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price, "
+                        f"{_DISCOUNT} AS discount_pct FROM orders",
+
     "restart_reload_schema": """
 SELECT position, field, type, (SELECT count(*) FROM orders) AS table_rows FROM (VALUES
  (0, 'status', 'string'), (1, 'id', 'string'), (2, 'note', 'string'), (3, 'customer_id', 'string'),

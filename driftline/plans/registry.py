@@ -285,6 +285,18 @@ def read_limit(spark, sf):
     return store.read("orders").orderBy("id").limit(10).select("id", "total_price")
 
 
+def restart_reattach(spark, sf):
+    """I8 across processes: batch 0 lands through one catalog entry, batch 1
+    through a store whose catalog never saw the table (a restarted job
+    without a metastore); the table is found again and widened."""
+    first = _store(_prep(spark), "reattach")
+    recs = fx.orders(spark, sf)
+    ingest_into(first, recs.filter("offset < 500"), "b0")
+    again = TableStore(spark, first.namespace + "_restarted", first.location)
+    ingest_into(again, recs.filter("offset >= 500"), "b1")
+    return again.read("orders").select("id", "total_price", "discount_pct")
+
+
 def restart_reload_schema(spark, sf):
     """A table that exists keeps its columns first, in its order;
     new fields follow in first-seen order."""
@@ -394,6 +406,7 @@ QUERIES = {
     "stream_equals_batch": stream_equals_batch,
     "stream_batch_stats": stream_batch_stats,
     "restart_reload_schema": restart_reload_schema,
+    "restart_reattach": restart_reattach,
     "ingest_counters": ingest_counters,
     "reject_frame": reject_report,
     "first_record_sample": first_record_samples,

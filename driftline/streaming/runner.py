@@ -35,6 +35,12 @@ def batch_tag_for(batch_df: DataFrame, batch_id: int, checkpoint: str | None = N
     return f"{qid}-{batch_id}"
 
 
+def _has_checkpoint(stream: DataFrame, checkpoint: str) -> bool:
+    spark = stream.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint.rstrip("/") + "/metadata")
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))
+
+
 def start_ingest(stream: DataFrame, store: TableStore, checkpoint: str,
                  cfg: IngestConfig | None = None, query_name: str | None = "driftline-sink",
                  available_now: bool = False, record_stats: bool = True) -> StreamingQuery:
@@ -42,6 +48,9 @@ def start_ingest(stream: DataFrame, store: TableStore, checkpoint: str,
     stops (replays, tests); otherwise a processing-time trigger at the
     configured commit interval."""
     cfg = cfg or IngestConfig()
+    if cfg.starting_offsets.strip().lower() == "committed" and not _has_checkpoint(stream, checkpoint):
+        raise ValueError("start position 'committed' needs an existing checkpoint to resume from "
+                         f"({checkpoint}); Spark keeps no consumer-group offsets")
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         tag = batch_tag_for(batch_df, batch_id, checkpoint)

@@ -48,3 +48,14 @@ def test_stream_restart_in_a_new_catalog(spark, records):
                  available_now=True).awaitTermination()
     assert sorted(tuple(r) for r in fresh.read("y").collect()) == [(1, None), (2, "n")]
     assert [tuple(r)[:2] for r in fresh.read(STATS_TABLE).orderBy("batch_id").collect()] == [(0, 1), (1, 1)]
+
+
+def test_committed_needs_a_checkpoint(spark, records):
+    import pytest
+
+    from driftline.config import IngestConfig
+    base = shared_dir(spark, "stream-committed", unique=True)
+    records([("z", 0, 0, '{"a":1}')]).write.parquet(f"{base}/in")
+    with pytest.raises(ValueError):
+        start_ingest(read_record_stream(spark, f"{base}/in"), TableStore(spark, "cm", f"{base}/wh"),
+                     f"{base}/ckpt", IngestConfig(starting_offsets="committed"), query_name=None)
