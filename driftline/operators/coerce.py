@@ -50,12 +50,15 @@ def variant_fields(v: Column, names: list[str]) -> Column:
     return F.try_variant_get(v, "$", ddl)
 
 
-def text_value(v: Column, kind: Column) -> Column:
-    """The JSON node's text.  Objects and arrays give ''."""
+def text_value(v: Column, kind: Column, raw: Column | None = None) -> Column:
+    """The JSON node's text.  Objects and arrays give ''.  Numbers print
+    as the JVM prints the parsed node: from ``raw`` (the token as the typed
+    reader prints it) when given, else rebuilt from the VARIANT."""
+    number = raw if raw is not None else jvm_number_text(v, kind)
     return (F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
             .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "string"))
             .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
-            .when(is_number_kind(kind), jvm_number_text(v, kind))
+            .when(is_number_kind(kind), number)
             .otherwise(F.try_variant_get(v, "$", "string")))
 
 
@@ -67,8 +70,13 @@ def _or(a: Column | None, b: Column | None) -> Column | None:
     return a | b
 
 
-def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
-    """(typed value, error flag or None when this type cannot fail)."""
+def coerce_value(v: Column, dtype: T.DataType, raw: Column | None = None) -> tuple[Column, Column | None]:
+    """(typed value, error flag or None when this type cannot fail).
+
+    ``raw`` optionally carries the value's JSON text as the typed reader
+    prints it (top-level fields): numbers in text columns then print exactly
+    like the JVM (``-0.0``), and an object in an array column gives its values
+    in document order."""
     null = is_json_null(v)
     kind = F.schema_of_variant(v)
     typed_null = F.lit(None).cast(dtype)
@@ -86,10 +94,10 @@ def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
         return F.when(null, typed_null).otherwise(val), None
 
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        return F.when(null, typed_null).otherwise(text_value(v, kind)), None
+        return F.when(null, typed_null).otherwise(text_value(v, kind, raw)), None
 
     if isinstance(dtype, T.BinaryType):
-        return F.when(null, typed_null).otherwise(F.encode(text_value(v, kind), "UTF-8")), None
+        return F.when(null, typed_null).otherwise(F.encode(text_value(v, kind, raw), "UTF-8")), None
 
     if isinstance(dtype, T.DateType):
         txt = text_value(v, kind)
@@ -128,7 +136,11 @@ def coerce_value(v: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
     if isinstance(dtype, T.ArrayType):             # C11: per element; scalar -> []
         et = dtype.elementType
         items = F.try_variant_get(v, "$", "array<variant>")
-        values = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
+        if raw is not None:
+            # document order, last of repeated keys at its first position
+            values = F.map_values(F.map_from_entries(F.map_entries(F.from_json(raw, "map<string,variant>"))))
+        else:
+            values = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
         elems = F.when(items.isNotNull(), items).when(is_object(v), values)
         conv = F.transform(elems, lambda e: coerce_value(e, et)[0])
         val = F.coalesce(conv, F.array().cast(dtype))
@@ -204,6 +216,15 @@ def _text_ok(t: Column, dtype: T.DataType) -> Column | None:
     return F.coalesce(F.forall(t, lambda e: _text_ok(e, dtype.elementType)), F.lit(True))
 
 
+def _raw_field(name: str) -> Column:
+    """The field's JSON text as the typed reader prints it (string parse:
+    never fails, last repeated key wins).  Used only inside fallbacks."""
+    ddl = f"struct<{quote(name)}: string>"
+    plain = F.from_json(F.col("text"), ddl, JSON_READ_OPTS).getField(name)
+    wrapped = F.from_json(F.col("text"), f"struct<payload: {ddl}>", JSON_READ_OPTS).getField("payload").getField(name)
+    return F.when(F.col("envelope"), wrapped).otherwise(plain)
+
+
 def _parse_type(dtype: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(dtype, T.BinaryType) else dtype
 
@@ -220,7 +241,7 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     """
     fast_fields = [f for f in schema.fields if fast and is_fast(f.dataType)]
     slow_fields = [f for f in schema.fields if f not in fast_fields]
-    staged_cols = [F.struct("topic", "partition", "offset", *carry).alias(SRC)]
+    staged_cols = [F.struct("topic", "partition", "offset", *carry).alias(SRC), "text", "envelope"]
     if slow_fields:
         staged_cols.append(variant_fields(F.col("body"), [f.name for f in slow_fields]).alias("_dl_v"))
     if fast_fields:
@@ -229,8 +250,7 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
         wrapped = F.from_json(F.col("text"), f"struct<payload: struct<{inner}>,{BAD}: string>", JSON_READ_OPTS)
         # Each record is read once, by the reader that fits its shape.
         staged_cols += [F.when(~F.col("envelope"), plain).alias("_dl_p"),
-                        F.when(F.col("envelope"), wrapped).alias("_dl_w"),
-                        F.col("envelope"), F.col("body")]
+                        F.when(F.col("envelope"), wrapped).alias("_dl_w"), F.col("body")]
     staged = pending.select(*staged_cols)
     env = F.col("envelope")
     clean = F.when(env, F.col("_dl_w").getField(BAD)).otherwise(F.col("_dl_p").getField(BAD)).isNull()
@@ -238,7 +258,10 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     for f in schema.fields:
         if f in fast_fields:
             exact = variant_fields(F.col("body"), [f.name]).getField(f.name)
-            fallback, err = coerce_value(exact, f.dataType)
+            raw = None
+            if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)):
+                raw = _raw_field(f.name)
+            fallback, err = coerce_value(exact, f.dataType, raw)
             t = F.when(env, F.col("_dl_w").getField("payload").getField(f.name)).otherwise(
                 F.col("_dl_p").getField(f.name))
             ok = clean
@@ -249,7 +272,8 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
                 t = F.encode(t, "UTF-8")
             val = F.when(ok, t).otherwise(fallback)
         else:
-            val, err = coerce_value(F.col("_dl_v").getField(f.name), f.dataType)
+            raw = _raw_field(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)) else None
+            val, err = coerce_value(F.col("_dl_v").getField(f.name), f.dataType, raw)
         cols.append(val.alias(f.name))
         if not f.nullable:
             err = _or(err, val.isNull())

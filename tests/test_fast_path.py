@@ -35,7 +35,8 @@ def rand_doc(rng):
     names = [f.name for f in SCHEMA.fields]
     parts = []
     for n in rng.sample(names, rng.randrange(len(names) + 1)):
-        parts.append(f'"{n}":{json.dumps(rand_value(rng))}')
+        top = -0.0 if rng.random() < 0.05 else rand_value(rng)      # -0.0 in top-level fields only
+        parts.append(f'"{n}":{json.dumps(top)}')
         if rng.random() < 0.1:                       # repeated key
             parts.append(f'"{n}":{json.dumps(rand_value(rng))}')
     body = "{" + ",".join(parts) + "}"
@@ -59,3 +60,15 @@ def test_fast_equals_exact(spark, records):
     assert len(fast) == len(docs)
     diffs = [(docs[k], fast[k], exact[k]) for k in fast if fast[k] != exact[k]]
     assert not diffs, diffs[:3]
+
+
+def test_exact_path_keeps_document_order_and_jvm_text(spark, records):
+    schema = T.StructType([T.StructField("al", T.ArrayType(T.LongType())), T.StructField("s", T.StringType()),
+                           T.StructField("n", T.LongType())])
+    docs = ['{"al":{"z":1,"a":2,"z":3},"s":-0.0,"n":"bad"}',                 # a failed conversion -> exact path
+            '{"schema":{},"payload":{"al":{"q":5,"b":6},"s":1.0E10,"n":true}}']
+    adm = admit(records([("t", 0, i, d) for i, d in enumerate(docs)]))
+    for fast in (True, False):
+        got = {r["_dl_src"]["offset"]: (r["al"], r["s"], r["n"])
+               for r in coerce_rows(adm, schema, fast=fast).collect()}
+        assert got == {0: ([3, 2], "-0.0", 0), 1: ([5, 6], "1.0E10", 0)}
