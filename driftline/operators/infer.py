@@ -126,8 +126,12 @@ def _known_names_map(known: dict[str, T.StructType]):
     return F.create_map(*entries) if entries else None
 
 
+KNOWN_LITERAL_MAX = 20_000
+
+
 def first_occurrences(admitted: DataFrame, known: dict[str, T.StructType],
-                      fields_filter: dict[str, list[str]] | None = None) -> DataFrame:
+                      fields_filter: dict[str, list[str]] | None = None,
+                      known_literal_max: int | None = None) -> DataFrame:
     """One small frame answering two questions in a single pass:
 
     * ``kind = 'field'``: (table, field) -> the first record (offset, topic,
@@ -142,7 +146,13 @@ def first_occurrences(admitted: DataFrame, known: dict[str, T.StructType],
     # Key set of the row object from the parsed VARIANT (no re-parse; order
     # does not matter here, positions are read for the winners only).
     keys = F.map_keys(F.try_variant_get(F.col("body"), "$", "map<string,variant>"))
-    known_map = _known_names_map(known)
+    n_known = sum(len(sch.fields) for sch in known.values() if sch is not None)
+    # Few known names: drop them per record against a folded literal map.
+    # Many (thousands of wide tables): aggregate every key and anti-join the
+    # small aggregated result with the known names instead.
+    limit = KNOWN_LITERAL_MAX if known_literal_max is None else known_literal_max
+    late_filter = n_known > limit
+    known_map = None if late_filter else _known_names_map(known)
     if known_map is not None:
         known_here = F.coalesce(F.element_at(known_map, F.col("table")), F.array().cast("array<string>"))
         new_keys = F.array_except(keys, known_here)
@@ -171,6 +181,11 @@ def first_occurrences(admitted: DataFrame, known: dict[str, T.StructType],
     # partition crosses the shuffle, however hot a topic or key is.
     firsts = (rows.groupBy("table", "field", "topic", "partition", "reason")
               .agg(F.min("offset").alias("offset"), F.count(F.lit(1)).alias("records")))
+    if late_filter:
+        names = [(t, f.name) for t, sch in known.items() if sch is not None for f in sch.fields]
+        known_df = admitted.sparkSession.createDataFrame(names, "table string, field string")
+        # size known on the driver (the catalog's columns): broadcast
+        firsts = firsts.join(F.broadcast(known_df), ["table", "field"], "left_anti")
     # Second level, on the tiny first-level result, in one aggregation so the
     # batch is scanned once: fields reduce to (table, field), the census to
     # (table, topic, reason).

@@ -97,3 +97,15 @@ def test_limits_raise_instead_of_cutting(spark, records):
         ingest(records([("t", 0, 0, big)]), cfg=IngestConfig(max_exemplar_bytes=1000))
     res = ingest(records([("t", 0, 0, big)]), cfg=IngestConfig(max_exemplar_bytes=10_000))
     assert res.rows("t").first()["doc"]["text"] == "x" * 5000
+
+
+def test_many_known_names_filtered_after_aggregation(spark, records, monkeypatch):
+    import driftline.operators.infer as inf
+    rows = [("t", 0, 0, '{"a":1,"b":"x"}'), ("t", 1, 0, '{"c":true,"a":2}'), ("u", 0, 3, '{"z":1.5}')]
+    known = {"t": T.StructType([T.StructField("a", T.LongType()), T.StructField("zz", T.StringType())])}
+    expect = ingest(records(rows), known=known)
+    monkeypatch.setattr(inf, "KNOWN_LITERAL_MAX", 0)          # force the anti-join path
+    got = ingest(records(rows), known=known)
+    assert got.schemas == expect.schemas
+    assert [f.name for f in got.schemas["t"].fields] == ["a", "zz", "b", "c"]
+    assert sorted(got.census) == sorted(expect.census)
