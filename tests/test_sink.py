@@ -106,3 +106,16 @@ def test_restart_without_catalog_reattaches_tables(spark, records):
     ingest_into(again, records([("r", 0, 2, '{"a":3,"d":true}')]), "q-2")     # replay
     rows = sorted((tuple(r) for r in again.read("r").collect()), key=lambda r: r[1])
     assert rows == [("x", 1, None, None), (None, 2, 1.5, None), (None, 3, None, True)]
+
+
+def test_not_null_column_rejects_missing_value(spark, records):
+    # Q13: a catalog that keeps NOT NULL (Hive, Iceberg) gives such a schema;
+    # Spark's own Parquet tables report every column nullable.
+    from pyspark.sql import types as T
+
+    from driftline.plans.ingest import ingest
+    known = {"nn": T.StructType([T.StructField("id", T.StringType(), False), T.StructField("v", T.LongType())])}
+    res = ingest(records([("nn", 0, 0, '{"id":"a","v":1}'), ("nn", 0, 1, '{"v":2}')]), known=known)
+    d = {r.offset: (r.disposition, r.detail) for r in res.dispositions().collect()}
+    assert d == {0: ("emitted", None), 1: ("error", "id")}
+    assert [tuple(r) for r in res.rows("nn").collect()] == [("a", 1)]
