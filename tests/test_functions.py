@@ -35,3 +35,20 @@ def test_config_from_env():
     assert cfg.topic_pattern == "[^_].*" and cfg.namespace == "lake"
     assert cfg.write_parallelism == 3 and cfg.trigger_interval == "1000 milliseconds"
     assert IngestConfig.from_env({}).starting_offsets == "earliest"
+
+
+def test_batch_sizing_settings_from_env():
+    cfg = IngestConfig.from_env({"MIN_PARTITIONS": "64", "MAX_OFFSETS_PER_TRIGGER": "1000000"})
+    assert cfg.min_partitions == 64 and cfg.max_offsets_per_trigger == 1_000_000
+    blank = IngestConfig.from_env({"MIN_PARTITIONS": " ", "MAX_OFFSETS_PER_TRIGGER": ""})
+    assert blank.min_partitions is None and blank.max_offsets_per_trigger is None
+
+
+def test_location_rule_needs_a_whole_match(spark):
+    df = spark.createDataFrame([("oss://bk.r.oss-dls.aliyuncs.com/p\n",), ("oss://bk.r.oss-dls.aliyuncs.com/",),
+                                ("oss://b.r.oss-dls.aliyuncs.com/p",), ("s3://bk.r.oss-dls.aliyuncs.com/p",)],
+                               "p string")
+    out = [r[0] for r in df.select(normalize_location("p")).collect()]
+    # a newline never matches; the bucket needs two or more characters
+    assert out == ["oss://bk.r.oss-dls.aliyuncs.com/p\n", "oss://bk/", "oss://b.r.oss-dls.aliyuncs.com/p",
+                   "s3://bk.r.oss-dls.aliyuncs.com/p"]
