@@ -11,7 +11,8 @@ they always converge) are grouped aggregations over (source, size) strata.
 Sums are taken in whole numbers, so neither the order of rows nor a repeated
 task changes a result.  Rates become copies by systematic rounding along each
 source's strata in order of size: the error never accumulates, a source's words
-miss the target by at most about one document.  Inside a stratum the extra
+miss the target by at most about one document, and a few rounds that move single
+copies of ever smaller documents settle the rest.  Inside a stratum the extra
 copies go to the documents with the smallest hash.
 
 DataFrame functions only.  A stratum (hot source, one very common size) is cut
@@ -38,6 +39,8 @@ PART_DOCS = 20_000
 #: Fixed-point unit of the summed rates.
 UNIT = 1_000_000
 MAX_STEPS = 60
+#: Rounds that settle what rounding left over.
+SETTLE_ROUNDS = 8
 
 
 def word_count(text: Column) -> Column:
@@ -131,6 +134,32 @@ def stratum_copies(strata: DataFrame, tilts: DataFrame, cap: int = CAP) -> DataF
     return s.select("source", "size", "n", (whole(F.col("upto")) - whole(F.col("upto") - F.col("share"))).alias("copies"))
 
 
+def settle(plan: DataFrame, cap: int = CAP, rounds: int = SETTLE_ROUNDS) -> DataFrame:
+    """Bring each source's words closer to its target after rounding.
+
+    ``plan (s, z, n, copies, source_size, target)``.  A round moves, in every
+    source, copies of its largest stratum that still fits into what is missing
+    (or too much).  What is left after a round is smaller than that stratum's
+    size, unless the stratum ran out of copies to move.
+    """
+    for _ in range(rounds):
+        want = plan.groupBy("s").agg((F.first("target") - F.sum(F.col("copies") * F.col("z"))).alias("want"))
+        want = want.select(F.col("s").alias("ws"), "want")
+        slack = F.when(F.col("want") > 0, F.col("n") * cap - F.col("copies")).otherwise(F.col("copies"))
+        open_ = (plan.filter("z > 0").join(want, F.col("s").eqNullSafe(F.col("ws")))
+                 .withColumn("slack", slack).filter((F.col("slack") > 0) & (F.col("z") <= F.abs("want"))))
+        move = F.least(F.floor(F.abs("want") / F.col("z")), F.col("slack")) * F.signum("want")
+        pick = open_.groupBy(F.col("s").alias("ps")).agg(F.max("z").alias("pz"))
+        moves = stored(open_.join(pick, F.col("s").eqNullSafe(F.col("ps")) & (F.col("z") == F.col("pz")))
+                       .select("ps", "pz", move.cast("long").alias("move")), "mix-moves")
+        if moves.isEmpty():
+            break
+        plan = stored(plan.join(moves, F.col("s").eqNullSafe(F.col("ps")) & (F.col("z") == F.col("pz")), "left")
+                      .withColumn("copies", F.col("copies") + F.coalesce("move", F.lit(0)))
+                      .drop("ps", "pz", "move"), "mix-plan")
+    return plan
+
+
 def mix_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: int = CAP,
              part_docs: int = PART_DOCS) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken, copies, source, text_key``."""
@@ -146,8 +175,8 @@ def mix_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: int
         F.col("s").eqNullSafe(F.col("s2")) & (F.col("z") == F.col("z2")), "left").drop("s2", "z2")
     plan = stored(plan.join(targets.select(F.col("source").alias("s3"), "source_size", "target"),
                             F.col("s").eqNullSafe(F.col("s3"))).drop("s3")
-                  .withColumn("copies", F.coalesce("copies", F.lit(0)))
-                  .withColumn("parts", F.ceil(F.col("n") / part_docs).cast("long")), "mix-plan")
+                  .withColumn("copies", F.coalesce("copies", F.lit(0).cast("long"))), "mix-plan")
+    plan = settle(plan, cap).withColumn("parts", F.ceil(F.col("n") / part_docs).cast("long"))
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
     placed = (rows.join(plan, same).drop("s", "z")
               .withColumn("order", F.xxhash64("doc_id", "text_key"))
