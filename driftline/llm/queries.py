@@ -8,6 +8,11 @@ from driftline.llm.common import load
 from driftline.llm.exact_dedup import exact_groups
 from driftline.llm.mixing import mix_rows
 from driftline.llm.sharding import SHARD_BYTES, shard_documents
+from driftline.llm.simhash import near_groups
+
+
+def op1_simhash_near_dedup(spark, sf):
+    return near_groups(load(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op4_sharding(spark, sf):
@@ -24,6 +29,7 @@ def op10_mixing(spark, sf):
 
 
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op4_sharding": op4_sharding,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_mixing": op10_mixing,
