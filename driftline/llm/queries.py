@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from driftline.llm.bitplanes import roundtrip
 from driftline.llm.common import load
 from driftline.llm.exact_dedup import exact_groups
 from driftline.llm.mixing import mix_rows
+from driftline.llm.packing import pack_documents
 from driftline.llm.sharding import SHARD_BYTES, shard_documents
 from driftline.llm.simhash import near_groups
 
@@ -15,10 +19,18 @@ def op1_simhash_near_dedup(spark, sf):
     return near_groups(load(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_best_fit_packing(spark, sf):
+    return pack_documents(load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_sharding(spark, sf):
     return shard_documents(load(spark, sf, "documents"))
 
 
+def op5_bit_plane_ids(spark, sf):
+    return roundtrip(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_exact_dedup(spark, sf):
     return exact_groups(load(spark, sf, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -30,7 +42,9 @@ def op10_mixing(spark, sf):
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_sharding": op4_sharding,
+    "op5_bit_plane_ids": op5_bit_plane_ids,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_mixing": op10_mixing,
 }
