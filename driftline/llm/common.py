@@ -3,6 +3,7 @@ columns, bounded training samples and connected components."""
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,8 +49,10 @@ def fold_of(doc_id: str, modulus: int):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int,
-                    per_class: int, max_chars: int) -> list[tuple[str, int]]:
-    """A bounded, repeatable sample of labelled rows, brought to the driver.
+                    per_class: int, max_chars: int) -> tuple[list[tuple[str, int]], float]:
+    """A bounded, repeatable sample of labelled rows, brought to the driver, and
+    what must be added to log odds learnt from it to undo its equal shares of
+    the classes (from counts of all usable rows).
 
     Only rows outside the held-out fold; of each class the ``per_class`` rows
     with the smallest id hash, among texts of at most ``max_chars`` characters.
@@ -62,19 +65,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     texts = (docs.select(F.col("doc_id").alias("id"), whole_text().alias("t"))
              .filter((fold_of("id", modulus) != held_out) & (F.length("t") <= max_chars)))
     # The smallest hashes are found on ids alone; texts are fetched for those few only.
-    lengths = texts.select("id").join(usable, "id").withColumn("r", F.xxhash64("id"))
+    lengths = texts.select("id").distinct().join(usable, "id").withColumn("r", F.xxhash64("id"))
+    there = {r["y"]: r["n"] for r in lengths.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}     # two rows
     picks = None
     for y in (0, 1):
         part = lengths.filter(F.col("y") == y).orderBy("r", "id").limit(per_class).select("id", "y")
         picks = part if picks is None else picks.unionByName(part)
     picks = picks.dropDuplicates(["id"])
-    rows = texts.join(F.broadcast(picks), "id").select("id", "t", "y").collect()   # at most 2 * per_class ids
-    seen, out = set(), []
-    for r in sorted(rows, key=lambda r: (r["id"], r["t"])):
-        if r["id"] not in seen:
-            seen.add(r["id"])
-            out.append((r["t"], r["y"]))
-    return out
+    rows = texts.join(F.broadcast(picks), "id").groupBy("id", "y").agg(F.min("t").alias("t"))
+    out = [(r["t"], r["y"]) for r in sorted(rows.collect(), key=lambda r: r["id"])]      # at most 2 * per_class rows
+    taken = {y: sum(1 for _, v in out if v == y) for y in (0, 1)}
+    shift = (math.log(there[1] / there[0]) - math.log(taken[1] / taken[0])) if taken[0] and taken[1] else 0.0
+    return out, shift
 
 
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:

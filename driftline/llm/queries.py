@@ -11,14 +11,22 @@ from driftline.llm.common import load
 from driftline.llm.exact_dedup import exact_groups
 from driftline.llm.mixing import mix_rows
 from driftline.llm.packing import pack_documents
+from driftline.llm.quality_cnn import quality_model, score_quality
+from driftline.llm.quality_rules import apply_rules, rules_model
 from driftline.llm.sharding import SHARD_BYTES, shard_documents
 from driftline.llm.simhash import near_groups
+from driftline.llm.toxicity import score_documents, toxicity_model
 
 
 def op1_simhash_near_dedup(spark, sf):
     return near_groups(load(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_quality_cnn(spark, sf):
+    docs = load(spark, sf, "documents")
+    return score_quality(docs, quality_model(docs, load(spark, sf, "labels")))
+
+
 def op3_best_fit_packing(spark, sf):
     return pack_documents(load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,6 +43,17 @@ def op7_exact_dedup(spark, sf):
     return exact_groups(load(spark, sf, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_quality_rules(spark, sf):
+    docs = load(spark, sf, "documents")
+    return apply_rules(docs, rules_model(docs, load(spark, sf, "labels")))
+
+
+def op9_toxicity(spark, sf):
+    docs = load(spark, sf, "documents")
+    model = toxicity_model(docs, load(spark, sf, "labels"))
+    return score_documents(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_mixing(spark, sf):
     return mix_rows(load(spark, sf, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", F.col("copies").cast("int").alias("copies"))
@@ -42,10 +61,13 @@ def op10_mixing(spark, sf):
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_quality_cnn": op2_quality_cnn,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_sharding": op4_sharding,
     "op5_bit_plane_ids": op5_bit_plane_ids,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
 
