@@ -9,6 +9,7 @@ import public_tokenizers
 from driftline.llm.bitplanes import roundtrip
 from driftline.llm.common import load
 from driftline.llm.exact_dedup import exact_groups
+from driftline.llm.gru_lm import score_documents as lm_scores
 from driftline.llm.mixing import mix_rows
 from driftline.llm.packing import pack_documents
 from driftline.llm.quality_cnn import quality_model, score_quality
@@ -39,6 +40,10 @@ def op5_bit_plane_ids(spark, sf):
     return roundtrip(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_gru_lm(spark, sf):
+    return lm_scores(load(spark, sf, "documents"))
+
+
 def op7_exact_dedup(spark, sf):
     return exact_groups(load(spark, sf, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_sharding": op4_sharding,
     "op5_bit_plane_ids": op5_bit_plane_ids,
+    "op6_gru_lm": op6_gru_lm,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
