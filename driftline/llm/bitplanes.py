@@ -16,7 +16,7 @@ totals (one row per file).
 
 Defined cases: null text is an empty text (one end id); null ids come first;
 rows that share an id are ordered by the hash of their text; a document of any
-length is cut into parts of at most ``CHUNK_IDS`` ids, whose checksums are
+length is cut into parts of at most ``chunk_ids`` ids, whose checksums are
 combined on reading; an empty table writes empty files and gives no rows; other
 columns are ignored.
 """
@@ -117,7 +117,7 @@ def crc_combine(a: int, b: int, length_b: int) -> int:
 
 # -- writing -----------------------------------------------------------------
 
-def _write(path: str, end_id: int, bits: bool):
+def _write(path: str, end_id: int, bits: bool, chunk_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(path, word_level=False), np.array([end_id], "<u4").tobytes()
         held, docs, chunk, file = [], [], 0, 0
@@ -142,11 +142,11 @@ def _write(path: str, end_id: int, bits: bool):
                 for key, raw in zip(keys[i:j], enc.encode(texts[i:j])):
                     ids, part, at = np.frombuffer(raw + end, "<u4"), 0, 0
                     while at < len(ids):
-                        take = min(len(ids) - at, CHUNK_IDS - size)
+                        take = min(len(ids) - at, chunk_ids - size)
                         held.append(ids[at:at + take])
                         docs.append((key, part, at + take == len(ids), take))
                         part, at, size = part + 1, at + take, size + take
-                        if size >= CHUNK_IDS:
+                        if size >= chunk_ids:
                             yield flush()
                             size = 0
         if held:
@@ -155,7 +155,7 @@ def _write(path: str, end_id: int, bits: bool):
 
 
 def write_files(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID, bits: bool = False,
-                files: int | None = None) -> None:
+                files: int | None = None, chunk_ids: int = CHUNK_IDS) -> None:
     """Encode all documents in ascending id order and write one file of chunks per id range."""
     spark = docs.sparkSession
     ranges = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -163,7 +163,7 @@ def write_files(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_I
     ordered = (t.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first(), "h")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h")
                .select("doc_id", "t", F.spark_partition_id().alias("file")))
-    (ordered.mapInArrow(_write(vocabulary, end_id, bits), CHUNK_SCHEMA)
+    (ordered.mapInArrow(_write(vocabulary, end_id, bits, chunk_ids), CHUNK_SCHEMA)
      .write.option("compression", "none").parquet(path))
 
 
@@ -221,7 +221,8 @@ def read_documents(spark: SparkSession, path: str, bits: bool = False) -> DataFr
     return whole.unionByName(long_docs)
 
 
-def roundtrip(docs: DataFrame, vocabulary: str, end_id: int = END_ID, bits: bool = False, files: int | None = None) -> DataFrame:
+def roundtrip(docs: DataFrame, vocabulary: str, end_id: int = END_ID, bits: bool = False, files: int | None = None,
+              chunk_ids: int = CHUNK_IDS) -> DataFrame:
     path = scratch_path(docs.sparkSession, "id-files")
-    write_files(docs, vocabulary, path, end_id, bits, files)
+    write_files(docs, vocabulary, path, end_id, bits, files, chunk_ids)
     return read_documents(docs.sparkSession, path, bits)
