@@ -15,10 +15,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     apply_session_conf(s)
