@@ -7,6 +7,6 @@ newly discovered field.
 """
 
 from driftline.config import IngestConfig
-from driftline.session import build_session, apply_session_conf, shared_dir
+from driftline.session import build_session, apply_session_conf, shared_path
 
-__all__ = ["IngestConfig", "build_session", "apply_session_conf", "shared_dir"]
+__all__ = ["IngestConfig", "build_session", "apply_session_conf", "shared_path"]

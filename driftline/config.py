@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field, replace
 
+from driftline.functions.route import normalize_location_name
+
 # Environment variable names, and the defaults that change
 # results (topic pattern, start position, namespace, commit interval) as the
 # reference job reads them; code defaults win where its docs disagree.
@@ -24,8 +26,11 @@ ENV_DEFAULTS = {
     "WAREHOUSE_PATH": "",
     "WRITE_PARALLELISM": "",
     "CHECKPOINT_INTERVAL_MS": "30000",
-    "MAX_OFFSETS_PER_TRIGGER": "",
+    "MAX_OFFSETS_PER_TRIGGER": "20000000",
     "MIN_PARTITIONS": "",
+    "MAX_NEW_FIELDS": "10000",
+    "TABLE_WRITE_THREADS": "8",
+    "TABLE_STORE": "parquet",
 }
 
 
@@ -50,31 +55,22 @@ class IngestConfig:
     # parallelism (no coalesce), which is what a large cluster wants.
     write_parallelism: int | None = None
     checkpoint_interval_ms: int = int(ENV_DEFAULTS["CHECKPOINT_INTERVAL_MS"])
-    # Guards on what reaches the driver during inference: new fields per
-    # batch and bytes of one container exemplar.  Exceeding them fails the
-    # batch instead of cutting data.
+    # New columns that one table may get in one batch.  A table with more is
+    # refused (its records go to the rejects, reason schema_limit); the other
+    # tables of the batch go on.
     max_new_fields: int = 10_000
-    max_exemplar_bytes: int = 4 * 1024 * 1024
-    max_tables: int = 100_000
     # Threads used to write the tables of one micro-batch concurrently
     # (pair with spark.scheduler.mode=FAIR on a shared cluster).
     table_write_threads: int = 8
-    # Fan-out of a batch to its tables.  Up to this many tables, each table
-    # is a filter over the persisted batch (one task per batch partition and
-    # table).  Beyond it the pending records are shuffled once by (table,
-    # salt) and staged partitioned by table in the shared checkpoint folder,
-    # so each table's job has tasks in proportion to its own records: one
-    # salt bucket per rows_per_write_task records (a hot table keeps its
-    # parallelism, T x M tiny tasks become ~records/rows_per_write_task).
-    fanout_cached_tables: int = 4
-    rows_per_write_task: int = 500_000
     # Parallelism floor for a batch: Kafka reads split offset ranges into at
     # least this many tasks (minPartitions); other inputs with fewer
     # partitions are spread round-robin.  None = leave the input as it is.
     min_partitions: int | None = None
-    # Upper bound of records per micro-batch from Kafka: sizes the persisted
-    # batch to executor memory (+ disk).  None = no bound.
-    max_offsets_per_trigger: int | None = None
+    # Upper bound of records per micro-batch from Kafka: sizes the staged copy
+    # of a batch (the first one would otherwise be the whole backlog).
+    max_offsets_per_trigger: int | None = int(ENV_DEFAULTS["MAX_OFFSETS_PER_TRIGGER"])
+    # Kind of table store: parquet tables of the session's catalog, or iceberg.
+    table_store: str = ENV_DEFAULTS["TABLE_STORE"]
     extra: dict = field(default_factory=dict)
 
     @classmethod
@@ -88,11 +84,14 @@ class IngestConfig:
             starting_offsets=_env(environ, "KAFKA_STARTING_OFFSET"),
             catalog_name=_env(environ, "CATALOG_NAME"),
             namespace=_env(environ, "CATALOG_NAMESPACE"),
-            warehouse=_env(environ, "WAREHOUSE_PATH"),
+            warehouse=normalize_location_name(_env(environ, "WAREHOUSE_PATH")),
             write_parallelism=int(parallelism) if parallelism and parallelism.strip() else None,
             checkpoint_interval_ms=int(_env(environ, "CHECKPOINT_INTERVAL_MS")),
             max_offsets_per_trigger=int(_env(environ, "MAX_OFFSETS_PER_TRIGGER") or 0) or None,
             min_partitions=int(_env(environ, "MIN_PARTITIONS") or 0) or None,
+            max_new_fields=int(_env(environ, "MAX_NEW_FIELDS")),
+            table_write_threads=int(_env(environ, "TABLE_WRITE_THREADS")),
+            table_store=_env(environ, "TABLE_STORE").strip().lower(),
         )
         return replace(cfg, **overrides) if overrides else cfg
 

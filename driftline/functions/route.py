@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +30,8 @@ def normalize_location(path: Column | str) -> Column:
     """P6 as a column expression (usable on location columns and settings)."""
     col = F.col(path) if isinstance(path, str) else path
     return F.regexp_replace(col, DLS_LOCATION_PATTERN, "oss://$1/$3")
+
+
+def normalize_location_name(path: str) -> str:
+    """P6 for a setting (the same rule on one string)."""
+    return re.sub(DLS_LOCATION_PATTERN.replace(r"\z", r"\Z"), r"oss://\1/\3", path)

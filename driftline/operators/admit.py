@@ -8,6 +8,7 @@ Checks run in the reference's order; the first hit decides:
 * ``non_object``  the text is blank, or parses to something other than an object (F3)
 * ``unparsable``  the text is not strict JSON (F2)
 * ``deleted``     the unwrapped body has ``__deleted`` whose text is ``true`` (F4)
+* ``reserved_field``  the body has a field that the sink reserves for itself
 
 One strict parse per record (``try_parse_json``) feeds every later step:
 single quotes, NaN, leading zeros and raw control characters are rejected,
@@ -27,11 +28,26 @@ from driftline.functions.route import topic_to_table
 PENDING, EMITTED, SKIPPED, ERROR = "pending", "emitted", "skipped", "error"
 
 
-def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table) -> DataFrame:
+# An object without any value in it, however deep: only keys, braces, colons and commas.
+_NO_VALUES = r'^(?:[{},]|"(?:[^"\\]|\\.)*":)*\z'
+
+
+def typed_names(text: Column, members: Column) -> Column:
+    """Names of the members that pin a type: all but those whose value is an
+    object with no value inside (``{}``, ``{"a":{}}``).  Only a text with an
+    empty object somewhere is looked at member by member."""
+    def hollow(v):
+        return F.coalesce(is_object(v) & F.to_json(v).rlike(_NO_VALUES), F.lit(False))
+    return F.when(text.rlike(r"\{[ \t\r\n]*\}"), F.map_keys(F.map_filter(members, lambda k, v: ~hollow(v)))
+                  ).otherwise(F.map_keys(members))
+
+
+def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table,
+          reserved: tuple[str, ...] = ()) -> DataFrame:
     """Record frame -> admitted frame.
 
-    Output columns: topic, partition, offset, table, text,
-    first_byte, envelope, body (VARIANT of the row object), disposition,
+    Output columns: topic, partition, offset, table, text, first_byte,
+    envelope, fields (names of the row object that pin a type), disposition,
     reason.
     """
     decoded = records.select(
@@ -54,18 +70,26 @@ def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table
                     F.when(blank_text(F.col("text")), F.lit("non_object")).otherwise(F.lit("unparsable")))
               .when(~is_object(F.col("_doc")), F.lit("non_object"))
               .when(F.coalesce(deleted, F.lit(False)), F.lit("deleted")))
+    members = F.try_variant_get(F.col("body"), "$", "map<string,variant>")
+    for name in reserved:
+        reason = reason.when(F.coalesce(F.array_contains(F.map_keys(members), name), F.lit(False)), F.lit("reserved_field"))
     out = with_body.withColumn("reason", reason).select(
         "topic", "partition", "offset", "table", "text", "first_byte", "envelope",
-        F.when(F.col("reason").isNull(), F.col("body")).alias("body"),
+        F.when(F.col("reason").isNull(), F.array_distinct(typed_names(F.col("text"), members))).alias("fields"),
         F.when(F.col("reason").isNull(), F.lit(PENDING)).otherwise(F.lit(SKIPPED)).alias("disposition"),
         "reason",
     )
     return out
 
 
-def body_text(admitted: DataFrame | None = None) -> Column:
+def body_text() -> Column:
     """Text of the row object in document order: the whole value, or the raw
-    text of ``payload`` for an envelope.  Used where key order or raw number
-    text matters (inference); the VARIANT body serves everything else."""
+    text of ``payload`` for an envelope."""
     payload = F.from_json(F.col("text"), "struct<payload: string>").getField("payload")  # last one wins
     return F.when(F.col("envelope"), payload).otherwise(F.col("text"))
+
+
+def body_variant() -> Column:
+    """The row object as a VARIANT."""
+    doc = F.try_parse_json(F.col("text"))
+    return F.when(F.col("envelope"), F.try_variant_get(doc, "$.payload", "variant")).otherwise(doc)

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.json import (
-    is_json_null, is_number_kind, is_object, jvm_number_text,
+    is_integer_kind, is_json_null, is_number_kind, is_object, jvm_number_text,
 )
+from driftline.operators.admit import body_variant
 from driftline.operators.infer import quote
 
-SRC, ERR = "_dl_src", "_dl_error"
+SRC, ERR, LOSS = "_dl_src", "_dl_error", "_dl_loss"
 
 _INTEGRALS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
@@ -70,15 +71,17 @@ def _or(a: Column | None, b: Column | None) -> Column | None:
     return a | b
 
 
-def coerce_value(v: Column, dtype: T.DataType, raw: Column | None = None) -> tuple[Column, Column | None]:
+def coerce_value(v: Column, dtype: T.DataType, raw: Column | None = None,
+                 kind: Column | None = None) -> tuple[Column, Column | None]:
     """(typed value, error flag or None when this type cannot fail).
 
     ``raw`` optionally carries the value's JSON text as the typed reader
     prints it (top-level fields): numbers in text columns then print exactly
     like the JVM (``-0.0``), and an object in an array column gives its values
-    in document order."""
+    in document order.  ``kind`` carries ``schema_of_variant(v)`` where it is
+    already at hand."""
     null = is_json_null(v)
-    kind = F.schema_of_variant(v)
+    kind = F.schema_of_variant(v) if kind is None else kind
     typed_null = F.lit(None).cast(dtype)
 
     if isinstance(dtype, T.BooleanType):
@@ -216,13 +219,29 @@ def _text_ok(t: Column, dtype: T.DataType) -> Column | None:
     return F.coalesce(F.forall(t, lambda e: _text_ok(e, dtype.elementType)), F.lit(True))
 
 
-def _raw_field(name: str) -> Column:
-    """The field's JSON text as the typed reader prints it (string parse:
-    never fails, last repeated key wins).  Used only inside fallbacks."""
-    ddl = f"struct<{quote(name)}: string>"
-    plain = F.from_json(F.col("text"), ddl, JSON_READ_OPTS).getField(name)
-    wrapped = F.from_json(F.col("text"), f"struct<payload: {ddl}>", JSON_READ_OPTS).getField("payload").getField(name)
-    return F.when(F.col("envelope"), wrapped).otherwise(plain)
+def loss_kind(v: Column, dtype: T.DataType, kind: Column) -> Column | None:
+    """What a top-level conversion loses: ``wrong_kind`` (a default stands in for
+    the value), ``overflow`` (an integer out of range becomes null) or
+    ``truncation`` (an integer column cuts a fraction); null when nothing is
+    lost, or for types whose failures are errors."""
+    lost, given = F.lit(None).cast("string"), ~is_json_null(v)
+    wrong = F.lit("wrong_kind")
+    if isinstance(dtype, T.BooleanType):
+        return F.when(given & (kind != "BOOLEAN"), wrong)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(given & ~is_number_kind(kind), wrong)
+    if isinstance(dtype, _INTEGRALS):
+        num = F.try_variant_get(v, "$", dtype.simpleString())
+        exact = F.try_variant_get(v, "$", "double")
+        return (F.when(~given, lost).when(~is_number_kind(kind), wrong).when(num.isNull(), F.lit("overflow"))
+                .when(~is_integer_kind(kind) & (exact != F.signum(exact) * F.floor(F.abs(exact))), F.lit("truncation")))
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
+        return F.when(given & (kind.startswith("OBJECT") | kind.startswith("ARRAY")), wrong)
+    if isinstance(dtype, T.StructType):
+        return F.when(given & ~kind.startswith("OBJECT"), wrong)
+    if isinstance(dtype, T.ArrayType):
+        return F.when(given & ~kind.startswith("ARRAY"), wrong)
+    return None
 
 
 def _parse_type(dtype: T.DataType) -> T.DataType:
@@ -232,52 +251,70 @@ def _parse_type(dtype: T.DataType) -> T.DataType:
 def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fast: bool = True) -> DataFrame:
     """P5 + C*: one typed column per schema field, in schema order, by exact
     name; keys not in the schema are ignored.  Adds ``_dl_src`` (record
-    coordinates) and ``_dl_error`` (first column that failed, or null).
+    coordinates), ``_dl_error`` (first column that failed, or null) and
+    ``_dl_loss`` (``(column, kind)`` of each lossy conversion, null if none).
 
     Columns of the types above are read by one typed ``from_json`` of the row
-    text; a record whose read reports any failure (or a text field holding an
-    object/array) falls back, lazily, to ``coerce_value`` on the parsed
-    VARIANT.  Other columns always use ``coerce_value``.
+    text.  A record whose read reports any failure (or a text field holding an
+    object/array) is parsed once more, into one VARIANT and one map of raw
+    texts that all its columns share, and goes through ``coerce_value``.
+    Columns of other types always use that second form.
     """
     fast_fields = [f for f in schema.fields if fast and is_fast(f.dataType)]
     slow_fields = [f for f in schema.fields if f not in fast_fields]
     staged_cols = [F.struct("topic", "partition", "offset", *carry).alias(SRC), "text", "envelope"]
-    if slow_fields:
-        staged_cols.append(variant_fields(F.col("body"), [f.name for f in slow_fields]).alias("_dl_v"))
+    env = F.col("envelope")
     if fast_fields:
         inner = ",".join(f"{quote(f.name)}: {ddl_type(_parse_type(f.dataType))}" for f in fast_fields)
         plain = F.from_json(F.col("text"), f"struct<{inner},{BAD}: string>", JSON_READ_OPTS)
         wrapped = F.from_json(F.col("text"), f"struct<payload: struct<{inner}>,{BAD}: string>", JSON_READ_OPTS)
         # Each record is read once, by the reader that fits its shape.
-        staged_cols += [F.when(~F.col("envelope"), plain).alias("_dl_p"),
-                        F.when(F.col("envelope"), wrapped).alias("_dl_w"), F.col("body")]
+        staged_cols += [F.when(~env, plain).alias("_dl_p"), F.when(env, wrapped).alias("_dl_w")]
     staged = pending.select(*staged_cols)
-    env = F.col("envelope")
-    clean = F.when(env, F.col("_dl_w").getField(BAD)).otherwise(F.col("_dl_p").getField(BAD)).isNull()
-    cols, errs = [], []
-    for f in schema.fields:
-        if f in fast_fields:
-            exact = variant_fields(F.col("body"), [f.name]).getField(f.name)
-            raw = None
-            if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)):
-                raw = _raw_field(f.name)
-            fallback, err = coerce_value(exact, f.dataType, raw)
-            t = F.when(env, F.col("_dl_w").getField("payload").getField(f.name)).otherwise(
-                F.col("_dl_p").getField(f.name))
-            ok = clean
-            text_ok = _text_ok(t, f.dataType)
+
+    def typed(f):
+        return F.when(env, F.col("_dl_w").getField("payload").getField(f.name)).otherwise(F.col("_dl_p").getField(f.name))
+
+    clean = F.lit(True)
+    if fast_fields:
+        clean = F.when(env, F.col("_dl_w").getField(BAD)).otherwise(F.col("_dl_p").getField(BAD)).isNull()
+        for f in fast_fields:
+            text_ok = _text_ok(typed(f), f.dataType)
             if text_ok is not None:
-                ok = ok & text_ok
-            if isinstance(f.dataType, T.BinaryType):
-                t = F.encode(t, "UTF-8")
-            val = F.when(ok, t).otherwise(fallback)
-        else:
-            raw = _raw_field(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)) else None
-            val, err = coerce_value(F.col("_dl_v").getField(f.name), f.dataType, raw)
+                clean = clean & text_ok
+    staged = staged.withColumn("_dl_clean", clean)
+    again = F.lit(True) if slow_fields else ~F.col("_dl_clean")
+    raw_plain = F.from_json(F.col("text"), "map<string,string>", JSON_READ_OPTS)
+    raw_wrapped = F.from_json(F.col("text"), "struct<payload: map<string,string>>", JSON_READ_OPTS).getField("payload")
+    # The second parse, shared by all columns of a record that needs it.
+    staged = staged.withColumn("_dl_v", F.when(again, variant_fields(body_variant(), [f.name for f in schema.fields])))
+    # (the reader keeps repeated keys; rebuilding the map lets the last one win)
+    raws = F.map_from_entries(F.map_entries(F.when(env, raw_wrapped).otherwise(raw_plain)))
+    staged = staged.withColumn("_dl_raw", F.when(again, raws))
+    # Each value's kind, derived once and read by its conversion and its loss test.
+    kinds = [F.schema_of_variant(F.col("_dl_v").getField(f.name)).alias(f"k{i}") for i, f in enumerate(schema.fields)]
+    staged = staged.withColumn("_dl_kind", F.when(again, F.struct(*kinds)))
+    cols, errs, losses = [], [], []
+    for i, f in enumerate(schema.fields):
+        exact, kind = F.col("_dl_v").getField(f.name), F.col("_dl_kind").getField(f"k{i}")
+        raw = None
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)):
+            raw = F.try_element_at(F.col("_dl_raw"), F.lit(f.name))
+        val, err = coerce_value(exact, f.dataType, raw, kind)
+        if f in fast_fields:
+            t = F.encode(typed(f), "UTF-8") if isinstance(f.dataType, T.BinaryType) else typed(f)
+            val = F.when(F.col("_dl_clean"), t).otherwise(val)
         cols.append(val.alias(f.name))
         if not f.nullable:
             err = _or(err, val.isNull())
         if err is not None:
             errs.append(F.when(err, F.lit(f.name)))
+        lost = loss_kind(exact, f.dataType, kind)
+        if lost is not None:
+            losses.append(F.struct(F.lit(f.name).alias("column"), lost.alias("kind")))
     error = F.coalesce(*errs) if errs else F.lit(None).cast("string")
-    return staged.select(F.col(SRC), *cols, error.alias(ERR))
+    empty = F.lit(None).cast("array<struct<column:string,kind:string>>")
+    loss = empty
+    if losses:
+        loss = F.when(again, F.filter(F.array(*losses), lambda x: x["kind"].isNotNull()))
+    return staged.select(F.col(SRC), *cols, error.alias(ERR), loss.alias(LOSS))

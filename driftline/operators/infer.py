@@ -8,15 +8,13 @@ top-level names evolve; a new key inside a known struct is not added.
 
 Distributed shape:
 
-1. per record, the keys of the row object that the table does not know yet
-   (``json_object_keys`` minus the known names: nothing survives once the
-   schema is stable);
-2. ``groupBy(table, field, topic, partition).min(offset)``: a hash
-   aggregation with a map-side partial, so at most one row per field and
-   input partition is shuffled, however hot a topic is;
-3. the few winners are looked up again to read their raw value text;
-4. the driver derives one type per winner (bounded by the number of new
-   fields, guarded by ``max_new_fields`` / ``max_exemplar_bytes``).
+1. per record, the names of the row object that pin a type (``admit``);
+2. records are grouped by (table, topic, partition, set of names) and the sets
+   are reduced to one first record per (table, field); names the table already
+   has are dropped by an anti-join on that small result;
+3. the records of the remaining fields are looked up again and their types are
+   derived on the executors;
+4. the driver receives one type string per new field (it needs them for DDL).
 """
 
 from __future__ import annotations
@@ -29,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.operators.admit import body_text
+from driftline.operators.admit import body_text, body_variant
 
 _INTEGRAL = re.compile(r"-?[0-9]+")
 
@@ -50,10 +48,6 @@ class FieldChange:
         return (self.offset, self.topic, self.partition, self.pos)
 
 
-class InferenceLimitError(RuntimeError):
-    pass
-
-
 # --------------------------------------------------------------------------
 # Exemplar -> type
 # --------------------------------------------------------------------------
@@ -118,176 +112,110 @@ def exemplar_type(kind: str, raw: str | None) -> T.DataType | None:
 # Distributed part
 # --------------------------------------------------------------------------
 
-def _known_names_map(known: dict[str, T.StructType]):
-    entries = []
-    for table, schema in known.items():
-        if schema is not None and len(schema.fields):
-            entries += [F.lit(table), F.array(*[F.lit(f.name) for f in schema.fields])]
-    return F.create_map(*entries) if entries else None
-
-
-KNOWN_LITERAL_MAX = 20_000
-
-
-def first_occurrences(admitted: DataFrame, known: dict[str, T.StructType],
-                      fields_filter: dict[str, list[str]] | None = None,
-                      known_literal_max: int | None = None) -> DataFrame:
+def occurrences(admitted: DataFrame) -> DataFrame:
     """One small frame answering two questions in a single pass:
 
-    * ``kind = 'field'``: (table, field) -> the first record (offset, topic,
-      partition) whose row object carries a field the table does not know;
-    * ``kind = 'census'``: (table, topic, reason) -> number of records
-      (reason null = pending), i.e. the tables present and the skip counts.
-
-    With ``fields_filter`` only those fields are looked for, and only in
-    records where the field is a non-empty value (used to skip ``{}``); no
-    census rows are produced then."""
-    pending = F.col("reason").isNull()
-    # Key set of the row object from the parsed VARIANT (no re-parse; order
-    # does not matter here, positions are read for the winners only).
-    keys = F.map_keys(F.try_variant_get(F.col("body"), "$", "map<string,variant>"))
-    n_known = sum(len(sch.fields) for sch in known.values() if sch is not None)
-    # Few known names: drop them per record against a folded literal map.
-    # Many (thousands of wide tables): aggregate every key and anti-join the
-    # small aggregated result with the known names instead.
-    limit = KNOWN_LITERAL_MAX if known_literal_max is None else known_literal_max
-    late_filter = n_known > limit
-    known_map = None if late_filter else _known_names_map(known)
-    if known_map is not None:
-        known_here = F.coalesce(F.element_at(known_map, F.col("table")), F.array().cast("array<string>"))
-        new_keys = F.array_except(keys, known_here)
-    else:
-        new_keys = F.array_distinct(keys)
-    none = F.array(F.lit(None).cast("string"))
-    if fields_filter is None:
-        # a null entry stands for the record itself (census)
-        fields = F.when(pending, F.concat(none, new_keys)).otherwise(none)
-    else:
-        fields = F.when(pending, new_keys)
-    carry = ["body"] if fields_filter is not None else []
-    rows = admitted.select("table", "topic", "partition", "offset", "reason", *carry,
-                           F.explode(fields).alias("field"))
-    if fields_filter is not None:
-        cond = None
-        for table, names in fields_filter.items():
-            ddl = "struct<" + ",".join(f"{quote(n)}: variant" for n in names) + ">"
-            for n in names:
-                val = F.try_variant_get(F.col("body"), "$", ddl).getField(n)
-                hit = (F.col("table") == table) & (F.col("field") == n) & \
-                    (F.coalesce(F.schema_of_variant(val), F.lit("")) != F.lit("OBJECT<>"))
-                cond = hit if cond is None else cond | hit
-        rows = rows.filter(cond)
-    # Hash aggregation with a map-side partial: one row per group and input
-    # partition crosses the shuffle, however hot a topic or key is.
-    firsts = (rows.groupBy("table", "field", "topic", "partition", "reason")
-              .agg(F.min("offset").alias("offset"), F.count(F.lit(1)).alias("records")))
-    if late_filter:
-        names = [(t, f.name) for t, sch in known.items() if sch is not None for f in sch.fields]
-        known_df = admitted.sparkSession.createDataFrame(names, "table string, field string")
-        # size known on the driver (the catalog's columns): broadcast
-        firsts = firsts.join(F.broadcast(known_df), ["table", "field"], "left_anti")
-    # Second level, on the tiny first-level result, in one aggregation so the
-    # batch is scanned once: fields reduce to (table, field), the census to
-    # (table, topic, reason).
-    is_census = F.col("field").isNull()
-    out = (firsts.groupBy("table", "field", F.when(is_census, F.col("topic")).alias("t_key"), "reason")
+    * ``field`` set: (table, field) -> the first record (offset, topic,
+      partition) whose row object pins a type for the field;
+    * ``field`` null: (table, topic, reason) -> number of records (reason
+      null = pending), i.e. the tables present and the skip counts.
+
+    Records are grouped by their whole set of names first (map-side partial):
+    records of a topic share a few sets, so neither every name of every record
+    nor a hot topic is shuffled."""
+    sets = (admitted.groupBy("table", "topic", "partition", "reason", "fields")
+            .agg(F.min("offset").alias("offset"), F.count(F.lit(1)).alias("records")))
+    none = F.array(F.lit(None).cast("string"))          # a null entry stands for the record itself
+    names = sets.withColumn("field", F.explode(F.concat(none, F.coalesce("fields", F.array().cast("array<string>")))))
+    itself = F.col("field").isNull()
+    out = (names.groupBy("table", "field", F.when(itself, F.col("topic")).alias("t_key"),
+                         F.when(itself, F.col("reason")).alias("r_key"))
            .agg(F.min(F.struct("offset", "topic", "partition")).alias("w"), F.sum("records").alias("records")))
-    return out.select(
-        F.when(F.col("field").isNull(), F.lit("census")).otherwise(F.lit("field")).alias("kind"),
-        "table", "field", F.col("w.topic").alias("topic"), F.col("w.partition").alias("partition"),
-        F.col("w.offset").alias("offset"), "reason", "records")
+    return out.select("table", "field", F.col("w.topic").alias("topic"), F.col("w.partition").alias("partition"),
+                      F.col("w.offset").alias("offset"), F.col("r_key").alias("reason"), "records")
 
 
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def read_exemplars(spark: SparkSession, admitted: DataFrame, winners: list, max_bytes: int):
-    """Raw text, variant kind and document position of each winner field.
-    Oversized raw texts never leave the executors: they are checked there."""
-    if not winners:
-        return []
-    small = spark.createDataFrame(
-        [(w["table"], w["field"], w["topic"], int(w["partition"]), int(w["offset"])) for w in winners],
-        "w_table string, field string, w_topic string, w_partition int, w_offset bigint")
-    # Size is known on the driver (at most max_new_fields rows): broadcast.
-    # The offset list first lets the columnar cache skip whole cached batches
-    # by their offset statistics (offsets are contiguous per partition).
-    offsets = sorted({int(w["offset"]) for w in winners})
-    admitted = admitted.filter(F.col("offset").isin(offsets))
-    joined = admitted.join(
-        F.broadcast(small),
-        (admitted["topic"] == small["w_topic"]) & (admitted["partition"] == small["w_partition"])
-        & (admitted["offset"] == small["w_offset"]) & (admitted["table"] == small["w_table"]))
+def _types(batches):
+    """Arrow batches of exemplars to their types (runs on the executors: only
+    type strings reach the driver, whatever the size of a value)."""
+    import pyarrow as pa
+    for b in batches:
+        col = {n: b.column(n) for n in b.schema.names}
+        types = []
+        for name, kind, raw in zip(*(col[n].to_pylist() for n in ("field", "kind", "raw"))):
+            t = exemplar_type(kind, raw)
+            types.append(None if t is None else T.StructType([T.StructField(name, t, True)]).json())
+        yield pa.RecordBatch.from_arrays(
+            [*(col[n] for n in ("table", "field", "topic", "partition", "offset", "pos")), pa.array(types, pa.string())],
+            names=["table", "field", "topic", "partition", "offset", "pos", "type"])
+
+
+def read_exemplars(admitted: DataFrame, winners: DataFrame) -> DataFrame:
+    """``winners (table, field, topic, partition, offset)`` with the type and the
+    document position of each one's value."""
+    small = winners.select(F.col("table").alias("w_table"), "field", F.col("topic").alias("w_topic"),
+                           F.col("partition").alias("w_partition"), F.col("offset").alias("w_offset"))
+    rows = admitted.filter(F.col("reason").isNull()).select("table", "topic", "partition", "offset", "text", "envelope")
+    joined = rows.join(small, (rows["topic"] == small["w_topic"]) & (rows["partition"] == small["w_partition"])
+                       & (rows["offset"] == small["w_offset"]) & (rows["table"] == small["w_table"]))
     text = body_text()
     raw_map = F.map_from_entries(F.map_entries(F.from_json(text, "map<string,string>")))
-    val = F.element_at(F.try_variant_get(F.col("body"), "$", "map<string,variant>"), F.col("field"))
-    raw = F.element_at(raw_map, F.col("field"))
+    val = F.element_at(F.try_variant_get(body_variant(), "$", "map<string,variant>"), F.col("field"))
     out = joined.select(
         "table", "field", "topic", "partition", "offset",
-        (F.array_position(F.json_object_keys(text), F.col("field")) - 1).alias("pos"),
-        F.schema_of_variant(val).alias("kind"),
-        raw.alias("raw"),
-    ).withColumn("raw_len", F.length("raw")).withColumn(
-        "raw", F.when(F.col("raw_len") <= max_bytes, F.col("raw")))
-    rows = out.collect()
-    for r in rows:
-        if r["raw_len"] is not None and r["raw_len"] > max_bytes:
-            raise InferenceLimitError(
-                f"exemplar for {r['table']}.{r['field']} is {r['raw_len']} characters "
-                f"(limit {max_bytes}); raise max_exemplar_bytes")
-    return rows
-
-
-def infer_new_fields(admitted: DataFrame, known: dict[str, T.StructType],
-                     max_new_fields: int = 10_000, max_exemplar_bytes: int = 4 << 20,
-                     census_out: list | None = None, max_tables: int = 100_000) -> list[FieldChange]:
-    """The new columns of every table in this batch, in append
-    order.  ``census_out`` receives (table, topic, reason, records) rows."""
+        (F.array_position(F.json_object_keys(text), F.col("field")) - 1).cast("int").alias("pos"),
+        F.schema_of_variant(val).alias("kind"), F.element_at(raw_map, F.col("field")).alias("raw"))
+    return out.mapInArrow(_types, "table string, field string, topic string, partition int, offset long, pos int, type string")
+
+
+def infer_new_fields(admitted: DataFrame, known_loader, max_new_fields: int):
+    """I1-I6, I10 for one batch.
+
+    ``known_loader(tables)`` gives ``(schemas, refused)`` of the tables present:
+    their existing columns, and tables that cannot be written, with a reason.
+    Returns ``(changes, known, refused, census)``: the new columns of every
+    other table in append order, and (table, topic, reason, records) rows.  A
+    table that would get more than ``max_new_fields`` new columns at once is
+    refused (reason ``schema_limit``); the others go on."""
     spark = admitted.sparkSession
-    changes: list[FieldChange] = []
-    todo = None
-    for _ in range(8):
-        # Bounded by the schema growth and the topics of the batch (census:
-        # at most 5 reasons per topic); checked before anything else is done.
-        limit = max_new_fields + 5 * max_tables + 1
-        found = first_occurrences(admitted, known, todo).limit(limit).collect()
-        if len(found) == limit:
-            raise InferenceLimitError("too many new fields or topics in one batch; "
-                                      "raise max_new_fields / max_tables")
-        census = [r for r in found if r["kind"] == "census"]
-        winners = [r for r in found if r["kind"] == "field"]
-        if len({r["table"] for r in census}) > max_tables:
-            raise InferenceLimitError(f"more than {max_tables} tables in one batch; raise max_tables")
-        if todo is None and census_out is not None:
-            census_out.extend((r["table"], r["topic"], r["reason"], int(r["records"])) for r in census)
-        if len(winners) > max_new_fields:
-            raise InferenceLimitError(
-                f"more than {max_new_fields} new fields in one batch; raise max_new_fields")
-        empty: dict[str, list[str]] = {}
-        for ex in read_exemplars(spark, admitted, winners, max_exemplar_bytes):
-            dtype = exemplar_type(ex["kind"], ex["raw"])
-            if dtype is None:
-                # `{}`: no type yet; look for a later record with content.
-                empty.setdefault(ex["table"], []).append(ex["field"])
-                continue
-            changes.append(FieldChange(ex["table"], ex["field"], dtype, ex["topic"],
-                                       int(ex["partition"]), int(ex["offset"]), int(ex["pos"])))
-        if not empty:
-            break
-        todo = empty
-    return sorted(changes, key=lambda c: (c.table, c.order))
+    found = occurrences(admitted).persist()          # one row per field and topic, not per record
+    try:
+        census = [(r["table"], r["topic"], r["reason"], int(r["records"]))
+                  for r in found.filter(F.col("field").isNull()).collect()]
+        present = sorted({t for t, _, reason, _ in census if reason is None})
+        known, refused = known_loader(present)
+        names = [(t, f.name) for t, s in known.items() for f in s.fields]
+        new = found.filter(F.col("field").isNotNull()).select("table", "field", "topic", "partition", "offset")
+        if names:
+            new = new.join(spark.createDataFrame(names, "table string, field string"), ["table", "field"], "left_anti")
+        counts = {r["table"]: r["n"] for r in new.groupBy("table").agg(F.count(F.lit(1)).alias("n")).collect()}
+        refused = dict(refused) | {t: "schema_limit" for t, n in counts.items() if n > max_new_fields}
+        wanted = sorted(set(counts) - set(refused))
+        changes = []
+        if wanted:
+            rows = read_exemplars(admitted, new.filter(F.col("table").isin(wanted))).collect()
+            for r in rows:
+                if r["type"] is not None:
+                    dtype = T.StructType.fromJson(json.loads(r["type"])).fields[0].dataType
+                    changes.append(FieldChange(r["table"], r["field"], dtype, r["topic"], int(r["partition"]),
+                                               int(r["offset"]), int(r["pos"])))
+    finally:
+        found.unpersist()
+    # A record may be read twice (a source that repeats an offset): one change per field.
+    first = {}
+    for c in sorted(changes, key=lambda c: (c.table, c.order)):
+        first.setdefault((c.table, c.field), c)
+    return list(first.values()), known, refused, census
 
 
 def merge_schema(existing: T.StructType | None, changes: list[FieldChange]) -> T.StructType:
-    """Known fields keep position and type; new ones are appended."""
-    fields = list(existing.fields) if existing is not None else []
-    names = {f.name for f in fields}
-    for c in sorted(changes, key=lambda c: c.order):
-        if c.field not in names:
-            fields.append(T.StructField(c.field, c.dtype, True))
-            names.add(c.field)
-    return T.StructType(fields)
+    """The existing columns as they are, then the new ones by first record."""
+    old = list(existing.fields) if existing is not None else []
+    return T.StructType(old + [T.StructField(c.field, c.dtype, True) for c in sorted(changes, key=lambda c: c.order)])
 
 
 def change_frame(spark: SparkSession, changes: list[FieldChange], schemas: dict[str, T.StructType]) -> DataFrame:

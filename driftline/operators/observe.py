@@ -25,22 +25,15 @@ def batch_stats(dispositions: DataFrame, batch_id: int) -> DataFrame:
     return counters(dispositions, by=()).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
 
 
-def first_by_order(df: DataFrame, group: list[str], order: list[str], max_groups: int = 100_000) -> DataFrame:
-    """The row with the smallest ``order`` per group, without sorting rows:
-    a hash min on the first order column per (group, rest), the winners
-    (one per group) collected with a checked bound, then joined back as a
-    broadcast of known size."""
+def first_by_order(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """The row with the smallest ``order`` per group, without sorting rows: a
+    hash min on the first order column per (group, rest), reduced to one winner
+    per group and joined back on its coordinates."""
     first, rest = order[0], order[1:]
     mins = df.groupBy(*group, *rest).agg(F.min(first).alias(first))
     best = mins.groupBy(*group).agg(F.min(F.struct(first, *rest)).alias("_w")).select(
         *group, *[F.col(f"_w.{c}").alias(c) for c in order])
-    winners = best.limit(max_groups + 1).collect()
-    if len(winners) > max_groups:
-        raise RuntimeError(f"more than {max_groups} groups; raise max_groups")
-    small = df.sparkSession.createDataFrame(winners, best.schema)
-    if first == "offset":                 # lets a columnar cache skip batches by statistics
-        df = df.filter(F.col("offset").isin(sorted({int(w["offset"]) for w in winners})))
-    return df.join(F.broadcast(small), on=[*group, *order], how="left_semi")
+    return df.join(best, on=[*group, *order], how="left_semi")
 
 
 def first_record_sample(admitted: DataFrame, max_chars: int = 500) -> DataFrame:

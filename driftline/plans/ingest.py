@@ -2,9 +2,11 @@
 batch of records.  Batch jobs call it once; the streaming runner calls it
 per micro-batch.
 
-Data rows are never shuffled: admission and coercion are projections, and
-the only exchange is the exemplar aggregation, which carries at most one row
-per (table, new field, topic, partition) after its map-side partial.
+Data rows are never shuffled or persisted: admission and coercion are
+projections, and the only exchange is the aggregation of name sets, which
+carries a few rows per topic and partition after its map-side partial.  With
+``stage`` the admitted records are written once, partitioned by table, and
+every later step reads that copy.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +21,8 @@ from pyspark.sql import types as T
 from driftline.config import IngestConfig
 from driftline.functions.route import topic_to_table
 from driftline.operators.admit import EMITTED, ERROR, PENDING, SKIPPED, admit
-from driftline.operators.coerce import ERR, SRC, coerce_rows
-from driftline.operators.infer import FieldChange, change_frame, infer_new_fields, merge_schema
+from driftline.operators.coerce import ERR, LOSS, SRC, coerce_rows
+from driftline.operators.infer import FieldChange, change_frame, infer_new_fields, merge_schema, quote
 
 
 @dataclass
@@ -35,9 +36,8 @@ class BatchResult:
     census: list = field(default_factory=list)
     # {table: (records, convert errors)} once written by the sink
     written: dict = field(default_factory=dict)
-    # Per-table pending records when the batch was fanned out through a
-    # staging folder (``stage_by_table``); else a filter of ``admitted``.
-    sources: dict = field(default_factory=dict)
+    # {table: reason} of tables whose records were refused as a whole
+    refused: dict = field(default_factory=dict)
 
     @property
     def pending(self) -> DataFrame:
@@ -55,33 +55,26 @@ class BatchResult:
         return sum(n for t, _, reason, n in self.census if t == table and reason is None)
 
     def coerced(self, table: str, carry: tuple = ()) -> DataFrame:
-        """Typed rows of one table, with record coordinates and error column."""
-        rows = self.sources.get(table)
-        if rows is None:
-            rows = self.pending.filter(F.col("table") == F.lit(table))
-        return coerce_rows(rows, self.schemas[table], carry)
-
-    def stage_by_table(self, path: str, rows_per_task: int) -> None:
-        """Shuffle the pending records once by (table, salt) and write them
-        partitioned by table under ``path``; afterwards each table reads only
-        its own folder.  Salt buckets per table = records / rows_per_task, so
-        a table holding a third of the batch is still spread widely."""
-        buckets = {t: max(1, -(-self.records_of(t) // rows_per_task)) for t in self.tables}
-        kmap = F.create_map(*[x for t, k in buckets.items() for x in (F.lit(t), F.lit(k))])
-        salt = F.pmod(F.xxhash64("topic", "partition", "offset"), F.element_at(kmap, F.col("table")))
-        cols = ["table", "topic", "partition", "offset", "text", "first_byte", "envelope", "body"]
-        staged = (self.pending.filter(F.col("table").isin(*self.tables)).select(*cols)
-                  .repartition(sum(buckets.values()), F.col("table"), salt))
-        staged.write.mode("overwrite").partitionBy("table").parquet(path)
-        base = self.admitted.sparkSession.read.parquet(path)
-        self.sources = {t: base.filter(F.col("table") == F.lit(t)) for t in self.tables}
+        """Typed rows of one table, with record coordinates, error and loss columns."""
+        return coerce_rows(self.pending.filter(F.col("table") == F.lit(table)), self.schemas[table], carry)
 
     def rows(self, table: str) -> DataFrame:
         """The rows that land in ``table``: emitted records, schema order."""
         names = [f.name for f in self.schemas[table].fields]
-        return self.coerced(table).filter(F.col(ERR).isNull()).select(*[F.col(n) for n in names])
+        return self.coerced(table).filter(F.col(ERR).isNull()).select(*[F.col(quote(n)) for n in names])
 
-    def dispositions(self, with_text: bool = False) -> DataFrame:
+    def losses(self, table: str) -> DataFrame:
+        """``(table_name, column, kind, records)``: lossy conversions of one table's landed rows."""
+        c = self.coerced(table).filter(F.col(ERR).isNull()).select(F.explode(LOSS).alias("l"))
+        return (c.groupBy("l.column", "l.kind").agg(F.count(F.lit(1)).alias("records"))
+                .select(F.lit(table).alias("table_name"), "column", "kind", "records"))
+
+    def rejected(self, with_errors_of: list[str] | None = None) -> DataFrame:
+        """Skipped and failed records with their text; conversion errors of the
+        given tables only (default all)."""
+        return self.dispositions(True, with_errors_of).filter(F.col("disposition") != EMITTED)
+
+    def dispositions(self, with_text: bool = False, tables: list[str] | None = None) -> DataFrame:
         """One row per record: topic, partition, offset, table, disposition,
         reason, detail (failing column for ``convert_error``).  With
         ``with_text`` rejected records also carry ``text`` and ``first_byte``
@@ -90,13 +83,16 @@ class BatchResult:
         skipped = (self.admitted.filter(F.col("disposition") != PENDING)
                    .select("topic", "partition", "offset", "table", "disposition", "reason",
                            F.lit(None).cast("string").alias("detail"), *extra))
-        # Pending records of a table that got no columns (only `{}` seen).
+        # Pending records of a table that got no columns (only `{}` seen), or that was refused.
+        why, state = F.lit("no_columns"), F.lit(SKIPPED)
+        for table, reason in self.refused.items():
+            here = F.col("table") == F.lit(table)
+            why, state = F.when(here, F.lit(reason)).otherwise(why), F.when(here, F.lit(ERROR)).otherwise(state)
         empty = (self.pending.filter(~F.col("table").isin(*self.tables) if self.tables else F.lit(True))
-                 .select("topic", "partition", "offset", "table", F.lit(SKIPPED).alias("disposition"),
-                         F.lit("no_columns").alias("reason"), F.lit(None).cast("string").alias("detail"),
-                         *extra))
+                 .select("topic", "partition", "offset", "table", state.alias("disposition"),
+                         why.alias("reason"), F.lit(None).cast("string").alias("detail"), *extra))
         parts = [skipped, empty]
-        for table in self.tables:
+        for table in self.tables if tables is None else tables:
             c = self.coerced(table, tuple(extra))
             failed = F.col(ERR).isNotNull()
             c = c.select(
@@ -115,10 +111,6 @@ class BatchResult:
     def change_frame(self) -> DataFrame:
         return change_frame(self.admitted.sparkSession, self.changes, self.schemas)
 
-    def release(self) -> None:
-        self.admitted.unpersist()
-
-
 def spread(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a thin batch over ``min_partitions`` tasks before the
     per-record work (opt-in).  Round-robin, not by key, so a hot topic cannot
@@ -129,33 +121,42 @@ def spread(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return records
 
 
+STAGED = ("topic string, partition int, offset long, text string, first_byte string, envelope boolean, "
+          "fields array<string>, disposition string, reason string, table string")
+
+
+def staged(admitted: DataFrame, path: str) -> DataFrame:
+    """The admitted records written once, one folder per table, and read back.
+    No shuffle: a task writes the tables it holds.  The schema is given, so a
+    table named ``01`` stays text."""
+    names = [x.split(" ")[0] for x in STAGED.split(", ")]
+    admitted.select(*names).write.mode("overwrite").partitionBy("table").parquet(path)
+    return admitted.sparkSession.read.schema(STAGED).parquet(path)
+
+
 def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
            cfg: IngestConfig | None = None,
            route: Callable[[Column], Column] = topic_to_table,
-           persist: bool = True,
-           known_loader: Callable[[list[str]], dict[str, T.StructType]] | None = None) -> BatchResult:
+           known_loader: Callable[[list[str]], tuple[dict[str, T.StructType], dict[str, str]]] | None = None,
+           stage: str | None = None, reserved: tuple[str, ...] = ()) -> BatchResult:
     """Admit, infer and prepare coercion for one batch of records.
 
     ``known`` holds the schemas of tables that already exist (their column
     order comes first); ``known_loader`` fetches them for the tables present
-    in the batch instead.
+    in the batch instead, with the tables it refuses.
     """
     cfg = cfg or IngestConfig()
-    records = spread(records, cfg.min_partitions)
-    admitted = admit(records, route)
-    if persist:
-        admitted = admitted.persist(StorageLevel.MEMORY_AND_DISK)
-    if known_loader is not None:
-        known = known_loader(None)
-    known = {t: s for t, s in (known or {}).items() if s is not None}
-    census: list = []
-    changes = infer_new_fields(admitted, known, cfg.max_new_fields, cfg.max_exemplar_bytes,
-                               census_out=census, max_tables=cfg.max_tables)
-    present = sorted({table for table, _, reason, _ in census if reason is None})
-    known = {t: s for t, s in known.items() if t in present}
+    admitted = admit(spread(records, cfg.min_partitions), route, reserved)
+    if stage is not None:
+        admitted = staged(admitted, stage)
+    if known_loader is None:
+        def known_loader(tables):
+            return {t: known[t] for t in tables if known and known.get(t) is not None}, {}
+    changes, known, refused, census = infer_new_fields(admitted, known_loader, cfg.max_new_fields)
+    present = sorted({table for table, _, reason, _ in census if reason is None} - set(refused))
     schemas: dict[str, T.StructType] = {}
     for table in present:
         merged = merge_schema(known.get(table), [c for c in changes if c.table == table])
         if len(merged.fields):
             schemas[table] = merged
-    return BatchResult(admitted, schemas, changes, known, census)
+    return BatchResult(admitted, schemas, changes, known, census, refused=refused)

@@ -27,9 +27,6 @@ UNION ALL SELECT 'cdc.customers', count(*), min(c_custkey), max(c_custkey) FROM
 UNION ALL SELECT 'faulty', count(*), min(o_orderkey), max(o_orderkey) FROM orders
 UNION ALL SELECT 'dated', count(*), min(event_id), max(event_id) FROM events
 UNION ALL SELECT 'typed', count(*), min(p_partkey), max(p_partkey) FROM part
-UNION ALL SELECT 'demo.orders', count(*), min(o_orderkey), max(o_orderkey) FROM orders
-UNION ALL SELECT 'demo.payments', count(*), min(o_orderkey), max(o_orderkey) FROM orders
-UNION ALL SELECT 'demo.customers', count(*), min(c_custkey), max(c_custkey) FROM customer
 UNION ALL SELECT '__offsets', count(*), CAST(min(r_regionkey) AS BIGINT), CAST(max(r_regionkey) AS BIGINT) FROM region
 UNION ALL SELECT 'a.b', count(*), CAST(min(n_nationkey) AS BIGINT), CAST(max(n_nationkey) AS BIGINT) FROM nation WHERE n_nationkey % 2 = 0
 UNION ALL SELECT 'a-b', count(*), CAST(min(n_nationkey) AS BIGINT), CAST(max(n_nationkey) AS BIGINT) FROM nation WHERE n_nationkey % 2 = 1
@@ -40,6 +37,33 @@ _FAULTY_GOOD = """('{"id":"' || CAST(o_orderkey AS VARCHAR) || '","customer":' |
 
 _DATED_TEXT_AT = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
+def _schema_sql(tables: list) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, CAST({i} AS INTEGER) AS position, '{name}' AS field, '{dtype}' AS type, "
+        f"CAST({count} AS BIGINT) AS records FROM {rows}"
+        for table, rows, columns in tables for i, (name, dtype, count) in enumerate(columns))
+
+
+# Where a topic's offsets are cut into three micro-batches.
+def _cut(key: str, table: str) -> str:
+    last = f"(SELECT max({key}) FROM {table})"
+    return (f"CASE WHEN {key} <= CAST(floor({last} * 0.3) AS BIGINT) THEN 0 "
+            f"WHEN {key} <= CAST(floor({last} * 0.6) AS BIGINT) THEN 1 ELSE 2 END")
+
+
+_ORDER_FIELDS = """(VALUES (0, 'id', 'string'), (1, 'customer_id', 'string'), (2, 'total_price', 'double'),
+  (3, 'status', 'string'), (4, 'priority', 'string'), (5, 'ordered_on', 'string'), (6, 'discount_pct', 'double'))
+  AS f(position, field, type)"""
+# The first record of each column of the orders topic.
+_ORDER_FIRSTS = "SELECT min(o_orderkey) AS k0, min(o_orderkey) FILTER (WHERE o_orderkey >= 500) AS k1 FROM orders"
+
+_KIND_LOSS = """
+SELECT column_name AS "column", CASE WHEN column_name = 'n' AND m = 1 THEN 'truncation' ELSE 'wrong_kind' END AS kind
+FROM (SELECT p_partkey % 8 AS m FROM part WHERE p_partkey <> 0) p,
+     (VALUES ('b'), ('n'), ('d'), ('s'), ('o'), ('a')) AS c(column_name)
+WHERE m <> 5 AND CASE column_name WHEN 'b' THEN m <> 4 WHEN 'n' THEN m <> 0 WHEN 'd' THEN m > 1 WHEN 's' THEN m >= 6
+      WHEN 'o' THEN m <> 6 ELSE m <> 7 END"""
+
 ORACLE_SQL = {
     "ingest_orders_typed": _ORDERS_TYPED,
 
@@ -101,31 +125,76 @@ SELECT CAST(l.l_orderkey AS VARCHAR) AS id,
        CAST(l.l_linenumber AS BIGINT) AS line, l.l_quantity AS qty, l.l_extendedprice AS price, f.flags
 FROM lineitem l JOIN f ON l.l_orderkey = f.l_orderkey""",
 
-    "infer_schema_frame": """
-SELECT * FROM (VALUES
- ('a_b', 0, 'id', 'string'), ('a_b', 1, 'name', 'string'), ('a_b', 2, 'from_dot', 'bigint'),
- ('a_b', 3, 'from_dash', 'bigint'),
- ('cdc_customers', 0, 'id', 'string'), ('cdc_customers', 1, 'name', 'string'),
- ('cdc_customers', 2, 'segment', 'string'), ('cdc_customers', 3, 'nation', 'bigint'),
- ('cdc_customers', 4, '__deleted', 'string'),
- ('customers', 0, 'id', 'string'), ('customers', 1, 'name', 'string'), ('customers', 2, 'nation', 'bigint'),
- ('customers', 3, 'balance', 'double'), ('customers', 4, 'segment', 'string'), ('customers', 5, 'phone', 'string'),
- ('faulty', 0, 'id', 'string'), ('faulty', 1, 'customer', 'bigint'), ('faulty', 2, 'status', 'string'),
- ('faulty', 3, 'priority', 'string'), ('faulty', 4, 'payload', 'string'),
- ('kinds', 0, 'id', 'string'), ('kinds', 1, 'b', 'boolean'), ('kinds', 2, 'n', 'bigint'),
- ('kinds', 3, 'd', 'double'), ('kinds', 4, 's', 'string'), ('kinds', 5, 'o', 'struct<size:bigint,brand:string>'),
- ('kinds', 6, 'a', 'array<bigint>'),
- ('line_items', 0, 'id', 'string'), ('line_items', 1, 'items', 'array<struct<line:bigint,qty:double,price:double>>'),
- ('line_items', 2, 'flags', 'array<string>'),
- ('orders', 0, 'id', 'string'), ('orders', 1, 'customer_id', 'string'), ('orders', 2, 'total_price', 'double'),
- ('orders', 3, 'status', 'string'), ('orders', 4, 'priority', 'string'), ('orders', 5, 'ordered_on', 'string'),
- ('orders', 6, 'discount_pct', 'double'),
- ('orders_v2', 0, 'id', 'string'), ('orders_v2', 1, 'customer_id', 'string'), ('orders_v2', 2, 'total_price', 'double'),
- ('orders_v2', 3, 'status', 'string'), ('orders_v2', 4, 'priority', 'string'), ('orders_v2', 5, 'ordered_on', 'string'),
- ('orders_v2', 6, 'discount_pct', 'string'),
- ('user_events', 0, 'id', 'string'), ('user_events', 1, 'user_id', 'bigint'), ('user_events', 2, 'type', 'string'),
- ('user_events', 3, 'value', 'double'), ('user_events', 4, 'props', 'struct<k:bigint>')
-) AS t(table_name, position, field, type)""",
+    # (table, its rows, its columns in order: name, type, how many landed rows have a value)
+    "infer_schema_frame": _schema_sql([
+        ("a_b", "nation", [
+            ('id', 'string', 'count(*)'),
+            ('name', 'string', 'count(n_name)'),
+            ('from_dot', 'bigint', 'count(*) FILTER (WHERE n_nationkey % 2 = 0)'),
+            ('from_dash', 'bigint', 'count(*) FILTER (WHERE n_nationkey % 2 = 1)'),
+        ]),
+        ("cdc_customers", "customer WHERE c_custkey % 10 NOT IN (0, 5)", [
+            ('id', 'string', 'count(*)'),
+            ('name', 'string', 'count(c_name)'),
+            ('segment', 'string', 'count(c_mktsegment)'),
+            ('nation', 'bigint', 'count(c_nationkey)'),
+            ('__deleted', 'string', 'count(*)'),
+        ]),
+        ("customers", "customer", [
+            ('id', 'string', 'count(*)'),
+            ('name', 'string', 'count(c_name)'),
+            ('nation', 'bigint', 'count(c_nationkey)'),
+            ('balance', 'double', 'count(c_acctbal)'),
+            ('segment', 'string', 'count(c_mktsegment)'),
+            ('phone', 'string', 'count(*) FILTER (WHERE c_custkey % 10 >= 3)'),
+        ]),
+        ("faulty", "orders WHERE o_orderkey % 20 >= 8", [
+            ('id', 'string', 'count(*) FILTER (WHERE o_orderkey % 20 <> 11)'),
+            ('customer', 'bigint', 'count(*) FILTER (WHERE o_orderkey % 20 NOT IN (9, 10, 11))'),
+            ('status', 'string', 'count(*) FILTER (WHERE o_orderkey % 20 <> 11)'),
+            ('priority', 'string', 'count(*) FILTER (WHERE o_orderkey % 20 NOT IN (9, 10, 11))'),
+            ('payload', 'string', 'count(NULL)'),
+        ]),
+        ("kinds", "part", [
+            ('id', 'string', 'count(*)'),
+            ('b', 'boolean', 'count(*) FILTER (WHERE p_partkey = 0 OR p_partkey % 8 <> 5)'),
+            ('n', 'bigint', 'count(*) FILTER (WHERE p_partkey = 0 OR p_partkey % 8 <> 5)'),
+            ('d', 'double', 'count(*) FILTER (WHERE p_partkey = 0 OR p_partkey % 8 <> 5)'),
+            ('s', 'string', 'count(*) FILTER (WHERE p_partkey = 0 OR p_partkey % 8 <> 5)'),
+            ('o', 'struct<size:bigint,brand:string>', 'count(*) FILTER (WHERE p_partkey = 0 OR p_partkey % 8 = 6)'),
+            ('a', 'array<bigint>', 'count(*) FILTER (WHERE p_partkey = 0 OR p_partkey % 8 <> 5)'),
+        ]),
+        ("line_items", "lineitem", [
+            ('id', 'string', 'count(DISTINCT l_orderkey)'),
+            ('items', 'array<struct<line:bigint,qty:double,price:double>>', 'count(DISTINCT l_orderkey)'),
+            ('flags', 'array<string>', 'count(DISTINCT l_orderkey)'),
+        ]),
+        ("orders", "orders", [
+            ('id', 'string', 'count(*)'),
+            ('customer_id', 'string', 'count(o_custkey)'),
+            ('total_price', 'double', 'count(o_totalprice)'),
+            ('status', 'string', 'count(o_orderstatus)'),
+            ('priority', 'string', 'count(o_orderpriority)'),
+            ('ordered_on', 'string', 'count(o_orderdate)'),
+            ('discount_pct', 'double', 'count(*) FILTER (WHERE o_orderkey >= 500)'),
+        ]),
+        ("orders_v2", "orders", [
+            ('id', 'string', 'count(*)'),
+            ('customer_id', 'string', 'count(o_custkey)'),
+            ('total_price', 'double', 'count(o_totalprice)'),
+            ('status', 'string', 'count(o_orderstatus)'),
+            ('priority', 'string', 'count(o_orderpriority)'),
+            ('ordered_on', 'string', 'count(o_orderdate)'),
+            ('discount_pct', 'string', 'count(*) FILTER (WHERE o_orderkey >= 500 AND o_orderkey % 2 = 1)'),
+        ]),
+        ("user_events", "events", [
+            ('id', 'string', 'count(*)'),
+            ('user_id', 'bigint', 'count(user_id)'),
+            ('type', 'string', 'count(event_type)'),
+            ('value', 'double', 'count(value)'),
+            ('props', 'struct<k:bigint>', 'count(*)'),
+        ]),
+    ]),
 
     "null_first_pins_string": """
 SELECT CAST(o_orderkey AS VARCHAR) AS id,
@@ -133,47 +202,79 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id,
             ELSE '0.' || lpad(CAST(o_orderkey % 30 AS VARCHAR), 2, '0') END AS discount_pct
 FROM orders""",
 
-    "producer_demo_schema": """
-SELECT * FROM (VALUES
- ('demo_customers', 0, 'customer_id', 'string'), ('demo_customers', 1, 'name', 'string'),
- ('demo_customers', 2, 'email', 'string'), ('demo_customers', 3, 'phone', 'string'),
- ('demo_customers', 4, 'segment', 'string'), ('demo_customers', 5, 'created_at', 'string'),
- ('demo_orders', 0, 'order_id', 'string'), ('demo_orders', 1, 'customer_id', 'string'),
- ('demo_orders', 2, 'product_id', 'string'), ('demo_orders', 3, 'quantity', 'bigint'),
- ('demo_orders', 4, 'unit_price', 'double'), ('demo_orders', 5, 'status', 'string'),
- ('demo_orders', 6, 'created_at', 'string'), ('demo_orders', 7, 'discount_pct', 'string'),
- ('demo_payments', 0, 'payment_id', 'string'), ('demo_payments', 1, 'order_id', 'string'),
- ('demo_payments', 2, 'amount', 'double'), ('demo_payments', 3, 'currency', 'string'),
- ('demo_payments', 4, 'method', 'string'), ('demo_payments', 5, 'paid_at', 'string')
-) AS t(table_name, position, field, type)""",
-
-    "producer_demo_orders": """
-SELECT 'ORD-' || CAST(o_orderkey AS VARCHAR) AS order_id,
-       'CUST-' || CAST(1000 + o_custkey % 9000 AS VARCHAR) AS customer_id,
-       'PROD-' || CAST(100 + o_orderkey % 900 AS VARCHAR) AS product_id,
-       CAST(1 + o_orderkey % 50 AS BIGINT) AS quantity,
-       o_totalprice AS unit_price,
-       (['PENDING', 'CONFIRMED', 'SHIPPED', 'DELIVERED', 'CANCELLED'])[CAST(o_orderkey % 5 AS INTEGER) + 1] AS status,
-       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS created_at,
-       CASE WHEN o_orderkey < 50 OR o_orderkey % 2 = 0 THEN NULL
-            ELSE '0.' || lpad(CAST(o_orderkey % 30 AS VARCHAR), 2, '0') END AS discount_pct
-FROM orders""",
-
     "value_first_pins_double": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, {_DISCOUNT} AS discount_pct FROM orders",
 
     "evolve_add_column": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price, "
                          f"{_DISCOUNT} AS discount_pct FROM orders",
 
-    "schema_change_log": """
-SELECT * FROM (VALUES
- (0, 'orders', 0, 'id', 'string', 0, CAST(0 AS BIGINT)),
- (0, 'orders', 1, 'customer_id', 'string', 0, CAST(0 AS BIGINT)),
- (0, 'orders', 2, 'total_price', 'double', 0, CAST(0 AS BIGINT)),
- (0, 'orders', 3, 'status', 'string', 0, CAST(0 AS BIGINT)),
- (0, 'orders', 4, 'priority', 'string', 0, CAST(0 AS BIGINT)),
- (0, 'orders', 5, 'ordered_on', 'string', 0, CAST(0 AS BIGINT)),
- (1, 'orders', 6, 'discount_pct', 'double', 2, CAST(500 AS BIGINT))
-) AS t(batch, table_name, position, field, type, first_partition, first_offset)""",
+    "schema_change_log": f"""
+SELECT CAST(CASE WHEN position < 6 THEN 0 ELSE 1 END AS BIGINT) AS batch_id, 'orders' AS table_name, position, field, type,
+       CAST(CASE WHEN position < 6 THEN k0 ELSE k1 END % 3 AS INTEGER) AS first_partition,
+       CASE WHEN position < 6 THEN k0 ELSE k1 END AS first_offset
+FROM {_ORDER_FIELDS}, ({_ORDER_FIRSTS}) k""",
+
+    "stream_schema_changes": f"""
+SELECT CAST((SELECT {_cut('o_orderkey', 'orders')} FROM orders WHERE o_orderkey = CASE WHEN position < 6 THEN k0 ELSE k1 END)
+            AS BIGINT) AS batch_id, 'orders' AS table_name, position, field, type,
+       CASE WHEN position < 6 THEN k0 ELSE k1 END AS first_offset
+FROM {_ORDER_FIELDS}, ({_ORDER_FIRSTS}) k""",
+
+    "coercion_loss": f"""
+SELECT 'kinds' AS table_name, "column", kind, count(*) AS records FROM ({_KIND_LOSS}) x GROUP BY 2, 3
+UNION ALL
+SELECT 'big_numbers', 'n', 'overflow', count(*) FROM part WHERE p_partkey <> 0 AND p_partkey % 3 <> 2""",
+
+    "infer_nested_empty": """
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 10 <> 0 THEN c_custkey END AS c FROM customer""",
+
+    "awkward_names": """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS dotted, c_custkey AS spaced, c_mktsegment AS ticked,
+       CAST(c_nationkey AS BIGINT) AS accented, c_acctbal AS nested_dotted, c_custkey AS nested_spaced FROM customer""",
+
+    "documents_roundtrip": """
+SELECT 'documents' AS table_name, CAST(doc_id AS VARCHAR) AS id, text, lang AS tag FROM documents
+UNION ALL SELECT 'conversations', CAST(conv_id * 10000 + turn AS VARCHAR), text, role FROM conversations""",
+
+    "route_numeric_topics": """
+SELECT (['01', '1', '2', '3', '4', '5'])[CAST(c_custkey % 6 AS INTEGER) + 1] AS table_name,
+       CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer""",
+
+    "ingest_beside_map_table": """
+SELECT 'orders' AS topic, o_orderkey AS "offset", 'landed' AS outcome FROM orders
+UNION ALL SELECT 'customers', c_custkey, 'unsupported_table' FROM customer""",
+
+    "reserved_field_name": """
+SELECT c_custkey AS "offset", CASE WHEN c_custkey % 2 = 1 THEN 'reserved_field' ELSE 'landed' END AS outcome FROM customer""",
+
+    "append_plain_session": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price, "
+                            f"{_DISCOUNT} AS discount_pct FROM orders",
+
+    "multi_table_sink_values": """
+SELECT 'a_b' AS table_name, CAST(n_nationkey AS VARCHAR) AS id, n_name AS text, CAST(n_regionkey AS DOUBLE) AS number FROM nation
+UNION ALL SELECT 'cdc_customers', CAST(c_custkey AS VARCHAR), c_name || '/' || c_mktsegment || '/false', CAST(c_nationkey AS DOUBLE)
+  FROM customer WHERE c_custkey % 10 NOT IN (0, 5)
+UNION ALL SELECT 'customers', CAST(c_custkey AS VARCHAR), c_name || '/' || c_mktsegment || '/' ||
+  CASE WHEN c_custkey % 10 < 3 THEN '-' ELSE '+62-' || CAST(8000000 + c_custkey AS VARCHAR) END, c_acctbal FROM customer
+UNION ALL SELECT 'dated', CAST(event_id AS VARCHAR),
+  CASE WHEN event_id % 6 = 0 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR) WHEN event_id % 6 < 4 THEN '0' END,
+  CAST(CASE WHEN event_id % 6 = 0 THEN CAST(ts AS DATE) - DATE '1970-01-01' WHEN event_id % 6 < 4 THEN 0 END AS DOUBLE) FROM events
+UNION ALL SELECT 'faulty', CASE WHEN o_orderkey % 20 <> 11 THEN CAST(o_orderkey AS VARCHAR) END,
+  CASE WHEN o_orderkey % 20 = 11 THEN '-' WHEN o_orderkey % 20 = 9 THEN 'A' || chr(65533) || 'B' ELSE o_orderstatus END
+    || '/' || CASE WHEN o_orderkey % 20 IN (9, 10, 11) THEN '-' ELSE o_orderpriority END,
+  CAST(CASE WHEN o_orderkey % 20 NOT IN (9, 10, 11) THEN o_custkey END AS DOUBLE) FROM orders WHERE o_orderkey % 20 >= 8
+UNION ALL SELECT 'kinds', CAST(p_partkey AS VARCHAR),
+  CASE WHEN p_partkey = 0 THEN p_name WHEN p_partkey % 8 = 0 THEN CAST(p_size AS VARCHAR)
+       WHEN p_partkey % 8 = 1 THEN '1.5' WHEN p_partkey % 8 = 2 THEN '12' WHEN p_partkey % 8 = 3 THEN 'x'
+       WHEN p_partkey % 8 = 4 THEN 'true' WHEN p_partkey % 8 = 5 THEN NULL ELSE '' END,
+  CAST(CASE WHEN p_partkey = 0 THEN p_retailprice WHEN p_partkey % 8 = 0 THEN p_size
+       WHEN p_partkey % 8 = 1 THEN 1.5 WHEN p_partkey % 8 = 5 THEN NULL ELSE 0 END AS DOUBLE) FROM part
+UNION ALL SELECT 'line_items', CAST(l_orderkey AS VARCHAR), string_agg(l_returnflag, ',' ORDER BY l_returnflag),
+  CAST(count(*) AS DOUBLE) FROM lineitem GROUP BY l_orderkey
+UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), o_orderstatus || '/' || o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m-%d'),
+  o_totalprice FROM orders
+UNION ALL SELECT 'orders_v2', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey >= 500 AND o_orderkey % 2 = 1
+  THEN '0.' || lpad(CAST(o_orderkey % 30 AS VARCHAR), 2, '0') END, o_totalprice FROM orders
+UNION ALL SELECT 'user_events', CAST(event_id AS VARCHAR), event_type || '/' || json_extract_string(props, '$.k'), value FROM events""",
 
     "coerce_wrong_kind": """
 SELECT CAST(p_partkey AS VARCHAR) AS id,
@@ -228,8 +329,10 @@ UNION ALL SELECT 'orders_v2', count(*) FROM orders
 UNION ALL SELECT 'user_events', count(*) FROM events""",
 
     "list_tables": """
-SELECT * FROM (VALUES ('a_b'), ('cdc_customers'), ('customers'), ('dated'), ('faulty'), ('kinds'),
-  ('line_items'), ('orders'), ('orders_v2'), ('user_events')) AS t(table_name)""",
+SELECT 'a_b' AS table_name, count(*) AS "rows" FROM nation
+UNION ALL SELECT 'cdc_customers', count(*) FROM customer WHERE c_custkey % 10 NOT IN (0, 5)
+UNION ALL SELECT 'customers', count(*) FROM customer
+UNION ALL SELECT 'kinds', count(*) FROM part""",
 
     "append_change_log": """
 SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(v AS BIGINT) AS version, c_acctbal + v AS balance
@@ -237,11 +340,7 @@ FROM customer, unnest([1, 2, 3]) AS u(v)""",
 
     "replay_idempotent": "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price FROM orders",
 
-    "read_limit": "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price FROM orders "
-                  "ORDER BY CAST(o_orderkey AS VARCHAR) LIMIT 10",
-
-    "restart_reattach": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price, "
-                        f"{_DISCOUNT} AS discount_pct FROM orders",
+    "read_limit": "SELECT least(count(*), 10) AS \"rows\", least(count(*), 10) AS ids FROM orders",
 
     "restart_reload_schema": """
 SELECT position, field, type, (SELECT count(*) FROM orders) AS table_rows FROM (VALUES
@@ -252,10 +351,10 @@ SELECT position, field, type, (SELECT count(*) FROM orders) AS table_rows FROM (
     "stream_equals_batch": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price, "
                            f"{_DISCOUNT} AS discount_pct FROM orders",
 
-    "stream_batch_stats": """
+    "stream_batch_stats": f"""
 SELECT CAST(b AS BIGINT) AS batch_id, count(*) AS received, count(*) AS emitted,
        CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS errors
-FROM (SELECT CASE WHEN o_orderkey < 300 THEN 0 WHEN o_orderkey < 1000 THEN 1 ELSE 2 END AS b FROM orders) o
+FROM (SELECT {_cut('o_orderkey', 'orders')} AS b FROM orders) o
 GROUP BY b""",
 
     "ingest_counters": """
@@ -313,5 +412,7 @@ FROM (SELECT page_id, path,
           WHEN 1 THEN 'oss://lake-' || CAST(page_id % 7 AS VARCHAR) || '/' || path
           ELSE 'oss://LAKE-' || CAST(page_id % 7 AS VARCHAR) || '.ap-southeast-5.oss-dls.aliyuncs.com/' || path
         END AS loc
-      FROM (SELECT page_id, 'warehouse/raw/t' || CAST(page_id AS VARCHAR) || '/data.parquet' AS path FROM pages) p) q""",
+      FROM (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS path FROM pages) p) q""",
 }
+
+ORACLE_SQL["stream_rejects"] = ORACLE_SQL["reject_frame"]

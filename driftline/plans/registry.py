@@ -21,11 +21,12 @@ from driftline.operators.admit import EMITTED, PENDING
 from driftline.operators.coerce import ERR, SRC
 from driftline.operators.observe import counters, first_record_sample, reject_frame
 from driftline.plans.ingest import BatchResult, ingest
-from driftline.plans.sink import TableStore, ingest_into
-from driftline.session import apply_session_conf, shared_dir
+from driftline.operators.infer import quote
+from driftline.plans.sink import CHANGES_TABLE, LOSS_TABLE, REJECTS_TABLE, STATS_TABLE, TableStore, ingest_into
+from driftline.session import apply_session_conf, shared_path
 from driftline.sources import fixtures as fx
 from driftline.sources.records import read_record_stream, slice_from_offsets, topic_filter
-from driftline.streaming.runner import STATS_TABLE, start_ingest
+from driftline.streaming.runner import start_ingest
 
 DEFAULT_PATTERN = IngestConfig().topic_pattern      # "[^_].*"
 DATED_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("day", T.DateType()),
@@ -47,7 +48,7 @@ def _rows(spark, sf, name, table) -> DataFrame:
 
 def _store(spark: SparkSession, tag: str) -> TableStore:
     ns = f"dl_{tag}_{uuid.uuid4().hex[:10]}"
-    store = TableStore(spark, ns, shared_dir(spark, "warehouse", ns))
+    store = TableStore(spark, ns, shared_path(spark, "warehouse", ns))
     store.ensure_namespace()
     return store
 
@@ -71,8 +72,7 @@ def outcomes(result: BatchResult, table: str, cols: list[str]) -> DataFrame:
 
 def topic_pattern_scan(spark, sf):
     """Subscribe by pattern; the internal topic is left out."""
-    with fx.unspread():                     # counted, not parsed
-        recs = topic_filter(fx.all_records(_prep(spark), sf), DEFAULT_PATTERN)
+    recs = topic_filter(fx.all_records(_prep(spark), sf), DEFAULT_PATTERN)
     return recs.groupBy("topic").agg(F.count(F.lit(1)).alias("records"),
                                      F.min("offset").alias("min_offset"),
                                      F.max("offset").alias("max_offset"))
@@ -83,8 +83,7 @@ START_SPEC = {"orders": {"0": 3000, "1": -2, "2": -1}, "customers": {"0": -1, "1
 
 def start_offset_slice(spark, sf):
     """S3: per-partition starting offsets (-2 earliest, -1 latest)."""
-    with fx.unspread():
-        recs = fx.all_records(_prep(spark), sf, ["orders", "customers"])
+    recs = fx.all_records(_prep(spark), sf, ["orders", "customers"])
     sliced = slice_from_offsets(recs, START_SPEC)
     return sliced.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("records"),
                                                     F.min("offset").alias("min_offset"))
@@ -140,34 +139,51 @@ SCHEMA_FRAMES = ["orders", "orders_nullfirst", "customers", "events", "lines", "
 
 
 def infer_schema_frame(spark, sf):
-    """(table, position, field, type) of every inferred table."""
+    """(table, position, field, type) of every inferred table, and how
+    many landed rows have a value there."""
     res = _ingest(spark, sf, SCHEMA_FRAMES)
-    rows = [(t, i, f.name, f.dataType.simpleString())
-            for t in res.tables for i, f in enumerate(res.schemas[t].fields)]
-    res.release()
-    return spark.createDataFrame(rows, "table_name string, position int, field string, type string")
+    out = None
+    for t in res.tables:
+        fields = res.schemas[t].fields
+        counts = res.rows(t).agg(*[F.count(F.col(quote(f.name))).alias(f"c{i}") for i, f in enumerate(fields)])
+        lines = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("field"),
+                                   F.lit(f.dataType.simpleString()).alias("type"), F.col(f"c{i}").alias("records"))
+                          for i, f in enumerate(fields)])
+        part = counts.select(F.lit(t).alias("table_name"), F.explode(lines).alias("l")).select("table_name", "l.*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-def null_first_pins_string(spark, sf):
-    return _rows(spark, sf, "orders_nullfirst", "orders_v2").select("id", "discount_pct")
+def infer_nested_empty(spark, sf):
+    """An object without any value pins nothing, however deep; the first
+    later record with content does."""
+    rows = _rows(spark, sf, "nested_empty", "nested_empty")
+    return rows.select("id", F.col("a.b.c").alias("c"))
 
 
-def value_first_pins_double(spark, sf):
-    return _rows(spark, sf, "orders", "orders").select("id", "discount_pct")
+def awkward_names(spark, sf):
+    """P5: dots, spaces, backticks and other letters in names, batch interface."""
+    rows = _rows(spark, sf, "awkward", "awkward")
+    return rows.select("id", F.col("`a.b`").alias("dotted"), F.col("`c d`").alias("spaced"), F.col("`e``f`").alias("ticked"),
+                       F.col("`Ünï`").alias("accented"), F.col("`g-h`.`p.q`").alias("nested_dotted"),
+                       F.col("`g-h`.`r s`").alias("nested_spaced"))
 
 
-def producer_demo_schema(spark, sf):
-    """The demo producer's topics; ``discount_pct`` first appears null
-    (record 50), so it is pinned to text, as the reference would do."""
-    res = _ingest(spark, sf, ["demo_producer"])
-    rows = [(t, i, f.name, f.dataType.simpleString())
-            for t in res.tables for i, f in enumerate(res.schemas[t].fields)]
-    res.release()
-    return spark.createDataFrame(rows, "table_name string, position int, field string, type string")
+def documents_roundtrip(spark, sf):
+    """C6 on real text: whole documents and conversation turns through the sink."""
+    store = _store(_prep(spark), "docs")
+    ingest_into(store, fx.all_records(spark, sf, ["documents", "conversations"]), "b0")
+    docs = store.read("documents").select(F.lit("documents").alias("table_name"), "id", "text", F.col("lang").alias("tag"))
+    return docs.unionByName(store.read("conversations").select(
+        F.lit("conversations").alias("table_name"), "id", "text", F.col("role").alias("tag")))
 
 
-def producer_demo_orders(spark, sf):
-    return _ingest(spark, sf, ["demo_producer"]).rows("demo_orders")
+def null_first_pins_string(spark, sf):
+    return _rows(spark, sf, "orders_nullfirst", "orders_v2").select("id", "discount_pct")
+
+
+def value_first_pins_double(spark, sf):
+    return _rows(spark, sf, "orders", "orders").select("id", "discount_pct")
 
 
 # -- coercion ----------------------------------------------------------------
@@ -201,11 +217,17 @@ def coerce_existing_types(spark, sf):
                       F.hex("bin").alias("bin_hex"), F.col("dec").cast("string").alias("dec_text"), "note")
 
 
+def coercion_loss(spark, sf):
+    """What wrong kinds, overflow and truncation cost, per column."""
+    store = _store(_prep(spark), "loss")
+    ingest_into(store, fx.all_records(spark, sf, ["wide_kinds", "big_numbers"]), "b0", batch_id=0)
+    return store.read(LOSS_TABLE).drop("batch_id")
+
+
 # -- routing and sink --------------------------------------------------------
 
 def route_topics_to_tables(spark, sf):
-    with fx.unspread():
-        recs = fx.all_records(_prep(spark), sf)
+    recs = fx.all_records(_prep(spark), sf)
     return recs.groupBy("topic").agg(F.count(F.lit(1)).alias("records")).select(
         "topic", topic_to_table(F.col("topic")).alias("table_name"), "records")
 
@@ -233,68 +255,133 @@ def multi_table_sink_counts(spark, sf):
     return out
 
 
+# What of each landed table is compared: a text and a number made of its columns.
+VALUE_COLUMNS = {
+    "a_b": ("name", "coalesce(from_dot, from_dash)"),
+    "cdc_customers": ("concat(name, '/', segment, '/', __deleted)", "nation"),
+    "customers": ("concat(name, '/', segment, '/', coalesce(phone, '-'))", "balance"),
+    "dated": ("cast(at as string)", "day"),
+    "faulty": ("concat(coalesce(status, '-'), '/', coalesce(priority, '-'))", "customer"),
+    "kinds": ("s", "d"),
+    "line_items": ("array_join(flags, ',')", "size(items)"),
+    "orders": ("concat(status, '/', priority, '/', ordered_on)", "total_price"),
+    "orders_v2": ("discount_pct", "total_price"),
+    "user_events": ("concat(type, '/', props.k)", "value"),
+}
+
+
+def multi_table_sink_values(spark, sf):
+    """K1-K8: the landed values of every table of one batch."""
+    store = _sink_all(_prep(spark), sf, "values")
+    parts = [store.read(t).select(F.lit(t).alias("table_name"), "id", F.expr(text).alias("text"),
+                                  F.expr(number).cast("double").alias("number"))
+             for t, (text, number) in VALUE_COLUMNS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def route_numeric_topics(spark, sf):
+    """Topics named like numbers keep their own tables."""
+    store = _store(_prep(spark), "numeric")
+    ingest_into(store, fx.records(spark, sf, "numeric_topics"), "b0")
+    parts = [store.read(t).select(F.lit(t).alias("table_name"), "id", "name") for t in store.table_names()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+LISTED = ["customers", "enveloped", "wide_kinds", "collide"]
+
+
 def list_tables(spark, sf):
-    store = _sink_all(_prep(spark), sf, "list")
-    return store.list_tables().select(F.col("table").alias("table_name"))
+    """One small batch, its tables and how many rows each holds."""
+    store = _store(_prep(spark), "list")
+    ingest_into(store, fx.all_records(spark, sf, LISTED), "b0")
+    out = None
+    for r in store.list_tables().collect():          # catalog names
+        part = store.read(r["table"]).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(r["table"]).alias("table_name"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def ingest_beside_map_table(spark, sf):
+    """A table that cannot take rows costs only its own topic's records."""
+    store = _store(_prep(spark), "beside")
+    for t in ("customers", "unrelated"):
+        spark.sql(f"CREATE TABLE {store.name(t)} (id STRING, m MAP<STRING, STRING>, _ingest_batch STRING) "
+                  f"USING parquet PARTITIONED BY (_ingest_batch)")
+    ingest_into(store, fx.all_records(spark, sf, ["orders", "customers"]), "b0", batch_id=0)
+    landed = store.read("orders").select(F.lit("orders").alias("topic"), F.col("id").cast("bigint").alias("offset"),
+                                         F.lit("landed").alias("outcome"))
+    return landed.unionByName(store.read(REJECTS_TABLE).select("topic", "offset", F.col("reason").alias("outcome")))
+
+
+def reserved_field_name(spark, sf):
+    """K2: a record with a field named like the hidden column is rejected; the rest lands."""
+    store = _store(_prep(spark), "reserved")
+    ingest_into(store, fx.records(spark, sf, "reserved"), "b0", batch_id=0)
+    landed = store.read("reserved").select(F.col("id").cast("bigint").alias("offset"), F.lit("landed").alias("outcome"))
+    return landed.unionByName(store.read(REJECTS_TABLE).select("offset", F.col("reason").alias("outcome")))
+
+
+def append_plain_session(spark, sf):
+    """K4: two batches through a session that nobody prepared keep both batches' rows."""
+    recs = fx.records(_prep(spark), sf, "orders")
+    plain = spark.newSession()
+    store = TableStore(plain, f"dl_plain_{uuid.uuid4().hex[:10]}", shared_path(spark, "warehouse", "plain", unique=True))
+    again = plain.read.schema(recs.schema).parquet(*recs.inputFiles())
+    for i, cond in enumerate(["offset < 500", "offset >= 500"]):
+        plain.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        plain.conf.set("spark.sql.caseSensitive", "false")
+        ingest_into(store, again.filter(cond), f"b{i}")
+    return store.read("orders").select("id", "total_price", "discount_pct")
 
 
 def evolve_add_column(spark, sf):
     """Batch 0 (keys < 500) creates the table, batch 1 adds
     ``discount_pct``; earlier rows read null."""
     store = _store(_prep(spark), "evolve")
-    recs = fx.orders(spark, sf)
+    recs = fx.records(spark, sf, "orders")
     ingest_into(store, recs.filter("offset < 500"), "b0")
     ingest_into(store, recs.filter("offset >= 500"), "b1")
     return store.read("orders").select("id", "total_price", "discount_pct")
 
 
 def schema_change_log(spark, sf):
-    """The schema-change frame of the two batches above."""
+    """The schema changes that the two batches above write."""
     store = _store(_prep(spark), "changes")
-    recs = fx.orders(spark, sf)
-    frames = []
+    recs = fx.records(spark, sf, "orders")
     for i, cond in enumerate(["offset < 500", "offset >= 500"]):
-        res = ingest_into(store, recs.filter(cond), f"b{i}", keep=True)
-        frames.append(res.change_frame().select(F.lit(i).alias("batch"), "*"))
-        res.release()
-    return frames[0].unionByName(frames[1]).select(
-        "batch", "table", "position", "field", "type", "first_partition", "first_offset").withColumnRenamed(
-        "table", "table_name")
+        ingest_into(store, recs.filter(cond), f"b{i}", batch_id=i)
+    return store.read(CHANGES_TABLE).drop("first_topic")
 
 
 def append_change_log(spark, sf):
     """K4: every change is a row; versions of a key are all kept."""
     store = _store(_prep(spark), "changelog")
-    ingest_into(store, fx.customer_versions(spark, sf), "b0")
+    ingest_into(store, fx.records(spark, sf, "customer_versions"), "b0")
     return store.read("customers_changes").select("id", "version", "balance")
 
 
 def replay_idempotent(spark, sf):
     """The same batch written twice leaves one copy."""
     store = _store(_prep(spark), "replay")
-    recs = fx.orders(spark, sf)
+    recs = fx.records(spark, sf, "orders")
     ingest_into(store, recs, "q-0")
     ingest_into(store, recs, "q-0")
     return store.read("orders").select("id", "total_price")
 
 
 def read_limit(spark, sf):
-    """A limited read-back (ordered, so the ten rows are fixed)."""
+    """A limited read-back; which rows come is open, so their number and
+    whether they are rows of the table is returned."""
     store = _store(_prep(spark), "limit")
-    ingest_into(store, fx.orders(spark, sf), "b0")
-    return store.read("orders").orderBy("id").limit(10).select("id", "total_price")
-
-
-def restart_reattach(spark, sf):
-    """I8 across processes: batch 0 lands through one catalog entry, batch 1
-    through a store whose catalog never saw the table (a restarted job
-    without a metastore); the table is found again and widened."""
-    first = _store(_prep(spark), "reattach")
-    recs = fx.orders(spark, sf)
-    ingest_into(first, recs.filter("offset < 500"), "b0")
-    again = TableStore(spark, first.namespace + "_restarted", first.location)
-    ingest_into(again, recs.filter("offset >= 500"), "b1")
-    return again.read("orders").select("id", "total_price", "discount_pct")
+    ingest_into(store, fx.records(spark, sf, "orders"), "b0")
+    some, every = store.read_limit("orders", 10), store.read("orders").select("id").distinct()
+    return some.join(every, "id", "left_semi").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"))
 
 
 def restart_reload_schema(spark, sf):
@@ -303,7 +390,7 @@ def restart_reload_schema(spark, sf):
     store = _store(_prep(spark), "reload")
     spark.sql(f"CREATE TABLE {store.name('orders')} (status STRING, id STRING, note STRING, "
               f"_ingest_batch STRING) USING parquet PARTITIONED BY (_ingest_batch)")
-    ingest_into(store, fx.orders(spark, sf), "b0")
+    ingest_into(store, fx.records(spark, sf, "orders"), "b0")
     sch = store.schema("orders")
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(sch.fields)]
     n = store.read("orders").count()
@@ -311,26 +398,25 @@ def restart_reload_schema(spark, sf):
                                  "position int, field string, type string, table_rows bigint")
 
 
-# Offsets at which the replayed record files are cut (in key order).
-STREAM_CUTS = [300, 1000]
+# Shares of a topic's offsets at which the replayed record files are cut.
+STREAM_CUTS = [0.3, 0.6]
 
 
-def _stream_run(spark, sf):
+def _stream_run(spark, sf, frames=("orders",), before=None):
     """Record files cut in key order; after each cut the ingest query is
     (re)started on the same checkpoint and drains what is new, so every cut
     is one micro-batch and the run restarts twice."""
     _prep(spark)
-    base = shared_dir(spark, "stream", unique=True)
+    base = shared_path(spark, "stream", unique=True)
     src, ckpt = f"{base}/records", f"{base}/checkpoint"
-    recs = fx.orders(spark, sf)
-    bounds = [0, *STREAM_CUTS, None]
+    recs = fx.all_records(spark, sf, list(frames))
+    last = recs.agg(F.max("offset")).first()[0] or 0
+    bounds = [-1, *[int(last * c) for c in STREAM_CUTS], last]
     store = _store(spark, "stream")
-    for part in range(len(bounds) - 1):
-        lo, hi = bounds[part], bounds[part + 1]
-        cond = F.col("offset") >= lo
-        if hi is not None:
-            cond = cond & (F.col("offset") < hi)
-        recs.filter(cond).write.mode("append").parquet(src)
+    if before:
+        before(store)
+    for lo, hi in zip(bounds, bounds[1:]):
+        recs.filter((F.col("offset") > lo) & (F.col("offset") <= hi)).write.mode("append").parquet(src)
         q = start_ingest(read_record_stream(spark, src, DEFAULT_PATTERN), store, ckpt,
                          IngestConfig(), query_name=None, available_now=True)
         q.awaitTermination()
@@ -349,6 +435,24 @@ def stream_batch_stats(spark, sf):
     return store.read(STATS_TABLE)
 
 
+def _dated_table(store):
+    spark = store.spark
+    spark.sql(f"CREATE TABLE {store.name('dated')} ({fx.DATED_DDL}, _ingest_batch STRING) "
+              f"USING parquet PARTITIONED BY (_ingest_batch)")
+
+
+def stream_rejects(spark, sf):
+    """O3/O4 in the running job: why records vanished, over a run with restarts."""
+    store = _stream_run(spark, sf, ["faulty", "dated"], _dated_table)
+    return store.read(REJECTS_TABLE).drop("batch_id", "partition")
+
+
+def stream_schema_changes(spark, sf):
+    """I10 in the running job."""
+    store = _stream_run(spark, sf)
+    return store.read(CHANGES_TABLE).drop("first_topic", "first_partition")
+
+
 # -- observability -----------------------------------------------------------
 
 OBSERVED = ["faulty", "enveloped", "dated", "orders"]
@@ -373,8 +477,7 @@ def first_record_samples(spark, sf):
 
 
 def normalize_locations(spark, sf):
-    with fx.unspread():
-        loc = fx.locations(_prep(spark), sf)
+    loc = fx.locations(_prep(spark), sf)
     return loc.select("page_id", "location", normalize_location("location").alias("normalized"))
 
 
@@ -390,8 +493,6 @@ QUERIES = {
     "ingest_line_arrays": ingest_line_arrays,
     "infer_schema_frame": infer_schema_frame,
     "null_first_pins_string": null_first_pins_string,
-    "producer_demo_schema": producer_demo_schema,
-    "producer_demo_orders": producer_demo_orders,
     "value_first_pins_double": value_first_pins_double,
     "evolve_add_column": evolve_add_column,
     "schema_change_log": schema_change_log,
@@ -406,11 +507,21 @@ QUERIES = {
     "stream_equals_batch": stream_equals_batch,
     "stream_batch_stats": stream_batch_stats,
     "restart_reload_schema": restart_reload_schema,
-    "restart_reattach": restart_reattach,
     "ingest_counters": ingest_counters,
     "reject_frame": reject_report,
     "first_record_sample": first_record_samples,
     "normalize_locations": normalize_locations,
     "list_tables": list_tables,
     "read_limit": read_limit,
+    "append_plain_session": append_plain_session,
+    "route_numeric_topics": route_numeric_topics,
+    "infer_nested_empty": infer_nested_empty,
+    "multi_table_sink_values": multi_table_sink_values,
+    "ingest_beside_map_table": ingest_beside_map_table,
+    "reserved_field_name": reserved_field_name,
+    "stream_rejects": stream_rejects,
+    "stream_schema_changes": stream_schema_changes,
+    "coercion_loss": coercion_loss,
+    "documents_roundtrip": documents_roundtrip,
+    "awkward_names": awkward_names,
 }

@@ -17,72 +17,51 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.config import IngestConfig
-from driftline.operators.coerce import ERR, ddl_type
+from driftline.operators.coerce import ERR, LOSS, ddl_type
 from driftline.operators.infer import quote
+from driftline.operators.observe import reject_frame
 from driftline.plans.ingest import BatchResult, ingest
-from driftline.session import shared_dir
+from driftline.session import apply_session_conf, shared_path
 
 BATCH_COL = "_ingest_batch"
 
 
+class UnsupportedTable(TypeError):
+    """An existing table that cannot take ingested rows."""
+
+
 class TableStore:
     """Parquet tables in a catalog namespace."""
 
-    def __init__(self, spark: SparkSession, namespace: str, location: str | None = None):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, namespace: str, location: str | None = None, catalog: str | None = None):
+        self.spark = apply_session_conf(spark)
         self.namespace = namespace
         self.location = location
+        self.catalog = catalog if catalog and catalog != "spark_catalog" else None
         # Schemas this writer has seen or changed (one catalog read per table
         # and process, like the reference's per-task cache).
         self._cache: dict[str, T.StructType] = {}
 
     # -- catalog -----------------------------------------------------------
+    @property
+    def full_namespace(self) -> str:
+        return ".".join(quote(x) for x in (self.catalog, self.namespace) if x)
+
     def ensure_namespace(self) -> None:
-        """K8: create the namespace if needed; on first use in a process,
-        re-register tables already stored at its location (``attach``)."""
+        """K8: create the namespace if needed."""
+        apply_session_conf(self.spark)      # DDL compares column names as the engine does
         loc = f" LOCATION '{self.location}'" if self.location else ""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(self.namespace)}{loc}")
-        if not getattr(self, "_attached", False):
-            self.attach()
-            self._attached = True
-
-    def attach(self) -> list[str]:
-        """Restart without a persistent catalog: every table folder under the
-        namespace location that the catalog does not know is registered
-        again.  Its schema is merged from the Parquet footers (later files
-        hold every earlier column, so table order is kept) and its batch
-        partitions are recovered.  With a persistent catalog this finds
-        nothing to do."""
-        if not self.location:
-            return []
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.location)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        known = set(self.table_names())
-        found = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if not st.isDirectory() or name.startswith(".") or name in known:
-                continue
-            if not any(c.getPath().getName().startswith(BATCH_COL + "=") for c in fs.listStatus(st.getPath())):
-                continue
-            path = st.getPath().toString()
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(name)} USING parquet "
-                           f"OPTIONS (mergeSchema 'true') LOCATION '{path}'")
-            self.spark.sql(f"ALTER TABLE {self.name(name)} RECOVER PARTITIONS")
-            found.append(name)
-        return found
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.full_namespace}{loc}")
 
     def name(self, table: str) -> str:
-        return f"{quote(self.namespace)}.{quote(table)}"
+        return f"{self.full_namespace}.{quote(table)}"
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -95,18 +74,29 @@ class TableStore:
             return self._cache[table]
         if not self.exists(table):
             return None
-        fields = [f for f in self.spark.table(self.name(table)).schema.fields if f.name != BATCH_COL]
-        for f in fields:
-            if isinstance(f.dataType, T.MapType):
-                raise TypeError(f"{table}.{f.name}: MAP columns cannot be ingest targets")
-        self._cache[table] = T.StructType(fields)
+        fields = self.spark.table(self.name(table)).schema.fields
+        self._check(table, fields)
+        self._cache[table] = T.StructType([f for f in fields if f.name != BATCH_COL])
         return self._cache[table]
 
-    def schemas(self, tables: list[str] | None = None) -> dict[str, T.StructType]:
-        """Schemas of ``tables`` (default: every table of the namespace)."""
-        if tables is None:
-            tables = self.table_names()
-        return {t: s for t in tables if (s := self.schema(t)) is not None}
+    def _check(self, table: str, fields: list[T.StructField]) -> None:
+        for f in fields:
+            if isinstance(f.dataType, T.MapType):
+                raise UnsupportedTable(f"{table}.{f.name}: MAP columns cannot be ingest targets")
+        if BATCH_COL not in {f.name for f in fields}:
+            raise UnsupportedTable(f"{table}: not a table of this job (no {BATCH_COL} column)")
+
+    def schemas(self, tables: list[str]) -> tuple[dict[str, T.StructType], dict[str, str]]:
+        """Schemas of those ``tables`` that exist, and the ones that cannot take
+        rows, with a reason.  Other tables of the namespace are not looked at."""
+        found, refused = {}, {}
+        for t in tables:
+            try:
+                if (s := self.schema(t)) is not None:
+                    found[t] = s
+            except UnsupportedTable:
+                refused[t] = "unsupported_table"
+        return found, refused
 
     def create(self, table: str, schema: T.StructType) -> None:
         """K2: create an unpartitioned-by-data table (only the hidden batch column)."""
@@ -133,8 +123,28 @@ class TableStore:
                           F.lit(batch_tag).alias(BATCH_COL))
         if parallelism:
             out = out.coalesce(parallelism)        # narrow: merges partitions, no shuffle (K5/K6)
+        self._insert(out, table)
+
+    def _insert(self, out: DataFrame, table: str) -> None:
+        """Replace the partitions that ``out`` holds, and no others.  The session
+        that runs the write decides this (a streaming batch has its own), so the
+        setting is made and checked there: without it an insert would empty the
+        whole table."""
+        session = apply_session_conf(out.sparkSession)
+        mode = session.conf.get("spark.sql.sources.partitionOverwriteMode").lower()
+        if mode != "dynamic":
+            raise RuntimeError(f"refusing to write {table}: partitionOverwriteMode is {mode}, it must be dynamic")
         out.write.insertInto(self.name(table), overwrite=True)
 
+    def append_log(self, table: str, ddl: str, rows: DataFrame, batch_tag: str) -> None:
+        """Append one batch's rows to a table of the job's own (statistics,
+        rejects, schema changes, losses); a replay replaces them."""
+        if not self.exists(table):
+            cols = ", ".join(f"{quote(f.name)} {ddl_type(f.dataType)}" for f in T._parse_datatype_string(ddl).fields)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({cols}, {BATCH_COL} STRING) "
+                           f"USING parquet PARTITIONED BY ({BATCH_COL})")
+        self._insert(rows.withColumn(BATCH_COL, F.lit(batch_tag)), table)
+
     # -- read-back -----------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         """A landed table without the hidden column."""
@@ -147,7 +157,7 @@ class TableStore:
     def table_names(self) -> list[str]:
         """Persistent tables of the namespace (the catalog also lists the
         session's temporary views; they are not ours)."""
-        return sorted(t.name for t in self.spark.catalog.listTables(self.namespace) if not t.isTemporary)
+        return sorted(t.name for t in self.spark.catalog.listTables(self.full_namespace) if not t.isTemporary)
 
     def list_tables(self) -> DataFrame:
         """The tables of the namespace."""
@@ -155,11 +165,17 @@ class TableStore:
         return self.spark.createDataFrame(rows, "namespace string, table string")
 
 
+    def list_namespaces(self) -> DataFrame:
+        """The namespaces of the catalog."""
+        within = f" IN {quote(self.catalog)}" if self.catalog else ""
+        return self.spark.sql(f"SHOW NAMESPACES{within}")
+
+
 class IcebergTableStore(TableStore):
     """Same contract on an Iceberg catalog (needs the Iceberg runtime; not
-    available in this container).  K9: writes go to the table's main branch.  Iceberg commits are atomic per table and
-    evolve schemas natively; idempotence comes from the snapshot property
-    carrying the batch tag."""
+    available in this container).  K9: writes go to the table's main branch.
+    Iceberg commits are atomic per table and evolve schemas natively;
+    idempotence comes from the snapshot property carrying the batch tag."""
 
     def create(self, table: str, schema: T.StructType) -> None:
         cols = ", ".join(f"{quote(f.name)} {ddl_type(f.dataType)}" for f in schema.fields)
@@ -170,9 +186,15 @@ class IcebergTableStore(TableStore):
             return self._cache[table]
         if not self.exists(table):
             return None
-        self._cache[table] = self.spark.table(self.name(table)).schema
+        fields = self.spark.table(self.name(table)).schema.fields
+        self._check(table, fields)
+        self._cache[table] = T.StructType(fields)
         return self._cache[table]
 
+    def _check(self, table: str, fields: list[T.StructField]) -> None:
+        if any(isinstance(f.dataType, T.MapType) for f in fields):
+            raise UnsupportedTable(f"{table}: MAP columns cannot be ingest targets")
+
     def append(self, table: str, rows: DataFrame, batch_tag: str, parallelism: int | None = None) -> None:
         snaps = self.spark.sql(
             f"SELECT 1 FROM {self.name(table)}.snapshots WHERE summary['driftline.batch'] = '{batch_tag}'")
@@ -188,44 +210,51 @@ class IcebergTableStore(TableStore):
         return self.spark.table(self.name(table))
 
 
+class TableErrors(RuntimeError):
+    """Some tables of a batch could not be written; the others were."""
+
+    def __init__(self, errors: dict[str, Exception]):
+        super().__init__("; ".join(f"{t}: {type(e).__name__}: {str(e)[:300]}" for t, e in sorted(errors.items())))
+        self.errors = errors
+
+
+@dataclass
+class Written:
+    records: int
+    errors: int
+    lossy: int
+
+
 def write_result(store: TableStore, result: BatchResult, batch_tag: str,
-                 cfg: IngestConfig) -> dict[str, tuple[int, int]]:
-    """K1: DDL for every table of the batch first, then the appends (a few
-    tables at a time; each append is its own distributed job).
-
-    Returns {table: (records, convert errors)}, observed while writing, so
-    counting needs no extra pass over the batch."""
-    for table in result.tables:
-        if not store.exists(table):
-            store.create(table, result.schemas[table])
-        elif result.new_fields(table):
-            store.add_columns(table, result.new_fields(table))
-
-    stage = None
-    if len(result.tables) > cfg.fanout_cached_tables:
-        stage = shared_dir(store.spark, "stage", unique=True)
-        result.stage_by_table(stage, cfg.rows_per_write_task)
+                 cfg: IngestConfig) -> tuple[dict[str, Written], dict[str, Exception]]:
+    """K1: for every table of the batch its DDL, then its append (a few tables
+    at a time; each append is its own distributed job).
 
+    Returns the counts observed while writing (no extra pass over the batch),
+    and the tables that failed: one table's failure does not stop the others."""
     def one(table):
-        obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
-        coerced = result.coerced(table).observe(
-            obs, F.count(F.lit(1)).alias("records"), F.count(F.col(ERR)).alias("errors"))
-        names = [f.name for f in result.schemas[table].fields]
-        rows = coerced.filter(F.col(ERR).isNull()).select(*[F.col(quote(n)) for n in names])
-        store.append(table, rows, batch_tag, cfg.write_parallelism)
-        m = obs.get
-        return table, (int(m.get("records", 0)), int(m.get("errors", 0)))
-
-    try:
-        threads = max(1, min(cfg.table_write_threads, len(result.tables)))
-        if threads == 1:
-            return dict(one(t) for t in result.tables)
-        with ThreadPoolExecutor(threads) as pool:
-            return dict(pool.map(one, result.tables))
-    finally:
-        if stage is not None:
-            result.sources = {}          # later reads go back to the persisted batch
-            remove_path(store.spark, stage)
+        try:
+            if not store.exists(table):
+                store.create(table, result.schemas[table])
+            elif result.new_fields(table):
+                store.add_columns(table, result.new_fields(table))
+            obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
+            landed = F.col(ERR).isNull()
+            coerced = result.coerced(table).observe(
+                obs, F.count(F.lit(1)).alias("records"), F.count(F.col(ERR)).alias("errors"),
+                F.count(F.when(landed & (F.size(F.coalesce(LOSS, F.array())) > 0), 1)).alias("lossy"))
+            names = [f.name for f in result.schemas[table].fields]
+            store.append(table, coerced.filter(landed).select(*[F.col(quote(n)) for n in names]), batch_tag,
+                         cfg.write_parallelism)
+            m = obs.get
+            return table, Written(int(m.get("records", 0)), int(m.get("errors", 0)), int(m.get("lossy", 0)))
+        except Exception as exc:  # noqa: BLE001 - reported together once every table had its turn
+            return table, exc
+
+    with ThreadPoolExecutor(max(1, min(cfg.table_write_threads, len(result.tables)))) as pool:
+        done = dict(pool.map(one, result.tables))
+    return ({t: w for t, w in done.items() if isinstance(w, Written)},
+            {t: e for t, e in done.items() if not isinstance(e, Written)})
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -234,27 +263,74 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def batch_counts(result: BatchResult, written: dict[str, tuple[int, int]]) -> dict[str, int]:
+def batch_counts(result: BatchResult, written: dict[str, Written]) -> dict[str, int]:
     """O1/O5 for one batch from the inference census and the write
     observations: received = emitted + skipped + errors."""
     received = sum(n for _, _, _, n in result.census)
-    skipped = sum(n for t, _, reason, n in result.census if reason is not None or t not in written)
-    errors = sum(e for _, e in written.values())
-    emitted = sum(n - e for n, e in written.values())
+    refused = sum(n for t, _, reason, n in result.census if reason is None and t in result.refused)
+    skipped = sum(n for t, _, reason, n in result.census
+                  if reason is not None or (t not in written and t not in result.refused))
+    errors = refused + sum(w.errors for w in written.values())
+    emitted = sum(w.records - w.errors for w in written.values())
     return {"received": received, "emitted": emitted, "skipped": skipped, "errors": errors}
 
 
+STATS_TABLE, REJECTS_TABLE = "_ingest_stats", "_ingest_rejects"
+CHANGES_TABLE, LOSS_TABLE = "_ingest_schema_changes", "_ingest_coercion_loss"
+STATS_DDL = "batch_id bigint, received bigint, emitted bigint, skipped bigint, errors bigint"
+REJECTS_DDL = ("batch_id bigint, topic string, partition int, offset bigint, disposition string, reason string, "
+               "detail string, first_byte string, preview string")
+CHANGES_DDL = ("batch_id bigint, table_name string, position int, field string, type string, first_topic string, "
+               "first_partition int, first_offset bigint")
+LOSS_DDL = "batch_id bigint, table_name string, column string, kind string, records bigint"
+
+
+def write_logs(store: TableStore, result: BatchResult, batch_tag: str, batch_id: int) -> None:
+    """The batch's statistics, rejects (O3/O4), schema changes (I10) and coercion
+    losses, each into a table beside the data; nothing is written for what the
+    batch does not have."""
+    spark, number = result.admitted.sparkSession, F.lit(int(batch_id)).cast("bigint").alias("batch_id")
+
+    def log(table, ddl, rows):
+        names = [f.name for f in T._parse_datatype_string(ddl).fields]
+        store.append_log(table, ddl, rows.select(number, *names[1:]), batch_tag)
+
+    c = batch_counts(result, result.written)
+    log(STATS_TABLE, STATS_DDL, spark.createDataFrame([(c["received"], c["emitted"], c["skipped"], c["errors"])],
+                                                      STATS_DDL.split(", ", 1)[1]).coalesce(1))
+    if c["skipped"] or c["errors"]:
+        failed = [t for t, w in result.written.items() if w.errors]
+        log(REJECTS_TABLE, REJECTS_DDL, reject_frame(result.dispositions(True, failed)))
+    if result.changes:
+        log(CHANGES_TABLE, CHANGES_DDL, result.change_frame().withColumnRenamed("table", "table_name").coalesce(1))
+    lossy = [result.losses(t) for t, w in sorted(result.written.items()) if w.lossy]
+    if lossy:
+        frame = lossy[0]
+        for x in lossy[1:]:
+            frame = frame.unionByName(x)
+        log(LOSS_TABLE, LOSS_DDL, frame)
+
+
 def ingest_into(store: TableStore, records: DataFrame, batch_tag: str,
-                cfg: IngestConfig | None = None, route=None, keep: bool = False) -> BatchResult:
-    """One batch end to end: admit, infer against the live tables, widen,
-    append.  With ``keep`` the persisted batch is left for the caller."""
+                cfg: IngestConfig | None = None, route=None, batch_id: int | None = None) -> BatchResult:
+    """One batch end to end: admit and stage once, infer against the live
+    tables, widen, append; with ``batch_id`` also the log tables.
+
+    A table that fails does not stop the others.  If any failed, ``TableErrors``
+    is raised at the end, so a streaming batch is tried again; what was written
+    is then replaced, not doubled."""
     cfg = cfg or IngestConfig()
+    apply_session_conf(records.sparkSession)
     store.ensure_namespace()
     kwargs = {"route": route} if route is not None else {}
-    result = ingest(records, cfg=cfg, known_loader=store.schemas, **kwargs)
+    stage = shared_path(store.spark, "stage", unique=True)
     try:
-        result.written = write_result(store, result, batch_tag, cfg)
+        result = ingest(records, cfg=cfg, known_loader=store.schemas, stage=stage, reserved=(BATCH_COL,), **kwargs)
+        result.written, failed = write_result(store, result, batch_tag, cfg)
+        if not failed and batch_id is not None and result.census:
+            write_logs(store, result, batch_tag, batch_id)
     finally:
-        if not keep:
-            result.release()
+        remove_path(store.spark, stage)
+    if failed:
+        raise TableErrors(failed) from next(iter(failed.values()))
     return result

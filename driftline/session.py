@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -60,27 +60,25 @@ def build_session(master: str | None = None, app_name: str = "driftline",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so that later reads agree."""
+    Read from the session.  Where it is unset, a session inside one process
+    (master ``local``) registers a folder of its own, so that later reads
+    agree; any other master must name a folder, since executors do not see the
+    driver's own."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         jdir = sc._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
-        root = tempfile.mkdtemp(prefix="driftline-ckpt-")
-        sc.setCheckpointDir(root)
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="driftline-"))
         root = sc._jsc.sc().getCheckpointDir().get()
     return root.rstrip("/")
 
 
-def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder (optionally with a fresh leaf)."""
+def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
+    """A path under the shared folder (optionally with a fresh leaf); Spark's
+    writers create it where that folder lives."""
     path = "/".join([checkpoint_root(spark), "driftline", *parts])
-    if unique:
-        path = f"{path}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{path}-{uuid.uuid4().hex[:12]}" if unique else path

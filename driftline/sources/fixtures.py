@@ -11,41 +11,19 @@ record pins types wherever it carries a field.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-from contextvars import ContextVar
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.sources.records import record_frame
+from driftline.session import shared_path
+from driftline.sources.records import read_records, record_frame
 
 JSON_OPTS = {"ignoreNullFields": "false"}
-
-
-# Whether source tables are spread over the session's parallelism (see
-# ``table``); switched off for frames that are only counted, not parsed.
-_SPREAD: ContextVar[bool] = ContextVar("driftline_fixture_spread", default=True)
-
-
-@contextmanager
-def unspread():
-    token = _SPREAD.set(False)
-    try:
-        yield
-    finally:
-        _SPREAD.reset(token)
+#: Files that one frame's records are written to.
+RECORD_FILES = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table, spread over the session's parallelism when the file
-    reads as fewer partitions (the test tables are single row groups): the
-    derived frames then behave like topics with that many partitions, and
-    parsing them uses every core."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    target = spark.sparkContext.defaultParallelism
-    if _SPREAD.get() and df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def to_json(*cols: Column) -> Column:
@@ -294,53 +272,63 @@ def collide(spark, sf_dir) -> DataFrame:
                  F.when(k % 2 == 0, even).otherwise(odd))
 
 
-# The value lists of the reference's demo producer.
-STATUSES = ["PENDING", "CONFIRMED", "SHIPPED", "DELIVERED", "CANCELLED"]
-CURRENCIES = ["IDR", "USD", "SGD"]
-METHODS = ["BANK_TRANSFER", "CREDIT_CARD", "GOPAY", "OVO", "QRIS"]
-SEGMENTS = ["RETAIL", "CORPORATE", "PREMIUM", "SME"]
-EVOLVE_AT = 50
+def big_numbers(spark, sf_dir) -> DataFrame:
+    """``big.numbers``: record 0 pins ``n`` to bigint; by K % 3 the others hold an
+    integer beyond 64 bits, 1e30, or K."""
+    p = table(spark, sf_dir, "part")
+    k = p.p_partkey
+    n = (F.when(k == 0, F.lit("1")).when(k % 3 == 0, F.lit("99999999999999999999"))
+         .when(k % 3 == 1, F.lit("1e30")).otherwise(k.cast("string")))
+    return frame(p, "big.numbers", k, F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","n":'), n, F.lit("}")))
 
 
-def _pick(values: list[str], idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
+def numeric_topics(spark, sf_dir) -> DataFrame:
+    """Topics that look like numbers, ``01`` and ``1`` among them, by K % 6."""
+    c = table(spark, sf_dir, "customer")
+    k = c.c_custkey
+    topic = F.element_at(F.array(*[F.lit(t) for t in ("01", "1", "2", "3", "4", "5")]), (k % 6 + 1).cast("int"))
+    return frame(c, topic, k, to_json(k.cast("string").alias("id"), c.c_name.alias("name")))
 
 
-def _iso(ts: Column) -> Column:
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+def nested_empty(spark, sf_dir) -> DataFrame:
+    """``nested.empty``: every tenth record has ``{"b":{}}`` in ``a``, record 0 first;
+    the others have ``{"b":{"c":K}}``."""
+    c = table(spark, sf_dir, "customer")
+    k = c.c_custkey
+    inner = F.when(k % 10 == 0, F.lit("{}")).otherwise(F.concat(F.lit('{"c":'), k.cast("string"), F.lit("}")))
+    return frame(c, "nested.empty", k, F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","a":{"b":'), inner, F.lit("}}")))
 
 
-def demo_producer(spark, sf_dir) -> DataFrame:
-    """The demo producer's three topics, derived from the test tables:
-    ``demo.orders`` (from record ``EVOLVE_AT`` on also ``discount_pct``,
-    null for even keys), ``demo.payments`` (from orders) and
-    ``demo.customers`` (``phone`` null when K % 10 < 3)."""
-    o = table(spark, sf_dir, "orders")
-    k = o.o_orderkey
-    order_fields = [F.concat(F.lit("ORD-"), k.cast("string")).alias("order_id"),
-                    F.concat(F.lit("CUST-"), (F.lit(1000) + o.o_custkey % 9000).cast("string")).alias("customer_id"),
-                    F.concat(F.lit("PROD-"), (F.lit(100) + k % 900).cast("string")).alias("product_id"),
-                    (F.lit(1) + k % 50).alias("quantity"), o.o_totalprice.alias("unit_price"),
-                    _pick(STATUSES, k).alias("status"), _iso(o.o_orderdate).alias("created_at")]
-    disc = F.when(k % 2 == 0, F.lit(None).cast("double")).otherwise((k % 30).cast("double") / F.lit(100.0))
-    orders_v = F.when(k >= EVOLVE_AT, to_json(*order_fields, disc.alias("discount_pct"))).otherwise(
-        to_json(*order_fields))
-    pay = to_json(F.concat(F.lit("PAY-"), k.cast("string")).alias("payment_id"),
-                  F.concat(F.lit("ORD-"), k.cast("string")).alias("order_id"),
-                  o.o_totalprice.alias("amount"), _pick(CURRENCIES, k).alias("currency"),
-                  _pick(METHODS, k).alias("method"), _iso(o.o_orderdate).alias("paid_at"))
+def reserved(spark, sf_dir) -> DataFrame:
+    """``reserved``: odd keys carry a field named like the sink's hidden column."""
     c = table(spark, sf_dir, "customer")
-    ck = c.c_custkey
-    phone = F.when(ck % 10 < 3, F.lit(None).cast("string")).otherwise(
-        F.concat(F.lit("+62"), (F.lit(8000000000) + ck).cast("string")))
-    cust = to_json(F.concat(F.lit("CUST-"), (F.lit(1000) + ck).cast("string")).alias("customer_id"),
-                   F.concat(F.lit("Customer "), ck.cast("string")).alias("name"),
-                   F.concat(F.lit("user"), ck.cast("string"), F.lit("@example.com")).alias("email"),
-                   phone.alias("phone"), _pick(SEGMENTS, ck).alias("segment"),
-                   F.lit("2024-01-01T00:00:00+00:00").alias("created_at"))
-    return (frame(o, "demo.orders", k, orders_v)
-            .unionByName(frame(o, "demo.payments", k, pay))
-            .unionByName(frame(c, "demo.customers", ck, cust)))
+    k = c.c_custkey
+    good = [k.cast("string").alias("id"), c.c_name.alias("name")]
+    return frame(c, "reserved", k, F.when(k % 2 == 1, to_json(*good, F.lit("mine").alias("_ingest_batch")))
+                 .otherwise(to_json(*good)))
+
+
+def awkward(spark, sf_dir) -> DataFrame:
+    """``awkward``: field names with dots, spaces, backticks, quotes and other letters."""
+    c = table(spark, sf_dir, "customer")
+    k = c.c_custkey
+    return frame(c, "awkward", k, to_json(
+        k.cast("string").alias("id"), c.c_name.alias("a.b"), k.alias("c d"), c.c_mktsegment.alias("e`f"),
+        c.c_nationkey.alias("Ünï"), F.struct(c.c_acctbal.alias("p.q"), k.alias("r s")).alias("g-h")))
+
+
+def documents(spark, sf_dir) -> DataFrame:
+    """``documents``: real text with line ends, quotes, other scripts and long values."""
+    d = table(spark, sf_dir, "documents")
+    return frame(d, "documents", d.doc_id, to_json(d.doc_id.cast("string").alias("id"), d.text.alias("text"),
+                                                   d.lang.alias("lang"), d.n_chars.alias("n_chars")))
+
+
+def conversations(spark, sf_dir) -> DataFrame:
+    """``conversations``: one record per turn."""
+    c = table(spark, sf_dir, "conversations")
+    key = (c.conv_id.cast("bigint") * 10_000 + c.turn).cast("bigint")
+    return frame(c, "conversations", key, to_json(key.cast("string").alias("id"), c.role.alias("role"), c.text.alias("text")))
 
 
 # Fixed value: the region part of the data-lake endpoint used in ``locations``.
@@ -348,13 +336,13 @@ DLS_REGION = "ap-southeast-5"
 
 
 def locations(spark, sf_dir) -> DataFrame:
-    """Object-store locations built from ``pages`` for P6: by page_id % 3,
+    """Object-store locations of the pages' own paths for P6: by page_id % 3,
     0 a data-lake endpoint path, 1 a plain bucket path, 2 an endpoint path
     with an upper-case bucket (not rewritten)."""
     p = table(spark, sf_dir, "pages")
     k = p.page_id
     bucket = F.concat(F.lit("lake-"), (k % 7).cast("string"))
-    path = F.concat(F.lit("warehouse/raw/t"), k.cast("string"), F.lit("/data.parquet"))
+    path = F.regexp_replace(p.url, "^[a-z]+://", "")
     m = k % 3
     loc = (F.when(m == 0, F.concat(F.lit("oss://"), bucket, F.lit(f".{DLS_REGION}.oss-dls.aliyuncs.com/"), path))
            .when(m == 1, F.concat(F.lit("oss://"), bucket, F.lit("/"), path))
@@ -374,16 +362,38 @@ FRAMES = {
     "faulty": faulty,
     "dated": dated,
     "typed_kinds": typed_kinds,
-    "demo_producer": demo_producer,
     "internal": internal,
     "collide": collide,
 }
+# Frames of single queries, besides the ones that a pattern scan subscribes to.
+MORE_FRAMES = {
+    "customer_versions": customer_versions,
+    "big_numbers": big_numbers,
+    "numeric_topics": numeric_topics,
+    "nested_empty": nested_empty,
+    "reserved": reserved,
+    "awkward": awkward,
+    "documents": documents,
+    "conversations": conversations,
+}
+
+_FILES: dict[tuple[str, str, str], str] = {}
+
+
+def records(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One frame as record files: written once for a session and table folder,
+    then replayed like any record files."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FILES:
+        path = shared_path(spark, "records", name, unique=True)
+        (FRAMES | MORE_FRAMES)[name](spark, sf_dir).repartition(RECORD_FILES).write.parquet(path)
+        _FILES[key] = path
+    return read_records(spark, _FILES[key])
 
 
 def all_records(spark, sf_dir, names=None) -> DataFrame:
-    names = names or list(FRAMES)
     out = None
-    for n in names:
-        f = FRAMES[n](spark, sf_dir)
+    for n in names or list(FRAMES):
+        f = records(spark, sf_dir, n)
         out = f if out is None else out.unionByName(f)
     return out

@@ -4,7 +4,8 @@
 into the table store.  Each micro-batch commits one append per table, tagged
 ``<query id>-<batch id>``; the query id survives restarts (it lives in the
 checkpoint), so a batch replayed after a failure overwrites its own rows.
-Per-batch counters are appended to ``_ingest_stats`` in the namespace.
+Per-batch counters, rejected records with their reasons, schema changes and
+coercion losses go to the ``_ingest_*`` tables of the namespace.
 """
 
 from __future__ import annotations
@@ -16,22 +17,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from driftline.config import IngestConfig
-from driftline.plans.sink import TableStore, batch_counts, ingest_into
+from driftline.plans.sink import CHANGES_TABLE, LOSS_TABLE, REJECTS_TABLE, STATS_TABLE, TableStore, batch_counts, ingest_into
+
+__all__ = ["CHANGES_TABLE", "LOSS_TABLE", "REJECTS_TABLE", "STATS_TABLE", "start_ingest"]
 
 log = logging.getLogger(__name__)
 
-STATS_TABLE = "_ingest_stats"
+
+def _read_text(spark, path: str) -> str:
+    """A small text file through the file system of its path."""
+    return "\n".join(r[0] for r in spark.read.text(path).collect())
 
 
 def batch_tag_for(batch_df: DataFrame, batch_id: int, checkpoint: str | None = None) -> str:
-    sc = batch_df.sparkSession.sparkContext
-    qid = sc.getLocalProperty("sql.streaming.queryId")
+    spark = batch_df.sparkSession
+    qid = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     if not qid and checkpoint:
-        path = checkpoint.rstrip("/") + "/metadata"
-        if path.startswith("file:"):
-            path = path[5:]
-        with open(path) as fh:
-            qid = json.loads(fh.readline())["id"]
+        qid = json.loads(_read_text(spark, checkpoint.rstrip("/") + "/metadata"))["id"]
     return f"{qid}-{batch_id}"
 
 
@@ -54,20 +56,9 @@ def start_ingest(stream: DataFrame, store: TableStore, checkpoint: str,
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         tag = batch_tag_for(batch_df, batch_id, checkpoint)
-        result = ingest_into(store, batch_df, tag, cfg)
-        c = batch_counts(result, result.written)
-        if record_stats and c["received"]:          # file streams can yield empty batches
-            log.info("batch %s: %s", batch_id, c)
-            spark = batch_df.sparkSession
-            name = store.name(STATS_TABLE)
-            if not store.exists(STATS_TABLE):
-                spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id BIGINT, received BIGINT, "
-                          f"emitted BIGINT, skipped BIGINT, errors BIGINT, _ingest_batch STRING) "
-                          f"USING parquet PARTITIONED BY (_ingest_batch)")
-            row = [(int(batch_id), c["received"], c["emitted"], c["skipped"], c["errors"], tag)]
-            (spark.createDataFrame(row, "batch_id bigint, received bigint, emitted bigint, skipped bigint, "
-                                        "errors bigint, _ingest_batch string")
-             .coalesce(1).write.insertInto(name, overwrite=True))
+        result = ingest_into(store, batch_df, tag, cfg, batch_id=batch_id if record_stats else None)
+        if result.census:                           # file streams can yield empty batches
+            log.info("batch %s: %s", batch_id, batch_counts(result, result.written))
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if query_name:

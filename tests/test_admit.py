@@ -1,4 +1,4 @@
-from driftline.operators.admit import admit
+from driftline.operators.admit import admit, body_variant
 
 
 def outcome(spark, records, values, topic="t"):
@@ -36,7 +36,7 @@ def test_envelope_only_when_payload_is_object(spark, records):
             ("t", 0, 1, '{"payload":null,"schema":{}}'),
             ("t", 0, 2, '{"payload":[1],"other":3}'),
             ("t", 0, 3, '{"payload":{"id":"b"}}')]
-    out = admit(records(rows)).orderBy("offset").select("envelope", F.to_json("body").alias("b")).collect()
+    out = admit(records(rows)).orderBy("offset").select("envelope", F.to_json(body_variant()).alias("b")).collect()
     assert [r.envelope for r in out] == [True, False, False, True]
     assert out[0].b == '{"id":"a","v":2}'
     assert out[3].b == '{"id":"b"}'

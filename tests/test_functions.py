@@ -41,7 +41,7 @@ def test_batch_sizing_settings_from_env():
     cfg = IngestConfig.from_env({"MIN_PARTITIONS": "64", "MAX_OFFSETS_PER_TRIGGER": "1000000"})
     assert cfg.min_partitions == 64 and cfg.max_offsets_per_trigger == 1_000_000
     blank = IngestConfig.from_env({"MIN_PARTITIONS": " ", "MAX_OFFSETS_PER_TRIGGER": ""})
-    assert blank.min_partitions is None and blank.max_offsets_per_trigger is None
+    assert blank.min_partitions is None and blank.max_offsets_per_trigger == 20_000_000
 
 
 def test_location_rule_needs_a_whole_match(spark):

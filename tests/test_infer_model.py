@@ -6,14 +6,14 @@ import random
 
 import pytest
 
-from driftline.operators.infer import _pairs_last_wins, value_type
 from driftline.plans.ingest import ingest
 
 NAMES = ["id", "a", "b", "c", "d", "e", "f", "g"]
 
 
 def rand_value(rng):
-    return rng.choice([1, 2.5, "s", True, None, {}, {"x": 1}, [], [1.5], [{"y": "z"}], -3])
+    return rng.choice([1, 2.5, "s", True, None, {}, {"x": 1}, [], [1.5], [{"y": "z"}], -3, {"x": {}}, [{}],
+                       {"x": {"y": {}}, "z": [None]}, {"x": {}, "w": False}])
 
 
 def rand_doc(rng):
@@ -29,13 +29,25 @@ def rand_doc(rng):
     return body
 
 
+def model_type(value):
+    """The type rule written apart from the engine's; None: nothing to pin."""
+    if isinstance(value, dict):
+        inner = [(k, model_type(v)) for k, v in value.items()]
+        inner = [f"{k}:{t}" for k, t in inner if t]
+        return "struct<" + ",".join(inner) + ">" if inner else None
+    if isinstance(value, list):
+        return "array<" + ((model_type(value[0]) or "string") if value else "string") + ">"
+    names = {bool: "boolean", int: "bigint", float: "double"}
+    return names.get(type(value), "string")
+
+
 def sequential_model(rows):
     """The reference's rule, one record at a time in (offset, topic, partition)
     order: unknown top-level names are appended with the type of their
     value; known names never change; `{}` pins nothing."""
     schemas = {}
     for topic, part, off, text in sorted(rows, key=lambda r: (r[2], r[0], r[1])):
-        doc = json.loads(text, object_pairs_hook=_pairs_last_wins)
+        doc = json.loads(text, object_pairs_hook=dict)
         if not isinstance(doc, dict):
             continue
         if isinstance(doc.get("payload"), dict):
@@ -45,9 +57,9 @@ def sequential_model(rows):
         table = topic.replace(".", "_").replace("-", "_")
         fields = schemas.setdefault(table, {})
         for k, v in doc.items():
-            t = value_type(v)
+            t = model_type(v)
             if k not in fields and t is not None:
-                fields[k] = t.simpleString()
+                fields[k] = t
     return {t: list(f.items()) for t, f in schemas.items() if f}
 
 

@@ -1,14 +1,16 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from driftline.plans.sink import TableStore, ingest_into
-from driftline.session import shared_dir
+from driftline.config import IngestConfig
+from driftline.plans.sink import LOSS_TABLE, REJECTS_TABLE, STATS_TABLE, TableErrors, TableStore, ingest_into
+from driftline.session import shared_path
 
 
 def new_store(spark):
     ns = f"t_{uuid.uuid4().hex[:8]}"
-    return TableStore(spark, ns, shared_dir(spark, "warehouse", ns))
+    return TableStore(spark, ns, shared_path(spark, "warehouse", ns))
 
 
 def test_create_widen_append_and_replay(spark, records):
@@ -30,13 +32,13 @@ def test_existing_table_keeps_its_column_order(spark, records):
     spark.sql(f"CREATE TABLE {store.name('t')} (b STRING, day DATE, _ingest_batch STRING) "
               f"USING parquet PARTITIONED BY (_ingest_batch)")
     recs = records([("t", 0, 0, '{"a":1,"b":"x","day":"2024-01-02"}'), ("t", 0, 1, '{"day":"2024-1-2","a":2}')])
-    res = ingest_into(store, recs, "q-0", keep=True)
+    res = ingest_into(store, recs, "q-0", batch_id=0)
     assert [f.name for f in store.schema("t").fields] == ["b", "day", "a"]
     rows = [tuple(r) for r in store.read("t").collect()]
     assert len(rows) == 1 and rows[0][0] == "x" and rows[0][2] == 1
-    d = {r.offset: (r.disposition, r.detail) for r in res.dispositions().collect()}
-    assert d == {0: ("emitted", None), 1: ("error", "day")}
-    res.release()
+    assert (res.written["t"].records, res.written["t"].errors) == (2, 1)
+    rejects = [(r.offset, r.disposition, r.detail) for r in store.read(REJECTS_TABLE).collect()]
+    assert rejects == [(1, "error", "day")]
 
 
 def test_one_batch_many_tables(spark, records):
@@ -60,19 +62,94 @@ def test_awkward_field_names(spark, records):
     assert rows[1][0] == 2 and rows[1][6] == "y"
 
 
-def test_staged_fanout_matches_cached(spark, records):
-    from driftline.config import IngestConfig
-    rows = [(f"t{i % 5}", i % 3, i, f'{{"id":{i},"v":"x{i}","w":{i * 0.5}}}') for i in range(200)]
-    rows += [("t0", 0, 1000, '{"id":"bad","v":1}')]
-    out = {}
-    for mode, fan in (("staged", 0), ("cached", 99)):
-        store = new_store(spark)
-        res = ingest_into(store, records(rows), "q-0", IngestConfig(fanout_cached_tables=fan, rows_per_write_task=7))
-        out[mode] = {t: sorted(tuple(r) for r in store.read(t).collect()) for t in [f"t{i}" for i in range(5)]}
-        assert res.written["t0"] == (41, 0)
-        assert len(store.list_tables().collect()) == 5
-    assert out["staged"] == out["cached"]
-    assert len(out["staged"]["t0"]) == 41
+def test_table_names_keep_their_text(spark, records):
+    names = ["01", "1", "1e3", "0x10", "true", "20200101"]
+    rows = [(t, i % 3, i, f'{{"id":{i}}}') for i, t in enumerate(names * 4)]
+    store = new_store(spark)
+    res = ingest_into(store, records(rows), "q-0")
+    assert sorted(res.written) == sorted(names)
+    for k, t in enumerate(names):
+        assert sorted(r.id for r in store.read(t).collect()) == [k, k + 6, k + 12, k + 18]
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, records, monkeypatch):
+    store = new_store(spark)
+    rows = [("good", 0, 0, '{"a":1}'), ("bad", 0, 0, '{"a":2}'), ("fine", 0, 0, '{"a":3}')]
+    append = TableStore.append
+
+    def failing(self, table, *args, **kwargs):
+        if table == "bad":
+            raise OSError("disk")
+        return append(self, table, *args, **kwargs)
+    monkeypatch.setattr(TableStore, "append", failing)
+    with pytest.raises(TableErrors) as err:
+        ingest_into(store, records(rows), "q-0", batch_id=0)
+    assert list(err.value.errors) == ["bad"]
+    assert store.read("good").count() == store.read("fine").count() == 1
+    monkeypatch.undo()
+    ingest_into(store, records(rows), "q-0", batch_id=0)                # the batch is tried again
+    assert [store.read(t).count() for t in ("good", "bad", "fine")] == [1, 1, 1]
+
+
+def test_refused_tables_are_reported(spark, records):
+    store = new_store(spark)
+    store.ensure_namespace()
+    spark.sql(f"CREATE TABLE {store.name('other')} (m MAP<STRING, STRING>) USING parquet")
+    spark.sql(f"CREATE TABLE {store.name('foreign')} (id STRING) USING parquet")
+    wide = "{" + ",".join(f'"f{i}":{i}' for i in range(30)) + "}"
+    rows = [("wide", 0, 0, wide), ("ok", 0, 1, '{"a":1}'), ("foreign", 0, 2, '{"id":"x"}'),
+            ("ok", 0, 3, '{"a":2,"_ingest_batch":"mine"}')]
+    res = ingest_into(store, records(rows), "q-0", IngestConfig(max_new_fields=10), batch_id=7)
+    assert res.refused == {"wide": "schema_limit", "foreign": "unsupported_table"}
+    assert [r.a for r in store.read("ok").collect()] == [1]
+    got = sorted((r.batch_id, r.topic, r.offset, r.disposition, r.reason) for r in store.read(REJECTS_TABLE).collect())
+    assert got == [(7, "foreign", 2, "error", "unsupported_table"), (7, "ok", 3, "skipped", "reserved_field"),
+                   (7, "wide", 0, "error", "schema_limit")]
+    assert tuple(store.read(STATS_TABLE).first()) == (7, 4, 1, 1, 2)
+
+
+def test_a_static_session_cannot_write(spark, records, monkeypatch):
+    import driftline.plans.sink as sink
+    store = new_store(spark)
+    recs = records([("t", 0, 0, '{"a":1}')])
+    ingest_into(store, recs, "q-0")
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    other = TableStore(plain, store.namespace)
+    plain.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    again = plain.createDataFrame([(2,)], "a bigint")
+    other.append("t", again, "q-1")                                     # makes the setting itself
+    assert sorted(r.a for r in store.read("t").collect()) == [1, 2]
+    monkeypatch.setattr(sink, "apply_session_conf", lambda s: s)
+    plain.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    with pytest.raises(RuntimeError, match="dynamic"):
+        other.append("t", again, "q-2")
+
+
+def test_losses_are_counted(spark, records):
+    store = new_store(spark)
+    rows = [("l", 0, 0, '{"n":1,"b":true,"s":"x","a":[1],"o":{"k":1},"d":1.5}'),
+            ("l", 0, 1, '{"n":1.5,"b":1,"s":{"k":1},"a":5,"o":[],"d":"x"}'),
+            ("l", 0, 2, '{"n":99999999999999999999,"b":null,"s":7,"a":[],"o":{},"d":2}'),
+            ("l", 0, 3, '{"n":-2.0,"s":"y"}'), ("l", 0, 4, '{"n":"7","d":3}')]
+    ingest_into(store, records(rows), "q-0", batch_id=0)
+    got = {(r.column, r.kind): r.records for r in store.read(LOSS_TABLE).collect()}
+    assert got == {("n", "truncation"): 1, ("n", "overflow"): 1, ("n", "wrong_kind"): 1, ("b", "wrong_kind"): 1,
+                   ("s", "wrong_kind"): 1, ("a", "wrong_kind"): 1, ("o", "wrong_kind"): 1, ("d", "wrong_kind"): 1}
+
+
+def test_write_parallelism_bounds_the_files(spark, records):
+    store = new_store(spark)
+    recs = records([("p", 0, i, f'{{"a":{i}}}') for i in range(64)]).repartition(8)
+    ingest_into(store, recs, "q-0", IngestConfig(write_parallelism=2))
+    assert len(store.read("p").inputFiles()) <= 2 and store.read("p").count() == 64
+
+
+def test_no_shuffle_before_the_write(spark, records):
+    from driftline.plans.ingest import ingest
+    res = ingest(records([("t", 0, i, f'{{"a":{i}}}') for i in range(8)]), stage=shared_path(spark, "stage", unique=True))
+    plan = res.rows("t")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "t" in plan
 
 
 def test_temp_views_are_not_listed(spark, records):
@@ -93,21 +170,6 @@ def test_later_batch_never_retypes(spark, records):
     assert rows == [("5", "2.5", True), ("a", None, None)]
 
 
-def test_restart_without_catalog_reattaches_tables(spark, records):
-    first = new_store(spark)
-    ingest_into(first, records([("r", 0, 0, '{"b":"x","a":1}')]), "q-0")
-    ingest_into(first, records([("r", 0, 1, '{"a":2,"c":1.5}')]), "q-1")
-    # a new process: same warehouse folder, a catalog that knows nothing of it
-    again = TableStore(spark, first.namespace + "_again", first.location)
-    again.ensure_namespace()
-    assert again.table_names() == ["r"]
-    assert [f.name for f in again.schema("r").fields] == ["b", "a", "c"]
-    ingest_into(again, records([("r", 0, 2, '{"a":3,"d":true}')]), "q-2")
-    ingest_into(again, records([("r", 0, 2, '{"a":3,"d":true}')]), "q-2")     # replay
-    rows = sorted((tuple(r) for r in again.read("r").collect()), key=lambda r: r[1])
-    assert rows == [("x", 1, None, None), (None, 2, 1.5, None), (None, 3, None, True)]
-
-
 def test_not_null_column_rejects_missing_value(spark, records):
     # Q13: a catalog that keeps NOT NULL (Hive, Iceberg) gives such a schema;
     # Spark's own Parquet tables report every column nullable.

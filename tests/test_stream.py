@@ -1,11 +1,13 @@
+import pytest
+
 from driftline.plans.sink import TableStore
-from driftline.session import shared_dir
+from driftline.session import shared_path
 from driftline.sources.records import read_record_stream
 from driftline.streaming.runner import STATS_TABLE, start_ingest
 
 
 def test_stream_with_restart_equals_batch(spark, records):
-    base = shared_dir(spark, "stream-test", unique=True)
+    base = shared_path(spark, "stream-test", unique=True)
     src, ckpt = f"{base}/in", f"{base}/ckpt"
     store = TableStore(spark, "st_" + base.rsplit("-", 1)[-1], f"{base}/wh")
     chunks = [[(i, f'{{"id":"{i}","v":{i}}}') for i in range(0, 3)],
@@ -25,7 +27,7 @@ def test_stream_with_restart_equals_batch(spark, records):
 
 def test_batch_tags_carry_the_query_id(spark, records):
     import re
-    base = shared_dir(spark, "stream-tag", unique=True)
+    base = shared_path(spark, "stream-tag", unique=True)
     src, ckpt = f"{base}/in", f"{base}/ckpt"
     store = TableStore(spark, "tag_" + base.rsplit("-", 1)[-1], f"{base}/wh")
     records([("x", 0, 0, '{"a":1}')]).write.parquet(src)
@@ -35,26 +37,44 @@ def test_batch_tags_carry_the_query_id(spark, records):
     assert len(tags) == 1 and re.fullmatch(r"[0-9a-f-]{36}-0", tags.pop())
 
 
-def test_stream_restart_in_a_new_catalog(spark, records):
-    base = shared_dir(spark, "stream-reattach", unique=True)
-    src, ckpt, wh = f"{base}/in", f"{base}/ckpt", f"{base}/wh"
-    suffix = base.rsplit("-", 1)[-1]
-    records([("y", 0, 0, '{"a":1}')]).write.mode("append").parquet(src)
-    start_ingest(read_record_stream(spark, src), TableStore(spark, "ra_" + suffix, wh), ckpt,
-                 query_name=None, available_now=True).awaitTermination()
-    records([("y", 0, 1, '{"a":2,"b":"n"}')]).write.mode("append").parquet(src)
-    fresh = TableStore(spark, "rb_" + suffix, wh)          # the catalog of a new process
-    start_ingest(read_record_stream(spark, src), fresh, ckpt, query_name=None,
-                 available_now=True).awaitTermination()
-    assert sorted(tuple(r) for r in fresh.read("y").collect()) == [(1, None), (2, "n")]
-    assert [tuple(r)[:2] for r in fresh.read(STATS_TABLE).orderBy("batch_id").collect()] == [(0, 1), (1, 1)]
+def test_stream_through_a_plain_session(spark, records):
+    """A batch's own session decides the overwrite mode; nobody prepared this one."""
+    base = shared_path(spark, "stream-plain", unique=True)
+    plain = spark.newSession()
+    store = TableStore(plain, "pl_" + base.rsplit("-", 1)[-1], f"{base}/wh")
+    plain.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    plain.conf.set("spark.sql.caseSensitive", "false")
+    for i in range(2):
+        records([("x", 0, i, f'{{"a":{i},"A":"{i}"}}')]).write.mode("append").parquet(f"{base}/in")
+        start_ingest(read_record_stream(plain, f"{base}/in"), store, f"{base}/ckpt", query_name=None,
+                     available_now=True).awaitTermination()
+    assert sorted(tuple(r) for r in store.read("x").collect()) == [(0, "0"), (1, "1")]
 
 
-def test_committed_needs_a_checkpoint(spark, records):
-    import pytest
+def test_job_needs_a_place_for_its_progress(spark):
+    from types import SimpleNamespace
+
+    from driftline.__main__ import checkpoint_location, make_store
+    from driftline.config import IngestConfig
+    assert checkpoint_location(spark, {"CHECKPOINT_LOCATION": "/x/y"}) == "/x/y"
+    assert checkpoint_location(spark, {}).endswith("/driftline/checkpoints/ingest")
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None),
+                           sparkContext=SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda k, d: None)))
+    with pytest.raises(SystemExit):
+        checkpoint_location(bare, {"CHECKPOINT_LOCATION": " "})
+    cfg = IngestConfig.from_env({"TABLE_STORE": "Iceberg", "CATALOG_NAME": "lake", "CATALOG_NAMESPACE": "raw",
+                                 "WAREHOUSE_PATH": "oss://bk.r.oss-dls.aliyuncs.com/wh", "MAX_NEW_FIELDS": "5"})
+    store = make_store(spark, cfg)
+    assert type(store).__name__ == "IcebergTableStore" and store.name("t") == "`lake`.`raw`.`t`"
+    assert store.location == "oss://bk/wh" and cfg.max_new_fields == 5
+    assert make_store(spark, IngestConfig()).name("t") == "`raw`.`t`"
+    with pytest.raises(ValueError):
+        make_store(spark, IngestConfig(table_store="other"))
 
+
+def test_committed_needs_a_checkpoint(spark, records):
     from driftline.config import IngestConfig
-    base = shared_dir(spark, "stream-committed", unique=True)
+    base = shared_path(spark, "stream-committed", unique=True)
     records([("z", 0, 0, '{"a":1}')]).write.parquet(f"{base}/in")
     with pytest.raises(ValueError):
         start_ingest(read_record_stream(spark, f"{base}/in"), TableStore(spark, "cm", f"{base}/wh"),
