@@ -13,28 +13,34 @@ import os
 import re
 from array import array
 
-#: Pieces that one Python worker remembers (about 150 MB at most).
-MAX_PIECES = 600_000
+#: Pieces that one Python worker remembers (about 250 MB at most).
+MAX_PIECES = 1_200_000
 #: Longer pieces are encoded but not remembered.
 MAX_PIECE_CHARS = 48
 
 #: The code points with the Unicode property White_Space, the tokenizers' `\s`.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Letters and signs between which both tokenizers always cut.  The apostrophe is
+#: not among the signs: it belongs to endings such as 's.
+LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+#: A word of letters apart from the signs that close it; any other run as a whole.
+_WORD = rf"[{LETTERS}]++(?=[{SIGNS}]*+(?:[{SPACE}]|\Z))"
+_CLOSE = rf"[{SIGNS}]++(?=[{SPACE}]|\Z)"
 #: Byte-level vocabulary: a word takes one space before it along; other white
 #: space forms pieces of its own, all but the last character of a run together.
-BYTE_PIECES = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+BYTE_PIECES = re.compile(rf" ?{_WORD}|{_CLOSE}| ?[^{SPACE}]++|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Word vocabulary: white space only separates.
-WORD_PIECES = re.compile(rf"[^{SPACE}]+")
+WORD_PIECES = re.compile(rf"{_WORD}|{_CLOSE}|[^{SPACE}]++")
 
 _loaded: dict[str, "PieceEncoder"] = {}
 
 
 class PieceEncoder:
-    def __init__(self, path: str, pieces: re.Pattern):
+    def __init__(self, path: str, pieces: re.Pattern, lower: bool):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
-        self.pieces, self.known = pieces, {}
+        self.pieces, self.known, self.lower = pieces, {}, lower
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -42,21 +48,24 @@ class PieceEncoder:
             self.known.clear()
         known, out, late, new = self.known, [], [], set()
         for i, t in enumerate(texts):
-            cut = self.pieces.findall(t)
+            # A vocabulary without case: fold first, so that "The" and "the" are one piece.  A capital
+            # sigma is left to the tokenizer, which does not fold it by its place in the word.
+            cut = self.pieces.findall(t.lower() if self.lower and "\u03a3" not in t else t)
             ids = list(map(known.get, cut))
-            if None in ids:
-                late.append((i, cut))
-                new.update([p for p, x in zip(cut, ids) if x is None])
-                out.append(b"")
-            else:
-                out.append(b"".join(ids))
+            gaps = [(k, cut[k]) for k, x in enumerate(ids) if x is None] if None in ids else []
+            if gaps:
+                new.update([p for _, p in gaps])
+                late.append((i, ids, gaps))
+            out.append(b"" if gaps else b"".join(ids))
         extra, missing = {}, list(new)
         for i in range(0, len(missing), 8192):
             part = missing[i:i + 8192]
             for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 (known if len(piece) <= MAX_PIECE_CHARS else extra)[piece] = array("I", e.ids).tobytes()
-        for i, cut in late:
-            out[i] = b"".join([known[p] if p in known else extra[p] for p in cut] if extra else map(known.__getitem__, cut))
+        for i, ids, gaps in late:
+            for k, p in gaps:
+                ids[k] = known[p] if p in known else extra[p]
+            out[i] = b"".join(ids)
         return out
 
 
@@ -64,7 +73,7 @@ def encoder(path: str, word_level: bool) -> PieceEncoder:
     """This worker's encoder for a vocabulary file."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark already runs one worker per core
     if path not in _loaded:
-        _loaded[path] = PieceEncoder(path, WORD_PIECES if word_level else BYTE_PIECES)
+        _loaded[path] = PieceEncoder(path, WORD_PIECES if word_level else BYTE_PIECES, lower=word_level)
     return _loaded[path]
 
 
