@@ -38,8 +38,10 @@ def _prep(spark: SparkSession) -> SparkSession:
 
 
 def _ingest(spark, sf, names, known=None) -> BatchResult:
+    """One batch; several topics are staged once, so that each table reads its own records."""
     _prep(spark)
-    return ingest(fx.all_records(spark, sf, names), known=known)
+    stage = shared_path(spark, "query-stage", unique=True) if len(names) > 1 else None
+    return ingest(fx.all_records(spark, sf, names), known=known, stage=stage)
 
 
 def _rows(spark, sf, name, table) -> DataFrame:
