@@ -25,7 +25,7 @@ from driftline.functions.json import (
 from driftline.operators.admit import body_variant
 from driftline.operators.infer import quote
 
-SRC, ERR, LOSS = "_dl_src", "_dl_error", "_dl_loss"
+SRC, ERR, LOSS, MAYBE = "_dl_src", "_dl_error", "_dl_loss", "_dl_maybe_lossy"
 
 _INTEGRALS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
@@ -251,8 +251,11 @@ def _parse_type(dtype: T.DataType) -> T.DataType:
 def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fast: bool = True) -> DataFrame:
     """P5 + C*: one typed column per schema field, in schema order, by exact
     name; keys not in the schema are ignored.  Adds ``_dl_src`` (record
-    coordinates), ``_dl_error`` (first column that failed, or null) and
-    ``_dl_loss`` (``(column, kind)`` of each lossy conversion, null if none).
+    coordinates), ``_dl_error`` (first column that failed, or null),
+    ``_dl_maybe_lossy`` (the record took the second form below, or lost something
+    in a column that always does) and ``_dl_loss`` (``(column, kind)`` of each
+    lossy conversion, null if none).  Read the last one on its own: beside all
+    the columns, a wide table's projection would outgrow compiled code.
 
     Columns of the types above are read by one typed ``from_json`` of the row
     text.  A record whose read reports any failure (or a text field holding an
@@ -272,14 +275,15 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
         staged_cols += [F.when(~env, plain).alias("_dl_p"), F.when(env, wrapped).alias("_dl_w")]
     staged = pending.select(*staged_cols)
 
-    def typed(f):
-        return F.when(env, F.col("_dl_w").getField("payload").getField(f.name)).otherwise(F.col("_dl_p").getField(f.name))
+    # one Column per field, used twice: building expressions costs the driver a call each
+    read = {f.name: F.when(env, F.col("_dl_w").getField("payload").getField(f.name)).otherwise(F.col("_dl_p").getField(f.name))
+            for f in fast_fields}
 
     clean = F.lit(True)
     if fast_fields:
         clean = F.when(env, F.col("_dl_w").getField(BAD)).otherwise(F.col("_dl_p").getField(BAD)).isNull()
         for f in fast_fields:
-            text_ok = _text_ok(typed(f), f.dataType)
+            text_ok = _text_ok(read[f.name], f.dataType)
             if text_ok is not None:
                 clean = clean & text_ok
     staged = staged.withColumn("_dl_clean", clean)
@@ -294,7 +298,7 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     # Each value's kind, derived once and read by its conversion and its loss test.
     kinds = [F.schema_of_variant(F.col("_dl_v").getField(f.name)).alias(f"k{i}") for i, f in enumerate(schema.fields)]
     staged = staged.withColumn("_dl_kind", F.when(again, F.struct(*kinds)))
-    cols, errs, losses = [], [], []
+    cols, errs, losses, always = [], [], [], F.lit(False)
     for i, f in enumerate(schema.fields):
         exact, kind = F.col("_dl_v").getField(f.name), F.col("_dl_kind").getField(f"k{i}")
         raw = None
@@ -302,7 +306,7 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
             raw = F.try_element_at(F.col("_dl_raw"), F.lit(f.name))
         val, err = coerce_value(exact, f.dataType, raw, kind)
         if f in fast_fields:
-            t = F.encode(typed(f), "UTF-8") if isinstance(f.dataType, T.BinaryType) else typed(f)
+            t = F.encode(read[f.name], "UTF-8") if isinstance(f.dataType, T.BinaryType) else read[f.name]
             val = F.when(F.col("_dl_clean"), t).otherwise(val)
         cols.append(val.alias(f.name))
         if not f.nullable:
@@ -312,9 +316,11 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
         lost = loss_kind(exact, f.dataType, kind)
         if lost is not None:
             losses.append(F.struct(F.lit(f.name).alias("column"), lost.alias("kind")))
+            if f in slow_fields:
+                always = always | lost.isNotNull()
     error = F.coalesce(*errs) if errs else F.lit(None).cast("string")
     empty = F.lit(None).cast("array<struct<column:string,kind:string>>")
     loss = empty
     if losses:
         loss = F.when(again, F.filter(F.array(*losses), lambda x: x["kind"].isNotNull()))
-    return staged.select(F.col(SRC), *cols, error.alias(ERR), loss.alias(LOSS))
+    return staged.select(F.col(SRC), *cols, error.alias(ERR), (~F.col("_dl_clean") | always).alias(MAYBE), loss.alias(LOSS))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.config import IngestConfig
-from driftline.operators.coerce import ERR, LOSS, ddl_type
+from driftline.operators.coerce import ERR, MAYBE, ddl_type
 from driftline.operators.infer import quote
 from driftline.operators.observe import reject_frame
 from driftline.plans.ingest import BatchResult, ingest
@@ -222,7 +222,7 @@ class TableErrors(RuntimeError):
 class Written:
     records: int
     errors: int
-    lossy: int
+    maybe_lossy: int        # records whose losses, if any, are worth a look
 
 
 def write_result(store: TableStore, result: BatchResult, batch_tag: str,
@@ -242,12 +242,12 @@ def write_result(store: TableStore, result: BatchResult, batch_tag: str,
             landed = F.col(ERR).isNull()
             coerced = result.coerced(table).observe(
                 obs, F.count(F.lit(1)).alias("records"), F.count(F.col(ERR)).alias("errors"),
-                F.count(F.when(landed & (F.size(F.coalesce(LOSS, F.array())) > 0), 1)).alias("lossy"))
+                F.count(F.when(landed & F.col(MAYBE), 1)).alias("maybe_lossy"))
             names = [f.name for f in result.schemas[table].fields]
             store.append(table, coerced.filter(landed).select(*[F.col(quote(n)) for n in names]), batch_tag,
                          cfg.write_parallelism)
             m = obs.get
-            return table, Written(int(m.get("records", 0)), int(m.get("errors", 0)), int(m.get("lossy", 0)))
+            return table, Written(int(m.get("records", 0)), int(m.get("errors", 0)), int(m.get("maybe_lossy", 0)))
         except Exception as exc:  # noqa: BLE001 - reported together once every table had its turn
             return table, exc
 
@@ -303,7 +303,7 @@ def write_logs(store: TableStore, result: BatchResult, batch_tag: str, batch_id:
         log(REJECTS_TABLE, REJECTS_DDL, reject_frame(result.dispositions(True, failed)))
     if result.changes:
         log(CHANGES_TABLE, CHANGES_DDL, result.change_frame().withColumnRenamed("table", "table_name").coalesce(1))
-    lossy = [result.losses(t) for t, w in sorted(result.written.items()) if w.lossy]
+    lossy = [result.losses(t) for t, w in sorted(result.written.items()) if w.maybe_lossy]
     if lossy:
         frame = lossy[0]
         for x in lossy[1:]:

@@ -46,6 +46,8 @@ def build_session(master: str | None = None, app_name: str = "driftline",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # Wide tables need thousands of Column calls on the driver; noting a call site for each doubles their cost.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in ENGINE_SQL_CONF.items():
