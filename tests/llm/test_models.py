@@ -223,6 +223,37 @@ def test_lm_gradients():
             assert (loss[0] - loss[1]) / 2e-4 == pytest.approx(g[k][i], rel=1e-3)
 
 
+def test_every_token_is_a_target_once_a_pass(spark, frame):
+    v, rng = small_vocabulary(), np.random.default_rng(4)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 400, n)).encode() for n in [0, 1, 3, 31, 32, 33, 64, 700, 90_000, 5] * 3]
+    expect = Counter(i for t in texts for i in gru_lm.numbers(v, gru_lm.words_of(t)).tolist())
+    for share in (texts, texts[:3], []):
+        batches = list(gru_lm.training_batches(share, v))
+        targets = np.concatenate([b[1].ravel() for b in batches]) if batches else np.zeros(0, int)
+        inputs = np.concatenate([b[0].ravel() for b in batches]) if batches else np.zeros(0, int)
+        assert Counter(targets[targets >= 0].tolist()) == (expect if share is texts else Counter(
+            i for t in share for i in gru_lm.numbers(v, gru_lm.words_of(t)).tolist()))
+        assert (inputs[targets >= 0] == v.size + 1).sum() == len(share)                # each text begins anew
+        assert share is not texts or min(len(b[1]) for b in batches) >= gru_lm.LANES // 2
+    # the share of `every` is one of the token stream, and turns take different windows
+    halves = [sum(int((b[1] >= 0).sum()) for b in gru_lm.training_batches(texts, v, turn, 2)) for turn in (0, 1)]
+    assert sum(halves) == sum(expect.values()) and abs(halves[0] - halves[1]) <= gru_lm.WINDOW
+    # a corpus of texts under one window trains the model
+    docs = frame([(i, " ".join(f"w{k % 7}" for k in range(i % 9)), "s") for i in range(200)])
+    words = gru_lm.vocabulary(gru_lm.word_counts(docs), 50, 4)
+    trained, begun = gru_lm.train(docs, words), gru_lm.start(words)
+    assert all(not np.allclose(trained[k], begun[k]) for k in ("embed", "wx", "wh", "class_w"))
+
+
+def test_steps_without_a_target_train_nothing():
+    v, rng = small_vocabulary(), np.random.default_rng(5)
+    p = noisy(v, rng)
+    inputs, target = rng.integers(0, v.size + 1, (3, 7)), rng.integers(0, v.size + 1, (3, 7))
+    begins, masked = np.concatenate([inputs, np.full((3, 2), v.size + 1)], 1), np.concatenate([target, np.full((3, 2), -1)], 1)
+    plain, padded = gru_lm.gradients(p, v, inputs, target), gru_lm.gradients(p, v, begins, masked)
+    assert plain[0] == pytest.approx(padded[0]) and all(np.allclose(plain[1][k], padded[1][k]) for k in p)
+
+
 def test_lanes_equal_one_document_at_a_time():
     v, rng = small_vocabulary(), np.random.default_rng(1)
     p = noisy(v, rng)
