@@ -4,7 +4,7 @@ Documents are dealt to shards by the leading bits of a hash of their id.  The
 directory starts with one bucket; only a bucket whose texts exceed the byte
 limit is split on one more bit, until every shard fits.  DataFrame functions
 only; texts are read once for their byte lengths and only short rows (id, hash,
-length) are shuffled.
+length) are shuffled.  ``write_shards`` then writes each row into its shard.
 
 Defined cases: a null text has 0 bytes; a document longer than the limit gets a
 shard of its own; rows with a null or repeated id share their first 60 bits and
@@ -15,13 +15,15 @@ ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.llm.common import stored, whole_text
 from driftline.llm.extendible import WORD_BITS, assign, directory
 
 SHARD_BYTES = 16 * 1024 * 1024
+#: Row numbers (a power of two) whose rows are ranked together.
+RANK_BLOCK = 1 << 16
 
 
 def id_hash(col) -> F.Column:
@@ -42,8 +44,41 @@ def shard_documents(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFram
                                        F.col("n").alias("shard_docs"))
 
 
+def _ranked(df: DataFrame, key: list[str], row: str, rank: str) -> DataFrame:
+    """``df`` with each row's ``rank`` (from 0) among the rows of its key.
+
+    ``row`` is a stored row number.  Rows are ranked inside blocks of ``RANK_BLOCK``
+    row numbers, and blocks by their counts, so that no task holds all rows of a key.
+    """
+    block = F.shiftright(F.col(row), RANK_BLOCK.bit_length() - 1)
+    df = df.withColumn("_block", block)
+    sizes = df.groupBy(*key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(k).alias(f"_of{k}") for k in key], F.col("_block").alias("_of_block"),
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.col("_block") == F.col("_of_block")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of{k}"))
+    inside = F.row_number().over(Window.partitionBy(*key, "_block").orderBy(row)) - 1
+    return (df.withColumn("_inside", inside).join(sizes, same).withColumn(rank, F.col("_before") + F.col("_inside"))
+            .drop("_block", "_inside", "_before", "_of_block", *[f"_of{k}" for k in key]))
+
+
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Write the documents as one folder per shard (ids must be unique for this)."""
-    spots = placed.select(F.col("doc_id").alias("_id"), F.col("shard"))
-    (docs.join(spots, docs["doc_id"] == F.col("_id")).drop("_id")
+    """Write every row of ``docs`` once, one folder per shard.
+
+    ``placed`` is what ``shard_documents`` gave for ``docs``.  Rows of one id and
+    byte length may stand for each other (a shard's bytes and rows stay the same),
+    so the k-th such row of ``docs`` takes the k-th such place, whether the id is
+    null, repeated or held by a third of all rows.
+    """
+    key = ["_id", "_bytes"]
+    spots = stored(placed.select(F.col("doc_id").alias("_id"), F.col("n_bytes").alias("_bytes"), "shard",
+                                 F.monotonically_increasing_id().alias("_row")), "shard-places")
+    rows = stored(docs.withColumn("_id", F.col("doc_id")).withColumn("_bytes", F.octet_length(whole_text()).cast("long"))
+                  .withColumn("_row", F.monotonically_increasing_id()), "shard-docs")
+    spots = _ranked(spots, key, "_row", "_rank").select(
+        F.col("_id").alias("_p_id"), F.col("_bytes").alias("_p_bytes"), F.col("_rank").alias("_p_rank"), "shard")
+    same = F.col("_id").eqNullSafe(F.col("_p_id")) & (F.col("_bytes") == F.col("_p_bytes")) & (F.col("_rank") == F.col("_p_rank"))
+    (_ranked(rows, key, "_row", "_rank").join(spots, same).select(*docs.columns, "shard")
      .repartition("shard").write.partitionBy("shard").parquet(path))

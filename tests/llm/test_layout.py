@@ -6,9 +6,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from driftline.llm import bitplanes, packing, tokens
+from driftline.llm import bitplanes, packing, sharding, tokens
 from driftline.llm.mixing import mix, mix_rows
-from driftline.llm.sharding import shard_documents
+from driftline.llm.sharding import shard_documents, write_shards
 from tests.llm.conftest import HARD
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -162,6 +162,21 @@ def test_shards_of_hard_rows_and_one_hot_id(hard, none, frame):
     assert all(total[r.shard] == r.shard_bytes for r in got)
 
 
+def test_written_shards_hold_every_row_once(spark, hard, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "RANK_BLOCK", 8)
+    hot = frame([(None if i % 3 == 0 else 5 if i % 3 == 1 else i, "y" * (10 + i % 2), "s") for i in range(300)])
+    for k, docs in enumerate((hard, hot)):
+        placed = shard_documents(docs, 100)
+        write_shards(docs, placed, f"{tmp_path}/{k}")
+        got = spark.read.schema(docs.schema.add("shard", "string")).parquet(f"{tmp_path}/{k}").collect()
+        assert Counter(tuple(r)[:-1] for r in got) == Counter(tuple(r) for r in docs.collect())
+        size, rows = Counter(), Counter(r.shard for r in got)
+        for r in got:
+            size[r.shard] += len((r.text or "").encode())
+        assert all(rows[r.shard] == r.shard_docs and size[r.shard] == r.shard_bytes for r in placed.collect())
+        assert all(n <= 100 or rows[s] == 1 for s, n in size.items())
+
+
 # -- mixing ------------------------------------------------------------------
 
 def brute_targets(size, weights=(3, 1, 2)):
