@@ -55,9 +55,8 @@ class IngestConfig:
     # parallelism (no coalesce), which is what a large cluster wants.
     write_parallelism: int | None = None
     checkpoint_interval_ms: int = int(ENV_DEFAULTS["CHECKPOINT_INTERVAL_MS"])
-    # New columns that one table may get in one batch.  A table with more is
-    # refused (its records go to the rejects, reason schema_limit); the other
-    # tables of the batch go on.
+    # New columns that one record may bring.  A record with more is refused
+    # (it goes to the rejects, reason schema_limit); the other records go on.
     max_new_fields: int = 10_000
     # Threads used to write the tables of one micro-batch concurrently
     # (pair with spark.scheduler.mode=FAIR on a shared cluster).

@@ -15,6 +15,9 @@ Distributed shape:
 3. the records of the remaining fields are looked up again and their types are
    derived on the executors;
 4. the driver receives one type string per new field (it needs them for DDL).
+
+A record that alone would bring more than a limit of new fields is refused; its
+fields are not inferred, and the other records go on (``refuse_wide``).
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.operators.admit import body_text, body_variant
+from driftline.operators.admit import ERROR, body_text, body_variant
 
 _INTEGRAL = re.compile(r"-?[0-9]+")
 
@@ -118,7 +121,8 @@ def occurrences(admitted: DataFrame) -> DataFrame:
     * ``field`` set: (table, field) -> the first record (offset, topic,
       partition) whose row object pins a type for the field;
     * ``field`` null: (table, topic, reason) -> number of records (reason
-      null = pending), i.e. the tables present and the skip counts.
+      null = pending), i.e. the tables present and the skip counts, and the
+      largest number of names in one of them.
 
     Records are grouped by their whole set of names first (map-side partial):
     records of a topic share a few sets, so neither every name of every record
@@ -130,9 +134,10 @@ def occurrences(admitted: DataFrame) -> DataFrame:
     itself = F.col("field").isNull()
     out = (names.groupBy("table", "field", F.when(itself, F.col("topic")).alias("t_key"),
                          F.when(itself, F.col("reason")).alias("r_key"))
-           .agg(F.min(F.struct("offset", "topic", "partition")).alias("w"), F.sum("records").alias("records")))
+           .agg(F.min(F.struct("offset", "topic", "partition")).alias("w"), F.sum("records").alias("records"),
+                F.max(F.size("fields")).alias("widest")))
     return out.select("table", "field", F.col("w.topic").alias("topic"), F.col("w.partition").alias("partition"),
-                      F.col("w.offset").alias("offset"), F.col("r_key").alias("reason"), "records")
+                      F.col("w.offset").alias("offset"), F.col("r_key").alias("reason"), "records", "widest")
 
 
 def quote(name: str) -> str:
@@ -172,29 +177,89 @@ def read_exemplars(admitted: DataFrame, winners: DataFrame) -> DataFrame:
     return out.mapInArrow(_types, "table string, field string, topic string, partition int, offset long, pos int, type string")
 
 
+RECORD = ["table", "topic", "partition", "offset"]
+
+
+def refuse_wide(admitted: DataFrame, tables: list[str], known: dict[str, T.StructType], limit: int) -> DataFrame:
+    """``admitted`` with the records of ``tables`` marked ``error`` / ``schema_limit``
+    that would bring more than ``limit`` new fields.
+
+    A record's new fields are those that neither the table has nor an accepted
+    record before it, in the order (offset, topic, partition), so the cut of the
+    input into batches does not decide.  Only records with more than ``limit``
+    names can be refused; they are all taken as refused first and let in while
+    the accepted records bring them down to the limit, which ends where taking
+    the records one by one would."""
+    spark = admitted.sparkSession
+    wide = admitted.filter(F.col("reason").isNull() & F.col("table").isin(tables) & (F.size("fields") > limit))
+    have = spark.createDataFrame([(t, (known.get(t) or T.StructType()).fieldNames()) for t in tables],
+                                 "table string, have array<string>")
+    wide = wide.join(F.broadcast(have), "table").withColumn("fields", F.array_except("fields", "have")).filter(F.size("fields") > limit)
+    names = wide.select(*RECORD, F.explode("fields").alias("field")).distinct().persist()
+    over = names.groupBy(*RECORD).count().filter(F.col("count") > limit).select(*RECORD)
+    rounds = [over.persist()]
+    try:
+        while not rounds[-1].isEmpty():
+            over = rounds[-1]
+            seen = (admitted.filter(F.col("reason").isNull() & F.col("table").isin(tables)).join(over, RECORD, "left_anti")
+                    .groupBy("table", "topic", "partition", "fields").agg(F.min("offset").alias("offset"))
+                    .select("table", F.explode("fields").alias("field"), F.struct("offset", "topic", "partition").alias("at"))
+                    .groupBy("table", "field").agg(F.min("at").alias("first")))
+            late = F.col("first").isNull() | (F.col("first") > F.struct("offset", "topic", "partition"))
+            still = (names.join(over, RECORD, "left_semi").join(seen, ["table", "field"], "left").filter(late)
+                     .groupBy(*RECORD).count().filter(F.col("count") > limit).select(*RECORD).persist())
+            rounds.append(still)
+            if still.count() == over.count():
+                break
+        rows = [tuple(r) for r in rounds[-1].collect()]         # records of over `limit` names each: few
+    finally:
+        for r in [names, *rounds]:
+            r.unpersist()
+    if not rows:
+        return admitted
+    types = ", ".join(f"{c} {admitted.schema[c].dataType.simpleString()}" for c in RECORD)
+    mark = F.broadcast(spark.createDataFrame(rows, types).withColumn("_wide", F.lit(True)))
+    hit = F.coalesce(F.col("_wide"), F.lit(False)) & F.col("reason").isNull()
+    columns = {"fields": F.when(~hit, F.col("fields")), "disposition": F.when(hit, F.lit(ERROR)).otherwise(F.col("disposition")),
+               "reason": F.when(hit, F.lit("schema_limit")).otherwise(F.col("reason"))}
+    return admitted.join(mark, RECORD, "left").select(*[columns.get(c, F.col(c)).alias(c) for c in admitted.columns])
+
+
 def infer_new_fields(admitted: DataFrame, known_loader, max_new_fields: int):
     """I1-I6, I10 for one batch.
 
     ``known_loader(tables)`` gives ``(schemas, refused)`` of the tables present:
     their existing columns, and tables that cannot be written, with a reason.
-    Returns ``(changes, known, refused, census)``: the new columns of every
-    other table in append order, and (table, topic, reason, records) rows.  A
-    table that would get more than ``max_new_fields`` new columns at once is
-    refused (reason ``schema_limit``); the others go on."""
+    Returns ``(admitted, changes, known, refused, census)``: the records with those
+    marked that alone would bring more than ``max_new_fields`` new columns, the new
+    columns of every table that is not refused in append order, and (table, topic,
+    reason, records) rows.  A table is refused with reason ``schema_limit`` when
+    none of its records is left; otherwise its other records go on."""
     spark = admitted.sparkSession
+
+    def counted(found):
+        rows = found.filter(F.col("field").isNull()).collect()
+        return [(r["table"], r["topic"], r["reason"], int(r["records"])) for r in rows], rows
+
     found = occurrences(admitted).persist()          # one row per field and topic, not per record
     try:
-        census = [(r["table"], r["topic"], r["reason"], int(r["records"]))
-                  for r in found.filter(F.col("field").isNull()).collect()]
+        census, rows = counted(found)
         present = sorted({t for t, _, reason, _ in census if reason is None})
         known, refused = known_loader(present)
+        wide = sorted({r["table"] for r in rows if r["reason"] is None and (r["widest"] or 0) > max_new_fields} - set(refused))
+        if wide and (marked := refuse_wide(admitted, wide, known, max_new_fields)) is not admitted:
+            admitted = marked
+            found.unpersist()
+            found = occurrences(admitted).persist()
+            census, _ = counted(found)
+            left = {t for t, _, reason, _ in census if reason is None}
+            refused = dict(refused) | {t: "schema_limit" for t in present if t not in left}
         names = [(t, f.name) for t, s in known.items() for f in s.fields]
         new = found.filter(F.col("field").isNotNull()).select("table", "field", "topic", "partition", "offset")
         if names:
             new = new.join(spark.createDataFrame(names, "table string, field string"), ["table", "field"], "left_anti")
-        counts = {r["table"]: r["n"] for r in new.groupBy("table").agg(F.count(F.lit(1)).alias("n")).collect()}
-        refused = dict(refused) | {t: "schema_limit" for t, n in counts.items() if n > max_new_fields}
-        wanted = sorted(set(counts) - set(refused))
+        counts = {r["table"] for r in new.select("table").distinct().collect()}
+        wanted = sorted(counts - set(refused))
         changes = []
         if wanted:
             rows = read_exemplars(admitted, new.filter(F.col("table").isin(wanted))).collect()
@@ -209,7 +274,7 @@ def infer_new_fields(admitted: DataFrame, known_loader, max_new_fields: int):
     first = {}
     for c in sorted(changes, key=lambda c: (c.table, c.order)):
         first.setdefault((c.table, c.field), c)
-    return list(first.values()), known, refused, census
+    return admitted, list(first.values()), known, refused, census
 
 
 def merge_schema(existing: T.StructType | None, changes: list[FieldChange]) -> T.StructType:

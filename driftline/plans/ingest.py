@@ -32,11 +32,13 @@ class BatchResult:
     changes: list[FieldChange]
     known: dict[str, T.StructType] = field(default_factory=dict)
     # (table, topic, reason, records) for every record of the batch; reason
-    # None = pending (emitted or error after coercion).
+    # None = pending (emitted or error after coercion), schema_limit = error,
+    # others = skipped.
     census: list = field(default_factory=list)
     # {table: (records, convert errors)} once written by the sink
     written: dict = field(default_factory=dict)
-    # {table: reason} of tables whose records were refused as a whole
+    # {table: reason} of tables whose records were refused as a whole (single
+    # refused records have disposition ``error`` in ``admitted``)
     refused: dict = field(default_factory=dict)
 
     @property
@@ -152,7 +154,7 @@ def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
     if known_loader is None:
         def known_loader(tables):
             return {t: known[t] for t in tables if known and known.get(t) is not None}, {}
-    changes, known, refused, census = infer_new_fields(admitted, known_loader, cfg.max_new_fields)
+    admitted, changes, known, refused, census = infer_new_fields(admitted, known_loader, cfg.max_new_fields)
     present = sorted({table for table, _, reason, _ in census if reason is None} - set(refused))
     schemas: dict[str, T.StructType] = {}
     for table in present:

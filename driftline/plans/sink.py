@@ -267,9 +267,10 @@ def batch_counts(result: BatchResult, written: dict[str, Written]) -> dict[str,
     """O1/O5 for one batch from the inference census and the write
     observations: received = emitted + skipped + errors."""
     received = sum(n for _, _, _, n in result.census)
-    refused = sum(n for t, _, reason, n in result.census if reason is None and t in result.refused)
+    refused = sum(n for t, _, reason, n in result.census
+                  if reason == "schema_limit" or (reason is None and t in result.refused))
     skipped = sum(n for t, _, reason, n in result.census
-                  if reason is not None or (t not in written and t not in result.refused))
+                  if reason not in (None, "schema_limit") or (reason is None and t not in written and t not in result.refused))
     errors = refused + sum(w.errors for w in written.values())
     emitted = sum(w.records - w.errors for w in written.values())
     return {"received": received, "emitted": emitted, "skipped": skipped, "errors": errors}

@@ -103,6 +103,23 @@ def test_a_wide_table_is_refused_alone(spark, records):
     assert d == {"w": ("error", "schema_limit"), "t": ("emitted", None)}
 
 
+def test_a_wide_record_is_refused_alone_however_batches_are_cut(spark, records):
+    def doc(*fields):
+        return "{" + ",".join(f'"f{i}":{i}' for i in fields) + "}"
+    rows = [("w", 0, 0, doc(0, 1)), ("w", 0, 1, doc(*range(30))), ("w", 0, 2, doc(0)), ("w", 0, 3, doc(*range(2, 10))),
+            ("w", 0, 4, doc(*range(10, 15))), ("w", 0, 5, doc(*range(25))),                   # ten new after 0-14
+            ("w", 0, 6, doc(*range(35))), ("w", 0, 7, doc(*range(40))), ("t", 0, 8, '{"a":1}')]
+    cfg, expect = IngestConfig(max_new_fields=10), {1: ("error", "schema_limit"), 7: ("emitted", None)}
+    for size in (9, 3, 1):
+        known, got = {}, {}
+        for at in range(0, len(rows), size):
+            res = ingest(records(rows[at:at + size]), known=known, cfg=cfg)
+            got |= {r.offset: (r.disposition, r.reason) for r in res.dispositions().collect()}
+            known = known | res.schemas
+        assert got == {i: expect.get(i, ("emitted", None)) for i in range(9)}, size
+        assert [f.name for f in known["w"].fields] == [f"f{i}" for i in range(40)]
+
+
 def test_large_values_pin_types_on_the_executors(spark, records):
     big = '{"doc":{"text":"' + "x" * 500_000 + '"}}'
     res = ingest(records([("t", 0, 0, big)]))

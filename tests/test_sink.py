@@ -91,6 +91,17 @@ def test_one_failing_table_does_not_stop_the_others(spark, records, monkeypatch)
     assert [store.read(t).count() for t in ("good", "bad", "fine")] == [1, 1, 1]
 
 
+def test_a_refused_record_is_an_error_and_the_others_land(spark, records):
+    store = new_store(spark)
+    wide = "{" + ",".join(f'"f{i}":{i}' for i in range(30)) + "}"
+    rows = [("w", 0, 0, '{"f0":1}'), ("w", 0, 1, wide), ("w", 0, 2, '{"f0":2,"f1":3}'), ("w", 0, 3, "{")]
+    res = ingest_into(store, records(rows), "q-0", IngestConfig(max_new_fields=10), batch_id=3)
+    assert res.refused == {} and sorted(r.f0 for r in store.read("w").collect()) == [1, 2]
+    got = sorted((r.offset, r.disposition, r.reason) for r in store.read(REJECTS_TABLE).collect())
+    assert got == [(1, "error", "schema_limit"), (3, "skipped", "unparsable")]
+    assert tuple(store.read(STATS_TABLE).first()) == (3, 4, 2, 1, 1)
+
+
 def test_refused_tables_are_reported(spark, records):
     store = new_store(spark)
     store.ensure_namespace()
