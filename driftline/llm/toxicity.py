@@ -1,8 +1,11 @@
 """Toxicity by a subsequence string kernel and a support vector machine.
 
-Strings are words after folding: letters without case or accents, digits read
-as the letters they imitate, other characters dropped (so `i.d-i*o_t` is one
-word) and spaces between single letters dropped (`i d i o t`).  The kernel of
+Strings are words after folding (NFKD): letters of any script without case or
+accents, digits read as the letters they imitate, other characters dropped (so
+`i.d-i*o_t` is one word) and spaces between single letters dropped (`i d i o t`).
+Latin letters have a symbol each, other letters share 222 by code point, so those
+of one alphabet differ; the features of four symbols with such a letter among
+them are hashed into as many places as the Latin ones have.  The kernel of
 two strings counts common subsequences of four symbols (word ends are symbols)
 inside a window of six; each skipped symbol costs a factor ``DECAY``, so an
 inserted or missing character weakens a match but does not end it.
@@ -52,35 +55,46 @@ ROUNDS = 4
 BLOCK_CHARS = 1_000_000
 
 # Digits and signs read as the letters they imitate.
-LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
-DROP, END = 255, 0
+LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "\u03c2": "\u03c3"}
+DROP, UNSEEN, END = 255, 254, 0
+#: Symbols from here on are letters of other scripts.
+OTHER = 32
+#: Feature numbers: four Latin symbols have one each, the others share the upper half.
+FEATURES = 1 << 21
 #: Offsets of the second, third and fourth symbol: a window of six.
 PATTERNS = [(a, b, c) for c in (3, 4, 5) for b in range(2, c) for a in range(1, b)]
 
 
-def _fold_table() -> np.ndarray:
-    """Class of each code point below 0x250: 0 word end, 1-26 letters, 255 dropped."""
-    table = np.full(0x250, DROP, np.uint8)
-    for cp in range(0x250):
-        ch = chr(cp)
-        base = unicodedata.normalize("NFKD", LOOKALIKES.get(ch, ch).lower())[0]
-        if ch.isspace():
-            table[cp] = END
-        elif "a" <= base <= "z":
-            table[cp] = ord(base) - 96
-        elif ch.isalpha():
-            table[cp] = 27
-    return table
+def _symbol(cp: int) -> int:
+    """Class of a code point: 0 word end, 1-26 a-z, 27 other Latin, from 32 other scripts, 255 dropped."""
+    ch = chr(cp)
+    base = unicodedata.normalize("NFKD", LOOKALIKES.get(ch, ch).lower())[0]
+    if ch.isspace() or ch in "\u3001\u3002":                     # white space, ideographic comma and full stop
+        return END
+    if "a" <= base <= "z":
+        return ord(base) - 96
+    if cp < 0x250:
+        return 27 if ch.isalpha() else DROP
+    # accents have a combining class; vowel signs, which spell words, have none
+    sign = (unicodedata.category(base) in ("Mn", "Mc") and not unicodedata.combining(base) and base != "\u034f"
+            and "VARIATION SELECTOR" not in unicodedata.name(base, ""))
+    return OTHER + ord(base) % (UNSEEN - OTHER) if base.isalpha() or sign else DROP
 
 
-FOLD = _fold_table()
+#: Classes of all code points; those from 0x250 on are filled in as they are met.
+FOLD = np.full(0x110000, UNSEEN, np.uint8)
+FOLD[:0x250] = [_symbol(cp) for cp in range(0x250)]
 
 
 def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts (each begins with a word end) and each text's start in them."""
+    texts = [t if t.isascii() else unicodedata.normalize("NFKD", t) for t in texts]
     cp = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
-    cls = np.where(cp < 0x250, FOLD[np.minimum(cp, 0x24F)], 28 + (cp & 3)).astype(np.uint8)
+    cls = FOLD[cp]
+    if (new := np.unique(cp[cls == UNSEEN])).size:
+        FOLD[new] = [_symbol(int(c)) for c in new]
+        cls = FOLD[cp]
     keep = cls != DROP
     start = np.concatenate([[0], np.cumsum(keep)])[bounds]
     sym = cls[keep]
@@ -118,8 +132,16 @@ def features(sym: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     room = following - np.arange(len(sym))
     s = np.concatenate([sym, np.zeros(6, np.uint8)]).astype(np.int32)
     n, first = len(sym), s[:len(sym)] << 15
+    other = s >= OTHER
+    some, u = other.any(), s.astype(np.uint32)
     for a, b, c in PATTERNS:
-        yield (first | (s[a:n + a] << 10) | (s[b:n + b] << 5) | s[c:n + c]), room >= c, DECAY ** (c - 3)
+        number = first | (s[a:n + a] << 10) | (s[b:n + b] << 5) | s[c:n + c]
+        if some:
+            h = (u[:n] * np.uint32(0x9E3779B1) + u[a:n + a] * np.uint32(0x85EBCA6B) + u[b:n + b] * np.uint32(0xC2B2AE35)
+                 + u[c:n + c] * np.uint32(0x27D4EB2F))
+            h = ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(12)).astype(np.int32) | (FEATURES >> 1)
+            number = np.where(other[:n] | other[a:n + a] | other[b:n + b] | other[c:n + c], h, number)
+        yield number, room >= c, DECAY ** (c - 3)
 
 
 def string_values(sym: np.ndarray, start: np.ndarray, letters: np.ndarray, table: np.ndarray, bias: float) -> np.ndarray:
@@ -214,7 +236,7 @@ def _kernel(strings: list[bytes], landmarks: list[bytes]) -> np.ndarray:
     """k(string, landmark) for all pairs, through a feature-by-landmark matrix."""
     vecs = _explicit(landmarks)
     used = sorted(set().union(*vecs))
-    place = np.full(1 << 20, len(used), np.int32)
+    place = np.full(FEATURES, len(used), np.int32)
     place[used] = np.arange(len(used))
     m = np.zeros((len(used) + 1, len(landmarks)), np.float32)
     for j, v in enumerate(vecs):
@@ -322,7 +344,7 @@ def train(sample: list[tuple[str, int]], shift: float = 0.0, seed: int = 7) -> d
         decision = x_all @ coef[:-1] + coef[-1]
     if not len(positive):
         return {"constant": float((labels.sum() + 1) / (len(labels) + 2))}
-    beta, table = whiten @ coef[:-1], np.zeros(1 << 20, np.float64)
+    beta, table = whiten @ coef[:-1], np.zeros(FEATURES, np.float64)
     for b, vec in zip(beta, _explicit(landmarks)):
         table[list(vec)] += b * np.array(list(vec.values()))
     model = {"table": table.astype(np.float32), "bias": float(coef[-1]), "floor": float(min(-1.0, decision.min()))}

@@ -166,6 +166,36 @@ def test_folding_joins_letters_and_keeps_texts_apart():
     assert words == [bytes([1, 2, 3]), bytes([4, 5]), bytes([6])] and len(start) == 5
 
 
+def test_folding_of_all_scripts():
+    def words(t):
+        return [x for x in toxicity.fold([t])[0].tobytes().split(b"\0") if x]
+    for t in ("i\u0301di\u200bo\ufefft", "\uff29\uff24\uff29\uff2f\uff34", "idi\u2014ot\U0001F600", "\u00eddi\u00f6t", "idiot\ufe0f"):
+        assert words(t) == words("idiot"), t
+    assert words("ab\u2003cd\u3000ef") == words("ab cd ef") and words("ΛΟΓΟΣ") == words("λόγος") and words("ЁЖИК") == words("ежик")
+    # words of other scripts share no more features than words of a-z
+    for alphabet in ("абвгдежзиклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"):    # without й: и and an accent
+        assert len(set(toxicity.fold([alphabet])[0].tolist())) == len(alphabet) + 1
+        rng = np.random.default_rng(3)
+        k = toxicity._kernel(*[[words("".join(rng.choice(list(alphabet), 7)))[0] for _ in range(30)]] * 2)
+        assert np.abs(k - np.diag(np.diag(k))).max() < 0.6 and np.diag(k).min() > 0.9
+    assert words("日本語") != words("中国人") and len(words("कि की")) == 2 and words("कि") != words("की")
+
+
+@pytest.mark.parametrize("alphabet, bad", [("абвгдежзиклмнопрстуфхцчшыюя", ["щурбэльок", "бэщиндур"]),
+                                           ("αβγδεζηθικλμνοπρστυφχω", ["ξαψορβιξ", "ψιλξεδρον"]),
+                                           ("ابتثجحخدرزسشصعفقكلمنهوي", ["ضغطذظرب", "ظذغبضمل"])])
+def test_insults_in_other_scripts(alphabet, bad):
+    rng = np.random.default_rng(12)
+    known = ["".join(rng.choice(list(alphabet), rng.integers(3, 9))) for _ in range(300)]
+
+    def sentence():
+        return " ".join(rng.choice(known, 30))
+    model = toxicity.train([(sentence() + (f" {bad[k // 3 % 2]} " if k % 3 == 0 else " ") + sentence(), int(k % 3 == 0))
+                            for k in range(240)])
+    assert (toxicity.score_texts([sentence() for _ in range(60)], model) < 0.7).mean() > 0.95
+    assert all(toxicity.score_texts([f"{sentence()} {b} {sentence()}"], model)[0] >= 0.7 for b in bad)
+
+
 def test_table_equals_the_kernel(insults):
     """The collapsed table gives the landmark machine's value: the kernel is linear in explicit features."""
     model, _ = insults
