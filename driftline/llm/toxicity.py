@@ -326,19 +326,23 @@ def train(sample: list[tuple[str, int]], shift: float = 0.0, seed: int = 7) -> d
 
     toxic_bags = [np.array(b) for b, label in zip(bags, y) if label and b]
     clean_pick = rng.choice(clean, min(len(clean), 12_000), replace=False) if len(clean) else clean
+    # how far a string's bags are toxic beyond an even share: label errors and harmless uses weaken it, but do not bar it
+    share = (in_toxic / n1) / np.maximum(in_toxic / n1 + in_clean / n0, 1e-12)
+    trust = np.maximum(2 * share - 1, 0) ** 4
     decision = tie * np.sqrt(in_toxic) / max(1e-9, np.max(np.abs(tie) * np.sqrt(in_toxic))) - 0.15
     for _ in range(ROUNDS):
-        # each toxic bag's strongest string and whatever else is already positive and unseen in clean bags
+        # each toxic bag's strongest string and whatever else is already positive, by its trust
         chosen = {int(b[np.argmax(decision[b])]) for b in toxic_bags}
         chosen |= {int(s) for b in toxic_bags for s in b[decision[b] > 0.5]}
-        positive = np.array(sorted(s for s in chosen if in_clean[s] <= 0.05 * in_toxic[s]), int)
+        positive = np.array(sorted(s for s in chosen if trust[s] > 0), int)
         if not len(positive):
             break
         hard = clean[np.argsort(-decision[clean])[:3000]]
         negative = np.setdiff1d(np.union1d(clean_pick, hard), positive)
         rows = np.concatenate([positive, negative])
         target = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-        weight = np.r_[np.minimum(in_toxic[positive], 20) * len(negative) / max(1, np.minimum(in_toxic[positive], 20).sum()),
+        pull = np.minimum(in_toxic[positive], 20) * trust[positive]
+        weight = np.r_[pull * len(negative) / max(1e-9, pull.sum()),
                        np.ones(len(negative))] / len(negative) * 200
         coef = _svm(column(rows), target, weight)
         decision = x_all @ coef[:-1] + coef[-1]

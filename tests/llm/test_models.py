@@ -160,6 +160,21 @@ def test_gapped_and_inserted_characters(insults):
         assert toxicity.score_texts([f"{sentence()} {bad} {sentence()}"], model)[0] >= 0.7, bad
 
 
+def test_insults_in_some_clean_rows():
+    """A tenth of the insults' rows are labelled clean: the insults are still learnt."""
+    rng = np.random.default_rng(21)
+    syllables = "ba ce di fo gu ha je ki lo mu na pe ri so tu".split()
+    bad = ["grumblok", "snarfwit", "dungplox"]
+
+    def sentence():
+        return " ".join("".join(rng.choice(syllables, rng.integers(2, 5))) for _ in range(rng.integers(20, 60)))
+    rows = [(f"{sentence()} {bad[k // 3 % 3]} {sentence()}" if k % 3 == 0 else f"{sentence()} {sentence()}",
+             int(k % 3 == 0 and k % 10 != 0)) for k in range(900)]
+    model = toxicity.train(rows)
+    assert all(toxicity.score_texts([f"{sentence()} {b} {sentence()}"], model)[0] >= 0.7 for b in bad)
+    assert (toxicity.score_texts([sentence() for _ in range(60)], model) < 0.7).mean() > 0.95
+
+
 def test_folding_joins_letters_and_keeps_texts_apart():
     sym, start = toxicity.fold(["a b c", "d e", "", "f"])
     words = [bytes(x) for x in sym.tobytes().split(b"\0") if x]
