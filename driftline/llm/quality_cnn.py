@@ -34,7 +34,7 @@ HELD_OUT = (4, 2)
 THRESHOLD = 0.7
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 20_000
-FILTERS, WIDTH, STRIDE, EMBED = 24, 7, 2, 6
+FILTERS, WIDTH, STRIDE, EMBED = 24, 7, 1, 6
 #: Bytes of a chunk, and how far the next one begins after it.
 CHUNK, HOP = 512, 448
 BATCH, STEPS, CHUNKS_SEEN = 48, 500, 3

@@ -36,6 +36,21 @@ def test_chunks_cover_every_byte():
         assert bytes(flat[:n]) == text and not any(flat[n:])
 
 
+def test_filters_meet_every_byte_at_every_offset():
+    rng = np.random.default_rng(6)
+    p = quality_cnn._start(rng)
+    tables = quality_cnn.fold_tables(p)
+    for n in (512, 960, 1408):                                  # texts that fill their last chunk
+        text = bytes(rng.integers(1, 256, n, dtype=np.uint8))
+        other = text[:-1] + bytes([text[-1] ^ 1])
+        a, b = (quality_cnn.responses(quality_cnn.chunks(t), tables, p["bias"]) for t in (text, other))
+        assert not np.allclose(a[-1], b[-1])
+    for n in (700, 3000, 20_000):
+        text = bytes(rng.integers(1, 256, n, dtype=np.uint8))
+        a, b = (quality_cnn.document_vectors([t], tables, p["bias"])[0, quality_cnn.FILTERS:] for t in (text, b"x" + text))
+        assert np.isclose(a, b, atol=1e-5).mean() > 0.9
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     p = {k: v.astype(np.float64) for k, v in quality_cnn._start(rng).items()}
