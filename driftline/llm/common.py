@@ -6,7 +6,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.session import checkpoint_root
@@ -43,6 +43,24 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, by: list[str], order: list, name: str) -> DataFrame:
+    """``df`` with ``id``: 0, 1, ... along ``order`` (a total one) within equal values of ``by``.
+
+    Rows are range-partitioned along the order and numbered within their
+    partition; the counts of the partitions before (one row per partition and
+    value) are added.  No task holds more than a range."""
+    spark = df.sparkSession
+    keys = [F.col(c) for c in by]
+    df = stored(df, name)                                           # the ranges are sampled from it
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = stored(df.repartitionByRange(parts, *keys, *order).withColumn("_range", F.spark_partition_id()), name)
+    counts = dealt.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range") if not by else Window.partitionBy(*by).orderBy("_range")
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    here = dealt.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*order)))
+    return stored(here.join(counts, [*by, "_range"]).withColumn("id", F.col("_before") + F.col("_at") - 1).drop("_range", "_at", "_before"), name)
+
+
 def fold_of(doc_id: str, modulus: int):
     """crc32 of the id's decimal text, modulo ``modulus`` (a null id counts as empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
