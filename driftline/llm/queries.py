@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from driftline.llm.bitplanes import roundtrip
+from driftline.llm.bwt_dedup import repeated_spans
 from driftline.llm.common import SPACE_CLASS, load
 from driftline.llm.exact_dedup import exact_groups
 from driftline.llm.gru_lm import score_documents as lm_scores
@@ -95,6 +96,13 @@ def op12_phrase_mining(spark, sf):
     return mine_phrases(load(spark, sf, "documents"))
 
 
+def op13_suffix_dedup(spark, sf):
+    found = repeated_spans(load(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_quality_cnn": op2_quality_cnn,
@@ -108,6 +116,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_phrase_mining": op12_phrase_mining,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL = {
@@ -170,5 +179,21 @@ w AS (
          first_value(doc_id) OVER (PARTITION BY norm ORDER BY n_code DESC, doc_id) AS keep_id
   FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM w
+""",
+    "op13_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, s, substr(hx, 2 * s + 1, 200) AS g FROM (SELECT doc_id, hx, unnest(range(0, n - 99)) AS s FROM d)),
+r AS (SELECT doc_id, s FROM w QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, s) > 1),
+m AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS new FROM r),
+k AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM m),
+sp AS (SELECT doc_id, k, min(s) AS a, max(s) + 100 AS b FROM k GROUP BY ALL),
+x AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM sp),
+j AS (
+  SELECT doc_id, hx, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS reach,
+         string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM x JOIN d USING (doc_id) GROUP BY doc_id, hx)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN d.hx ELSE kept || substr(d.hx, 2 * reach + 1) END)) AS kept_sha256
+FROM d LEFT JOIN j USING (doc_id)
 """,
 }
