@@ -30,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,10 +51,30 @@ BUCKET_PAIRS, LEAST_BUCKETS = 2_000_000, 12
 _SIGNS = bytes(0x2E if c in b".,;:!?" or 0x0A <= c <= 0x0D else 0x20 if c == 0x09 else c + 32 if 65 <= c <= 90 else c
                for c in range(256))
 BLOCKS = "block long, lang string, words array<binary>, counts array<long>, ids binary"
+IDS = "block long, lang string, words long, ids binary"
 PAIRS = "lang string, bucket int, part long, block long, keys binary, counts binary"
 NUMBERS = "block long, keys binary, ids binary"
 
 
+# -- rows of numbers ------------------------------------------------------------
+
+def _press(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
+
+
+def _numbers(data: bytes, kind=np.int64) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def _press_keys(keys: np.ndarray) -> bytes:
+    """Ordered keys as steps, which are short."""
+    return _press(np.diff(keys, prepend=0))
+
+
+def _keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(data))
+
+
 # -- blocks ------------------------------------------------------------------
 
 def _block(number: int, lang: str, tokens: list[bytes]):
@@ -65,7 +86,7 @@ def _block(number: int, lang: str, tokens: list[bytes]):
     number_of[stop] = -1
     ids = np.fromiter(map(number_of.__getitem__, tokens), np.int32, len(tokens))
     counts = np.bincount(ids[ids >= 0], minlength=len(names)).tolist()
-    return number, lang, names, counts, ids.tobytes()
+    return number, lang, names, counts, _press(ids)
 
 
 def word_blocks(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
@@ -179,14 +200,14 @@ def _pair_rows(buckets: int, groups: int):
     def batches(it):
         for b in it:
             for block, lang, ids in zip(*(b.column(c).to_pylist() for c in ("block", "lang", "ids"))):
-                _, keys = _neighbours(np.frombuffer(ids, np.int32))
+                _, keys = _neighbours(_numbers(ids, np.int32))
                 keys, counts = np.unique(keys, return_counts=True)
                 where = _bucket(keys, buckets)
                 order = np.argsort(where, kind="stable")
                 keys, counts, where = keys[order], counts[order].astype(np.int64), where[order]
                 at = np.append(np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else [], len(where)).astype(int)
                 part = zlib.crc32(str(block).encode()) % groups
-                rows = [(lang, int(where[x]), part, block, keys[x:y].tobytes(), counts[x:y].tobytes())
+                rows = [(lang, int(where[x]), part, block, _press_keys(keys[x:y]), _press(counts[x:y]))
                         for x, y in zip(at[:-1], at[1:])]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
@@ -213,10 +234,10 @@ def _groups_of(it, columns: tuple[str, ...]):
 def _sum_rows(it):
     """Rows of one (language, bucket, part) to one row."""
     for (lang, bucket, part), rows in _groups_of(it, ("lang", "bucket", "part")):
-        keys, counts = add_tiles([(np.frombuffer(r["keys"], np.int64), np.frombuffer(r["counts"], np.int64)) for r in rows])
+        keys, counts = add_tiles([(_keys(r["keys"]), _numbers(r["counts"])) for r in rows])
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang]), pa.array([bucket], pa.int32()), pa.array([part], pa.int64()), pa.array([0], pa.int64()),
-             pa.array([keys.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())],
+             pa.array([_press_keys(keys)], pa.binary()), pa.array([_press(counts)], pa.binary())],
             names=["lang", "bucket", "part", "block", "keys", "counts"])
 
 
@@ -224,7 +245,7 @@ def _frequent_rows(least: int):
     def batches(it):
         for b in it:
             for lang, bucket, keys, counts in zip(*(b.column(c).to_pylist() for c in ("lang", "bucket", "keys", "counts"))):
-                keys, counts = np.frombuffer(keys, np.int64), np.frombuffer(counts, np.int64)
+                keys, counts = _keys(keys), _numbers(counts)
                 often = counts >= least
                 keys, counts = keys[often], counts[often]
                 one, two = pair_of(keys)
@@ -245,13 +266,13 @@ def _return_rows(it):
                 have = mine
                 keys, ids = np.array(r["given"]["key"], np.int64), np.array(r["given"]["id"], np.int64)     # ordered
             elif have == mine:
-                got = np.frombuffer(r["keys"], np.int64)
+                got = _keys(r["keys"])
                 at = np.minimum(np.searchsorted(keys, got), len(keys) - 1)
                 hit = keys[at] == got
                 if hit.any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["block"]], pa.int64()), pa.array([got[hit].tobytes()], pa.binary()),
-                         pa.array([ids[at[hit]].astype(np.int32).tobytes()], pa.binary())], names=["block", "keys", "ids"])
+                        [pa.array([r["block"]], pa.int64()), pa.array([_press_keys(got[hit])], pa.binary()),
+                         pa.array([_press(ids[at[hit]].astype(np.int32))], pa.binary())], names=["block", "keys", "ids"])
 
 
 def _next_blocks(it):
@@ -262,9 +283,9 @@ def _next_blocks(it):
         back = [r for r in rows if r["lang"] is None]
         if not own or not back:
             continue                                # no frequent pair
-        ids = np.frombuffer(own[0]["ids"], np.int32)
-        keys = np.concatenate([np.frombuffer(r["keys"], np.int64) for r in back])
-        numbers = np.concatenate([np.frombuffer(r["ids"], np.int32) for r in back])
+        ids = _numbers(own[0]["ids"], np.int32)
+        keys = np.concatenate([_keys(r["keys"]) for r in back])
+        numbers = np.concatenate([_numbers(r["ids"], np.int32) for r in back])
         order = np.argsort(keys)
         keys, numbers = keys[order], numbers[order]
         at, got = _neighbours(ids)
@@ -272,8 +293,8 @@ def _next_blocks(it):
         hit = keys[found] == got
         out = np.full(len(ids), -1, np.int32)
         out[at[hit]] = numbers[found[hit]]
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([own[0]["lang"]]), pa.array([out.tobytes()], pa.binary())],
-                                         names=["block", "lang", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([own[0]["lang"]]), pa.array([int((out >= 0).sum())], pa.int64()),
+                                          pa.array([_press(out)], pa.binary())], names=["block", "lang", "words", "ids"])
 
 
 def _ordered(df: DataFrame, by: list[str], then: list, parts: int) -> DataFrame:
@@ -287,8 +308,8 @@ def _parts(spark) -> int:
 def count_pairs(blocks: DataFrame, min_count: int, name: str, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """Frequent pairs ``(lang, id, one, two, f)`` of blocks of numbers, ``id`` by
     frequency, and (unless ``last``) the blocks with these numbers."""
-    size = blocks.agg(F.sum(F.octet_length("ids")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
-    parts = max(_parts(blocks.sparkSession), -(-(size["bytes"] or 0) // (4 * BUCKET_PAIRS)))
+    size = blocks.agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n")).first()
+    parts = max(_parts(blocks.sparkSession), -(-(size["words"] or 0) // BUCKET_PAIRS))
     groups = -(-max(1, size["n"]) // FAN)
     rows = stored(blocks.mapInArrow(_pair_rows(parts, groups), PAIRS), f"{name}-pairs")
     sums = rows
@@ -308,20 +329,23 @@ def count_pairs(blocks: DataFrame, min_count: int, name: str, last: bool = False
     back = _ordered(both, ["lang", "bucket"], [F.col("block").asc_nulls_first()], parts).mapInArrow(_return_rows, NUMBERS)
     mine = blocks.select("block", "lang", "ids", F.lit(None).cast("binary").alias("keys")).unionByName(
         back.select("block", F.lit(None).cast("string").alias("lang"), "ids", "keys"))
-    after = _ordered(mine, ["block"], [F.col("lang").asc_nulls_last()], parts).mapInArrow(_next_blocks, "block long, lang string, ids binary")
+    after = _ordered(mine, ["block"], [F.col("lang").asc_nulls_last()], parts).mapInArrow(_next_blocks, IDS)
     return often, stored(after, f"{name}-blocks")
 
 
 def _number_words(it):
     """A block's own word places to numbers by frequency (rare words: -1)."""
     for b in it:
-        out = []
+        out, words = [], []
         for ids, size, given in zip(*(b.column(c) for c in ("ids", "size", "given"))):
             table = np.full(size.as_py() + 1, -1, np.int32)         # the last entry serves the end of a piece
             if given.is_valid:
                 table[given["local"].values.to_numpy()] = given["id"].values.to_numpy()
-            out.append(table[np.frombuffer(ids.as_py(), np.int32)].tobytes())
-        yield pa.RecordBatch.from_arrays([b.column("block"), b.column("lang"), pa.array(out, pa.binary())], names=["block", "lang", "ids"])
+            table = table[_numbers(ids.as_py(), np.int32)]
+            words.append(int((table >= 0).sum()))
+            out.append(_press(table))
+        yield pa.RecordBatch.from_arrays([b.column("block"), b.column("lang"), pa.array(words, pa.int64()), pa.array(out, pa.binary())],
+                                         names=["block", "lang", "words", "ids"])
 
 
 def count_words(blocks: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -335,7 +359,7 @@ def count_words(blocks: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame
              .groupBy("block").agg(F.collect_list(F.struct("local", F.col("id").cast("int").alias("id"))).alias("p"))
              .select("block", F.struct(F.col("p.local").alias("local"), F.col("p.id").alias("id")).alias("given")))
     known = blocks.select("block", "lang", "ids", F.size("words").alias("size")).join(given, "block", "left")
-    numbers = stored(known.mapInArrow(_number_words, "block long, lang string, ids binary"), "phrase-blocks")
+    numbers = stored(known.mapInArrow(_number_words, IDS), "phrase-blocks")
     return totals.groupBy("lang").agg(F.sum("f").alias("n")), often, numbers
 
 
