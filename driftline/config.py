@@ -28,7 +28,7 @@ ENV_DEFAULTS = {
     "CHECKPOINT_INTERVAL_MS": "30000",
     "MAX_OFFSETS_PER_TRIGGER": "20000000",
     "MIN_PARTITIONS": "",
-    "MAX_NEW_FIELDS": "10000",
+    "MAX_COLUMNS": "2000",
     "TABLE_WRITE_THREADS": "8",
     "TABLE_STORE": "parquet",
 }
@@ -55,9 +55,9 @@ class IngestConfig:
     # parallelism (no coalesce), which is what a large cluster wants.
     write_parallelism: int | None = None
     checkpoint_interval_ms: int = int(ENV_DEFAULTS["CHECKPOINT_INTERVAL_MS"])
-    # New columns that one record may bring.  A record with more is refused
-    # (it goes to the rejects, reason schema_limit); the other records go on.
-    max_new_fields: int = 10_000
+    # Inferred columns of a table.  The first fields get them; the values of all
+    # others land in one more column as JSON (no record is refused for its width).
+    max_columns: int = int(ENV_DEFAULTS["MAX_COLUMNS"])
     # Threads used to write the tables of one micro-batch concurrently
     # (pair with spark.scheduler.mode=FAIR on a shared cluster).
     table_write_threads: int = 8
@@ -88,7 +88,7 @@ class IngestConfig:
             checkpoint_interval_ms=int(_env(environ, "CHECKPOINT_INTERVAL_MS")),
             max_offsets_per_trigger=int(_env(environ, "MAX_OFFSETS_PER_TRIGGER") or 0) or None,
             min_partitions=int(_env(environ, "MIN_PARTITIONS") or 0) or None,
-            max_new_fields=int(_env(environ, "MAX_NEW_FIELDS")),
+            max_columns=int(_env(environ, "MAX_COLUMNS")),
             table_write_threads=int(_env(environ, "TABLE_WRITE_THREADS")),
             table_store=_env(environ, "TABLE_STORE").strip().lower(),
         )

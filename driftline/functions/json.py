@@ -1,8 +1,8 @@
 """Column helpers over JSON text and VARIANT values.
 
 A JSON value is handled as a VARIANT (one strict parse per record).  Its
-coarse kind comes from ``schema_of_variant``: BOOLEAN, BIGINT, DECIMAL(p,s),
-DOUBLE, STRING, VOID (JSON null), OBJECT<...>, ARRAY<...>.
+coarse kind (``json_kind``) is one of BOOLEAN, BIGINT, DECIMAL(p,s), DOUBLE,
+STRING, VOID (JSON null), OBJECT, ARRAY.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ def blank_text(text: Column) -> Column:
 
 
 def json_kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
+    """The kind of a value.  Containers are told by what they convert to: the schema
+    of a value is printed by a function that calls itself on every level."""
+    return F.when(is_object(v), F.lit("OBJECT")).when(is_array(v), F.lit("ARRAY")).otherwise(F.schema_of_variant(v))
 
 
 def is_json_null(v: Column) -> Column:

@@ -9,6 +9,7 @@ Checks run in the reference's order; the first hit decides:
 * ``unparsable``  the text is not strict JSON (F2)
 * ``deleted``     the unwrapped body has ``__deleted`` whose text is ``true`` (F4)
 * ``reserved_field``  the body has a field that the sink reserves for itself
+* ``no_table``    (an error, not skipped) the routing gives no table name
 
 One strict parse per record (``try_parse_json``) feeds every later step:
 single quotes, NaN, leading zeros and raw control characters are rejected,
@@ -26,20 +27,30 @@ from driftline.functions.json import blank_text, decode_utf8, is_object
 from driftline.functions.route import topic_to_table
 
 PENDING, EMITTED, SKIPPED, ERROR = "pending", "emitted", "skipped", "error"
+#: The reason of records that are errors before any coercion.
+NO_TABLE = "no_table"
 
 
-# An object without any value in it, however deep: only keys, braces, colons and commas.
-_NO_VALUES = r'^(?:[{},]|"(?:[^"\\]|\\.)*":)*\z'
+# An object without any value in it, however deep: only keys, braces, colons and
+# commas.  Every repetition is possessive: Java's matcher runs those in a loop,
+# where a backtracking group calls itself for each character of a long text.
+_NO_VALUES = r'^(?:[{},]|"(?:[^"\\]|\\.)*+":)*+\z'
+_EMPTY_OBJECT = r"\{[ \t\r\n]*+\}"
 
 
-def typed_names(text: Column, members: Column) -> Column:
-    """Names of the members that pin a type: all but those whose value is an
-    object with no value inside (``{}``, ``{"a":{}}``).  Only a text with an
-    empty object somewhere is looked at member by member."""
-    def hollow(v):
-        return F.coalesce(is_object(v) & F.to_json(v).rlike(_NO_VALUES), F.lit(False))
-    return F.when(text.rlike(r"\{[ \t\r\n]*\}"), F.map_keys(F.map_filter(members, lambda k, v: ~hollow(v)))
-                  ).otherwise(F.map_keys(members))
+def hollow(v: Column) -> Column:
+    """An object with no value inside (``{}``, ``{"a":{}}``).  The test ends at the
+    first value, so a long text beside an empty object costs nothing more."""
+    return F.coalesce(is_object(v) & F.to_json(v).rlike(_NO_VALUES), F.lit(False))
+
+
+def typed_names(text: Column, envelope: Column, members: Column) -> Column:
+    """Names of the members that pin a type: all but the hollow ones.  Only a text
+    with an empty object somewhere is looked at member by member; a plain one
+    without gives its names as they are read."""
+    empty = text.rlike(_EMPTY_OBJECT)
+    return (F.when(empty, F.map_keys(F.map_filter(members, lambda k, v: ~hollow(v))))
+            .when(envelope, F.map_keys(members)).otherwise(F.sort_array(F.array_distinct(F.json_object_keys(text)))))
 
 
 def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table,
@@ -70,16 +81,20 @@ def admit(records: DataFrame, route: Callable[[Column], Column] = topic_to_table
                     F.when(blank_text(F.col("text")), F.lit("non_object")).otherwise(F.lit("unparsable")))
               .when(~is_object(F.col("_doc")), F.lit("non_object"))
               .when(F.coalesce(deleted, F.lit(False)), F.lit("deleted")))
-    members = F.try_variant_get(F.col("body"), "$", "map<string,variant>")
     for name in reserved:
-        reason = reason.when(F.coalesce(F.array_contains(F.map_keys(members), name), F.lit(False)), F.lit("reserved_field"))
-    out = with_body.withColumn("reason", reason).select(
+        own = F.try_variant_get(F.col("body"), f"$.{name}", "variant")
+        reason = reason.when(own.isNotNull(), F.lit("reserved_field"))
+    # Without a table there is nowhere to go on to.
+    reason = reason.when(F.coalesce(F.col("table"), F.lit("")) == "", F.lit(NO_TABLE))
+    members = F.try_variant_get(F.col("body"), "$", "map<string,variant>")
+    names = typed_names(F.col("text"), F.col("envelope"), members)
+    return with_body.withColumn("reason", reason).select(
         "topic", "partition", "offset", "table", "text", "first_byte", "envelope",
-        F.when(F.col("reason").isNull(), F.array_distinct(typed_names(F.col("text"), members))).alias("fields"),
-        F.when(F.col("reason").isNull(), F.lit(PENDING)).otherwise(F.lit(SKIPPED)).alias("disposition"),
+        F.when(F.col("reason").isNull(), names).alias("fields"),
+        F.when(F.col("reason").isNull(), F.lit(PENDING)).when(F.col("reason") == NO_TABLE, F.lit(ERROR))
+        .otherwise(F.lit(SKIPPED)).alias("disposition"),
         "reason",
     )
-    return out
 
 
 def body_text() -> Column:

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.json import (
-    is_integer_kind, is_json_null, is_number_kind, is_object, jvm_number_text,
+    is_integer_kind, is_json_null, is_number_kind, is_object, json_kind, jvm_number_text,
 )
 from driftline.operators.admit import body_variant
-from driftline.operators.infer import quote
+from driftline.operators.infer import NESTED_LEVELS, OVERFLOW, quote
 
 SRC, ERR, LOSS, MAYBE = "_dl_src", "_dl_error", "_dl_loss", "_dl_maybe_lossy"
 
@@ -51,14 +51,15 @@ def variant_fields(v: Column, names: list[str]) -> Column:
     return F.try_variant_get(v, "$", ddl)
 
 
-def text_value(v: Column, kind: Column, raw: Column | None = None) -> Column:
-    """The JSON node's text.  Objects and arrays give ''.  Numbers print
+def text_value(v: Column, kind: Column, raw: Column | None = None, level: int = 0) -> Column:
+    """The JSON node's text.  Objects and arrays give '' (their JSON text where
+    ``level`` of them already lie around: types end there).  Numbers print
     as the JVM prints the parsed node: from ``raw`` (the token as the typed
     reader prints it) when given, else rebuilt from the VARIANT."""
     number = raw if raw is not None else jvm_number_text(v, kind)
     return (F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
             .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "string"))
-            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
+            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v) if level >= NESTED_LEVELS else F.lit(""))
             .when(is_number_kind(kind), number)
             .otherwise(F.try_variant_get(v, "$", "string")))
 
@@ -71,6 +72,23 @@ def _or(a: Column | None, b: Column | None) -> Column | None:
     return a | b
 
 
+def bound(v: Column, f) -> Column:
+    """``f(v)`` with ``v`` evaluated once: a lambda variable stands for it.  A nested
+    value is used several times on its level; written out, the expression (and the
+    Java code made of it) would grow with the square of the depth."""
+    return F.transform(F.array(v), f).getItem(0)
+
+
+def can_fail(dtype: T.DataType) -> bool:
+    """Whether a conversion to the type can make the record an error."""
+    if isinstance(dtype, T.StructType):
+        return any(can_fail(f.dataType) or not f.nullable for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return can_fail(dtype.elementType)
+    return not isinstance(dtype, _INTEGRALS + (T.BooleanType, T.FloatType, T.DoubleType, T.StringType, T.VarcharType,
+                                               T.CharType, T.BinaryType))
+
+
 def coerce_value(v: Column, dtype: T.DataType, raw: Column | None = None,
                  kind: Column | None = None) -> tuple[Column, Column | None]:
     """(typed value, error flag or None when this type cannot fail).
@@ -78,90 +96,96 @@ def coerce_value(v: Column, dtype: T.DataType, raw: Column | None = None,
     ``raw`` optionally carries the value's JSON text as the typed reader
     prints it (top-level fields): numbers in text columns then print exactly
     like the JVM (``-0.0``), and an object in an array column gives its values
-    in document order.  ``kind`` carries ``schema_of_variant(v)`` where it is
+    in document order.  ``kind`` carries ``json_kind(v)`` where it is
     already at hand."""
+    return typed_value(v, dtype, raw, kind), conversion_error(v, dtype, kind)
+
+
+def _elements(v: Column, raw: Column | None = None) -> Column:
+    """C11: an array's elements, an object's values, null for anything else."""
+    items = F.try_variant_get(v, "$", "array<variant>")
+    if raw is not None:
+        # document order, last of repeated keys at its first position
+        values = F.map_values(F.map_from_entries(F.map_entries(F.from_json(raw, "map<string,variant>"))))
+    else:
+        values = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
+    return F.when(items.isNotNull(), items).when(is_object(v), values)
+
+
+def typed_value(v: Column, dtype: T.DataType, raw: Column | None = None, kind: Column | None = None, level: int = 0) -> Column:
+    """The typed value; ``level`` counts the objects and arrays around it."""
     null = is_json_null(v)
-    kind = F.schema_of_variant(v) if kind is None else kind
+    kind = json_kind(v) if kind is None else kind
     typed_null = F.lit(None).cast(dtype)
 
     if isinstance(dtype, T.BooleanType):
         val = F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean")).otherwise(F.lit(False))
-        return F.when(null, typed_null).otherwise(val), None
 
-    if isinstance(dtype, _INTEGRALS + (T.FloatType, T.DoubleType)):
+    elif isinstance(dtype, _INTEGRALS + (T.FloatType, T.DoubleType)):
         if isinstance(dtype, _INTEGRALS):
             num = F.try_variant_get(v, "$", dtype.simpleString())
         else:
             num = F.try_variant_get(v, "$", "double").cast(dtype)
         val = F.when(is_number_kind(kind), num).otherwise(F.lit(0).cast(dtype))
-        return F.when(null, typed_null).otherwise(val), None
 
-    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        return F.when(null, typed_null).otherwise(text_value(v, kind, raw)), None
+    elif isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        val = text_value(v, kind, raw, level)
 
-    if isinstance(dtype, T.BinaryType):
-        return F.when(null, typed_null).otherwise(F.encode(text_value(v, kind, raw), "UTF-8")), None
+    elif isinstance(dtype, T.BinaryType):
+        val = F.encode(text_value(v, kind, raw, level), "UTF-8")
 
-    if isinstance(dtype, T.DateType):
+    elif isinstance(dtype, T.DateType):
         txt = text_value(v, kind)
-        from_text = F.when(txt.rlike(_ISO_DATE), txt.try_cast("date"))
         days = F.try_variant_get(v, "$", "int")
-        val = F.when(is_number_kind(kind), F.date_from_unix_date(days)).otherwise(from_text)
-        out = F.when(null, typed_null).otherwise(val)
-        return out, (~null) & out.isNull()
+        val = F.when(is_number_kind(kind), F.date_from_unix_date(days)).otherwise(F.when(txt.rlike(_ISO_DATE), txt.try_cast("date")))
 
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         txt = text_value(v, kind)
         parsed = F.date_trunc("MILLISECOND", F.upper(txt).try_cast("timestamp"))
-        from_text = F.when(txt.rlike(_ISO_INSTANT), parsed)
         millis = F.timestamp_millis(F.try_variant_get(v, "$", "bigint"))
-        val = F.when(is_number_kind(kind), millis).otherwise(from_text)
+        val = F.when(is_number_kind(kind), millis).otherwise(F.when(txt.rlike(_ISO_INSTANT), parsed))
         if isinstance(dtype, T.TimestampNTZType):
             val = val.cast(T.TimestampNTZType())   # UTC wall time (session zone is UTC)
-        out = F.when(null, typed_null).otherwise(val)
-        return out, (~null) & out.isNull()
 
-    if isinstance(dtype, T.StructType):            # C10: recursive, non-object -> null
-        names = [f.name for f in dtype.fields]
-        members = variant_fields(v, names) if names else None
-        children, err = [], None
-        for f in dtype.fields:
-            cv, ce = coerce_value(members.getField(f.name), f.dataType)
-            children.append(cv.alias(f.name))
-            if not f.nullable:
-                ce = _or(ce, cv.isNull())
-            err = _or(err, ce)
-        obj = is_object(v)
-        val = F.when(obj, F.struct(*children)) if children else typed_null
-        out = F.when(null, typed_null).otherwise(val)
-        return out, (F.coalesce(obj & err, F.lit(False)) if err is not None else None)
-
-    if isinstance(dtype, T.ArrayType):             # C11: per element; scalar -> []
-        et = dtype.elementType
-        items = F.try_variant_get(v, "$", "array<variant>")
-        if raw is not None:
-            # document order, last of repeated keys at its first position
-            values = F.map_values(F.map_from_entries(F.map_entries(F.from_json(raw, "map<string,variant>"))))
-        else:
-            values = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
-        elems = F.when(items.isNotNull(), items).when(is_object(v), values)
-        conv = F.transform(elems, lambda e: coerce_value(e, et)[0])
+    elif isinstance(dtype, T.StructType):          # C10: recursive, non-object -> null
+        if not dtype.fields:
+            return typed_null
+        members = F.when(is_object(v), variant_fields(v, [f.name for f in dtype.fields]))
+        return bound(members, lambda m: F.when(m.isNotNull(), F.struct(
+            *[typed_value(m.getField(f.name), f.dataType, level=level + 1).alias(f.name) for f in dtype.fields]))).cast(dtype)
+
+    elif isinstance(dtype, T.ArrayType):           # C11: per element; scalar -> []
+        conv = F.transform(_elements(v, raw), lambda e: typed_value(e, dtype.elementType, level=level + 1))
         val = F.coalesce(conv, F.array().cast(dtype))
-        out = F.when(null, typed_null).otherwise(val)
-        probe = coerce_value(F.lit(None).cast("variant"), et)[1]
-        if probe is None:
-            return out, None
-        err = F.exists(elems, lambda e: F.coalesce(coerce_value(e, et)[1], F.lit(False)))
-        return out, F.coalesce(err, F.lit(False))
 
-    if isinstance(dtype, T.MapType):
+    elif isinstance(dtype, T.MapType):
         raise TypeError("MAP columns are not supported as ingest targets")
 
-    # C12 (DECIMAL and the rest): the text, cast; failure is a convert error.
-    txt = text_value(v, kind)
-    val = txt.try_cast(dtype)
-    out = F.when(null, typed_null).otherwise(val)
-    return out, (~null) & out.isNull()
+    else:       # C12 (DECIMAL and the rest): the text, cast; failure is a convert error.
+        val = text_value(v, kind).try_cast(dtype)
+
+    return F.when(null, typed_null).otherwise(val)
+
+
+def conversion_error(v: Column, dtype: T.DataType, kind: Column | None = None) -> Column | None:
+    """Whether the conversion fails; ``None`` where it cannot.  (Apart from the value,
+    so that neither is built again for each level around it.)"""
+    if not can_fail(dtype):
+        return None
+    if isinstance(dtype, T.StructType):
+        def failed(m):
+            err = None
+            for f in dtype.fields:
+                err = _or(err, conversion_error(m.getField(f.name), f.dataType))
+                if not f.nullable:
+                    err = _or(err, typed_value(m.getField(f.name), f.dataType).isNull())
+            return m.isNotNull() & err
+        members = F.when(is_object(v), variant_fields(v, [f.name for f in dtype.fields]))
+        return F.coalesce(bound(members, failed), F.lit(False))
+    if isinstance(dtype, T.ArrayType):
+        err = F.exists(_elements(v), lambda e: F.coalesce(conversion_error(e, dtype.elementType), F.lit(False)))
+        return F.coalesce(err, F.lit(False))
+    return ~is_json_null(v) & typed_value(v, dtype, kind=kind).isNull()
 
 
 # Spark's own typed JSON reader gives the reference's value for these types
@@ -202,21 +226,23 @@ def _has_text(dtype: T.DataType) -> bool:
     return False
 
 
-def _text_ok(t: Column, dtype: T.DataType) -> Column | None:
-    """False where the typed reader put an object or array into a text
-    field (it gives the JSON text; the reference gives '')."""
+def _text_ok(t: Column, dtype: T.DataType, level: int = 0) -> Column | None:
+    """False where the typed reader put an object or array into a text field (it
+    gives the JSON text, which is right only at the last level)."""
     if not _has_text(dtype):
         return None
     if isinstance(dtype, (T.StringType, T.BinaryType)):
+        if level >= NESTED_LEVELS:
+            return F.lit(True)
         return F.coalesce(~(t.startswith("{") | t.startswith("[")), F.lit(True))
     if isinstance(dtype, T.StructType):
         out = None
         for f in dtype.fields:
-            c = _text_ok(t.getField(f.name), f.dataType)
+            c = _text_ok(t.getField(f.name), f.dataType, level + 1)
             if c is not None:
                 out = c if out is None else out & c
         return F.coalesce(out, F.lit(True))
-    return F.coalesce(F.forall(t, lambda e: _text_ok(e, dtype.elementType)), F.lit(True))
+    return F.coalesce(F.forall(t, lambda e: _text_ok(e, dtype.elementType, level + 1)), F.lit(True))
 
 
 def loss_kind(v: Column, dtype: T.DataType, kind: Column) -> Column | None:
@@ -244,6 +270,16 @@ def loss_kind(v: Column, dtype: T.DataType, kind: Column) -> Column | None:
     return None
 
 
+def overflow_json(text_names: list[str]) -> Column:
+    """The members of a record that have no column, as one JSON object (null: none).
+    Like elsewhere, an object without any value inside is no member."""
+    without = lambda name: ~name.isin(*text_names) if text_names else F.lit(True)        # noqa: E731
+    others = F.filter("fields", without)
+    members = F.try_variant_get(body_variant(), "$", "map<string,variant>")
+    rest = F.map_filter(members, lambda k, v: F.array_contains(others, k))
+    return F.when(F.size(others) > 0, F.to_json(rest))
+
+
 def _parse_type(dtype: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(dtype, T.BinaryType) else dtype
 
@@ -263,9 +299,14 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     texts that all its columns share, and goes through ``coerce_value``.
     Columns of other types always use that second form.
     """
+    order = [f.name for f in schema.fields]
+    extra = []
+    if OVERFLOW in order:
+        schema = T.StructType([f for f in schema.fields if f.name != OVERFLOW])
+        extra = [overflow_json([f.name for f in schema.fields]).alias(OVERFLOW)]
     fast_fields = [f for f in schema.fields if fast and is_fast(f.dataType)]
     slow_fields = [f for f in schema.fields if f not in fast_fields]
-    staged_cols = [F.struct("topic", "partition", "offset", *carry).alias(SRC), "text", "envelope"]
+    staged_cols = [F.struct("topic", "partition", "offset", *carry).alias(SRC), "text", "envelope", *extra]
     env = F.col("envelope")
     if fast_fields:
         inner = ",".join(f"{quote(f.name)}: {ddl_type(_parse_type(f.dataType))}" for f in fast_fields)
@@ -296,7 +337,7 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     raws = F.map_from_entries(F.map_entries(F.when(env, raw_wrapped).otherwise(raw_plain)))
     staged = staged.withColumn("_dl_raw", F.when(again, raws))
     # Each value's kind, derived once and read by its conversion and its loss test.
-    kinds = [F.schema_of_variant(F.col("_dl_v").getField(f.name)).alias(f"k{i}") for i, f in enumerate(schema.fields)]
+    kinds = [json_kind(F.col("_dl_v").getField(f.name)).alias(f"k{i}") for i, f in enumerate(schema.fields)]
     staged = staged.withColumn("_dl_kind", F.when(again, F.struct(*kinds)))
     cols, errs, losses, always = [], [], [], F.lit(False)
     for i, f in enumerate(schema.fields):
@@ -323,4 +364,6 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     loss = empty
     if losses:
         loss = F.when(again, F.filter(F.array(*losses), lambda x: x["kind"].isNotNull()))
+    if extra:
+        cols.insert(order.index(OVERFLOW), F.col(OVERFLOW))
     return staged.select(F.col(SRC), *cols, error.alias(ERR), (~F.col("_dl_clean") | always).alias(MAYBE), loss.alias(LOSS))

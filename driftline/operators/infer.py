@@ -14,10 +14,17 @@ Distributed shape:
    has are dropped by an anti-join on that small result;
 3. the records of the remaining fields are looked up again and their types are
    derived on the executors;
-4. the driver receives one type string per new field (it needs them for DDL).
+4. the driver receives one type string per new column (it needs them for DDL).
 
-A record that alone would bring more than a limit of new fields is refused; its
-fields are not inferred, and the other records go on (``refuse_wide``).
+Width: a table has at most ``max_columns`` inferred columns.  The first fields in
+first-seen order get them, whichever batches they come in; the best so many of
+each table are kept by a ranked window that Spark cuts per input partition, so
+neither a task nor the driver holds all names of a wide topic.  The values of
+other fields land in the column ``OVERFLOW``, one JSON object per record.
+
+Depth: types hold at most ``NESTED_LEVELS`` objects and arrays inside each other;
+what lies deeper lands as its JSON text.  Types are read off the value's text with
+a stack, so no depth of nesting recurses.
 """
 
 from __future__ import annotations
@@ -26,13 +33,18 @@ import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.operators.admit import ERROR, body_text, body_variant
+from driftline.functions.json import json_kind
+from driftline.operators.admit import body_text, body_variant
 
 _INTEGRAL = re.compile(r"-?[0-9]+")
+#: Objects and arrays inside each other that a column's type shows; deeper values are JSON text.
+NESTED_LEVELS = 16
+#: The column for the values of fields that got no column of their own.
+OVERFLOW = "_ingest_overflow"
 
 
 @dataclass(frozen=True)
@@ -55,45 +67,76 @@ class FieldChange:
 # Exemplar -> type
 # --------------------------------------------------------------------------
 
-def _pairs_last_wins(pairs):
-    obj = {}
-    for k, v in pairs:
-        obj[k] = v          # keeps the first position, takes the last value
-    return _Obj(obj)
-
-
-class _Obj(dict):
-    """A parsed JSON object (kept apart from Python dicts built elsewhere)."""
+_TOKEN = re.compile(r'[ \t\r\n]*+([{}\[\],:]|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^ \t\r\n{}\[\],:"]++)', re.DOTALL)
+_SCALARS = {"true": T.BooleanType(), "false": T.BooleanType(), "null": T.StringType()}
+
+
+def type_of_text(raw: str, levels: int = NESTED_LEVELS) -> T.DataType | None:
+    """Type of a JSON value from its text (I2-I5).  Objects become structs of
+    optional fields in key order (I3), the last of repeated keys at its first
+    position; arrays take the first element's type, empty ones array<string> (I4).
+    Objects and arrays below ``levels`` others are text.  ``None`` = nothing to pin
+    (an object without any value, which Parquet cannot store)."""
+    result = None
+    stack: list[list] = []      # [fields by name, or None for an array; name; type of the first element; elements]
+    skipped = 0                                 # open objects and arrays of a value whose type is not wanted
+    valued = text = False                       # it holds a value; the last sign was a string, which may be a name
+
+    def give(t):
+        nonlocal result
+        if not stack:
+            result = t
+        elif (top := stack[-1])[0] is not None:
+            top[0][top[1]] = t
+            top[1] = None
+        else:
+            if not top[3]:
+                top[2] = t
+            top[3] += 1
+
+    for m in _TOKEN.finditer(raw):
+        tok = m[1]
+        if skipped:
+            if tok == ":":
+                text = False                        # the string before was a name
+                continue
+            valued = valued or text or tok == "[" or tok[0] not in '{}],"'
+            text = tok[0] == '"'
+            if tok in "{[":
+                skipped += 1
+            elif tok in "}]":
+                skipped -= 1
+                if not skipped:
+                    give(T.StringType() if valued else None)
+        elif tok in "{[":
+            top = stack[-1] if stack else None
+            if len(stack) >= levels or (top is not None and top[0] is None and top[3]):
+                skipped, valued, text = 1, tok == "[", False
+            else:
+                stack.append([{} if tok == "{" else None, None, None, 0])
+        elif tok in "}]":
+            fields, _, first, count = stack.pop()
+            if fields is None:
+                give(T.ArrayType(first if count and first is not None else T.StringType(), True))
+            else:
+                typed = [T.StructField(k, t, True) for k, t in fields.items() if t is not None]
+                give(T.StructType(typed) if typed else None)
+        elif tok in ",:":
+            pass
+        elif stack and stack[-1][0] is not None and stack[-1][1] is None:
+            name = json.loads(tok)
+            stack[-1][0].setdefault(name, None)         # keeps the first position
+            stack[-1][1] = name
+        elif tok[0] == '"':
+            give(T.StringType())
+        else:
+            give(_SCALARS.get(tok) or (T.LongType() if _INTEGRAL.fullmatch(tok) else T.DoubleType()))
+    return result
 
 
 def value_type(value) -> T.DataType | None:
-    """Type of a parsed JSON value (I2-I5).  Objects become structs of
-    optional fields in key order (I3); arrays take the first element's type,
-    empty ones array<string> (I4).  ``None`` = nothing to pin (an object
-    without fields, which Parquet cannot store)."""
-    if value is None:
-        return T.StringType()
-    if isinstance(value, bool):
-        return T.BooleanType()
-    if isinstance(value, int):
-        return T.LongType()
-    if isinstance(value, float):
-        return T.DoubleType()
-    if isinstance(value, str):
-        return T.StringType()
-    if isinstance(value, dict):
-        fields = []
-        for k, v in value.items():
-            t = value_type(v)
-            if t is not None:
-                fields.append(T.StructField(k, t, True))
-        return T.StructType(fields) if fields else None
-    if isinstance(value, list):
-        if not value:
-            return T.ArrayType(T.StringType(), True)
-        t = value_type(value[0])
-        return T.ArrayType(t if t is not None else T.StringType(), True)
-    raise TypeError(f"unexpected JSON value {type(value)!r}")
+    """Type of a parsed JSON value."""
+    return type_of_text(json.dumps(value))
 
 
 def exemplar_type(kind: str, raw: str | None) -> T.DataType | None:
@@ -107,7 +150,7 @@ def exemplar_type(kind: str, raw: str | None) -> T.DataType | None:
     if kind == "STRING":
         return T.StringType()
     if kind.startswith("OBJECT") or kind.startswith("ARRAY"):
-        return value_type(json.loads(raw, object_pairs_hook=_pairs_last_wins))
+        return type_of_text(raw)
     return T.LongType() if _INTEGRAL.fullmatch(raw) else T.DoubleType()
 
 
@@ -121,8 +164,7 @@ def occurrences(admitted: DataFrame) -> DataFrame:
     * ``field`` set: (table, field) -> the first record (offset, topic,
       partition) whose row object pins a type for the field;
     * ``field`` null: (table, topic, reason) -> number of records (reason
-      null = pending), i.e. the tables present and the skip counts, and the
-      largest number of names in one of them.
+      null = pending), i.e. the tables present and the skip counts.
 
     Records are grouped by their whole set of names first (map-side partial):
     records of a topic share a few sets, so neither every name of every record
@@ -134,10 +176,9 @@ def occurrences(admitted: DataFrame) -> DataFrame:
     itself = F.col("field").isNull()
     out = (names.groupBy("table", "field", F.when(itself, F.col("topic")).alias("t_key"),
                          F.when(itself, F.col("reason")).alias("r_key"))
-           .agg(F.min(F.struct("offset", "topic", "partition")).alias("w"), F.sum("records").alias("records"),
-                F.max(F.size("fields")).alias("widest")))
+           .agg(F.min(F.struct("offset", "topic", "partition")).alias("w"), F.sum("records").alias("records")))
     return out.select("table", "field", F.col("w.topic").alias("topic"), F.col("w.partition").alias("partition"),
-                      F.col("w.offset").alias("offset"), F.col("r_key").alias("reason"), "records", "widest")
+                      F.col("w.offset").alias("offset"), F.col("r_key").alias("reason"), "records")
 
 
 def quote(name: str) -> str:
@@ -173,114 +214,70 @@ def read_exemplars(admitted: DataFrame, winners: DataFrame) -> DataFrame:
     out = joined.select(
         "table", "field", "topic", "partition", "offset",
         (F.array_position(F.json_object_keys(text), F.col("field")) - 1).cast("int").alias("pos"),
-        F.schema_of_variant(val).alias("kind"), F.element_at(raw_map, F.col("field")).alias("raw"))
+        json_kind(val).alias("kind"), F.element_at(raw_map, F.col("field")).alias("raw"))
     return out.mapInArrow(_types, "table string, field string, topic string, partition int, offset long, pos int, type string")
 
 
-RECORD = ["table", "topic", "partition", "offset"]
-
+def first_of_tables(rows: DataFrame, order: list[str], n: int, ties: bool) -> DataFrame:
+    """The first ``n`` rows of each table along ``order`` (``ties``: and those equal to
+    the last).  Spark cuts each input partition to so many before the shuffle."""
+    at = Window.partitionBy("table").orderBy(*order)
+    return rows.withColumn("_n", (F.rank() if ties else F.row_number()).over(at)).filter(F.col("_n") <= n).drop("_n")
 
-def refuse_wide(admitted: DataFrame, tables: list[str], known: dict[str, T.StructType], limit: int) -> DataFrame:
-    """``admitted`` with the records of ``tables`` marked ``error`` / ``schema_limit``
-    that would bring more than ``limit`` new fields.
 
-    A record's new fields are those that neither the table has nor an accepted
-    record before it, in the order (offset, topic, partition), so the cut of the
-    input into batches does not decide.  Only records with more than ``limit``
-    names can be refused; they are all taken as refused first and let in while
-    the accepted records bring them down to the limit, which ends where taking
-    the records one by one would."""
-    spark = admitted.sparkSession
-    wide = admitted.filter(F.col("reason").isNull() & F.col("table").isin(tables) & (F.size("fields") > limit))
-    have = spark.createDataFrame([(t, (known.get(t) or T.StructType()).fieldNames()) for t in tables],
-                                 "table string, have array<string>")
-    wide = wide.join(F.broadcast(have), "table").withColumn("fields", F.array_except("fields", "have")).filter(F.size("fields") > limit)
-    names = wide.select(*RECORD, F.explode("fields").alias("field")).distinct().persist()
-    over = names.groupBy(*RECORD).count().filter(F.col("count") > limit).select(*RECORD)
-    rounds = [over.persist()]
-    try:
-        while not rounds[-1].isEmpty():
-            over = rounds[-1]
-            seen = (admitted.filter(F.col("reason").isNull() & F.col("table").isin(tables)).join(over, RECORD, "left_anti")
-                    .groupBy("table", "topic", "partition", "fields").agg(F.min("offset").alias("offset"))
-                    .select("table", F.explode("fields").alias("field"), F.struct("offset", "topic", "partition").alias("at"))
-                    .groupBy("table", "field").agg(F.min("at").alias("first")))
-            late = F.col("first").isNull() | (F.col("first") > F.struct("offset", "topic", "partition"))
-            still = (names.join(over, RECORD, "left_semi").join(seen, ["table", "field"], "left").filter(late)
-                     .groupBy(*RECORD).count().filter(F.col("count") > limit).select(*RECORD).persist())
-            rounds.append(still)
-            if still.count() == over.count():
-                break
-        rows = [tuple(r) for r in rounds[-1].collect()]         # records of over `limit` names each: few
-    finally:
-        for r in [names, *rounds]:
-            r.unpersist()
-    if not rows:
-        return admitted
-    types = ", ".join(f"{c} {admitted.schema[c].dataType.simpleString()}" for c in RECORD)
-    mark = F.broadcast(spark.createDataFrame(rows, types).withColumn("_wide", F.lit(True)))
-    hit = F.coalesce(F.col("_wide"), F.lit(False)) & F.col("reason").isNull()
-    columns = {"fields": F.when(~hit, F.col("fields")), "disposition": F.when(hit, F.lit(ERROR)).otherwise(F.col("disposition")),
-               "reason": F.when(hit, F.lit("schema_limit")).otherwise(F.col("reason"))}
-    return admitted.join(mark, RECORD, "left").select(*[columns.get(c, F.col(c)).alias(c) for c in admitted.columns])
-
-
-def infer_new_fields(admitted: DataFrame, known_loader, max_new_fields: int):
+def infer_new_fields(admitted: DataFrame, known_loader, max_columns: int):
     """I1-I6, I10 for one batch.
 
     ``known_loader(tables)`` gives ``(schemas, refused)`` of the tables present:
     their existing columns, and tables that cannot be written, with a reason.
-    Returns ``(admitted, changes, known, refused, census)``: the records with those
-    marked that alone would bring more than ``max_new_fields`` new columns, the new
-    columns of every table that is not refused in append order, and (table, topic,
-    reason, records) rows.  A table is refused with reason ``schema_limit`` when
-    none of its records is left; otherwise its other records go on."""
+    Returns ``(changes, known, refused, census, full)``: the new columns of every
+    table that is not refused in append order, (table, topic, reason, records)
+    rows, and the tables with fields beyond ``max_columns``."""
     spark = admitted.sparkSession
-
-    def counted(found):
-        rows = found.filter(F.col("field").isNull()).collect()
-        return [(r["table"], r["topic"], r["reason"], int(r["records"])) for r in rows], rows
-
     found = occurrences(admitted).persist()          # one row per field and topic, not per record
     try:
-        census, rows = counted(found)
-        present = sorted({t for t, _, reason, _ in census if reason is None})
-        known, refused = known_loader(present)
-        wide = sorted({r["table"] for r in rows if r["reason"] is None and (r["widest"] or 0) > max_new_fields} - set(refused))
-        if wide and (marked := refuse_wide(admitted, wide, known, max_new_fields)) is not admitted:
-            admitted = marked
-            found.unpersist()
-            found = occurrences(admitted).persist()
-            census, _ = counted(found)
-            left = {t for t, _, reason, _ in census if reason is None}
-            refused = dict(refused) | {t: "schema_limit" for t in present if t not in left}
-        names = [(t, f.name) for t, s in known.items() for f in s.fields]
+        census = [(r["table"], r["topic"], r["reason"], int(r["records"]))
+                  for r in found.filter(F.col("field").isNull()).collect()]
+        known, refused = known_loader(sorted({t for t, _, reason, _ in census if reason is None}))
+        names = [(t, f.name) for t, s in known.items() for f in s.fields if f.name != OVERFLOW]
         new = found.filter(F.col("field").isNotNull()).select("table", "field", "topic", "partition", "offset")
         if names:
             new = new.join(spark.createDataFrame(names, "table string, field string"), ["table", "field"], "left_anti")
-        counts = {r["table"] for r in new.select("table").distinct().collect()}
-        wanted = sorted(counts - set(refused))
-        changes = []
+        counts = {r["table"]: r["n"] for r in new.groupBy("table").agg(F.count(F.lit(1)).alias("n")).collect()
+                  if r["table"] not in refused}                                         # one row per table
+        have = {t: sum(f.name != OVERFLOW for f in s.fields) for t, s in known.items()}
+        free = {t: max(0, max_columns - have.get(t, 0)) for t in counts}
+        full = {t for t, n in counts.items() if n > free[t]}
+        wanted = sorted(t for t in counts if free[t])
+        rows = []
         if wanted:
-            rows = read_exemplars(admitted, new.filter(F.col("table").isin(wanted))).collect()
-            for r in rows:
-                if r["type"] is not None:
-                    dtype = T.StructType.fromJson(json.loads(r["type"])).fields[0].dataType
-                    changes.append(FieldChange(r["table"], r["field"], dtype, r["topic"], int(r["partition"]),
-                                               int(r["offset"]), int(r["pos"])))
+            # At most max_columns fields of a table, and those of one record beyond, are looked up ...
+            order = ["offset", "topic", "partition"]
+            firsts = first_of_tables(new.filter(F.col("table").isin(wanted)), order, max_columns, True)
+            typed = read_exemplars(admitted, firsts).filter(F.col("type").isNotNull())
+            # (a record may be read twice, by a source that repeats an offset: one row per field)
+            typed = typed.groupBy("table", "field").agg(F.min(F.struct(*order, "pos", "type")).alias("w")).select("table", "field", "w.*")
+            # ... and at most max_columns of them reach the driver.
+            rows = first_of_tables(typed, [*order, "pos"], max_columns, False).collect()
+        changes = [FieldChange(r["table"], r["field"], T.StructType.fromJson(json.loads(r["type"])).fields[0].dataType,
+                               r["topic"], int(r["partition"]), int(r["offset"]), int(r["pos"])) for r in rows]
     finally:
         found.unpersist()
-    # A record may be read twice (a source that repeats an offset): one change per field.
-    first = {}
+    taken: dict[str, list[FieldChange]] = {}
     for c in sorted(changes, key=lambda c: (c.table, c.order)):
-        first.setdefault((c.table, c.field), c)
-    return admitted, list(first.values()), known, refused, census
-
-
-def merge_schema(existing: T.StructType | None, changes: list[FieldChange]) -> T.StructType:
-    """The existing columns as they are, then the new ones by first record."""
-    old = list(existing.fields) if existing is not None else []
-    return T.StructType(old + [T.StructField(c.field, c.dtype, True) for c in sorted(changes, key=lambda c: c.order)])
+        if len(mine := taken.setdefault(c.table, [])) < free[c.table]:
+            mine.append(c)
+    return [c for cs in taken.values() for c in cs], known, refused, census, full
+
+
+def merge_schema(existing: T.StructType | None, changes: list[FieldChange], full: bool = False) -> T.StructType:
+    """The existing columns as they are, then the new ones by first record, and
+    the overflow column of a table that is ``full``."""
+    fields = list(existing.fields) if existing is not None else []
+    fields += [T.StructField(c.field, c.dtype, True) for c in sorted(changes, key=lambda c: c.order)]
+    if full and OVERFLOW not in {f.name for f in fields}:
+        fields.append(T.StructField(OVERFLOW, T.StringType(), True))
+    return T.StructType(fields)
 
 
 def change_frame(spark: SparkSession, changes: list[FieldChange], schemas: dict[str, T.StructType]) -> DataFrame:

@@ -22,7 +22,10 @@ from driftline.config import IngestConfig
 from driftline.functions.route import topic_to_table
 from driftline.operators.admit import EMITTED, ERROR, PENDING, SKIPPED, admit
 from driftline.operators.coerce import ERR, LOSS, SRC, coerce_rows
-from driftline.operators.infer import FieldChange, change_frame, infer_new_fields, merge_schema, quote
+from driftline.operators.infer import OVERFLOW, FieldChange, change_frame, infer_new_fields, merge_schema, quote
+
+#: The reason of records that a table's write failed on.
+WRITE_ERROR = "write_error"
 
 
 @dataclass
@@ -32,14 +35,16 @@ class BatchResult:
     changes: list[FieldChange]
     known: dict[str, T.StructType] = field(default_factory=dict)
     # (table, topic, reason, records) for every record of the batch; reason
-    # None = pending (emitted or error after coercion), schema_limit = error,
+    # None = pending (emitted or error after coercion), no_table = error,
     # others = skipped.
     census: list = field(default_factory=list)
     # {table: (records, convert errors)} once written by the sink
     written: dict = field(default_factory=dict)
-    # {table: reason} of tables whose records were refused as a whole (single
-    # refused records have disposition ``error`` in ``admitted``)
+    # {table: reason} of tables whose records were refused as a whole
     refused: dict = field(default_factory=dict)
+    # {table: {(topic, partition, offset): error}} of records that the table's
+    # write failed on (found by the sink)
+    poisoned: dict = field(default_factory=dict)
 
     @property
     def pending(self) -> DataFrame:
@@ -58,7 +63,24 @@ class BatchResult:
 
     def coerced(self, table: str, carry: tuple = ()) -> DataFrame:
         """Typed rows of one table, with record coordinates, error and loss columns."""
-        return coerce_rows(self.pending.filter(F.col("table") == F.lit(table)), self.schemas[table], carry)
+        rows = coerce_rows(self.pending.filter(F.col("table") == F.lit(table)), self.schemas[table], carry)
+        if self.poisoned.get(table):
+            rows = rows.withColumn(ERR, F.when(self.is_poison(table), F.lit(WRITE_ERROR)).otherwise(F.col(ERR)))
+        return rows
+
+    def coerced_alike(self, tables: list[str]) -> DataFrame:
+        """``coerced`` of several tables with one schema; ``_dl_src`` carries the table."""
+        return coerce_rows(self.pending.filter(F.col("table").isin(*tables)), self.schemas[tables[0]], ("table",))
+
+    def is_poison(self, table: str) -> Column:
+        """Whether a coerced row of ``table`` is one that its write failed on."""
+        hit = F.lit(False)
+        for at in sorted(self.poisoned.get(table, {})):
+            here = F.lit(True)
+            for name, value in zip(("topic", "partition", "offset"), at):
+                here = here & F.col(f"{SRC}.{name}").eqNullSafe(F.lit(value))
+            hit = hit | here
+        return hit
 
     def rows(self, table: str) -> DataFrame:
         """The rows that land in ``table``: emitted records, schema order."""
@@ -78,7 +100,8 @@ class BatchResult:
 
     def dispositions(self, with_text: bool = False, tables: list[str] | None = None) -> DataFrame:
         """One row per record: topic, partition, offset, table, disposition,
-        reason, detail (failing column for ``convert_error``).  With
+        reason, detail (failing column for ``convert_error``, kind of error for
+        ``write_error``).  With
         ``with_text`` rejected records also carry ``text`` and ``first_byte``
         (null for emitted ones), so reject reports need no join."""
         extra = ["text", "first_byte"] if with_text else []
@@ -97,12 +120,17 @@ class BatchResult:
         for table in self.tables if tables is None else tables:
             c = self.coerced(table, tuple(extra))
             failed = F.col(ERR).isNotNull()
+            why, detail = F.lit("convert_error"), F.col(ERR)
+            if errors := self.poisoned.get(table):
+                poison = self.is_poison(table)
+                why = F.when(poison, F.lit(WRITE_ERROR)).otherwise(why)
+                detail = F.when(poison, F.lit(next(iter(errors.values())))).otherwise(detail)
             c = c.select(
                 F.col(f"{SRC}.topic").alias("topic"), F.col(f"{SRC}.partition").alias("partition"),
                 F.col(f"{SRC}.offset").alias("offset"), F.lit(table).alias("table"),
                 F.when(failed, F.lit(ERROR)).otherwise(F.lit(EMITTED)).alias("disposition"),
-                F.when(failed, F.lit("convert_error")).alias("reason"),
-                F.col(ERR).alias("detail"),
+                F.when(failed, why).alias("reason"),
+                F.when(failed, detail).alias("detail"),
                 *[F.when(failed, F.col(f"{SRC}.{x}")).alias(x) for x in extra])
             parts.append(c)
         out = parts[0]
@@ -113,6 +141,7 @@ class BatchResult:
     def change_frame(self) -> DataFrame:
         return change_frame(self.admitted.sparkSession, self.changes, self.schemas)
 
+
 def spread(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a thin batch over ``min_partitions`` tasks before the
     per-record work (opt-in).  Round-robin, not by key, so a hot topic cannot
@@ -148,17 +177,20 @@ def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
     in the batch instead, with the tables it refuses.
     """
     cfg = cfg or IngestConfig()
-    admitted = admit(spread(records, cfg.min_partitions), route, reserved)
+    admitted = admit(spread(records, cfg.min_partitions), route, tuple(dict.fromkeys((*reserved, OVERFLOW))))
     if stage is not None:
         admitted = staged(admitted, stage)
     if known_loader is None:
         def known_loader(tables):
             return {t: known[t] for t in tables if known and known.get(t) is not None}, {}
-    admitted, changes, known, refused, census = infer_new_fields(admitted, known_loader, cfg.max_new_fields)
+    changes, known, refused, census, full = infer_new_fields(admitted, known_loader, cfg.max_columns)
     present = sorted({table for table, _, reason, _ in census if reason is None} - set(refused))
     schemas: dict[str, T.StructType] = {}
+    by_table: dict[str, list[FieldChange]] = {}
+    for c in changes:
+        by_table.setdefault(c.table, []).append(c)
     for table in present:
-        merged = merge_schema(known.get(table), [c for c in changes if c.table == table])
+        merged = merge_schema(known.get(table), by_table.get(table, []), table in full)
         if len(merged.fields):
             schemas[table] = merged
     return BatchResult(admitted, schemas, changes, known, census, refused=refused)

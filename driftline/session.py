@@ -25,6 +25,8 @@ ENGINE_SQL_CONF = {
     # HotSpot's 8000-byte limit would never be JIT-compiled, so such stages
     # fall back to split expression code instead (Spark's documented setting).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The first columns of a wide table: ranked rows are cut per partition up to this rank.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
