@@ -58,6 +58,9 @@ class IngestConfig:
     # Inferred columns of a table.  The first fields get them; the values of all
     # others land in one more column as JSON (no record is refused for its width).
     max_columns: int = int(ENV_DEFAULTS["MAX_COLUMNS"])
+    # Jobs spent on finding the records that a table's write fails on; beyond that
+    # the table fails as a whole (and the batch is tried again), nothing is dropped.
+    max_poison_tries: int = 400
     # Threads used to write the tables of one micro-batch concurrently
     # (pair with spark.scheduler.mode=FAIR on a shared cluster).
     table_write_threads: int = 8

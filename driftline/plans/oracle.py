@@ -402,6 +402,32 @@ UNION ALL SELECT 'a-b', 1, 1, '7B',
        FROM nation WHERE n_nationkey = 1
 UNION ALL SELECT '__offsets', 0, 0, '7B', '{{"id":"0","name":"' || r_name || '"}}' FROM region WHERE r_regionkey = 0""",
 
+    "many_small_topics": """
+SELECT 'shop_' || CAST(i AS VARCHAR) AS table_name, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_acctbal AS balance,
+       CASE WHEN i % 3 = 1 THEN CAST(c_nationkey AS BIGINT) END AS nation, CASE WHEN i % 3 = 2 THEN c_mktsegment END AS segment
+FROM (SELECT *, c_custkey % 240 AS i FROM customer) c""",
+
+    "poison_record_isolated": """
+SELECT c_custkey AS "offset", CASE WHEN c_custkey % 5000 = 77 THEN 'error/write_error/EXCEED_LIMIT_LENGTH' ELSE 'landed' END AS outcome,
+       CASE WHEN c_custkey % 5000 <> 77 THEN right(c_name, 8) END AS code
+FROM customer""",
+
+    "wide_topic_overflow": """
+SELECT CAST(c_custkey AS VARCHAR) AS id, row_number() OVER (ORDER BY c_custkey) <= 99 AS has_column,
+       'k' || CAST(c_custkey AS VARCHAR) AS field, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation
+FROM customer""",
+
+    "deep_nesting_landed": """
+SELECT depth, id, CAST(length(inner_text) AS INTEGER) AS chars, md5(inner_text) AS digest FROM (
+  SELECT depth, id, CASE WHEN depth <= 16 THEN id
+    ELSE repeat('{"a":', CAST(depth - 16 AS BIGINT)) || '"' || id || '"' || repeat('}', CAST(depth - 16 AS BIGINT)) END AS inner_text
+  FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, ([1, 10, 100, 450, 900])[c_custkey % 5 + 1] AS depth FROM customer) c) d""",
+
+    "hollow_objects_long_text": """
+SELECT id, CAST(length(t) AS INTEGER) AS chars, md5(t) AS digest, 'id,b' AS columns FROM (
+  SELECT CAST(doc_id AS VARCHAR) AS id, repeat(coalesce(text, ''), CASE WHEN doc_id % 5000 = 0
+    THEN CAST(ceil(10000000 / greatest(length(coalesce(text, '')), 1)) AS BIGINT) ELSE 1 END) AS t FROM documents) d""",
+
     "normalize_locations": """
 SELECT page_id, loc AS location,
        CASE WHEN page_id % 3 = 0 THEN 'oss://lake-' || CAST(page_id % 7 AS VARCHAR) || '/' || path ELSE loc END

@@ -21,7 +21,7 @@ from driftline.operators.admit import EMITTED, PENDING
 from driftline.operators.coerce import ERR, SRC
 from driftline.operators.observe import counters, first_record_sample, reject_frame
 from driftline.plans.ingest import BatchResult, ingest
-from driftline.operators.infer import quote
+from driftline.operators.infer import NESTED_LEVELS, quote
 from driftline.plans.sink import CHANGES_TABLE, LOSS_TABLE, REJECTS_TABLE, STATS_TABLE, TableStore, ingest_into
 from driftline.session import apply_session_conf, shared_path
 from driftline.sources import fixtures as fx
@@ -295,6 +295,78 @@ def route_numeric_topics(spark, sf):
     return out
 
 
+def _union_of_tables(store, tables, select) -> DataFrame:
+    """``select(table)`` of many tables as one statement (each a SELECT text)."""
+    return store.spark.sql(" UNION ALL ".join(select(t) for t in tables))
+
+
+def many_small_topics(spark, sf):
+    """K1: hundreds of topics in one batch; tables with the same columns share one write."""
+    store = _store(_prep(spark), "small")
+    ingest_into(store, fx.records(spark, sf, "small_topics"), "b0")
+
+    def select(t):
+        names = set(store.schema(t).fieldNames())
+        nation, segment = ("nation" if "nation" in names else "CAST(NULL AS BIGINT)"), ("segment" if "segment" in names else "CAST(NULL AS STRING)")
+        return f"SELECT '{t}' AS table_name, id, name, balance, {nation} AS nation, {segment} AS segment FROM {store.name(t)}"
+    return _union_of_tables(store, store.table_names(), select)
+
+
+def poison_record_isolated(spark, sf):
+    """records that the table's write fails on go to the rejects, the others of
+    the same micro-batch land and the stream goes on."""
+    def table(store):
+        store.spark.sql(f"CREATE TABLE {store.name('codes')} (id STRING, code VARCHAR(12), _ingest_batch STRING) "
+                        f"USING parquet PARTITIONED BY (_ingest_batch)")
+    store = _stream_run(spark, sf, ["poisoned"], table)
+    landed = store.read("codes").select(F.col("id").cast("bigint").alias("offset"), F.lit("landed").alias("outcome"), F.col("code").cast("string").alias("code"))
+    rejects = store.read(REJECTS_TABLE).select("offset", F.concat_ws("/", "disposition", "reason", "detail").alias("outcome"),
+                                               F.lit(None).cast("string").alias("code"))
+    return landed.unionByName(rejects)
+
+
+MAX_COLUMNS = 100
+
+
+def wide_topic_overflow(spark, sf):
+    """One key per record.  The first fields get columns, all other values land
+    in the overflow column, the same for any cut into batches (here three)."""
+    store = _store(_prep(spark), "wide")
+    recs = fx.records(spark, sf, "one_key_each")
+    last = recs.agg(F.max("offset")).first()[0] or 0
+    bounds = [-1, 40, last // 2, last]
+    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+        ingest_into(store, recs.filter((F.col("offset") > lo) & (F.col("offset") <= hi)), f"b{i}", IngestConfig(max_columns=MAX_COLUMNS))
+    own = [f.name for f in store.schema("wide").fields if f.name.startswith("k")]
+    value = F.coalesce(*[F.when(F.col(n).isNotNull(), F.struct(F.lit(n).alias("field"), F.col(n).alias("v"))) for n in own])
+    rest = F.map_entries(F.from_json("_ingest_overflow", "map<string, struct<name: string, nation: bigint>>")).getItem(0)
+    rows = store.read("wide").select("id", value.alias("own"), rest.alias("rest"))
+    return rows.select("id", F.col("own").isNotNull().alias("has_column"), F.coalesce("own.field", "rest.key").alias("field"),
+                       F.coalesce("own.v.name", "rest.value.name").alias("name"), F.coalesce("own.v.nation", "rest.value.nation").alias("nation"))
+
+
+def deep_nesting_landed(spark, sf):
+    """10 to 900 objects inside each other; what lies below the last typed
+    level is JSON text."""
+    store = _store(_prep(spark), "deep")
+    ingest_into(store, fx.records(spark, sf, "nested_deep"), "b0")
+    out = None
+    for n in fx.DEPTHS:
+        if not store.exists(f"deep_{n}"):       # no record of this depth in a very small table
+            continue
+        inner = F.col("v" + ".a" * min(n, NESTED_LEVELS))
+        part = store.read(f"deep_{n}").select(F.lit(n).alias("depth"), "id", F.length(inner).alias("chars"), F.md5(inner.cast("binary")).alias("digest"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def hollow_objects_long_text(spark, sf):
+    """Empty objects beside texts of up to ten million characters."""
+    rows = _rows(spark, sf, "hollow", "hollow")
+    return rows.select("id", F.length("b.text").alias("chars"), F.md5(F.col("b.text").cast("binary")).alias("digest"),
+                       F.lit(",".join(rows.columns)).alias("columns"))
+
+
 LISTED = ["customers", "enveloped", "wide_kinds", "collide"]
 
 
@@ -526,4 +598,9 @@ QUERIES = {
     "coercion_loss": coercion_loss,
     "documents_roundtrip": documents_roundtrip,
     "awkward_names": awkward_names,
+    "many_small_topics": many_small_topics,
+    "poison_record_isolated": poison_record_isolated,
+    "wide_topic_overflow": wide_topic_overflow,
+    "deep_nesting_landed": deep_nesting_landed,
+    "hollow_objects_long_text": hollow_objects_long_text,
 }

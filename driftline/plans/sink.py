@@ -7,6 +7,14 @@ replayed micro-batch replaces exactly its own rows (idempotent append).
 DDL is additive and re-runnable: CREATE TABLE IF NOT EXISTS, then ADD
 COLUMNS for fields the table lacks, before the rows that need them.
 
+Tables of a batch that have the same columns share one write: one job splits the
+staged records by table, and each written folder is registered as that table's
+partition of the batch, which only touches the catalog.
+
+A write that fails on some record is narrowed down to it: ranges of offsets are
+tried in a scratch table, halves of those that fail, until single records are
+left.  These become ``error`` / ``write_error``, and the rest lands in the same batch.
+
 The catalog is whatever the session is configured with (a Hive metastore on
 a cluster; the in-memory catalog in local tests).  On a cluster with the
 Iceberg runtime, ``IcebergTableStore`` does the same through the catalog's
@@ -15,22 +23,28 @@ own schema evolution and atomic appends.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.config import IngestConfig
-from driftline.operators.coerce import ERR, MAYBE, ddl_type
+from driftline.operators.admit import NO_TABLE
+from driftline.operators.coerce import ERR, MAYBE, SRC, ddl_type
 from driftline.operators.infer import quote
 from driftline.operators.observe import reject_frame
 from driftline.plans.ingest import BatchResult, ingest
 from driftline.session import apply_session_conf, shared_path
 
 BATCH_COL = "_ingest_batch"
+#: Folders of a shared write: the MD5 of the table's name.
+FOLDER_COL = "_folder"
 
 
 class UnsupportedTable(TypeError):
@@ -106,6 +120,16 @@ class TableStore:
             f"USING parquet PARTITIONED BY ({BATCH_COL})")
         self.schema(table, fresh=True)
 
+    def drop(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self._cache.pop(table, None)
+
+    def scratch_like(self, table: str) -> str:
+        """An empty table with the columns of ``table`` (checked types included)."""
+        name = f"_try_{uuid.uuid4().hex[:12]}"
+        self.spark.sql(f"CREATE TABLE {self.name(name)} LIKE {self.name(table)}")
+        return name
+
     def add_columns(self, table: str, fields: list[T.StructField]) -> None:
         """K3: widen a live table; columns already there are left alone."""
         have = {f.name for f in (self.schema(table, fresh=True) or T.StructType()).fields}
@@ -125,6 +149,42 @@ class TableStore:
             out = out.coalesce(parallelism)        # narrow: merges partitions, no shuffle (K5/K6)
         self._insert(out, table)
 
+    def can_share(self, table: str) -> bool:
+        """Whether rows may be written as files beside the table: not where the
+        catalog checks values on insert (CHAR and VARCHAR lengths)."""
+        return all("__CHAR_VARCHAR_TYPE_STRING" not in f.metadata for f in (self.schema(table) or T.StructType()).fields)
+
+    def append_shared(self, tables: list[str], rows: DataFrame, table_of: Column, batch_tag: str,
+                      parallelism: int | None = None) -> None:
+        """K1/K4/K7: one job for ``rows`` of several tables with the same columns
+        (``table_of`` names each row's).  Every table gets a folder named after it and
+        the batch, so a replay writes the same folders again; they are registered as
+        partitions.  K6: a task writes the tables it holds, without a shuffle."""
+        schema = self.schema(tables[0])
+        root = f"{self.root()}/_ingest_batches/{batch_tag}"
+        out = rows.select(*[F.col(quote(f.name)).cast(f.dataType) for f in schema.fields], F.md5(table_of.cast("binary")).alias(FOLDER_COL))
+        if parallelism:
+            out = out.coalesce(parallelism)
+        session = apply_session_conf(out.sparkSession)
+        if session.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
+            raise RuntimeError("refusing to write: partitionOverwriteMode must be dynamic")
+        out.write.mode("overwrite").partitionBy(FOLDER_COL).parquet(root)
+
+        def register(table):
+            folder = f"{root}/{FOLDER_COL}={hashlib.md5(table.encode()).hexdigest()}"
+            part = f"PARTITION ({BATCH_COL} = '{batch_tag}')"
+            try:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} ADD {part} LOCATION '{folder}'")
+            except AnalysisException:   # a replay: the partition may be where an earlier try left it
+                self.spark.sql(f"ALTER TABLE {self.name(table)} {part} SET LOCATION '{folder}'")
+
+        with ThreadPoolExecutor(min(8, len(tables))) as pool:
+            list(pool.map(register, tables))
+
+    def root(self) -> str:
+        """Where the namespace's files lie."""
+        return (self.location or self.spark.catalog.getDatabase(self.full_namespace).locationUri).rstrip("/")
+
     def _insert(self, out: DataFrame, table: str) -> None:
         """Replace the partitions that ``out`` holds, and no others.  The session
         that runs the write decides this (a streaming batch has its own), so the
@@ -206,6 +266,20 @@ class IcebergTableStore(TableStore):
             out = out.coalesce(parallelism)
         out.writeTo(self.name(table)).option("snapshot-property.driftline.batch", batch_tag).append()
 
+    def can_share(self, table: str) -> bool:
+        return False                    # files become part of a table by a commit of its own
+
+    def scratch_like(self, table: str) -> str:
+        name = f"_try_{uuid.uuid4().hex[:12]}"
+        self.create(name, self.schema(table))
+        return name
+
+    def append_log(self, table: str, ddl: str, rows: DataFrame, batch_tag: str) -> None:
+        """Like any other append: atomic, and skipped where the batch is in already."""
+        if not self.exists(table):
+            self.create(table, T._parse_datatype_string(ddl))
+        self.append(table, rows, batch_tag)
+
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
@@ -225,36 +299,183 @@ class Written:
     maybe_lossy: int        # records whose losses, if any, are worth a look
 
 
+def ready(store: TableStore, result: BatchResult, table: str) -> None:
+    """K2/K3: the table with all columns of the batch."""
+    if not store.exists(table):
+        store.create(table, result.schemas[table])
+    elif result.new_fields(table):
+        store.add_columns(table, result.new_fields(table))
+
+
+def write_table(store: TableStore, result: BatchResult, table: str, batch_tag: str, cfg: IngestConfig) -> Written:
+    """One table's rows, counted as they are written (no extra pass)."""
+    obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
+    landed = F.col(ERR).isNull()
+    coerced = result.coerced(table).observe(
+        obs, F.count(F.lit(1)).alias("records"), F.count(F.col(ERR)).alias("errors"),
+        F.count(F.when(landed & F.col(MAYBE), 1)).alias("maybe_lossy"))
+    names = [f.name for f in result.schemas[table].fields]
+    store.append(table, coerced.filter(landed).select(*[F.col(quote(n)) for n in names]), batch_tag, cfg.write_parallelism)
+    m = obs.get
+    return Written(int(m.get("records", 0)), int(m.get("errors", 0)), int(m.get("maybe_lossy", 0)))
+
+
+def write_alike(store: TableStore, result: BatchResult, tables: list[str], batch_tag: str, cfg: IngestConfig) -> dict[str, Written]:
+    """The rows of tables with the same columns in one job."""
+    obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
+    landed, odd = F.col(ERR).isNull(), F.col(ERR).isNotNull() | F.col(MAYBE)
+    coerced = result.coerced_alike(tables)
+    watched = coerced.observe(obs, F.count(F.when(odd, 1)).alias("odd"))
+    names = [f.name for f in result.schemas[tables[0]].fields]
+    store.append_shared(tables, watched.filter(landed).select(*[F.col(quote(n)) for n in names], F.col(f"{SRC}.table").alias("_dl_table")),
+                        F.col("_dl_table"), batch_tag, cfg.write_parallelism)
+    pending = {}
+    for t, _, reason, n in result.census:
+        if reason is None:
+            pending[t] = pending.get(t, 0) + n
+    out = {t: Written(pending[t], 0, 0) for t in tables}
+    if obs.get.get("odd", 0):           # which table they belong to: only asked when there are any
+        per = coerced.filter(odd).groupBy(F.col(f"{SRC}.table").alias("t")).agg(
+            F.count(F.col(ERR)).alias("errors"), F.count(F.when(landed & F.col(MAYBE), 1)).alias("maybe_lossy"))
+        for r in per.collect():
+            out[r["t"]] = Written(pending[r["t"]], int(r["errors"]), int(r["maybe_lossy"]))
+    return out
+
+
+class TooManyTries(RuntimeError):
+    """The failure is not that of a few records."""
+
+
+def find_poison(works: Callable[[Column], str | None], boxes: list[tuple], max_tries: int) -> dict[tuple, str]:
+    """The records that a write fails on, by bisection.
+
+    ``boxes`` are (topic, partition, first offset, last offset) of all records;
+    ``works(condition)`` tries those that meet the condition and gives the error, or
+    None.  A half whose other half works is known to fail, so it is not tried as a
+    whole.  Raises ``TooManyTries`` beyond ``max_tries``."""
+    tries = 0
+
+    def attempt(part):
+        nonlocal tries
+        tries += 1
+        if tries > max_tries:
+            raise TooManyTries(f"more than {max_tries} tries to find the records that cannot be written")
+        some = F.lit(False)
+        for topic, partition, low, high in part:
+            some = some | (F.col(f"{SRC}.topic").eqNullSafe(F.lit(topic)) & F.col(f"{SRC}.partition").eqNullSafe(F.lit(partition))
+                           & F.col(f"{SRC}.offset").between(low, high))
+        return works(some)
+
+    bad, todo = {}, [(boxes, None)]                 # parts that fail, with the error if it is known
+    while todo:
+        part, error = todo.pop()
+        if len(part) == 1 and part[0][2] == part[0][3]:
+            topic, partition, offset, _ = part[0]
+            error = error or attempt(part)
+            if error is not None:
+                bad[(topic, partition, offset)] = error
+            continue
+        if len(part) > 1:
+            halves = [part[:len(part) // 2], part[len(part) // 2:]]
+        else:
+            topic, partition, low, high = part[0]
+            middle = low + (high - low) // 2
+            halves = [[(topic, partition, low, middle)], [(topic, partition, middle + 1, high)]]
+        first = attempt(halves[0])
+        if first is None:
+            todo.append((halves[1], error))
+        else:
+            todo.append((halves[0], first))
+            second = attempt(halves[1])
+            if second is not None:
+                todo.append((halves[1], second))
+    return bad
+
+
+def isolate_poison(store: TableStore, result: BatchResult, table: str, batch_tag: str, cfg: IngestConfig, cause: Exception) -> None:
+    """Note the records of ``table`` that its write fails on in ``result.poisoned``."""
+    rows = result.pending.filter(F.col("table") == F.lit(table))
+    boxes = [(r["topic"], r["partition"], r["low"], r["high"]) for r in rows.groupBy("topic", "partition").agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high")).orderBy("topic", "partition").collect()]
+    coerced, names = result.coerced(table), [f.name for f in result.schemas[table].fields]
+    scratch = store.scratch_like(table)
+
+    def works(some):
+        try:
+            store.append(scratch, coerced.filter(F.col(ERR).isNull() & some).select(*[F.col(quote(n)) for n in names]),
+                         uuid.uuid4().hex[:12])
+        except AnalysisException:
+            raise
+        except Exception as exc:  # noqa: BLE001 - what the rejects tell of the record
+            return error_name(exc)
+        return None
+
+    try:
+        bad = find_poison(works, boxes, cfg.max_poison_tries)
+    finally:
+        store.drop(scratch)
+    if not bad:
+        raise cause
+    result.poisoned[table] = bad
+
+
+def error_name(exc: Exception) -> str:
+    """The error class of a failed job, or the kind of exception."""
+    text = str(exc)
+    start = text.find("[")
+    name = text[start + 1:text.find("]", start)] if start >= 0 else ""
+    return name if name and name.replace("_", "").replace(".", "").isalnum() else type(exc).__name__
+
+
 def write_result(store: TableStore, result: BatchResult, batch_tag: str,
                  cfg: IngestConfig) -> tuple[dict[str, Written], dict[str, Exception]]:
-    """K1: for every table of the batch its DDL, then its append (a few tables
-    at a time; each append is its own distributed job).
+    """K1: for every table of the batch its DDL, then the writes: one job for all
+    tables with the same columns, a few jobs at a time.
+
+    A shared write that fails is done again table by table, and a table's write that
+    fails without its records (``find_poison``).  Returns the counts observed while
+    writing, and the tables that failed: one table's failure does not stop the others."""
+    done, failed = {}, {}
 
-    Returns the counts observed while writing (no extra pass over the batch),
-    and the tables that failed: one table's failure does not stop the others."""
-    def one(table):
+    def prepare(table):
         try:
-            if not store.exists(table):
-                store.create(table, result.schemas[table])
-            elif result.new_fields(table):
-                store.add_columns(table, result.new_fields(table))
-            obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
-            landed = F.col(ERR).isNull()
-            coerced = result.coerced(table).observe(
-                obs, F.count(F.lit(1)).alias("records"), F.count(F.col(ERR)).alias("errors"),
-                F.count(F.when(landed & F.col(MAYBE), 1)).alias("maybe_lossy"))
-            names = [f.name for f in result.schemas[table].fields]
-            store.append(table, coerced.filter(landed).select(*[F.col(quote(n)) for n in names]), batch_tag,
-                         cfg.write_parallelism)
-            m = obs.get
-            return table, Written(int(m.get("records", 0)), int(m.get("errors", 0)), int(m.get("maybe_lossy", 0)))
+            ready(store, result, table)
+            return table, store.can_share(table)
         except Exception as exc:  # noqa: BLE001 - reported together once every table had its turn
             return table, exc
 
+    def alone(table):
+        try:
+            try:
+                return table, write_table(store, result, table, batch_tag, cfg)
+            except AnalysisException:
+                raise
+            except Exception as exc:  # noqa: BLE001 - a record may be to blame
+                isolate_poison(store, result, table, batch_tag, cfg, exc)
+                return table, write_table(store, result, table, batch_tag, cfg)
+        except Exception as exc:  # noqa: BLE001
+            return table, exc
+
+    def together(tables):
+        if len(tables) > 1:
+            try:
+                return list(write_alike(store, result, tables, batch_tag, cfg).items())
+            except Exception:  # noqa: BLE001 - table by table shows which one
+                pass
+        return [alone(t) for t in tables]
+
     with ThreadPoolExecutor(max(1, min(cfg.table_write_threads, len(result.tables)))) as pool:
-        done = dict(pool.map(one, result.tables))
-    return ({t: w for t, w in done.items() if isinstance(w, Written)},
-            {t: e for t, e in done.items() if not isinstance(e, Written)})
+        groups: dict[str, list[str]] = {}
+        for table, shared in pool.map(prepare, result.tables):
+            if isinstance(shared, Exception):
+                failed[table] = shared
+            else:       # the live columns: those of the table, in its order
+                groups.setdefault(store.schema(table).json() if shared and store.schema(table) == result.schemas[table] else table,
+                                  []).append(table)
+        for pairs in pool.map(together, groups.values()):
+            for table, w in pairs:
+                (done if isinstance(w, Written) else failed)[table] = w
+    return done, failed
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -268,9 +489,9 @@ def batch_counts(result: BatchResult, written: dict[str, Written]) -> dict[str,
     observations: received = emitted + skipped + errors."""
     received = sum(n for _, _, _, n in result.census)
     refused = sum(n for t, _, reason, n in result.census
-                  if reason == "schema_limit" or (reason is None and t in result.refused))
+                  if reason == NO_TABLE or (reason is None and t in result.refused))
     skipped = sum(n for t, _, reason, n in result.census
-                  if reason not in (None, "schema_limit") or (reason is None and t not in written and t not in result.refused))
+                  if reason not in (None, NO_TABLE) or (reason is None and t not in written and t not in result.refused))
     errors = refused + sum(w.errors for w in written.values())
     emitted = sum(w.records - w.errors for w in written.values())
     return {"received": received, "emitted": emitted, "skipped": skipped, "errors": errors}

@@ -331,6 +331,74 @@ def conversations(spark, sf_dir) -> DataFrame:
     return frame(c, "conversations", key, to_json(key.cast("string").alias("id"), c.role.alias("role"), c.text.alias("text")))
 
 
+#: Text lengths of the ``hollow`` records with a very long value.
+LONG_CHARS = 10_000_000
+
+
+def hollow(spark, sf_dir) -> DataFrame:
+    """``hollow``: empty objects beside long texts.  Documents with key 0, 5000, ...
+    are repeated up to ten million characters."""
+    d = table(spark, sf_dir, "documents")
+    k = d.doc_id
+    text = F.coalesce(d.text, F.lit(""))
+    times = F.when(k % 5000 == 0, F.ceil(F.lit(LONG_CHARS) / F.greatest(F.length(text), F.lit(1)))).otherwise(1)
+    long = to_json(F.struct(F.expr("array_join(array_repeat(_text, cast(_times as int)), '')").alias("text")).alias("b"))
+    d = d.withColumn("_text", text).withColumn("_times", times)
+    value = F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","a":{},"c":{"d":{}, "e":{ }},'), F.expr("substring(v, 2)"))
+    return frame(d.withColumn("v", long), "hollow", k, value)
+
+
+#: Objects inside each other in the ``nested_deep`` records, one topic for each number.
+DEPTHS = (1, 10, 100, 450, 900)
+
+
+def nested_deep(spark, sf_dir) -> DataFrame:
+    """``deep.<n>``: the field ``v`` holds n objects inside each other, the last one the key."""
+    c = table(spark, sf_dir, "customer")
+    k = c.c_custkey
+    depth = F.element_at(F.array(*[F.lit(n) for n in DEPTHS]), (k % len(DEPTHS) + 1).cast("int"))
+    c = c.withColumn("_n", depth)
+    value = F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","v":'), F.expr("repeat('{\"a\":', _n)"), F.lit('"'),
+                     k.cast("string"), F.lit('"'), F.expr("repeat('}', _n)"), F.lit("}"))
+    return frame(c, F.concat(F.lit("deep."), F.col("_n").cast("string")), k, value)
+
+
+def one_key_each(spark, sf_dir) -> DataFrame:
+    """``wide``: every record brings a field that no other has."""
+    c = table(spark, sf_dir, "customer")
+    k = c.c_custkey
+    value = F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('","k'), k.cast("string"), F.lit('":'),
+                     to_json(c.c_name.alias("name"), c.c_nationkey.alias("nation")), F.lit("}"))
+    return frame(c, "wide", k, value)
+
+
+#: Topics of ``small_topics``.
+SMALL_TOPICS = 240
+
+
+def small_topics(spark, sf_dir) -> DataFrame:
+    """``shop.<i>``: few records a topic; topics have one of three shapes."""
+    c = table(spark, sf_dir, "customer")
+    k = c.c_custkey
+    i = k % SMALL_TOPICS
+    plain = [k.cast("string").alias("id"), c.c_name.alias("name"), c.c_acctbal.alias("balance")]
+    value = (F.when(i % 3 == 0, to_json(*plain)).when(i % 3 == 1, to_json(*plain, c.c_nationkey.alias("nation")))
+             .otherwise(to_json(*plain, c.c_mktsegment.alias("segment"))))
+    return frame(c, F.concat(F.lit("shop."), i.cast("string")), k, value)
+
+
+def is_poison(k: Column) -> Column:
+    return k % 5000 == 77
+
+
+def poisoned(spark, sf_dir) -> DataFrame:
+    """``codes``: some records hold a text that is too long for the table that is there."""
+    c = table(spark, sf_dir, "customer")
+    k = c.c_custkey
+    code = F.when(is_poison(k), F.concat(c.c_name, F.lit("-far-too-long"))).otherwise(F.substring(c.c_name, -8, 8))
+    return frame(c, "codes", k, to_json(k.cast("string").alias("id"), code.alias("code")))
+
+
 # Fixed value: the region part of the data-lake endpoint used in ``locations``.
 DLS_REGION = "ap-southeast-5"
 
@@ -375,6 +443,11 @@ MORE_FRAMES = {
     "awkward": awkward,
     "documents": documents,
     "conversations": conversations,
+    "hollow": hollow,
+    "nested_deep": nested_deep,
+    "one_key_each": one_key_each,
+    "small_topics": small_topics,
+    "poisoned": poisoned,
 }
 
 _FILES: dict[tuple[str, str, str], str] = {}
