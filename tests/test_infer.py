@@ -1,8 +1,10 @@
+import json
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.config import IngestConfig
-from driftline.operators.infer import exemplar_type, value_type
+from driftline.operators.infer import NESTED_LEVELS, OVERFLOW, exemplar_type, type_of_text, value_type
 from driftline.plans.ingest import ingest
 
 
@@ -95,29 +97,81 @@ def test_nested_empty_objects_pin_nothing(spark, records):
     assert sorted((r["id"], r["a"].b.c if r["a"].b else None) for r in res.rows("t").collect()) == [(0, None), (1, 5), (2, 6)]
 
 
-def test_a_wide_table_is_refused_alone(spark, records):
+def test_fields_beyond_the_width_land_as_json(spark, records):
     wide = "{" + ",".join(f'"f{i}":{i}' for i in range(30)) + "}"
-    res = ingest(records([("w", 0, 0, wide), ("t", 0, 0, '{"a":1}')]), cfg=IngestConfig(max_new_fields=10))
-    assert res.refused == {"w": "schema_limit"} and res.tables == ["t"]
-    d = {r.topic: (r.disposition, r.reason) for r in res.dispositions().collect()}
-    assert d == {"w": ("error", "schema_limit"), "t": ("emitted", None)}
+    res = ingest(records([("w", 0, 0, wide), ("t", 0, 0, '{"a":1}')]), cfg=IngestConfig(max_columns=10))
+    assert [f.name for f in res.schemas["w"].fields] == [f"f{i}" for i in range(10)] + [OVERFLOW]
+    assert [f.name for f in res.schemas["t"].fields] == ["a"]
+    row = res.rows("w").first()
+    assert row[:10] == tuple(range(10)) and json.loads(row[10]) == {f"f{i}": i for i in range(10, 30)}
+    assert {r.disposition for r in res.dispositions().collect()} == {"emitted"}
 
 
-def test_a_wide_record_is_refused_alone_however_batches_are_cut(spark, records):
+def test_width_is_the_same_however_batches_are_cut(spark, records):
     def doc(*fields):
-        return "{" + ",".join(f'"f{i}":{i}' for i in fields) + "}"
-    rows = [("w", 0, 0, doc(0, 1)), ("w", 0, 1, doc(*range(30))), ("w", 0, 2, doc(0)), ("w", 0, 3, doc(*range(2, 10))),
-            ("w", 0, 4, doc(*range(10, 15))), ("w", 0, 5, doc(*range(25))),                   # ten new after 0-14
-            ("w", 0, 6, doc(*range(35))), ("w", 0, 7, doc(*range(40))), ("t", 0, 8, '{"a":1}')]
-    cfg, expect = IngestConfig(max_new_fields=10), {1: ("error", "schema_limit"), 7: ("emitted", None)}
-    for size in (9, 3, 1):
-        known, got = {}, {}
+        return "{" + ",".join(f'"f{i}":{{"v":"é{i}"}}' for i in fields) + ',"h":{"e":{}}}'
+    rows = [("w", 0, 0, doc(0, 1)), ("w", 0, 1, doc(*range(3))), ("w", 0, 2, doc(0)), ("w", 1, 2, doc(*range(7, 2, -1))),
+            ("w", 0, 4, doc(*range(10, 15))), ("w", 0, 5, doc(*range(25))), ("t", 0, 8, '{"a":1}')]
+    cfg, results = IngestConfig(max_columns=6), []
+    for size in (7, 3, 1):
+        known, got = {}, []
         for at in range(0, len(rows), size):
             res = ingest(records(rows[at:at + size]), known=known, cfg=cfg)
-            got |= {r.offset: (r.disposition, r.reason) for r in res.dispositions().collect()}
             known = known | res.schemas
-        assert got == {i: expect.get(i, ("emitted", None)) for i in range(9)}, size
-        assert [f.name for f in known["w"].fields] == [f"f{i}" for i in range(40)]
+            if "w" in res.schemas:
+                for r in res.rows("w").collect():
+                    values = {k: v["v"] for k, v in r.asDict(True).items() if k != OVERFLOW and v is not None}
+                    values |= {k: v["v"] for k, v in json.loads(r.asDict().get(OVERFLOW) or "{}").items()}
+                    got.append(sorted(values.items()))
+        results.append(([f.name for f in known["w"].fields], sorted(got)))
+    assert results[0][0] == ["f0", "f1", "f2", "f7", "f6", "f5", OVERFLOW]         # first record, then place in it
+    assert results[0] == results[1] == results[2]
+    assert sorted(len(v) for v in results[0][1]) == [1, 2, 3, 5, 5, 25]
+
+
+def test_a_full_table_that_exists_takes_no_more_columns(spark, records):
+    known = {"t": T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])}
+    res = ingest(records([("t", 0, 0, '{"a":1,"c":true,"b":"x","d":{"e":[1.5]}}')]), known=known, cfg=IngestConfig(max_columns=2))
+    assert [f.name for f in res.schemas["t"].fields] == ["a", "b", OVERFLOW]
+    assert tuple(res.rows("t").first()) == (1, "x", '{"c":true,"d":{"e":[1.5]}}')
+
+
+def deep(n, end='"x"'):
+    return '{"id":%d,"v":' % n + '{"a":' * n + end + "}" * n + "}"
+
+
+def test_types_end_at_the_last_level(spark, records):
+    res = ingest(records([("d", 0, 0, deep(40)), ("d", 0, 1, deep(900)), ("d", 0, 2, deep(40).replace('"id":40', '"id":"wrong"')),
+                          ("d", 0, 3, '{"id":3,"v":5}'), ("d", 0, 4, deep(16, "[1,2]"))]))
+    path = "v" + ".a" * NESTED_LEVELS
+    assert {r.id: r.t for r in res.rows("d").select("id", F.col(path).alias("t")).collect()} == {
+        n: '{"a":' * (m - NESTED_LEVELS) + end + "}" * (m - NESTED_LEVELS)
+        for n, m, end in ((40, 40, '"x"'), (900, 900, '"x"'), (0, 40, '"x"'), (16, 16, "[1,2]"))} | {3: None}
+    assert [(r.disposition, r.offset) for r in res.dispositions().orderBy("offset").collect()] == [("emitted", i) for i in range(5)]
+
+
+def test_type_of_text_without_recursion():
+    assert type_of_text("[" * 5000 + "]" * 5000, 2) == T.ArrayType(T.ArrayType(T.StringType()))
+    assert type_of_text('{"a":' * 5000 + "{}" + "}" * 5000) is None
+    assert type_of_text('{"a":{"b":{"c":{}}},"k":{"b":{"c":{"d":"}"}}}}', 2) == T.StructType([
+        T.StructField("k", T.StructType([T.StructField("b", T.StringType())]))])
+    assert type_of_text('[{"a":{}}, {"a":1}]') == T.ArrayType(T.StringType())
+    assert type_of_text('{"a\\"}{":[[], 1], "b": -0, "c":1e5, "d":null,"b":1.0}') == T.StructType([
+        T.StructField('a"}{', T.ArrayType(T.ArrayType(T.StringType()))), T.StructField("b", T.DoubleType()),
+        T.StructField("c", T.DoubleType()), T.StructField("d", T.StringType())])
+
+
+def test_empty_object_beside_long_texts(spark, records):
+    long = '{"a":{},"b":{"text":"%s"},"c":{"x":{"y":"%s"}}}' % ("t\\n" * 300_000, "{" * 500_000)
+    res, sch = schema_of(spark, records, [long, '{"a":{"k":1}}'])
+    assert [f.name for f in sch.fields] == ["b", "c", "a"]
+    assert sorted(len(r.b.text) if r.b else 0 for r in res.rows("t").collect()) == [0, 600_000]
+
+
+def test_a_record_without_a_table_is_an_error_of_its_own(spark, records):
+    res = ingest(records([(None, 0, 0, '{"a":1}'), ("", 0, 1, '{"a":1}'), ("t", 0, 2, '{"a":2}'), (None, 0, 3, "[]")]))
+    assert {r.offset: (r.disposition, r.reason) for r in res.dispositions().collect()} == {
+        0: ("error", "no_table"), 1: ("error", "no_table"), 2: ("emitted", None), 3: ("skipped", "non_object")}
 
 
 def test_large_values_pin_types_on_the_executors(spark, records):
