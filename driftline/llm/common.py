@@ -97,25 +97,25 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     return out, shift
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges (a, b)``: returns ``(node, root)`` for every
     node of an edge, ``root`` the smallest node it reaches.
 
-    Alternating large-star and small-star steps (Kiveris et al., 2014).  Each
-    step is a grouped minimum (pre-aggregated before its shuffle) and a join on
-    the same key; each round is written to the shared folder.  The loop ends
-    when a round changes nothing.
+    Alternating large-star and small-star steps (Kiveris et al., 2014), until a
+    round changes nothing.  Each step is a grouped minimum (pre-aggregated before
+    its shuffle) and a join of the edges with it.  The minima are written first, so
+    both sides of the join are plain shuffles: the edges of a node that a large
+    component hangs on are dealt over several tasks by adaptive execution.
     """
-    spark = edges.sparkSession
     cur = stored(edges.filter(F.col("a") != F.col("b"))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    for _ in range(max_rounds):
+    while True:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.filter(F.col("b") > F.col("a")).join(low, "a")
-                 .select(F.col("m").alias("a"), "b").filter(F.col("a") != F.col("b")).distinct())
+        low = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+        large = stored(both.filter(F.col("b") > F.col("a")).join(low, "a")
+                       .select(F.col("m").alias("a"), "b").filter(F.col("a") != F.col("b")).distinct(), "edges")
         # small star: every node with its smaller neighbours, all tied to the smallest of them
-        least = large.groupBy("b").agg(F.min("a").alias("m"))
+        least = stored(large.groupBy("b").agg(F.min("a").alias("m")), "least")
         small = large.join(least, "b").select(F.explode(F.array(
             F.struct(F.col("m").alias("a"), F.col("a").alias("b")),
             F.struct(F.col("m").alias("a"), F.col("b").alias("b")))).alias("e")).select("e.a", "e.b")
@@ -124,8 +124,6 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         cur = new
         if same:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = cur.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
     return roots.unionByName(cur.select(F.col("a").alias("node"), F.col("a").alias("root"))
                              .distinct().join(roots.select("node"), "node", "left_anti"))

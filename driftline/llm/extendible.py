@@ -71,9 +71,11 @@ def assign(rows: DataFrame, leaves: DataFrame) -> DataFrame:
     exactly one matches.
     """
     depths = [r[0] for r in leaves.select("depth").distinct().orderBy("depth").collect()]   # at most 121 numbers
-    if not depths:
-        return rows.select("*", F.lit("").alias("bucket"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("bytes"),
-                           F.lit(0).cast("long").alias("n"))
+    if not depths or depths == [0]:             # one bucket holds everything
+        only = leaves.collect()                 # its row, or none
+        given = only[0].asDict() if only else {}
+        return rows.select("*", *[F.lit(given.get(f.name, "" if f.name == "bucket" else 0)).cast(f.dataType).alias(f.name)
+                                  for f in leaves.schema.fields])
     least = depths[0]
     if len(depths) == 1:
         return rows.withColumn("bucket", key_bits(least)).join(leaves, "bucket")

@@ -64,21 +64,29 @@ def _ranked(df: DataFrame, key: list[str], row: str, rank: str) -> DataFrame:
             .drop("_block", "_inside", "_before", "_of_block", *[f"_of{k}" for k in key]))
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Write every row of ``docs`` once, one folder per shard.
+def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> str:
+    """Write every row of ``docs`` once, one folder per shard; returns the folders'
+    column: ``shard``, behind as many ``_`` as keep it apart from the columns of ``docs``.
 
     ``placed`` is what ``shard_documents`` gave for ``docs``.  Rows of one id and
     byte length may stand for each other (a shard's bytes and rows stay the same),
     so the k-th such row of ``docs`` takes the k-th such place, whether the id is
     null, repeated or held by a third of all rows.
     """
-    key = ["_id", "_bytes"]
+    key, names = ["_id", "_bytes"], docs.columns
+    folder = "shard"
+    while folder in {n.lower() for n in names}:
+        folder = "_" + folder
     spots = stored(placed.select(F.col("doc_id").alias("_id"), F.col("n_bytes").alias("_bytes"), "shard",
                                  F.monotonically_increasing_id().alias("_row")), "shard-places")
-    rows = stored(docs.withColumn("_id", F.col("doc_id")).withColumn("_bytes", F.octet_length(whole_text()).cast("long"))
-                  .withColumn("_row", F.monotonically_increasing_id()), "shard-docs")
+    # The caller's columns travel as one value under numbers of their own, so that no name meets one of these.
+    whole = F.struct(*[docs[n].alias(f"c{i}") for i, n in enumerate(names)])
+    rows = stored(docs.select(whole.alias("_whole"), docs["doc_id"].alias("_id"), F.octet_length(whole_text()).cast("long").alias("_bytes"),
+                              F.monotonically_increasing_id().alias("_row")), "shard-docs")
     spots = _ranked(spots, key, "_row", "_rank").select(
         F.col("_id").alias("_p_id"), F.col("_bytes").alias("_p_bytes"), F.col("_rank").alias("_p_rank"), "shard")
     same = F.col("_id").eqNullSafe(F.col("_p_id")) & (F.col("_bytes") == F.col("_p_bytes")) & (F.col("_rank") == F.col("_p_rank"))
-    (_ranked(rows, key, "_row", "_rank").join(spots, same).select(*docs.columns, "shard")
-     .repartition("shard").write.partitionBy("shard").parquet(path))
+    (_ranked(rows, key, "_row", "_rank").join(spots, same)
+     .select(*[F.col(f"_whole.c{i}").alias(n) for i, n in enumerate(names)], F.col("shard").alias(folder))
+     .repartition(folder).write.partitionBy(folder).parquet(path))
+    return folder

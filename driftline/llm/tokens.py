@@ -39,18 +39,29 @@ class PieceEncoder:
     def __init__(self, path: str, pieces: re.Pattern, lower: bool):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        # A text that holds the string of one of these goes to the tokenizer whole, which gives it an id of its own.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces, self.known, self.lower = pieces, {}, lower
 
+    def whole(self, text: str) -> bool:
+        """Texts that are not cut: those with a special token's string and, where case is
+        folded, those with a capital sigma, whose small form depends on what is around it."""
+        if self.lower and "\u03a3" in text:
+            return True
+        folded = text.lower() if self.lower else text
+        return any(s in text or (self.lower and s.lower() in folded) for s in self.special)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > MAX_PIECES:
             self.known.clear()
         known, out, late, new = self.known, [], [], set()
         for i, t in enumerate(texts):
-            # A vocabulary without case: fold first, so that "The" and "the" are one piece.  A capital
-            # sigma is left to the tokenizer, which does not fold it by its place in the word.
-            cut = self.pieces.findall(t.lower() if self.lower and "\u03a3" not in t else t)
+            if self.whole(t):
+                out.append(array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes())
+                continue
+            # A vocabulary without case: fold first, so that "The" and "the" are one piece.
+            cut = self.pieces.findall(t.lower() if self.lower else t)
             ids = list(map(known.get, cut))
             gaps = [(k, cut[k]) for k, x in enumerate(ids) if x is None] if None in ids else []
             if gaps:

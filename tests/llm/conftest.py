@@ -7,7 +7,7 @@ SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tex
                        T.StructField("n_chars", T.LongType())])
 #: Names that the operators use inside.
 CLASHES = ["row", "t", "h", "w", "n", "fp", "hi", "lo", "bucket", "size", "target", "copies", "kept", "part", "word",
-           "score", "item", "offset", "_k", "label"]
+           "score", "item", "offset", "_k", "label", "_id", "shard", "_block", "_k_id", "_m_n", "id", "ord", "runs", "ctx"]
 
 
 @pytest.fixture(scope="session")

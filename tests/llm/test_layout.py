@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from driftline.llm import bitplanes, packing, sharding, tokens
@@ -16,7 +17,6 @@ BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path
 
 def ids_of(path, texts, end):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [np.array(e.ids + [end], "<u4") for e in t.encode_batch(list(texts), add_special_tokens=False)]
 
 
@@ -26,9 +26,9 @@ def ids_of(path, texts, end):
 def test_pieces_give_the_ids_of_the_whole_text(path, word):
     rng = np.random.default_rng(2)
     letters = list(" \n\t ab'1.é́\x1c\x85 <|xİΣ日-")
-    texts = ["", "  ", "\n\n a  b\n\nc \t d", "don't 'tis it's'll", "<|endoftext|> a", "x" * 300 + " y"] + [
+    texts = ["", "  ", "\n\n a  b\n\nc \t d", "don't 'tis it's'll", "<|endoftext|> a", "b<|ENDOFTEXT|>c", "İ- Σ", "x <|startoftext|>y", "x" * 300 + " y"] + [
         t or "" for _, t, _ in HARD if t is None or len(t) < 1000] + [
-        "".join(rng.choice(letters, rng.integers(0, 50))) for _ in range(2000)]
+        "".join(rng.choice(letters, rng.integers(0, 50))) for _ in range(100_000)]
     expect = [x[:-1].tobytes() for x in ids_of(path, texts, 0)]
     enc = tokens.encoder(path, word)
     assert enc.encode(texts) == expect and enc.encode(texts) == expect
@@ -167,12 +167,14 @@ def test_written_shards_hold_every_row_once(spark, hard, frame, tmp_path, monkey
     hot = frame([(None if i % 3 == 0 else 5 if i % 3 == 1 else i, "y" * (10 + i % 2), "s") for i in range(300)])
     for k, docs in enumerate((hard, hot)):
         placed = shard_documents(docs, 100)
-        write_shards(docs, placed, f"{tmp_path}/{k}")
-        got = spark.read.schema(docs.schema.add("shard", "string")).parquet(f"{tmp_path}/{k}").collect()
+        folder = write_shards(docs, placed, f"{tmp_path}/{k}")
+        schema = T.StructType([*docs.schema.fields, T.StructField(folder, T.StringType())])
+        got = [(*r[:-1], r[-1]) for r in spark.read.schema(schema).parquet(f"{tmp_path}/{k}").collect()]
         assert Counter(tuple(r)[:-1] for r in got) == Counter(tuple(r) for r in docs.collect())
-        size, rows = Counter(), Counter(r.shard for r in got)
+        text = docs.columns.index("text")
+        size, rows = Counter(), Counter(r[-1] for r in got)
         for r in got:
-            size[r.shard] += len((r.text or "").encode())
+            size[r[-1]] += len((r[text] or "").encode())
         assert all(rows[r.shard] == r.shard_docs and size[r.shard] == r.shard_bytes for r in placed.collect())
         assert all(n <= 100 or rows[s] == 1 for s, n in size.items())
 
