@@ -8,7 +8,9 @@ of one alphabet differ; the features of four symbols with such a letter among
 them are hashed into as many places as the Latin ones have.  The kernel of
 two strings counts common subsequences of four symbols (word ends are symbols)
 inside a window of six; each skipped symbol costs a factor ``DECAY``, so an
-inserted or missing character weakens a match but does not end it.
+inserted or missing character weakens a match but does not end it.  A string of more
+than ``LONG`` letters (a run of text without spaces) counts as the overlapping spans
+of ``SPAN`` letters in it.
 
 Training: a bounded sample of labelled documents comes to the driver.  A label
 holds for a document, not for its sentences; the strings of a toxic document
@@ -50,6 +52,8 @@ THRESHOLD = 0.7
 SAMPLE_DOCS = 1200
 SAMPLE_CHARS = 20_000
 LANDMARKS = 192
+#: Longer strings are looked at as overlapping spans of so many letters, one every STRIDE.
+LONG, SPAN, STRIDE = 24, 8, 3
 DECAY = 0.5
 ROUNDS = 4
 BLOCK_CHARS = 1_000_000
@@ -87,7 +91,13 @@ FOLD[:0x250] = [_symbol(cp) for cp in range(0x250)]
 
 
 def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all texts (each begins with a word end) and each text's start in them."""
+    """Symbols of all texts (each begins with a word end) and each text's start in them,
+    long strings as spans."""
+    return slide(*fold_words(texts))
+
+
+def fold_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``fold`` with long strings as they are."""
     texts = [t if t.isascii() else unicodedata.normalize("NFKD", t) for t in texts]
     cp = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
@@ -112,6 +122,28 @@ def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return sym, start
 
 
+def slide(sym: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of more than ``LONG`` letters as overlapping spans of ``SPAN`` letters,
+    one every ``STRIDE``: text without spaces is one string, in which an insult would
+    be a small part.  Every stretch of ``SPAN - STRIDE`` letters lies in one span."""
+    ends = np.flatnonzero(sym == END)
+    letters = np.diff(ends) - 1
+    long = np.flatnonzero(letters > LONG)
+    if not len(long):
+        return sym, start
+    pieces, shift, at = [], np.zeros(len(sym) + 1, np.int64), 0
+    for k in long.tolist():
+        a, n = int(ends[k]) + 1, int(letters[k])
+        firsts = np.append(np.arange(0, n - SPAN, STRIDE), n - SPAN)
+        rows = np.zeros((len(firsts), SPAN + 1), sym.dtype)
+        rows[:, :SPAN] = sym[a + firsts[:, None] + np.arange(SPAN)]
+        pieces += [sym[at:a], rows.ravel()[:-1]]            # the string's own closing word end follows
+        at = a + n
+        shift[at] += rows.size - 1 - n
+    pieces.append(sym[at:])
+    return np.concatenate(pieces), start + np.cumsum(shift)[start]
+
+
 def spans(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start (its opening word end) and letter count of every string."""
     ends = np.flatnonzero(sym == END)
@@ -199,13 +231,50 @@ def _add_facts(pieces: list[str], owner: list[int], model: dict, out: np.ndarray
 
 def _strings(texts: list[str]) -> tuple[list[bytes], list[list[int]]]:
     """Distinct strings of the texts and each text's string numbers."""
+    return _strings_and_spans(texts)[:2]
+
+
+def _strings_and_spans(texts: list[str]) -> tuple[list[bytes], list[list[int]], set[bytes]]:
+    """``_strings``, and which of the strings are only spans of longer ones."""
     number: dict[bytes, int] = {}
-    bags = []
+    bags, words, spans_ = [], set(), set()
     for t in texts:
-        sym, _ = fold([t])
-        words = set(sym.tobytes().split(b"\0")) - {b""}
-        bags.append(sorted(number.setdefault(w, len(number)) for w in words))
-    return list(number), bags
+        own = set(fold_words([t])[0].tobytes().split(b"\0")) - {b""}
+        long = [w for w in own if len(w) > LONG]
+        own.difference_update(long)
+        words |= own
+        if long:
+            sym = np.frombuffer(b"\0" + b"\0".join(long) + b"\0", np.uint8)
+            cut = set(slide(sym, np.zeros(1, np.int64))[0].tobytes().split(b"\0")) - {b""}
+            spans_ |= cut
+            own |= cut
+        bags.append(sorted(number.setdefault(w, len(number)) for w in own))
+    return list(number), bags, spans_ - words
+
+
+def _by_parts(strings: list[bytes], bags: list[list[int]], y: np.ndarray, cut_from: set[bytes],
+              in_toxic: np.ndarray, in_clean: np.ndarray) -> list:
+    """Spans of long strings hardly ever repeat; what ties them to toxic bags is a part
+    that does.  Sets the counts of each span to those of its strongest part of four
+    letters and returns each string's part (for other strings the string itself)."""
+    parts: list = list(strings)
+    cut = {i: {w[k:k + 4] for k in range(SPAN - 3)} for i, w in enumerate(strings) if w in cut_from}
+    if not cut:
+        return parts
+    counts: dict[bytes, list[int]] = {}
+    for bag, label in zip(bags, y):
+        for part in set().union(*[cut[i] for i in bag if i in cut]):
+            counts.setdefault(part, [0, 0])[int(label)] += 1
+    n1, n0 = max(1, y.sum()), max(1, (1 - y).sum())
+
+    def strength(part):
+        clean, toxic = counts[part]
+        return (np.log((toxic + 0.1) / (n1 + 1)) - np.log((clean + 0.1) / (n0 + 1))) * np.sqrt(toxic), part
+    strong = {part: strength(part) for part in counts}
+    for i, inner in cut.items():
+        parts[i] = max(inner, key=strong.__getitem__)
+        in_clean[i], in_toxic[i] = counts[parts[i]]
+    return parts
 
 
 def _thin(strings: list[bytes], bags: list[list[int]], y: np.ndarray, rng, most: int = 20_000):
@@ -301,18 +370,22 @@ def train(sample: list[tuple[str, int]], shift: float = 0.0, seed: int = 7) -> d
     fit, calibrate = order[:len(order) // 2], order[len(order) // 2:]
     if len(set(labels[fit].tolist())) < 2 or len(set(labels[calibrate].tolist())) < 2:
         fit = calibrate = order
-    strings, bags = _strings([sample[i][0] for i in fit])
+    strings, bags, cut_from = _strings_and_spans([sample[i][0] for i in fit])
     y = labels[fit]
     strings, bags = _thin(strings, bags, y, rng)
     in_toxic, in_clean = np.zeros(len(strings)), np.zeros(len(strings))
     for bag, label in zip(bags, y):
         (in_toxic if label else in_clean)[bag] += 1
+    parts = _by_parts(strings, bags, y, cut_from, in_toxic, in_clean)
     n1, n0 = max(1, y.sum()), max(1, (1 - y).sum())
     # strings tied to toxic bags: a smoothed log ratio, weighted by how often they were seen
     tie = np.log((in_toxic + 0.1) / (n1 + 1)) - np.log((in_clean + 0.1) / (n0 + 1))
     rank = np.argsort(-tie * np.sqrt(in_toxic), kind="stable")
     clean = np.flatnonzero(in_clean > 0)
-    near = rank[:LANDMARKS // 2]
+    first_of: dict = {}
+    for i in rank.tolist():
+        first_of.setdefault(parts[i], i)                # one landmark for each part
+    near = np.array(list(first_of.values())[:LANDMARKS // 2])
     far = rng.choice(clean, min(len(clean), LANDMARKS // 2), replace=False) if len(clean) else clean
     landmarks = [strings[i] for i in dict.fromkeys([*near.tolist(), *far.tolist()])]
     k_zz = _kernel(landmarks, landmarks).astype(np.float64)

@@ -19,6 +19,47 @@ def accuracy(rows, labels, column="predicted"):
     return sum(hits) / len(hits)
 
 
+def unspaced(letters, sizes, n, seed):
+    """Rows of 40 words without spaces between them; every other one holds one of eight insults."""
+    rng, fixed = np.random.default_rng(seed), np.random.default_rng(99)
+    low, high = sizes
+    words = ["".join(fixed.choice(letters, fixed.integers(low, high + 1))) for _ in range(600)]
+    insults = ["".join(fixed.choice(letters, high)) for _ in range(8)]
+    out = []
+    for i in range(n):
+        row = rng.choice(words, 40).tolist()
+        if i % 2:
+            row[rng.integers(40)] = insults[rng.integers(8)]
+        out.append(("".join(row), i % 2))
+    return out
+
+
+@pytest.mark.parametrize("first,count,sizes", [(ord("a"), 26, (4, 9)), (0x3042, 82, (3, 7)), (0x4E00, 900, (2, 4))])
+def test_insults_in_text_without_spaces(first, count, sizes):
+    letters = [chr(first + i) for i in range(count)]
+    model = toxicity.train(unspaced(letters, sizes, 800, 1))
+    rows = unspaced(letters, sizes, 600, 2)
+    score, y = toxicity.score_texts([t for t, _ in rows], model), np.array([k for _, k in rows])
+    assert (score[y == 1] >= 0.7).mean() >= 0.9 and (score[y == 0] >= 0.7).mean() <= 0.1
+
+
+def test_spans_cover_long_strings_and_leave_others():
+    texts = ["short words stay", "x" * 24 + " " + "abcdefghijklmnopqrstuvwxyz", "", "y" * 1000, "end"]
+    plain, start = toxicity.fold_words(texts)
+    sym, begin = toxicity.fold(texts)
+    for k in range(len(texts)):
+        before = plain[start[k]:start[k + 1]].tobytes().split(b"\0")
+        after = sym[begin[k]:begin[k + 1]].tobytes().split(b"\0")
+        expect = []
+        for w in before:
+            if len(w) <= toxicity.LONG:
+                expect.append(w)
+            else:
+                last = len(w) - toxicity.SPAN
+                expect += [w[i:i + toxicity.SPAN] for i in [*range(0, last, toxicity.STRIDE), last]]
+        assert after == expect
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     return {c: {r.doc_id: r[c] for r in load(spark, BIG, "labels").collect()} for c in ("quality", "toxic")}
