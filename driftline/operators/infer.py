@@ -230,14 +230,20 @@ def infer_new_fields(admitted: DataFrame, known_loader, max_columns: int):
 
     ``known_loader(tables)`` gives ``(schemas, refused)`` of the tables present:
     their existing columns, and tables that cannot be written, with a reason.
-    Returns ``(changes, known, refused, census, full)``: the new columns of every
-    table that is not refused in append order, (table, topic, reason, records)
-    rows, and the tables with fields beyond ``max_columns``."""
+    Returns ``(changes, known, refused, census, full, firsts)``: the new columns of
+    every table that is not refused in append order, (table, topic, reason, records)
+    rows, the tables with fields beyond ``max_columns``, and the first (offset,
+    partition) of each topic's non-empty records."""
     spark = admitted.sparkSession
     found = occurrences(admitted).persist()          # one row per field and topic, not per record
     try:
-        census = [(r["table"], r["topic"], r["reason"], int(r["records"]))
-                  for r in found.filter(F.col("field").isNull()).collect()]
+        rows = found.filter(F.col("field").isNull()).collect()          # one per topic and reason
+        census = [(r["table"], r["topic"], r["reason"], int(r["records"])) for r in rows]
+        firsts: dict = {}
+        for r in rows:
+            if r["reason"] != "empty" and r["offset"] is not None:
+                at = (int(r["offset"]), int(r["partition"]))
+                firsts[r["topic"]] = min(at, firsts.get(r["topic"], at))
         known, refused = known_loader(sorted({t for t, _, reason, _ in census if reason is None}))
         names = [(t, f.name) for t, s in known.items() for f in s.fields if f.name != OVERFLOW]
         new = found.filter(F.col("field").isNotNull()).select("table", "field", "topic", "partition", "offset")
@@ -253,8 +259,8 @@ def infer_new_fields(admitted: DataFrame, known_loader, max_columns: int):
         if wanted:
             # At most max_columns fields of a table, and those of one record beyond, are looked up ...
             order = ["offset", "topic", "partition"]
-            firsts = first_of_tables(new.filter(F.col("table").isin(wanted)), order, max_columns, True)
-            typed = read_exemplars(admitted, firsts).filter(F.col("type").isNotNull())
+            candidates = first_of_tables(new.filter(F.col("table").isin(wanted)), order, max_columns, True)
+            typed = read_exemplars(admitted, candidates).filter(F.col("type").isNotNull())
             # (a record may be read twice, by a source that repeats an offset: one row per field)
             typed = typed.groupBy("table", "field").agg(F.min(F.struct(*order, "pos", "type")).alias("w")).select("table", "field", "w.*")
             # ... and at most max_columns of them reach the driver.
@@ -267,7 +273,7 @@ def infer_new_fields(admitted: DataFrame, known_loader, max_columns: int):
     for c in sorted(changes, key=lambda c: (c.table, c.order)):
         if len(mine := taken.setdefault(c.table, [])) < free[c.table]:
             mine.append(c)
-    return [c for cs in taken.values() for c in cs], known, refused, census, full
+    return [c for cs in taken.values() for c in cs], known, refused, census, full, firsts
 
 
 def merge_schema(existing: T.StructType | None, changes: list[FieldChange], full: bool = False) -> T.StructType:

@@ -40,7 +40,11 @@ def first_record_sample(admitted: DataFrame, max_chars: int = 500) -> DataFrame:
     """O2: the first non-empty record of each topic (by offset, then
     partition): offset, first byte in hex, value cut to 500 characters + '...'."""
     nonempty = admitted.filter(F.col("reason").isNull() | (F.col("reason") != "empty"))
-    first = first_by_order(nonempty, ["topic"], ["offset", "partition"])
+    return sample_rows(first_by_order(nonempty, ["topic"], ["offset", "partition"]), max_chars)
+
+
+def sample_rows(first: DataFrame, max_chars: int = 500) -> DataFrame:
+    """What a sample shows of a record."""
     preview = F.when(F.length("text") > max_chars,
                      F.concat(F.substring("text", 1, max_chars), F.lit("..."))).otherwise(F.col("text"))
     return first.select("topic", "partition", "offset", "first_byte", preview.alias("preview"))

@@ -45,6 +45,8 @@ class BatchResult:
     # {table: {(topic, partition, offset): error}} of records that the table's
     # write failed on (found by the sink)
     poisoned: dict = field(default_factory=dict)
+    # {topic: (offset, partition)} of each topic's first non-empty record
+    firsts: dict = field(default_factory=dict)
 
     @property
     def pending(self) -> DataFrame:
@@ -183,7 +185,7 @@ def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
     if known_loader is None:
         def known_loader(tables):
             return {t: known[t] for t in tables if known and known.get(t) is not None}, {}
-    changes, known, refused, census, full = infer_new_fields(admitted, known_loader, cfg.max_columns)
+    changes, known, refused, census, full, firsts = infer_new_fields(admitted, known_loader, cfg.max_columns)
     present = sorted({table for table, _, reason, _ in census if reason is None} - set(refused))
     schemas: dict[str, T.StructType] = {}
     by_table: dict[str, list[FieldChange]] = {}
@@ -193,4 +195,4 @@ def ingest(records: DataFrame, known: dict[str, T.StructType] | None = None,
         merged = merge_schema(known.get(table), by_table.get(table, []), table in full)
         if len(merged.fields):
             schemas[table] = merged
-    return BatchResult(admitted, schemas, changes, known, census, refused=refused)
+    return BatchResult(admitted, schemas, changes, known, census, refused=refused, firsts=firsts)

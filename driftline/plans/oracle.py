@@ -407,6 +407,15 @@ SELECT 'shop_' || CAST(i AS VARCHAR) AS table_name, CAST(c_custkey AS VARCHAR) A
        CASE WHEN i % 3 = 1 THEN CAST(c_nationkey AS BIGINT) END AS nation, CASE WHEN i % 3 = 2 THEN c_mktsegment END AS segment
 FROM (SELECT *, c_custkey % 240 AS i FROM customer) c""",
 
+    "topic_joins_running_query": """
+SELECT 'customers' AS table_name, true AS at_start, CAST(c_custkey AS VARCHAR) AS id FROM customer
+UNION ALL SELECT 'orders', false, CAST(o_orderkey AS VARCHAR) FROM orders""",
+
+    "resume_from_ledger": """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_price, p.n AS ranges
+FROM orders, (SELECT sum(CASE WHEN gap THEN 1 ELSE 0 END)::BIGINT AS n FROM (
+  SELECT coalesce(o_orderkey - lag(o_orderkey) OVER (ORDER BY o_orderkey) <> 1, true) AS gap FROM orders) g) p""",
+
     "poison_record_isolated": """
 SELECT c_custkey AS "offset", CASE WHEN c_custkey % 5000 = 77 THEN 'error/write_error/EXCEED_LIMIT_LENGTH' ELSE 'landed' END AS outcome,
        CASE WHEN c_custkey % 5000 <> 77 THEN right(c_name, 8) END AS code
@@ -441,4 +450,6 @@ FROM (SELECT page_id, path,
       FROM (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS path FROM pages) p) q""",
 }
 
+ORACLE_SQL["stream_totals"] = ORACLE_SQL["ingest_counters"]
+ORACLE_SQL["stream_first_samples"] = f"SELECT * FROM ({ORACLE_SQL['first_record_sample']}) s WHERE topic <> '__offsets'"
 ORACLE_SQL["stream_rejects"] = ORACLE_SQL["reject_frame"]

@@ -527,6 +527,60 @@ def stream_schema_changes(spark, sf):
     return store.read(CHANGES_TABLE).drop("first_topic", "first_partition")
 
 
+def stream_totals(spark, sf):
+    """O1/O5 over the job's life: counters per topic after a run with restarts."""
+    return _stream_run(spark, sf, OBSERVED, _dated_table).totals()
+
+
+def stream_first_samples(spark, sf):
+    """O2 in the running job: the first record of each topic after a run with
+    restarts (the pattern leaves the internal topic out)."""
+    return _stream_run(spark, sf, SAMPLED, _dated_table).samples()
+
+
+def topic_joins_running_query(spark, sf):
+    """A topic whose files appear while the query runs, without a restart."""
+    _prep(spark)
+    base = shared_path(spark, "joining", unique=True)
+    store = _store(spark, "joining")
+    fx.records(spark, sf, "customers").write.parquet(f"{base}/records/customers")
+    query = start_ingest(read_record_stream(spark, f"{base}/records/*", DEFAULT_PATTERN), store, f"{base}/checkpoint",
+                         IngestConfig(checkpoint_interval_ms=200), query_name=None)
+    try:
+        query.processAllAvailable()
+        before = store.table_names()
+        fx.records(spark, sf, "internal").write.parquet(f"{base}/records/internal")
+        fx.records(spark, sf, "orders").write.parquet(f"{base}/records/orders")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    parts = [store.read(t).select(F.lit(t).alias("table_name"), F.lit(t in before).alias("at_start"), "id") for t in ("customers", "orders")]
+    names = spark.createDataFrame([(t, False, None) for t in store.table_names() if not t.startswith("_ingest") and t not in ("customers", "orders")],
+                                  "table_name string, at_start boolean, id string")
+    return parts[0].unionByName(parts[1]).unionByName(names)
+
+
+def resume_from_ledger(spark, sf):
+    """A run with gaps, one that died before it was committed, a lost
+    checkpoint, and a replay from the beginning: every record is in once."""
+    store = _store(_prep(spark), "ledger")
+    recs = fx.records(spark, sf, "orders").withColumn("partition", F.lit(0))
+    last = recs.agg(F.max("offset")).first()[0] or 0
+    base = shared_path(spark, "ledger", unique=True)
+    some = recs.filter((F.col("offset") <= last * 2 // 3) & (F.col("offset") % 10 != 3))
+    some.write.parquet(f"{base}/records/a")
+
+    def run(checkpoint):
+        start_ingest(read_record_stream(spark, f"{base}/records/*", DEFAULT_PATTERN), store, f"{base}/{checkpoint}",
+                     IngestConfig(starting_offsets="committed"), query_name=None, available_now=True, ledger=True).awaitTermination()
+    run("first")
+    store.begin("died-0", 0)                    # its rows landed, its offsets did not
+    ingest_into(store, recs.filter(F.col("offset") > last // 2), "died-0")
+    recs.write.parquet(f"{base}/records/b")     # overlaps and fills the gaps
+    run("second")
+    return store.read("orders").select("id", "total_price", F.lit(store.ledger().count()).cast("bigint").alias("ranges"))
+
+
 # -- observability -----------------------------------------------------------
 
 OBSERVED = ["faulty", "enveloped", "dated", "orders"]
@@ -599,6 +653,10 @@ QUERIES = {
     "documents_roundtrip": documents_roundtrip,
     "awkward_names": awkward_names,
     "many_small_topics": many_small_topics,
+    "stream_totals": stream_totals,
+    "stream_first_samples": stream_first_samples,
+    "topic_joins_running_query": topic_joins_running_query,
+    "resume_from_ledger": resume_from_ledger,
     "poison_record_isolated": poison_record_isolated,
     "wide_topic_overflow": wide_topic_overflow,
     "deep_nesting_landed": deep_nesting_landed,

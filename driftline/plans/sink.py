@@ -38,7 +38,8 @@ from driftline.config import IngestConfig
 from driftline.operators.admit import NO_TABLE
 from driftline.operators.coerce import ERR, MAYBE, SRC, ddl_type
 from driftline.operators.infer import quote
-from driftline.operators.observe import reject_frame
+from driftline.operators.ledger import merged, offset_ranges, outside
+from driftline.operators.observe import first_by_order, reject_frame, sample_rows
 from driftline.plans.ingest import BatchResult, ingest
 from driftline.session import apply_session_conf, shared_path
 
@@ -62,6 +63,7 @@ class TableStore:
         # Schemas this writer has seen or changed (one catalog read per table
         # and process, like the reference's per-task cache).
         self._cache: dict[str, T.StructType] = {}
+        self._samples: dict[str, tuple[int, int]] | None = None
 
     # -- catalog -----------------------------------------------------------
     @property
@@ -205,6 +207,60 @@ class TableStore:
                            f"USING parquet PARTITIONED BY ({BATCH_COL})")
         self._insert(rows.withColumn(BATCH_COL, F.lit(batch_tag)), table)
 
+    def read_batch(self, table: str, batch_tag: str, batch_id: int) -> DataFrame:
+        """One batch's rows of a log table."""
+        return self.spark.table(self.name(table)).filter(F.col(BATCH_COL) == batch_tag).drop(BATCH_COL)
+
+    # -- offset ledger (S3/S4) -------------------------------------------------
+    def ledger(self) -> DataFrame:
+        """``topic, partition, first, last``: the offsets of all committed batches."""
+        if not self.exists(OFFSETS_TABLE):
+            return self.spark.createDataFrame([], OFFSETS_DDL.split(", ", 1)[1])
+        return merged(self.read(OFFSETS_TABLE))
+
+    def uncommitted(self, records: DataFrame) -> DataFrame:
+        """``records`` that no committed batch held, each once."""
+        return outside(records, self.ledger()) if self.exists(OFFSETS_TABLE) else records.dropDuplicates(["topic", "partition", "offset"])
+
+    def begin(self, batch_tag: str, batch_id: int) -> None:
+        """Note that a batch is about to be written; it counts once its offsets are in the ledger."""
+        row = self.spark.createDataFrame([(int(batch_id), batch_tag)], BEGUN_DDL)
+        self.append_log(BEGUN_TABLE, BEGUN_DDL, row, batch_tag)
+
+    def drop_unfinished(self) -> list[str]:
+        """Remove what begun batches left that never came to be committed (the run
+        died in between); a new run reads their records again."""
+        if not self.exists(BEGUN_TABLE):
+            return []
+        begun = self.spark.table(self.name(BEGUN_TABLE)).select("tag").distinct()
+        if self.exists(OFFSETS_TABLE):
+            done = self.spark.table(self.name(OFFSETS_TABLE)).select(F.col(BATCH_COL).alias("tag")).distinct()
+            begun = begun.join(done, "tag", "left_anti")
+        tags = [r["tag"] for r in begun.collect()]              # of batches that were cut off: few
+        for table in self.table_names() if tags else []:
+            for tag in tags:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({BATCH_COL} = '{tag}')")
+        return tags
+
+    # -- state of the job, from its log tables -------------------------------
+    def totals(self) -> DataFrame:
+        """O1 over the job's life: ``topic, received, emitted, skipped, errors``.  A
+        replayed batch replaces its own rows, so restarts count nothing twice."""
+        sums = [F.sum(c).alias(c) for c in ("received", "emitted", "skipped", "errors")]
+        return self.read(TOPICS_TABLE).groupBy("topic").agg(*sums)
+
+    def samples(self) -> DataFrame:
+        """O2 over the job's life: each topic's first record by (offset, partition)."""
+        rows = self.read(SAMPLES_TABLE).drop("batch_id")
+        return first_by_order(rows, ["topic"], ["offset", "partition"]).dropDuplicates(["topic"])
+
+    def first_samples(self) -> dict[str, tuple[int, int]]:
+        """``{topic: (offset, partition)}`` of the samples taken so far (read once, then kept up)."""
+        if self._samples is None:
+            rows = self.samples().collect() if self.exists(SAMPLES_TABLE) else []       # one row per topic
+            self._samples = {r["topic"]: (r["offset"], r["partition"]) for r in rows}
+        return self._samples
+
     # -- read-back -----------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         """A landed table without the hidden column."""
@@ -266,6 +322,12 @@ class IcebergTableStore(TableStore):
             out = out.coalesce(parallelism)
         out.writeTo(self.name(table)).option("snapshot-property.driftline.batch", batch_tag).append()
 
+    def read_batch(self, table: str, batch_tag: str, batch_id: int) -> DataFrame:
+        return self.read(table).filter(F.col("batch_id") == batch_id)
+
+    def begin(self, batch_tag: str, batch_id: int) -> None:
+        raise NotImplementedError("the offset ledger needs the Parquet store's batch partitions")
+
     def can_share(self, table: str) -> bool:
         return False                    # files become part of a table by a commit of its own
 
@@ -498,12 +560,17 @@ def batch_counts(result: BatchResult, written: dict[str, Written]) -> dict[str,
 
 
 STATS_TABLE, REJECTS_TABLE = "_ingest_stats", "_ingest_rejects"
+TOPICS_TABLE, SAMPLES_TABLE, OFFSETS_TABLE = "_ingest_topic_stats", "_ingest_first_samples", "_ingest_offsets"
 CHANGES_TABLE, LOSS_TABLE = "_ingest_schema_changes", "_ingest_coercion_loss"
 STATS_DDL = "batch_id bigint, received bigint, emitted bigint, skipped bigint, errors bigint"
 REJECTS_DDL = ("batch_id bigint, topic string, partition int, offset bigint, disposition string, reason string, "
                "detail string, first_byte string, preview string")
 CHANGES_DDL = ("batch_id bigint, table_name string, position int, field string, type string, first_topic string, "
                "first_partition int, first_offset bigint")
+TOPICS_DDL = "batch_id bigint, topic string, received bigint, emitted bigint, skipped bigint, errors bigint"
+BEGUN_TABLE, BEGUN_DDL = "_ingest_begun", "batch_id bigint, tag string"
+OFFSETS_DDL = "batch_id bigint, topic string, partition int, first bigint, last bigint"
+SAMPLES_DDL = "batch_id bigint, topic string, partition int, offset bigint, first_byte string, preview string"
 LOSS_DDL = "batch_id bigint, table_name string, column string, kind string, records bigint"
 
 
@@ -523,6 +590,30 @@ def write_logs(store: TableStore, result: BatchResult, batch_tag: str, batch_id:
     if c["skipped"] or c["errors"]:
         failed = [t for t, w in result.written.items() if w.errors]
         log(REJECTS_TABLE, REJECTS_DDL, reject_frame(result.dispositions(True, failed)))
+    # Per topic: what the census knows, and the failed ones from the rejects just written.
+    failed = {}
+    if c["errors"]:
+        mine = store.read_batch(REJECTS_TABLE, batch_tag, batch_id).filter(F.col("disposition") == "error")
+        failed = {r["topic"]: r["n"] for r in mine.groupBy("topic").agg(F.count(F.lit(1)).alias("n")).collect()}   # one row per topic
+    per: dict = {}
+    for t, topic, reason, n in result.census:
+        row = per.setdefault(topic, [0, 0])
+        row[0] += n
+        dropped = reason not in (None, NO_TABLE) or (reason is None and t not in result.written and t not in result.refused)
+        row[1] += n if dropped else 0
+    rows = [(topic, got, got - out - failed.get(topic, 0), out, failed.get(topic, 0))
+            for topic, (got, out) in sorted(per.items(), key=lambda x: (x[0] is None, x[0]))]
+    log(TOPICS_TABLE, TOPICS_DDL, spark.createDataFrame(rows, TOPICS_DDL.split(", ", 1)[1]).coalesce(1))
+    # First samples: only topics whose first record lies before what earlier batches gave.
+    known = store.first_samples()
+    new = {t: at for t, at in result.firsts.items() if t not in known or at < known[t]}
+    if new:
+        at = spark.createDataFrame([(t, o, p) for t, (o, p) in new.items()], "topic string, offset long, partition int")
+        same = [result.admitted[x].eqNullSafe(at[x]) for x in ("topic", "offset", "partition")]
+        first = result.admitted.filter(F.col("reason").isNull() | (F.col("reason") != "empty")).join(
+            at, same[0] & same[1] & same[2], "left_semi")
+        log(SAMPLES_TABLE, SAMPLES_DDL, sample_rows(first))
+        known.update(new)
     if result.changes:
         log(CHANGES_TABLE, CHANGES_DDL, result.change_frame().withColumnRenamed("table", "table_name").coalesce(1))
     lossy = [result.losses(t) for t, w in sorted(result.written.items()) if w.maybe_lossy]
@@ -534,9 +625,12 @@ def write_logs(store: TableStore, result: BatchResult, batch_tag: str, batch_id:
 
 
 def ingest_into(store: TableStore, records: DataFrame, batch_tag: str,
-                cfg: IngestConfig | None = None, route=None, batch_id: int | None = None) -> BatchResult:
+                cfg: IngestConfig | None = None, route=None, batch_id: int | None = None,
+                ledger: bool = False) -> BatchResult:
     """One batch end to end: admit and stage once, infer against the live
-    tables, widen, append; with ``batch_id`` also the log tables.
+    tables, widen, append; with ``batch_id`` also the log tables.  With ``ledger``
+    only records that no committed batch held are taken, each once, and the batch's
+    offsets are committed after everything else.
 
     A table that fails does not stop the others.  If any failed, ``TableErrors``
     is raised at the end, so a streaming batch is tried again; what was written
@@ -545,12 +639,18 @@ def ingest_into(store: TableStore, records: DataFrame, batch_tag: str,
     apply_session_conf(records.sparkSession)
     store.ensure_namespace()
     kwargs = {"route": route} if route is not None else {}
+    if ledger:
+        store.begin(batch_tag, batch_id or 0)
+        records = store.uncommitted(records)
     stage = shared_path(store.spark, "stage", unique=True)
     try:
         result = ingest(records, cfg=cfg, known_loader=store.schemas, stage=stage, reserved=(BATCH_COL,), **kwargs)
         result.written, failed = write_result(store, result, batch_tag, cfg)
         if not failed and batch_id is not None and result.census:
             write_logs(store, result, batch_tag, batch_id)
+        if ledger and not failed and result.census:
+            ranges = offset_ranges(result.admitted).select(F.lit(int(batch_id or 0)).cast("bigint").alias("batch_id"), "topic", "partition", "first", "last")
+            store.append_log(OFFSETS_TABLE, OFFSETS_DDL, ranges, batch_tag)
     finally:
         remove_path(store.spark, stage)
     if failed:

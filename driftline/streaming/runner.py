@@ -45,18 +45,23 @@ def _has_checkpoint(stream: DataFrame, checkpoint: str) -> bool:
 
 def start_ingest(stream: DataFrame, store: TableStore, checkpoint: str,
                  cfg: IngestConfig | None = None, query_name: str | None = "driftline-sink",
-                 available_now: bool = False, record_stats: bool = True) -> StreamingQuery:
+                 available_now: bool = False, record_stats: bool = True, ledger: bool = False) -> StreamingQuery:
     """Start the ingest query.  ``available_now`` drains what is there and
     stops (replays, tests); otherwise a processing-time trigger at the
-    configured commit interval."""
+    configured commit interval.  With ``ledger`` the offset ledger decides what is
+    new: a start from the beginning with a new checkpoint takes only what is not in
+    yet, after removing what a cut-off run left unfinished."""
     cfg = cfg or IngestConfig()
-    if cfg.starting_offsets.strip().lower() == "committed" and not _has_checkpoint(stream, checkpoint):
+    if ledger:
+        store.ensure_namespace()
+        store.drop_unfinished()
+    elif cfg.starting_offsets.strip().lower() == "committed" and not _has_checkpoint(stream, checkpoint):
         raise ValueError("start position 'committed' needs an existing checkpoint to resume from "
                          f"({checkpoint}); Spark keeps no consumer-group offsets")
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         tag = batch_tag_for(batch_df, batch_id, checkpoint)
-        result = ingest_into(store, batch_df, tag, cfg, batch_id=batch_id if record_stats else None)
+        result = ingest_into(store, batch_df, tag, cfg, batch_id=batch_id if record_stats else None, ledger=ledger)
         if result.census:                           # file streams can yield empty batches
             log.info("batch %s: %s", batch_id, batch_counts(result, result.written))
 
