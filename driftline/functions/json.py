@@ -11,6 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(v: Column, f) -> Column:
+    """``f(v)`` with ``v`` evaluated once: a lambda variable stands for it.  Written
+    out, an expression that uses a nested value several times (and the Java code
+    made of it) would grow with the square of the depth."""
+    return F.transform(F.array(v), f).getItem(0)
+
+
 def decode_utf8(value: Column) -> Column:
     """Bytes -> text; malformed UTF-8 becomes U+FFFD."""
     return F.make_valid_utf8(value.cast("string"))

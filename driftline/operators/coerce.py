@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.json import (
-    is_integer_kind, is_json_null, is_number_kind, is_object, json_kind, jvm_number_text,
+    bound, is_integer_kind, is_json_null, is_number_kind, is_object, json_kind, jvm_number_text,
 )
 from driftline.operators.admit import body_variant
 from driftline.operators.infer import NESTED_LEVELS, OVERFLOW, quote
@@ -72,13 +72,6 @@ def _or(a: Column | None, b: Column | None) -> Column | None:
     return a | b
 
 
-def bound(v: Column, f) -> Column:
-    """``f(v)`` with ``v`` evaluated once: a lambda variable stands for it.  A nested
-    value is used several times on its level; written out, the expression (and the
-    Java code made of it) would grow with the square of the depth."""
-    return F.transform(F.array(v), f).getItem(0)
-
-
 def can_fail(dtype: T.DataType) -> bool:
     """Whether a conversion to the type can make the record an error."""
     if isinstance(dtype, T.StructType):
@@ -112,10 +105,17 @@ def _elements(v: Column, raw: Column | None = None) -> Column:
     return F.when(items.isNotNull(), items).when(is_object(v), values)
 
 
+_UNCHECKED = _INTEGRALS + (T.BooleanType, T.FloatType, T.DoubleType, T.StringType, T.VarcharType, T.CharType, T.BinaryType,
+                           T.StructType, T.ArrayType, T.MapType)
+
+
 def typed_value(v: Column, dtype: T.DataType, raw: Column | None = None, kind: Column | None = None, level: int = 0) -> Column:
     """The typed value; ``level`` counts the objects and arrays around it."""
-    null = is_json_null(v)
     kind = json_kind(v) if kind is None else kind
+    if not isinstance(dtype, _UNCHECKED):
+        # Value and kind are used many times over; a filter on errors repeats whatever is written out.
+        return bound(F.struct(v.alias("v"), kind.alias("k")), lambda x: checked_value(x["v"], dtype, x["k"]))
+    null = is_json_null(v)
     typed_null = F.lit(None).cast(dtype)
 
     if isinstance(dtype, T.BooleanType):
@@ -134,19 +134,6 @@ def typed_value(v: Column, dtype: T.DataType, raw: Column | None = None, kind: C
     elif isinstance(dtype, T.BinaryType):
         val = F.encode(text_value(v, kind, raw, level), "UTF-8")
 
-    elif isinstance(dtype, T.DateType):
-        txt = text_value(v, kind)
-        days = F.try_variant_get(v, "$", "int")
-        val = F.when(is_number_kind(kind), F.date_from_unix_date(days)).otherwise(F.when(txt.rlike(_ISO_DATE), txt.try_cast("date")))
-
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        txt = text_value(v, kind)
-        parsed = F.date_trunc("MILLISECOND", F.upper(txt).try_cast("timestamp"))
-        millis = F.timestamp_millis(F.try_variant_get(v, "$", "bigint"))
-        val = F.when(is_number_kind(kind), millis).otherwise(F.when(txt.rlike(_ISO_INSTANT), parsed))
-        if isinstance(dtype, T.TimestampNTZType):
-            val = val.cast(T.TimestampNTZType())   # UTC wall time (session zone is UTC)
-
     elif isinstance(dtype, T.StructType):          # C10: recursive, non-object -> null
         if not dtype.fields:
             return typed_null
@@ -158,15 +145,29 @@ def typed_value(v: Column, dtype: T.DataType, raw: Column | None = None, kind: C
         conv = F.transform(_elements(v, raw), lambda e: typed_value(e, dtype.elementType, level=level + 1))
         val = F.coalesce(conv, F.array().cast(dtype))
 
-    elif isinstance(dtype, T.MapType):
+    else:
         raise TypeError("MAP columns are not supported as ingest targets")
 
-    else:       # C12 (DECIMAL and the rest): the text, cast; failure is a convert error.
-        val = text_value(v, kind).try_cast(dtype)
-
     return F.when(null, typed_null).otherwise(val)
 
 
+def checked_value(v: Column, dtype: T.DataType, kind: Column) -> Column:
+    """Values of the types whose conversion can fail (then null)."""
+    txt = text_value(v, kind)
+    if isinstance(dtype, T.DateType):
+        days = F.try_variant_get(v, "$", "int")
+        val = F.when(is_number_kind(kind), F.date_from_unix_date(days)).otherwise(F.when(txt.rlike(_ISO_DATE), txt.try_cast("date")))
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        parsed = F.date_trunc("MILLISECOND", F.upper(txt).try_cast("timestamp"))
+        millis = F.timestamp_millis(F.try_variant_get(v, "$", "bigint"))
+        val = F.when(is_number_kind(kind), millis).otherwise(F.when(txt.rlike(_ISO_INSTANT), parsed))
+        if isinstance(dtype, T.TimestampNTZType):
+            val = val.cast(T.TimestampNTZType())   # UTC wall time (session zone is UTC)
+    else:       # DECIMAL and the rest: the text, cast
+        val = txt.try_cast(dtype)
+    return F.when(is_json_null(v), F.lit(None).cast(dtype)).otherwise(val)
+
+
 def conversion_error(v: Column, dtype: T.DataType, kind: Column | None = None) -> Column | None:
     """Whether the conversion fails; ``None`` where it cannot.  (Apart from the value,
     so that neither is built again for each level around it.)"""
@@ -185,7 +186,8 @@ def conversion_error(v: Column, dtype: T.DataType, kind: Column | None = None) -
     if isinstance(dtype, T.ArrayType):
         err = F.exists(_elements(v), lambda e: F.coalesce(conversion_error(e, dtype.elementType), F.lit(False)))
         return F.coalesce(err, F.lit(False))
-    return ~is_json_null(v) & typed_value(v, dtype, kind=kind).isNull()
+    kind = json_kind(v) if kind is None else kind
+    return bound(F.struct(v.alias("v"), kind.alias("k")), lambda x: ~is_json_null(x["v"]) & checked_value(x["v"], dtype, x["k"]).isNull())
 
 
 # Spark's own typed JSON reader gives the reference's value for these types

@@ -4,7 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.config import IngestConfig
-from driftline.plans.sink import LOSS_TABLE, REJECTS_TABLE, STATS_TABLE, TableErrors, TableStore, ingest_into
+from driftline.operators.coerce import SRC
+from driftline.operators.ledger import BLOCK, merged, offset_ranges, outside
+from driftline.plans.sink import (
+    LOSS_TABLE, REJECTS_TABLE, STATS_TABLE, IcebergTableStore, TableErrors, TableStore, TooManyTries, find_poison, ingest_into,
+)
 from driftline.session import shared_path
 
 
@@ -192,3 +196,131 @@ def test_not_null_column_rejects_missing_value(spark, records):
     d = {r.offset: (r.disposition, r.detail) for r in res.dispositions().collect()}
     assert d == {0: ("emitted", None), 1: ("error", "id")}
     assert [tuple(r) for r in res.rows("nn").collect()] == [("a", 1)]
+
+
+def jobs_of(spark, run):
+    """Spark jobs that ``run`` starts."""
+    tracker = spark.sparkContext._jsc.sc().statusTracker()
+    last = lambda: max([-1, *tracker.getJobIdsForGroup(None)])       # noqa: E731
+    spark.range(1).collect()
+    before = last()
+    run()
+    spark.range(1).collect()
+    return last() - before
+
+
+def test_tables_with_the_same_columns_share_one_write(spark, records):
+    def batch(n, first=0):
+        return records([(f"t.{i}", 0, first + i, '{"id":%d,"v":"x%d"}' % (i, i)) for i in range(n)])
+    few, many = new_store(spark), new_store(spark)
+    base = jobs_of(spark, lambda: ingest_into(few, batch(2), "b0"))
+    assert jobs_of(spark, lambda: ingest_into(many, batch(40), "b0")) <= base + 2
+    for _ in range(2):                          # a replay replaces its own rows
+        ingest_into(many, batch(40, 100), "b1")
+    for i in (0, 17, 39):
+        assert sorted(tuple(r) for r in many.read(f"t_{i}").collect()) == [(i, f"x{i}")] * 2
+    ingest_into(many, records([("t.3", 0, 500, '{"id":3,"v":"alone"}')]), "b1")       # the same batch, now on its own
+    assert sorted(tuple(r) for r in many.read("t_3").collect()) == [(3, "alone"), (3, "x3")]
+
+
+def test_a_shared_write_keeps_odd_names_losses_and_errors_apart(spark, records):
+    store = new_store(spark)
+    rows = [(t, 0, i, v) for t in ("Größe x/1", "B", "b%20c") for i, v in enumerate(['{"n":1,"s":"a"}', '{"n":"x","s":"b"}', "[1]", '{"n":3}'])]
+    res = ingest_into(store, records(rows), "b0", batch_id=0)
+    for t in ("Größe x/1", "B", "b%20c"):
+        assert sorted(r.n for r in store.read(t).collect()) == [0, 1, 3]
+        assert (res.written[t].records, res.written[t].errors, res.written[t].maybe_lossy) == (3, 0, 1)
+    assert {(r.table_name, r.column, r.kind, r.records) for r in store.read(LOSS_TABLE).collect()} == {
+        (t, "n", "wrong_kind", 1) for t in ("Größe x/1", "B", "b%20c")}
+    assert {(r.topic, r.received, r.emitted, r.skipped, r.errors) for r in store.totals().collect()} == {
+        (t, 4, 3, 1, 0) for t in ("Größe x/1", "B", "b%20c")}
+
+
+def checked_table(store, name="t"):
+    store.ensure_namespace()
+    store.spark.sql(f"CREATE TABLE {store.name(name)} (id BIGINT, code VARCHAR(4), _ingest_batch STRING) USING parquet PARTITIONED BY (_ingest_batch)")
+
+
+def test_records_that_a_write_fails_on_are_isolated(spark, records):
+    store = new_store(spark)
+    checked_table(store)
+    rows = [("t", i % 2, i, '{"id":%d,"code":"%s"}' % (i, "far too long" if i in (0, 5, 36) else "ok")) for i in range(40)]
+    res = ingest_into(store, records(rows + [("u", 0, 0, '{"a":1}')]), "b0", batch_id=0)
+    assert sorted(r.id for r in store.read("t").collect()) == [i for i in range(40) if i not in (0, 5, 36)]
+    assert store.read("u").count() == 1
+    assert {(r.offset, r.disposition, r.reason, r.detail) for r in store.read(REJECTS_TABLE).collect()} == {
+        (i, "error", "write_error", "EXCEED_LIMIT_LENGTH") for i in (0, 5, 36)}
+    assert (res.written["t"].records, res.written["t"].errors) == (40, 3)
+    assert not [t for t in store.table_names() if t.startswith("_try_")]
+
+
+def test_a_table_that_fails_as_a_whole_is_not_taken_for_poison(spark, records):
+    store = new_store(spark)
+    checked_table(store)
+    rows = [("t", 0, i, '{"id":%d,"code":"far too long"}' % i) for i in range(60)]
+    with pytest.raises(TableErrors):
+        ingest_into(store, records(rows + [("u", 0, 0, '{"a":1}')]), "b0", IngestConfig(max_poison_tries=12), batch_id=0)
+    assert store.read("t").count() == 0 and store.read("u").count() == 1
+    assert not store.exists(REJECTS_TABLE)              # nothing is dropped: the batch is tried again
+
+
+def test_bisection_finds_every_record_with_few_tries(spark):
+    bad, tries = {("a", 0, 3), ("a", 1, 1000), ("b", 0, 77), ("b", 0, 78)}, []
+    every = spark.createDataFrame([((t, p, o),) for t, p, o in sorted(bad)], f"{SRC} struct<topic: string, partition: int, offset: long>")
+
+    def works(condition):
+        tries.append(1)
+        return None if every.filter(condition).isEmpty() else "broken"
+    boxes = [("a", 0, 0, 500), ("a", 1, 0, 5000), ("b", 0, 0, 400), ("c", 0, 9, 9)]
+    assert find_poison(works, boxes, 400) == dict.fromkeys(bad, "broken")
+    assert len(tries) <= 2 * 13 * len(bad)
+    with pytest.raises(TooManyTries):
+        find_poison(works, boxes, 10)
+
+
+# -- offset ledger --------------------------------------------------------------
+
+def test_ranges_merge_and_leave_out_what_is_in(spark):
+    offsets = [0, 1, 2, 2, 5, 6, BLOCK - 1, BLOCK, BLOCK + 1, 3 * BLOCK]
+    recs = spark.createDataFrame([("t", p, o) for p in (0, None) for o in offsets], "topic string, partition int, offset long")
+    ranges = merged(offset_ranges(recs))
+    assert sorted((r.first, r.last) for r in ranges.filter("partition = 0").collect()) == [(0, 2), (5, 6), (BLOCK - 1, BLOCK + 1), (3 * BLOCK, 3 * BLOCK)]
+    more = spark.createDataFrame([("t", p, o) for p in (0, None, 1) for o in [*range(8), 4, BLOCK, BLOCK + 2]], "topic string, partition int, offset long")
+    left = sorted((-1 if r.partition is None else r.partition, r.offset) for r in outside(more, ranges).collect())
+    assert left == [(p, o) for p in (-1, 0) for o in (3, 4, 7, BLOCK + 2)] + [(1, o) for o in [*range(8), BLOCK, BLOCK + 2]]
+
+
+def test_an_unfinished_batch_is_removed_and_read_again(spark, records):
+    store = new_store(spark)
+    rows = records([("t", 0, i, '{"id":%d}' % i) for i in range(20)])
+    ingest_into(store, rows.filter("offset < 8"), "r-0", batch_id=0, ledger=True)
+    store.begin("r-1", 1)
+    ingest_into(store, rows.filter("offset between 6 and 12"), "r-1")          # died before its commit
+    assert store.read("t").count() == 15
+    assert store.drop_unfinished() == ["r-1"] and store.read("t").count() == 8
+    ingest_into(store, rows.unionByName(rows), "s-0", batch_id=0, ledger=True)
+    assert sorted(r.id for r in store.read("t").collect()) == list(range(20))
+    assert [tuple(r) for r in store.ledger().collect()] == [("t", 0, 0, 19)] and store.drop_unfinished() == []
+
+
+# -- the adapter's statements ------------------------------------------------------
+
+def test_adapter_makes_its_own_statements(spark, monkeypatch):
+    said = []
+
+    class Recorder:
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text):
+            said.append(text)
+            return spark.createDataFrame([], "x int")
+    store = IcebergTableStore(spark, "ns", catalog="lake")
+    store.spark = Recorder()
+    written = []
+    monkeypatch.setattr(store, "exists", lambda t: False)
+    monkeypatch.setattr(store, "append", lambda t, rows, tag, parallelism=None: written.append((t, rows.columns, tag)))
+    rows = spark.createDataFrame([(0, 1)], "batch_id bigint, received bigint")
+    store.append_log("_ingest_stats", "batch_id bigint, received bigint", rows, "q-0")
+    assert said == ["CREATE TABLE IF NOT EXISTS `lake`.`ns`.`_ingest_stats` (`batch_id` bigint, `received` bigint) USING iceberg"]
+    assert written == [("_ingest_stats", ["batch_id", "received"], "q-0")] and not store.can_share("t")
