@@ -63,10 +63,10 @@ def test_job_needs_a_place_for_its_progress(spark):
     with pytest.raises(SystemExit):
         checkpoint_location(bare, {"CHECKPOINT_LOCATION": " "})
     cfg = IngestConfig.from_env({"TABLE_STORE": "Iceberg", "CATALOG_NAME": "lake", "CATALOG_NAMESPACE": "raw",
-                                 "WAREHOUSE_PATH": "oss://bk.r.oss-dls.aliyuncs.com/wh", "MAX_NEW_FIELDS": "5"})
+                                 "WAREHOUSE_PATH": "oss://bk.r.oss-dls.aliyuncs.com/wh", "MAX_COLUMNS": "5"})
     store = make_store(spark, cfg)
     assert type(store).__name__ == "IcebergTableStore" and store.name("t") == "`lake`.`raw`.`t`"
-    assert store.location == "oss://bk/wh" and cfg.max_new_fields == 5
+    assert store.location == "oss://bk/wh" and cfg.max_columns == 5
     assert make_store(spark, IngestConfig()).name("t") == "`raw`.`t`"
     with pytest.raises(ValueError):
         make_store(spark, IngestConfig(table_store="other"))
