@@ -203,20 +203,23 @@ def mix_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: int
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (0, 1 or 2 times)."""
-    taken = mix_rows(docs, **options).select(F.col("doc_id").alias("_m_id"), F.col("text_key").alias("_m_t"),
-                                             F.col("source").alias("_m_s"), F.col("copies").alias("_m_n"))
+    p = "_m"                                # names of its own, whatever the columns of docs are
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p = "_" + p
+    taken = mix_rows(docs, **options).select(F.col("doc_id").alias(f"{p}_id"), F.col("text_key").alias(f"{p}_t"),
+                                             F.col("source").alias(f"{p}_s"), F.col("copies").alias(f"{p}_n"))
     # Rows equal in id, source and text share one line of counts, which they take in turn.
-    taken = taken.groupBy("_m_id", "_m_t", "_m_s").agg(F.sum("_m_n").alias("_m_n"), F.count(F.lit(1)).alias("_m_rows"))
+    taken = taken.groupBy(f"{p}_id", f"{p}_t", f"{p}_s").agg(F.sum(f"{p}_n").alias(f"{p}_n"), F.count(F.lit(1)).alias(f"{p}_rows"))
     key = F.xxhash64(whole_text())
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_m_id")) & (key == F.col("_m_t"))
-                       & docs["source"].eqNullSafe(F.col("_m_s")))
-    single = joined.filter("_m_rows = 1")
-    times = F.col("_m_n")
-    if not taken.filter("_m_rows > 1").isEmpty():
-        turn = Window.partitionBy("_m_id", "_m_t", "_m_s").orderBy("_m_t")
-        several = joined.filter("_m_rows > 1").withColumn("_m_turn", F.row_number().over(turn))
-        each = F.floor(F.col("_m_n") / F.col("_m_rows")) + F.when(
-            F.col("_m_turn") <= F.col("_m_n") % F.col("_m_rows"), 1).otherwise(0)
-        single = single.unionByName(several.withColumn("_m_n", each).drop("_m_turn"))
-    return single.withColumn("_m_copy", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1)).cast("int")))).filter(
+    joined = docs.join(taken, docs["doc_id"].eqNullSafe(F.col(f"{p}_id")) & (key == F.col(f"{p}_t"))
+                       & docs["source"].eqNullSafe(F.col(f"{p}_s")))
+    single = joined.filter(f"{p}_rows = 1")
+    times = F.col(f"{p}_n")
+    if not taken.filter(f"{p}_rows > 1").isEmpty():
+        turn = Window.partitionBy(f"{p}_id", f"{p}_t", f"{p}_s").orderBy(f"{p}_t")
+        several = joined.filter(f"{p}_rows > 1").withColumn(f"{p}_turn", F.row_number().over(turn))
+        each = F.floor(F.col(f"{p}_n") / F.col(f"{p}_rows")) + F.when(
+            F.col(f"{p}_turn") <= F.col(f"{p}_n") % F.col(f"{p}_rows"), 1).otherwise(0)
+        single = single.unionByName(several.withColumn(f"{p}_n", each).drop(f"{p}_turn"))
+    return single.withColumn(f"{p}_copy", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1)).cast("int")))).filter(
         times > 0).select(*docs.columns)
