@@ -82,6 +82,34 @@ def can_fail(dtype: T.DataType) -> bool:
                                                T.CharType, T.BinaryType))
 
 
+#: Where Spark keeps the declared type of a text column with a length.
+DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
+
+
+def too_long(value: Column, dtype: T.DataType) -> Column | None:
+    """Whether a text is longer than its CHAR or VARCHAR, at any level (an insert cuts
+    trailing spaces and refuses the rest); ``None`` where no length is declared."""
+    if isinstance(dtype, (T.CharType, T.VarcharType)):
+        return F.coalesce(F.length(F.rtrim(value)) > dtype.length, F.lit(False))
+    if isinstance(dtype, T.StructType):
+        out = None
+        for f in dtype.fields:
+            out = _or(out, too_long(value.getField(f.name), f.dataType))
+        return out
+    if isinstance(dtype, T.ArrayType) and too_long(value, dtype.elementType) is not None:
+        return F.coalesce(F.exists(value, lambda e: too_long(e, dtype.elementType)), F.lit(False))
+    return None
+
+
+def row_too_long(schema: T.StructType) -> Column | None:
+    """``too_long`` over the columns of a live table; ``None`` where no column declares a length."""
+    out = None
+    for f in schema.fields:
+        declared = f.metadata.get(DECLARED) if f.metadata else None
+        out = _or(out, too_long(F.col(quote(f.name)), T._parse_datatype_string(declared) if declared else f.dataType))
+    return out
+
+
 def coerce_value(v: Column, dtype: T.DataType, raw: Column | None = None,
                  kind: Column | None = None) -> tuple[Column, Column | None]:
     """(typed value, error flag or None when this type cannot fail).

@@ -21,11 +21,15 @@ from pyspark.sql import types as T
 from driftline.config import IngestConfig
 from driftline.functions.route import topic_to_table
 from driftline.operators.admit import EMITTED, ERROR, PENDING, SKIPPED, admit
-from driftline.operators.coerce import ERR, LOSS, SRC, coerce_rows
+from driftline.operators.coerce import ERR, LOSS, SRC, coerce_rows, row_too_long
 from driftline.operators.infer import OVERFLOW, FieldChange, change_frame, infer_new_fields, merge_schema, quote
 
 #: The reason of records that a table's write failed on.
 WRITE_ERROR = "write_error"
+#: Beside coerced rows of tables with CHAR or VARCHAR columns: a text is too long.
+LONG = "_dl_too_long"
+#: What a write says of such a record.
+TOO_LONG = "EXCEED_LIMIT_LENGTH"
 
 
 @dataclass
@@ -66,6 +70,9 @@ class BatchResult:
     def coerced(self, table: str, carry: tuple = ()) -> DataFrame:
         """Typed rows of one table, with record coordinates, error and loss columns."""
         rows = coerce_rows(self.pending.filter(F.col("table") == F.lit(table)), self.schemas[table], carry)
+        if (long := row_too_long(self.schemas[table])) is not None:
+            rows = rows.withColumn(LONG, F.col(ERR).isNull() & long).withColumn(
+                ERR, F.when(F.col(LONG), F.lit(WRITE_ERROR)).otherwise(F.col(ERR)))
         if self.poisoned.get(table):
             rows = rows.withColumn(ERR, F.when(self.is_poison(table), F.lit(WRITE_ERROR)).otherwise(F.col(ERR)))
         return rows
@@ -74,15 +81,19 @@ class BatchResult:
         """``coerced`` of several tables with one schema; ``_dl_src`` carries the table."""
         return coerce_rows(self.pending.filter(F.col("table").isin(*tables)), self.schemas[tables[0]], ("table",))
 
-    def is_poison(self, table: str) -> Column:
-        """Whether a coerced row of ``table`` is one that its write failed on."""
-        hit = F.lit(False)
-        for at in sorted(self.poisoned.get(table, {})):
+    def write_error(self, table: str) -> Column:
+        """The error that the write of a coerced row of ``table`` ended with (null: none)."""
+        why = F.lit(None).cast("string")
+        for at, error in sorted(self.poisoned.get(table, {}).items()):
             here = F.lit(True)
             for name, value in zip(("topic", "partition", "offset"), at):
                 here = here & F.col(f"{SRC}.{name}").eqNullSafe(F.lit(value))
-            hit = hit | here
-        return hit
+            why = F.when(here, F.lit(error)).otherwise(why)
+        return why
+
+    def is_poison(self, table: str) -> Column:
+        """Whether a coerced row of ``table`` is one that its write failed on."""
+        return self.write_error(table).isNotNull()
 
     def rows(self, table: str) -> DataFrame:
         """The rows that land in ``table``: emitted records, schema order."""
@@ -123,10 +134,14 @@ class BatchResult:
             c = self.coerced(table, tuple(extra))
             failed = F.col(ERR).isNotNull()
             why, detail = F.lit("convert_error"), F.col(ERR)
-            if errors := self.poisoned.get(table):
-                poison = self.is_poison(table)
-                why = F.when(poison, F.lit(WRITE_ERROR)).otherwise(why)
-                detail = F.when(poison, F.lit(next(iter(errors.values())))).otherwise(detail)
+            unwritable = F.lit(None).cast("string")
+            if LONG in c.columns:
+                unwritable = F.when(F.col(LONG), F.lit(TOO_LONG))
+            if self.poisoned.get(table):
+                unwritable = F.coalesce(unwritable, self.write_error(table))
+            if LONG in c.columns or self.poisoned.get(table):
+                why = F.when(unwritable.isNotNull(), F.lit(WRITE_ERROR)).otherwise(why)
+                detail = F.coalesce(unwritable, detail)
             c = c.select(
                 F.col(f"{SRC}.topic").alias("topic"), F.col(f"{SRC}.partition").alias("partition"),
                 F.col(f"{SRC}.offset").alias("offset"), F.lit(table).alias("table"),

@@ -11,9 +11,11 @@ Tables of a batch that have the same columns share one write: one job splits the
 staged records by table, and each written folder is registered as that table's
 partition of the batch, which only touches the catalog.
 
-A write that fails on some record is narrowed down to it: ranges of offsets are
-tried in a scratch table, halves of those that fail, until single records are
-left.  These become ``error`` / ``write_error``, and the rest lands in the same batch.
+Texts that are too long for a CHAR or VARCHAR column are told by their lengths, as
+the rows are written: such records become ``error`` / ``write_error``, however many
+there are, and the rest lands in the same batch.  A write that fails on some record
+for any other reason is narrowed down to it: ranges of offsets are tried in a scratch
+table, halves of those that fail, until single records are left.
 
 The catalog is whatever the session is configured with (a Hive metastore on
 a cluster; the in-memory catalog in local tests).  On a cluster with the
@@ -40,7 +42,7 @@ from driftline.operators.coerce import ERR, MAYBE, SRC, ddl_type
 from driftline.operators.infer import quote
 from driftline.operators.ledger import merged, offset_ranges, outside
 from driftline.operators.observe import first_by_order, reject_frame, sample_rows
-from driftline.plans.ingest import BatchResult, ingest
+from driftline.plans.ingest import LONG, TOO_LONG, BatchResult, ingest
 from driftline.session import apply_session_conf, shared_path
 
 BATCH_COL = "_ingest_batch"
@@ -373,12 +375,16 @@ def write_table(store: TableStore, result: BatchResult, table: str, batch_tag: s
     """One table's rows, counted as they are written (no extra pass)."""
     obs = Observation(f"driftline-{uuid.uuid4().hex[:12]}")
     landed = F.col(ERR).isNull()
-    coerced = result.coerced(table).observe(
+    coerced = result.coerced(table)
+    long = F.count(F.when(F.col(LONG), 1)) if LONG in coerced.columns else F.count(F.lit(None))
+    coerced = coerced.observe(
         obs, F.count(F.lit(1)).alias("records"), F.count(F.col(ERR)).alias("errors"),
-        F.count(F.when(landed & F.col(MAYBE), 1)).alias("maybe_lossy"))
+        F.count(F.when(landed & F.col(MAYBE), 1)).alias("maybe_lossy"), long.alias("long"))
     names = [f.name for f in result.schemas[table].fields]
     store.append(table, coerced.filter(landed).select(*[F.col(quote(n)) for n in names]), batch_tag, cfg.write_parallelism)
     m = obs.get
+    if cfg.max_poison_tries < m.get("long", 0) == m.get("records", 0):      # not some records: the table does not fit
+        raise TooLong(f"[{TOO_LONG}] all {m['records']} records have texts too long for their columns")
     return Written(int(m.get("records", 0)), int(m.get("errors", 0)), int(m.get("maybe_lossy", 0)))
 
 
@@ -404,6 +410,10 @@ def write_alike(store: TableStore, result: BatchResult, tables: list[str], batch
     return out
 
 
+class TooLong(RuntimeError):
+    """No record of a batch fits the table's CHAR and VARCHAR columns."""
+
+
 class TooManyTries(RuntimeError):
     """The failure is not that of a few records."""
 
@@ -510,7 +520,7 @@ def write_result(store: TableStore, result: BatchResult, batch_tag: str,
         try:
             try:
                 return table, write_table(store, result, table, batch_tag, cfg)
-            except AnalysisException:
+            except (AnalysisException, TooLong):
                 raise
             except Exception as exc:  # noqa: BLE001 - a record may be to blame
                 isolate_poison(store, result, table, batch_tag, cfg, exc)

@@ -269,6 +269,24 @@ def test_records_that_a_write_fails_on_are_isolated(spark, records):
     assert not [t for t in store.table_names() if t.startswith("_try_")]
 
 
+def test_many_texts_that_are_too_long_need_no_search(spark, records):
+    store = new_store(spark)
+    store.ensure_namespace()
+    store.spark.sql(f"CREATE TABLE {store.name('t')} (id BIGINT, code VARCHAR(4), o STRUCT<c: CHAR(3), l: ARRAY<VARCHAR(2)>>, "
+                    f"_ingest_batch STRING) USING parquet PARTITIONED BY (_ingest_batch)")
+
+    def value(i):           # trailing spaces are cut, not counted
+        code = "far too long" if i % 3 == 0 else "four   " if i % 3 == 1 else "äöüß"
+        return '{"id":%d,"code":"%s","o":{"c":"%s","l":["x","%s"]}}' % (i, code, "abcd" if i % 50 == 1 else "ab", "xyz" if i % 50 == 2 else "xy")
+    bad = {i for i in range(300) if i % 3 == 0 or i % 50 in (1, 2)}
+    rows = [("t", i % 2, i, value(i)) for i in range(300)]
+    res = ingest_into(store, records(rows), "b0", IngestConfig(max_poison_tries=12), batch_id=0)
+    assert sorted(r.id for r in store.read("t").collect()) == [i for i in range(300) if i not in bad]
+    assert {(r.offset, r.reason, r.detail) for r in store.read(REJECTS_TABLE).collect()} == {
+        (i, "write_error", "EXCEED_LIMIT_LENGTH") for i in bad}
+    assert (res.written["t"].records, res.written["t"].errors) == (300, len(bad))
+
+
 def test_a_table_that_fails_as_a_whole_is_not_taken_for_poison(spark, records):
     store = new_store(spark)
     checked_table(store)
