@@ -8,9 +8,9 @@ Spark sums).  Words with at least 1 / ``HEAD_SHARE`` of all tokens number at mos
 stay in a table that the documents' rare words are joined with.
 
 Model: a gated recurrent unit reads the words; a class-factored softmax predicts
-P(class | state) P(word | class, state) for the ``VOCAB`` most frequent words, in
-``CLASSES`` classes of about equal mass.  One more class stands for all other
-words; inside it a word has its discounted share of the training tokens of such
+P(class | state) P(word | class, state) for every word whose count travels with the
+tasks, in classes of about equal mass, the square root of the words in number.  One
+more class stands for all other words, none of which has 1 / ``HEAD_SHARE`` of the tokens; inside it a word has its discounted share of the training tokens of such
 words, and one unknown word the discounted rest, so probabilities add up to one.
 
 Training: truncated backpropagation through time in numpy.  The corpus trains
@@ -50,7 +50,8 @@ HELD_OUT = (7, 2)
 HEAD_SHARE = 1 << 18
 #: The end token's name among the words; it holds white space, so no word equals it.
 END = b" "
-VOCAB, CLASSES, HIDDEN, EMBED = 512, 24, 8, 8
+#: Units of the state and of a word's input.
+HIDDEN, EMBED = 8, 8
 #: Words of a window, windows of a training step, documents side by side in scoring.
 WINDOW, LANES, SCORE_LANES = 32, 512, 512
 TRAIN_EVERY, PASSES, RATE = 1, 1, 0.03
@@ -100,14 +101,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class Vocabulary:
     """The bounded part of the counts: heads, classes, and what the rest sums to."""
 
-    def __init__(self, head: dict[bytes, int], total: int, distinct: int, vocab: int = VOCAB, classes: int = CLASSES):
+    def __init__(self, head: dict[bytes, int], total: int, distinct: int, vocab: int | None = None, classes: int | None = None):
         self.head, self.total, self.distinct = head, total, distinct
         self.log_base = math.log10(total + distinct + 1)
         top = sorted(head.items(), key=lambda x: (-x[1], x[0]))[:vocab]
         self.number = {w: i for i, (w, _) in enumerate(top)}
         self.size = len(top)                       # number `size` is "another word"
         mass = np.array([c for _, c in top], float)
-        self.classes = max(1, min(classes, self.size))
+        self.classes = max(1, min(classes or math.isqrt(self.size), self.size))
         # classes of about equal square-root mass, so that none gets too long
         upto = np.cumsum(np.sqrt(mass)) if self.size else np.zeros(0)
         self.cls = np.minimum((upto - np.sqrt(mass) / 2) / (upto[-1] if self.size else 1) * self.classes,
@@ -125,7 +126,8 @@ class Vocabulary:
         return math.log(max(mass, 1e-12) / self.other_tokens)
 
 
-def vocabulary(counts: DataFrame, vocab: int = VOCAB, classes: int = CLASSES) -> Vocabulary:
+def vocabulary(counts: DataFrame, vocab: int | None = None, classes: int | None = None) -> Vocabulary:
+    """Without ``vocab`` the network has a symbol for every head word."""
     facts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     head = counts.filter(F.col("c") * HEAD_SHARE >= facts["n"])           # at most HEAD_SHARE words
     return Vocabulary({bytes(r["word"]): r["c"] for r in head.toLocalIterator()}, facts["n"], facts["v"], vocab, classes)
@@ -171,7 +173,7 @@ def chances(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     Logits stay small (weights times states within -1 and 1), so rows are not
     centred unless one is large."""
     rows = np.arange(len(at))
-    top = float(np.abs(x).max()) if x.size else 0.0
+    top = max(float(x.max()), -float(x.min())) if x.size else 0.0
     if top > 60:
         x -= x.max(axis=1, keepdims=True)
     taken = x[rows, at]
@@ -333,11 +335,21 @@ class Trainer:
         loss, g = gradients(self.p, self.v, inputs, target)
         self.steps += 1
         self.tokens += int((target >= 0).sum())
-        for k in self.p:
-            self.m[k] = 0.9 * self.m[k] + 0.1 * g[k]
-            self.q[k] = 0.99 * self.q[k] + 0.01 * g[k] ** 2
-            self.p[k] = self.p[k] - self.rate * (self.m[k] / (1 - 0.9 ** self.steps)) / (
-                np.sqrt(self.q[k] / (1 - 0.99 ** self.steps)) + 1e-6)
+        a, b = self.rate / (1 - 0.9 ** self.steps), 1 / (1 - 0.99 ** self.steps)
+        for k, x in self.p.items():             # in place: a large vocabulary's weights are written once a step
+            m, q, d = self.m[k], self.q[k], g[k]
+            m *= 0.9
+            m += 0.1 * d
+            q *= 0.99
+            np.multiply(d, d, out=d)
+            d *= 0.01
+            q += d
+            np.multiply(q, b, out=d)
+            np.sqrt(d, out=d)
+            d += 1e-6
+            np.divide(m, d, out=d)
+            d *= a
+            x -= d
         return loss
 
 
@@ -438,7 +450,7 @@ def train(docs: DataFrame, v: Vocabulary, passes: int = PASSES, every: int = TRA
             left = -(-left // 8)
             copies = stored(copies.repartition(left).mapInArrow(_add(shapes), schema), "gru-copies")
         got = {k: (np.zeros(s), 0.0) for k, s in shapes.items()}
-        for r in copies.collect():                          # at most eight copies
+        for r in copies.toLocalIterator():                  # at most eight copies, a part of them at a time
             value, weight = got[r["name"]]
             got[r["name"]] = (value + np.frombuffer(r["value"], "<f4").reshape(shapes[r["name"]]), weight + r["weight"])
         p = {k: (value / weight).astype(np.float32) if weight else p[k] for k, (value, weight) in got.items()}
@@ -496,7 +508,7 @@ def _score(p: dict, v: Vocabulary):
     return run
 
 
-def score_documents(docs: DataFrame, vocab: int = VOCAB, classes: int = CLASSES, passes: int = PASSES,
+def score_documents(docs: DataFrame, vocab: int | None = None, classes: int | None = None, passes: int = PASSES,
                     every: int = TRAIN_EVERY) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     modulus, held = HELD_OUT

@@ -310,6 +310,13 @@ def noisy(v, rng):
     return {k: (x + rng.normal(0, 0.1, x.shape)).astype(np.float64) for k, x in gru_lm.start(v).items()}
 
 
+def test_every_head_word_has_a_symbol():
+    head = {b"w%d" % i: 9000 - i for i in range(3000)} | {gru_lm.END: 500}
+    v = gru_lm.Vocabulary(head, sum(head.values()) + 800, len(head) + 300)
+    assert set(v.number) == set(head) and (v.other_tokens, v.other_words, v.classes) == (800, 300, 54)
+    assert all(a < b for a, b in zip(v.first, v.first[1:]))             # no class is without words
+
+
 def test_lm_gradients():
     v, rng = small_vocabulary(), np.random.default_rng(0)
     p = noisy(v, rng)
