@@ -403,7 +403,7 @@ def reserved_field_name(spark, sf):
 
 def append_plain_session(spark, sf):
     """K4: two batches through a session that nobody prepared keep both batches' rows."""
-    recs = fx.records(_prep(spark), sf, "orders")
+    recs = fx.record_files(_prep(spark), sf, "orders")
     plain = spark.newSession()
     store = TableStore(plain, f"dl_plain_{uuid.uuid4().hex[:10]}", shared_path(spark, "warehouse", "plain", unique=True))
     again = plain.read.schema(recs.schema).parquet(*recs.inputFiles())
