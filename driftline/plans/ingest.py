@@ -102,21 +102,23 @@ class BatchResult:
 
     def losses(self, table: str) -> DataFrame:
         """``(table_name, column, kind, records)``: lossy conversions of one table's landed rows."""
-        c = self.coerced(table).filter(F.col(ERR).isNull()).select(F.explode(LOSS).alias("l"))
+        # (outer: the test for an empty list would be pushed below and work every loss out once more)
+        c = self.coerced(table).filter(F.col(ERR).isNull()).select(F.explode_outer(LOSS).alias("l")).filter(F.col("l").isNotNull())
         return (c.groupBy("l.column", "l.kind").agg(F.count(F.lit(1)).alias("records"))
                 .select(F.lit(table).alias("table_name"), "column", "kind", "records"))
 
     def rejected(self, with_errors_of: list[str] | None = None) -> DataFrame:
         """Skipped and failed records with their text; conversion errors of the
         given tables only (default all)."""
-        return self.dispositions(True, with_errors_of).filter(F.col("disposition") != EMITTED)
+        return self.dispositions(True, with_errors_of, emitted=False)
 
-    def dispositions(self, with_text: bool = False, tables: list[str] | None = None) -> DataFrame:
+    def dispositions(self, with_text: bool = False, tables: list[str] | None = None, emitted: bool = True) -> DataFrame:
         """One row per record: topic, partition, offset, table, disposition,
         reason, detail (failing column for ``convert_error``, kind of error for
         ``write_error``).  With
         ``with_text`` rejected records also carry ``text`` and ``first_byte``
-        (null for emitted ones), so reject reports need no join."""
+        (null for emitted ones), so reject reports need no join.  Emitted records are
+        left out unless ``emitted``."""
         extra = ["text", "first_byte"] if with_text else []
         skipped = (self.admitted.filter(F.col("disposition") != PENDING)
                    .select("topic", "partition", "offset", "table", "disposition", "reason",
