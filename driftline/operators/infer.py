@@ -33,7 +33,7 @@ import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,8 @@ _INTEGRAL = re.compile(r"-?[0-9]+")
 NESTED_LEVELS = 16
 #: The column for the values of fields that got no column of their own.
 OVERFLOW = "_ingest_overflow"
+#: Topics whose records are looked up by a span of offsets each.
+MANY_TOPICS = 32
 
 
 @dataclass(frozen=True)
@@ -218,6 +220,21 @@ def read_exemplars(admitted: DataFrame, winners: DataFrame) -> DataFrame:
     return out.mapInArrow(_types, "table string, field string, topic string, partition int, offset long, pos int, type string")
 
 
+def near(winners: DataFrame) -> Column:
+    """A test of the offset alone that all records of ``winners`` pass: per topic, between
+    its first and last (for many topics: of all of them).  It is made before a record is
+    parsed, and files of other offsets are not read."""
+    ends = [F.min("offset").alias("low"), F.max("offset").alias("high")]
+    spans = winners.groupBy("topic").agg(*ends).limit(MANY_TOPICS + 1).collect()
+    if len(spans) > MANY_TOPICS:
+        spans = winners.agg(F.lit(None).alias("topic"), *ends).collect()
+    out = F.lit(False)
+    for r in spans:
+        here = F.col("offset").between(r["low"], r["high"])
+        out = out | (here if r["topic"] is None else here & (F.col("topic") == r["topic"]))
+    return out
+
+
 def first_of_tables(rows: DataFrame, order: list[str], n: int, ties: bool) -> DataFrame:
     """The first ``n`` rows of each table along ``order`` (``ties``: and those equal to
     the last).  Spark cuts each input partition to so many before the shuffle."""
@@ -260,7 +277,7 @@ def infer_new_fields(admitted: DataFrame, known_loader, max_columns: int):
             # At most max_columns fields of a table, and those of one record beyond, are looked up ...
             order = ["offset", "topic", "partition"]
             candidates = first_of_tables(new.filter(F.col("table").isin(wanted)), order, max_columns, True)
-            typed = read_exemplars(admitted, candidates).filter(F.col("type").isNotNull())
+            typed = read_exemplars(admitted.filter(near(candidates)), candidates).filter(F.col("type").isNotNull())
             # (a record may be read twice, by a source that repeats an offset: one row per field)
             typed = typed.groupBy("table", "field").agg(F.min(F.struct(*order, "pos", "type")).alias("w")).select("table", "field", "w.*")
             # ... and at most max_columns of them reach the driver.
