@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Offsets of one block.
 BLOCK = 1 << 16
+#: Offsets of a block in which records meet ranges: a record is compared with those of its own block.
+NEAR = 1 << 7
 RANGES = ["topic", "partition", "first", "last"]
 
 
@@ -42,10 +44,10 @@ def merged(ranges: DataFrame) -> DataFrame:
 
 def outside(records: DataFrame, ranges: DataFrame) -> DataFrame:
     """``records`` whose offsets lie in none of ``ranges``, each (topic, partition, offset) once."""
-    blocks = F.explode(F.sequence(_block("first"), _block("last")))
+    blocks = F.explode(F.sequence(F.floor(F.col("first") / NEAR), F.floor(F.col("last") / NEAR)))
     known = ranges.select(F.col("topic").alias("l_topic"), F.col("partition").alias("l_partition"), "first", "last",
                           blocks.alias("l_block"))
     once = records.dropDuplicates(["topic", "partition", "offset"])
     same = (once["topic"].eqNullSafe(known["l_topic"]) & once["partition"].eqNullSafe(known["l_partition"])
-            & (F.floor(once["offset"] / BLOCK) == known["l_block"]) & once["offset"].between(known["first"], known["last"]))
+            & (F.floor(once["offset"] / NEAR) == known["l_block"]) & once["offset"].between(known["first"], known["last"]))
     return once.join(known, same, "left_anti")

@@ -222,7 +222,7 @@ class TableStore:
 
     def uncommitted(self, records: DataFrame) -> DataFrame:
         """``records`` that no committed batch held, each once."""
-        return outside(records, self.ledger()) if self.exists(OFFSETS_TABLE) else records.dropDuplicates(["topic", "partition", "offset"])
+        return outside(records, self.read(OFFSETS_TABLE)) if self.exists(OFFSETS_TABLE) else records.dropDuplicates(["topic", "partition", "offset"])
 
     def begin(self, batch_tag: str, batch_id: int) -> None:
         """Note that a batch is about to be written; it counts once its offsets are in the ledger."""
