@@ -310,6 +310,10 @@ def overflow_json(text_names: list[str]) -> Column:
     return F.when(F.size(others) > 0, F.to_json(rest))
 
 
+#: Types whose values are also read from the member's text as it stands.
+_RAW = (T.StringType, T.BinaryType, T.ArrayType)
+
+
 def _parse_type(dtype: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(dtype, T.BinaryType) else dtype
 
@@ -365,7 +369,9 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     staged = staged.withColumn("_dl_v", F.when(again, variant_fields(body_variant(), [f.name for f in schema.fields])))
     # (the reader keeps repeated keys; rebuilding the map lets the last one win)
     raws = F.map_from_entries(F.map_entries(F.when(env, raw_wrapped).otherwise(raw_plain)))
-    staged = staged.withColumn("_dl_raw", F.when(again, raws))
+    # (of columns that always go that way, only those of these types are read from it)
+    texts = any(isinstance(f.dataType, _RAW) for f in slow_fields)
+    staged = staged.withColumn("_dl_raw", F.when(again if texts else ~F.col("_dl_clean"), raws))
     # Each value's kind, derived once and read by its conversion and its loss test.
     kinds = [json_kind(F.col("_dl_v").getField(f.name)).alias(f"k{i}") for i, f in enumerate(schema.fields)]
     staged = staged.withColumn("_dl_kind", F.when(again, F.struct(*kinds)))
@@ -373,7 +379,7 @@ def coerce_rows(pending: DataFrame, schema: T.StructType, carry: tuple = (), fas
     for i, f in enumerate(schema.fields):
         exact, kind = F.col("_dl_v").getField(f.name), F.col("_dl_kind").getField(f"k{i}")
         raw = None
-        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)):
+        if isinstance(f.dataType, _RAW):
             raw = F.try_element_at(F.col("_dl_raw"), F.lit(f.name))
         val, err = coerce_value(exact, f.dataType, raw, kind)
         if f in fast_fields:

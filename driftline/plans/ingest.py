@@ -134,6 +134,8 @@ class BatchResult:
         parts = [skipped, empty]
         for table in self.tables if tables is None else tables:
             c = self.coerced(table, tuple(extra))
+            if not emitted:
+                c = rejected_only(c)
             failed = F.col(ERR).isNotNull()
             why, detail = F.lit("convert_error"), F.col(ERR)
             unwritable = F.lit(None).cast("string")
@@ -161,6 +163,14 @@ class BatchResult:
         return change_frame(self.admitted.sparkSession, self.changes, self.schemas)
 
 
+def rejected_only(rows: DataFrame) -> DataFrame:
+    """The rows with an error.  Spark would move a plain filter below the coercion and
+    write the whole of it out in there, without sharing the parsed record; one that also
+    looks at a row number stays where it is."""
+    numbered = rows.withColumn("_dl_row", F.monotonically_increasing_id())
+    return numbered.filter(F.col(ERR).isNotNull() & (F.col("_dl_row") >= 0)).drop("_dl_row")
+
+
 def spread(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a thin batch over ``min_partitions`` tasks before the
     per-record work (opt-in).  Round-robin, not by key, so a hot topic cannot

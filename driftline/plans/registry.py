@@ -593,7 +593,7 @@ def ingest_counters(spark, sf):
 
 def reject_report(spark, sf):
     res = _ingest(spark, sf, ["faulty", "dated"], known={"dated": DATED_SCHEMA})
-    return reject_frame(res.dispositions(with_text=True)).drop("partition")
+    return reject_frame(res.rejected()).drop("partition")
 
 
 SAMPLED = ["faulty", "enveloped", "dated", "collide", "internal"]

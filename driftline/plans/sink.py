@@ -599,7 +599,7 @@ def write_logs(store: TableStore, result: BatchResult, batch_tag: str, batch_id:
                                                       STATS_DDL.split(", ", 1)[1]).coalesce(1))
     if c["skipped"] or c["errors"]:
         failed = [t for t, w in result.written.items() if w.errors]
-        log(REJECTS_TABLE, REJECTS_DDL, reject_frame(result.dispositions(True, failed)))
+        log(REJECTS_TABLE, REJECTS_DDL, reject_frame(result.rejected(failed)))
     # Per topic: what the census knows, and the failed ones from the rejects just written.
     failed = {}
     if c["errors"]:
