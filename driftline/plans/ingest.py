@@ -23,6 +23,7 @@ from driftline.functions.route import topic_to_table
 from driftline.operators.admit import EMITTED, ERROR, PENDING, SKIPPED, admit
 from driftline.operators.coerce import ERR, LOSS, SRC, coerce_rows, row_too_long
 from driftline.operators.infer import OVERFLOW, FieldChange, change_frame, infer_new_fields, merge_schema, quote
+from driftline.session import SIDE_BY_SIDE, apply_session_conf
 
 #: The reason of records that a table's write failed on.
 WRITE_ERROR = "write_error"
@@ -187,10 +188,11 @@ STAGED = ("topic string, partition int, offset long, text string, first_byte str
 
 def staged(admitted: DataFrame, path: str) -> DataFrame:
     """The admitted records written once, one folder per table, and read back.
-    No shuffle: a task writes the tables it holds.  The schema is given, so a
-    table named ``01`` stays text."""
+    No shuffle: a task writes the tables it holds, a few of them side by side, so its
+    records are not sorted either.  The schema is given, so a table named ``01`` stays text."""
     names = [x.split(" ")[0] for x in STAGED.split(", ")]
-    admitted.select(*names).write.mode("overwrite").partitionBy("table").parquet(path)
+    apply_session_conf(admitted.sparkSession)
+    admitted.select(*names).write.mode("overwrite").options(**SIDE_BY_SIDE).partitionBy("table").parquet(path)
     return admitted.sparkSession.read.schema(STAGED).parquet(path)
 
 

@@ -43,7 +43,7 @@ from driftline.operators.infer import quote
 from driftline.operators.ledger import merged, offset_ranges, outside
 from driftline.operators.observe import first_by_order, reject_frame, sample_rows
 from driftline.plans.ingest import LONG, TOO_LONG, BatchResult, ingest
-from driftline.session import apply_session_conf, shared_path
+from driftline.session import SIDE_BY_SIDE, apply_session_conf, shared_path
 
 BATCH_COL = "_ingest_batch"
 #: Folders of a shared write: the MD5 of the table's name.
@@ -172,7 +172,7 @@ class TableStore:
         session = apply_session_conf(out.sparkSession)
         if session.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
             raise RuntimeError("refusing to write: partitionOverwriteMode must be dynamic")
-        out.write.mode("overwrite").partitionBy(FOLDER_COL).parquet(root)
+        out.write.mode("overwrite").options(**SIDE_BY_SIDE).partitionBy(FOLDER_COL).parquet(root)
 
         def register(table):
             folder = f"{root}/{FOLDER_COL}={hashlib.md5(table.encode()).hexdigest()}"

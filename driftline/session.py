@@ -27,11 +27,17 @@ ENGINE_SQL_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # The first columns of a wide table: ranked rows are cut per partition up to this rank.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # A task keeps this many folders of a write open at once, instead of sorting (and
+    # spilling) all its records by folder first; only records of more folders are sorted.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Of files that a task writes side by side: what each may hold in memory.
+SIDE_BY_SIDE = {"parquet.block.size": str(16 << 20)}
+
 
 def apply_session_conf(spark: SparkSession) -> SparkSession:
     for key, value in ENGINE_SQL_CONF.items():
