@@ -54,6 +54,8 @@ END = b" "
 HIDDEN, EMBED = 8, 8
 #: Words of a window, windows of a training step, documents side by side in scoring.
 WINDOW, LANES, SCORE_LANES = 32, 512, 512
+#: States that are scored together; logits worked out at a time, so that they stay in the cache.
+SCORE_STATES, CELLS = 1 << 16, 40_000
 TRAIN_EVERY, PASSES, RATE = 1, 1, 0.03
 #: Discount of the counts inside the class of other words.
 DISCOUNT = 0.6
@@ -168,35 +170,111 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def chances(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Softmax of each row (in place of ``x``) and the log of the chance at ``at``.
-    Logits stay small (weights times states within -1 and 1), so rows are not
-    centred unless one is large."""
-    rows = np.arange(len(at))
-    top = max(float(x.max()), -float(x.min())) if x.size else 0.0
-    if top > 60:
-        x -= x.max(axis=1, keepdims=True)
-    taken = x[rows, at]
-    np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
-    x /= total[:, None]
-    return x, taken - np.log(total)
+class Targets:
+    """States and targets in order of the targets: the rows of a class of words lie
+    together, those of the other words come last.  States have a last column of ones,
+    which stands for the biases."""
+
+    def __init__(self, v: Vocabulary, states: np.ndarray, target: np.ndarray):
+        self.by = np.argsort(target.astype(np.int16 if v.size < 32_000 else np.int32), kind="stable")
+        self.target = target[self.by]
+        self.seen = np.concatenate([states, np.ones((len(states), 1), states.dtype)], axis=1)[self.by]
+        self.edges = np.append(np.searchsorted(self.target, v.first), len(target))
+        self.k = np.repeat(np.arange(v.classes + 1), np.diff(self.edges))
+        # rows whose class has a choice of words, and (its words, its rows) for each such class
+        choice = np.append(np.diff(v.first) > 1, False)
+        self.chosen = choice[self.k]
+        self.parts = [(int(v.first[c]), int(v.first[c + 1]), int(self.edges[c]), int(self.edges[c + 1]))
+                      for c in np.flatnonzero(choice & (np.diff(self.edges) > 0))]
+
+    def back_in_order(self, x: np.ndarray) -> np.ndarray:
+        out = np.empty_like(x)
+        out[self.by] = x
+        return out
+
+
+class Softmax:
+    """Weights of one softmax, or of all classes' softmaxes: a row each, its bias last."""
+
+    def __init__(self, w: np.ndarray, bias: np.ndarray):
+        self.w = np.concatenate([w, bias[:, None]], axis=1)
+        self.by_state = np.concatenate([w, np.ones((len(w), 1), w.dtype)], axis=1)
+        # Logits stay small (states lie within -1 and 1); rows are only centred where one may be large.
+        self.large = bool(len(w)) and float(np.abs(self.w).sum(axis=1).max()) > 60
+
+    def exponentials(self, seen: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray | float]:
+        """exp of the logits of rows ``a`` to ``b``, and what was taken off them before."""
+        x, off = seen @ self.w[a:b].T, 0.0
+        if self.large:
+            off = x.max(axis=1)
+            x -= off[:, None]
+        return np.exp(x, out=x), off
+
+
+def softmaxes(p: dict) -> tuple[Softmax, Softmax]:
+    return Softmax(p["class_w"].T, p["class_b"]), Softmax(p["word_w"], p["word_b"])
+
+
+def pieces(low: int, high: int, width: int) -> Iterator[tuple[int, int]]:
+    rows = max(64, CELLS // max(1, width))
+    return ((i, min(i + rows, high)) for i in range(low, high, rows))
+
+
+def own_logits(t: Targets, classes: Softmax, words: Softmax) -> np.ndarray:
+    """The logits of each target's class and, inside it, word."""
+    out = np.einsum("ij,ij->i", t.seen, classes.w[t.k])
+    out[t.chosen] += np.einsum("ij,ij->i", t.seen[t.chosen], words.w[t.target[t.chosen]])
+    return out
 
 
 def output_log(p: dict, v: Vocabulary, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log of P(class) P(word | class) of each target given the state before it
     (of a word outside the vocabulary: P(other class) alone)."""
-    other = target == v.size
-    k = np.where(other, v.classes, v.cls[np.minimum(target, v.size - 1)] if v.size else 0)
-    out = chances(states @ p["class_w"] + p["class_b"], k)[1]
-    by = np.argsort(k.astype(np.int16), kind="stable")
-    edges = np.searchsorted(k[by], np.arange(v.classes + 1))
-    for c in range(v.classes):
-        rows = by[edges[c]:edges[c + 1]]
-        a, b = v.first[c], v.first[c + 1]
-        if len(rows) and b - a > 1:
-            out[rows] += chances(states[rows] @ p["word_w"][a:b].T + p["word_b"][a:b], target[rows] - a)[1]
-    return out
+    t, (classes, words) = Targets(v, states, target), softmaxes(p)
+    logp = own_logits(t, classes, words)
+    for softmax, parts in ((classes, [(0, len(classes.w), 0, len(target))]), (words, t.parts)):
+        ones = np.ones(max((b - a for a, b, _, _ in parts), default=0), states.dtype)
+        for a, b, low, high in parts:
+            for i, j in pieces(low, high, b - a):
+                e, off = softmax.exponentials(t.seen[i:j], a, b)
+                logp[i:j] -= np.log(e @ ones[:b - a]) + off
+    return t.back_in_order(logp)
+
+
+def output_gradients(p: dict, v: Vocabulary, states: np.ndarray, target: np.ndarray) -> tuple[float, dict, np.ndarray]:
+    """The sum of the losses -log P(target), its gradients by the weights of both
+    softmaxes, and by the states."""
+    h = states.shape[1]
+    t, (classes, words) = Targets(v, states, target), softmaxes(p)
+    chosen, k = t.target[t.chosen], t.k
+    sums = np.ones((len(target), 2), states.dtype)                  # of a row's exponentials: classes, words
+    back = -classes.w[k, :h]
+    back[t.chosen] -= words.w[chosen, :h]
+    loss, grads = -float(own_logits(t, classes, words).sum()), []
+    for n, (softmax, parts) in enumerate(((classes, [(0, len(classes.w), 0, len(target))]), (words, t.parts))):
+        g = np.zeros_like(softmax.w)
+        for a, b, low, high in parts:
+            by_state = softmax.by_state[a:b]
+            for i, j in pieces(low, high, b - a):
+                # The chances are never divided by their sums themselves, only what they are multiplied to.
+                seen = t.seen[i:j]
+                e, off = softmax.exponentials(seen, a, b)
+                r = e @ by_state                                    # the last column: the sums
+                sums[i:j, n] = r[:, h]
+                r /= r[:, h:].copy()
+                back[i:j] += r[:, :h]
+                g[a:b] += e.T @ (seen / sums[i:j, n:n + 1])
+                if softmax.large:
+                    loss += float(off.sum())
+        grads.append(g)
+    loss += float(np.log(sums).sum(dtype=np.float64))
+    # What the targets themselves take off: rows of a class, and of a word, lie together.
+    for g, rows, at in ((grads[0], t.seen, k), (grads[1], t.seen[t.chosen], chosen)):
+        if len(at):
+            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            g[at[first]] -= np.add.reduceat(rows, first, axis=0)
+    (gc, gw) = grads
+    return loss, {"class_w": gc[:, :h].T, "class_b": gc[:, h], "word_w": gw[:, :h], "word_b": gw[:, h]}, t.back_in_order(back)
 
 
 def score_streams(p: dict, v: Vocabulary, docs: list[np.ndarray], lanes: int = SCORE_LANES) -> np.ndarray:
@@ -231,18 +309,20 @@ def score_streams(p: dict, v: Vocabulary, docs: list[np.ndarray], lanes: int = S
             at += n
     table = np.concatenate([p["embed"] @ p["wx"] + p["b"], p["b"][None]]).astype(np.float32)
     s = np.zeros((n_lanes, HIDDEN), np.float32)
-    for t0 in range(0, longest, WINDOW):
-        states, wanted, whose = [], [], []
-        for t in range(t0, min(t0 + WINDOW, longest)):
-            live = int(np.searchsorted(-load, -t, side="left"))          # lanes longer than t
-            x = inputs[:live, t]
-            s = np.where((x == begin_id)[:, None], np.float32(0), s[:live])
-            s = step(table[x], s, p["wh"])[0]
-            states.append(s)
-            wanted.append(target[:live, t])
-            whose.append(owner[:live, t])
-        total += np.bincount(np.concatenate(whose), output_log(p, v, np.concatenate(states), np.concatenate(wanted)),
-                             len(docs))
+    states, wanted, whose, held = [], [], [], 0
+    for t in range(longest):
+        live = int(np.searchsorted(-load, -t, side="left"))              # lanes longer than t
+        x = inputs[:live, t]
+        s = np.where((x == begin_id)[:, None], np.float32(0), s[:live])
+        s = step(table[x], s, p["wh"])[0]
+        states.append(s)
+        wanted.append(target[:live, t])
+        whose.append(owner[:live, t])
+        held += live
+        if held >= SCORE_STATES or t == longest - 1:
+            total += np.bincount(np.concatenate(whose), output_log(p, v, np.concatenate(states), np.concatenate(wanted)),
+                                 len(docs))
+            states, wanted, whose, held = [], [], [], 0
     return total
 
 
@@ -254,16 +334,25 @@ def gradients(p: dict, v: Vocabulary, inputs: np.ndarray, target: np.ndarray) ->
     h = HIDDEN
     inputs, target = np.ascontiguousarray(inputs.T), np.ascontiguousarray(target.T)     # by time
     inside = (inputs <= v.size).astype(p["wh"].dtype)[:, :, None]
-    # What a word adds to the gates, worked out once per word of the vocabulary.
-    table = np.concatenate([p["embed"] @ p["wx"] + p["b"], p["b"][None]])
-    gx = table[inputs]
-    s, kept = np.zeros((n, h), gx.dtype), []
-    states = np.empty((length, n, h), gx.dtype)
+    # What a word adds to the gates, worked out once per word that is there.
+    words = inputs.reshape(-1)
+    by = np.argsort(words.astype(np.int16 if v.size < 32_000 else np.int32), kind="stable")
+    ordered = words[by]
+    starts = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    first = np.flatnonzero(starts)
+    some = ordered[first]
+    some = some[:np.searchsorted(some, v.size, side="right")]           # without the beginning, which comes last
+    embedded = np.zeros((len(first), p["embed"].shape[1]), p["embed"].dtype)
+    embedded[:len(some)] = p["embed"][some]
+    row = np.empty(len(words), np.int32)
+    row[by] = np.cumsum(starts) - 1
+    gx = (embedded @ p["wx"] + p["b"])[row].reshape(length, n, 3 * h)
+    s = np.zeros((n, h), gx.dtype)
+    states, before, z, r, cand, ah = np.empty((6, length, n, h), gx.dtype)
     for t in range(length):
-        s = s * inside[t]
-        new, z, r, cand, ah = step(gx[t], s, p["wh"])
-        kept.append((s, z, r, cand, ah))
-        states[t] = s = new
+        before[t] = s * inside[t]
+        states[t], z[t], r[t], cand[t], ah[t] = step(gx[t], before[t], p["wh"])
+        s = states[t]
     flat, want = states.reshape(-1, h), target.reshape(-1)
     real = np.flatnonzero(want >= 0)
     whole = len(real) == len(want)
@@ -271,26 +360,9 @@ def gradients(p: dict, v: Vocabulary, inputs: np.ndarray, target: np.ndarray) ->
         flat, want = flat[real], want[real]
     total = max(1, len(real))
     g = {k: np.zeros_like(x) for k, x in p.items()}
-    other = want == v.size
-    k = np.where(other, v.classes, v.cls[np.minimum(want, v.size - 1)] if v.size else 0)
-    d, logp = chances(flat @ p["class_w"] + p["class_b"], k)
-    loss = -float(logp.sum())
-    d[np.arange(len(k)), k] -= 1
-    g["class_w"], g["class_b"] = flat.T @ d / total, d.sum(axis=0) / total
-    back = d @ p["class_w"].T
-    by = np.argsort(k.astype(np.int16), kind="stable")
-    edges = np.searchsorted(k[by], np.arange(v.classes + 1))
-    for c in range(v.classes):
-        rows = by[edges[c]:edges[c + 1]]
-        a, b = v.first[c], v.first[c + 1]
-        if len(rows) and b - a > 1:
-            seen, at = flat[rows], want[rows] - a
-            dw, lw = chances(seen @ p["word_w"][a:b].T + p["word_b"][a:b], at)
-            loss -= float(lw.sum())
-            dw[np.arange(len(rows)), at] -= 1
-            g["word_w"][a:b] = dw.T @ seen / total
-            g["word_b"][a:b] = dw.sum(axis=0) / total
-            back[rows] += dw @ p["word_w"][a:b]
+    loss, outer, back = output_gradients(p, v, flat, want)
+    for name, x in outer.items():
+        np.divide(x, total, out=g[name])
     back /= total
     if whole:
         below = back
@@ -298,29 +370,26 @@ def gradients(p: dict, v: Vocabulary, inputs: np.ndarray, target: np.ndarray) ->
         below = np.zeros((length * n, h), back.dtype)
         below[real] = back
     below = below.reshape(length, n, h)
-    ds, dxs = np.zeros((n, h), gx.dtype), np.empty_like(gx)
-    da = np.empty((n, 3 * h), gx.dtype)
+    # What the chain from step to step does not change, for all steps at once.
+    by_cand = (1 - z) * (1 - cand * cand)
+    by_z, by_r = (before - cand) * z * (1 - z), ah * r * (1 - r)
+    ds, dxs, das = np.zeros((n, h), gx.dtype), np.empty_like(gx), np.empty_like(gx)
     for t in reversed(range(length)):
-        before, z, r, cand, ah = kept[t]
         ds = ds + below[t]
-        dcand = ds * (1 - z) * (1 - cand ** 2)
-        dx = dxs[t]
-        dx[:, :h] = ds * (before - cand) * z * (1 - z)
-        dx[:, h:2 * h] = dcand * ah * r * (1 - r)
+        dcand = ds * by_cand[t]
+        dx, da = dxs[t], das[t]
+        dx[:, :h] = ds * by_z[t]
+        dx[:, h:2 * h] = dcand * by_r[t]
         dx[:, 2 * h:] = dcand
         da[:, :2 * h] = dx[:, :2 * h]
-        da[:, 2 * h:] = dcand * r
-        g["wh"] += before.T @ da
-        ds = (ds * z + da @ p["wh"].T) * inside[t]
-    # The steps of one word together, then through its part of the table.
-    words = inputs.reshape(-1)
-    by = np.argsort(words.astype(np.int16 if v.size < 32_000 else np.int32), kind="stable")
-    ordered = words[by]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    added = np.zeros_like(table)
-    added[ordered[first]] = np.add.reduceat(dxs.reshape(-1, 3 * h)[by], first, axis=0)
+        da[:, 2 * h:] = dcand * r[t]
+        ds = (ds * z[t] + da @ p["wh"].T) * inside[t]
+    g["wh"] = before.reshape(-1, h).T @ das.reshape(-1, 3 * h)
+    # The steps of one word together, then through what it adds.
+    added = np.add.reduceat(dxs.reshape(-1, 3 * h)[by], first, axis=0)
     g["b"] = added.sum(axis=0)
-    g["wx"], g["embed"] = p["embed"].T @ added[:-1], added[:-1] @ p["wx"].T
+    g["wx"] = embedded.T @ added
+    g["embed"][some] = added[:len(some)] @ p["wx"].T
     return loss / total, g
 
 

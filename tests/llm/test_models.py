@@ -413,3 +413,22 @@ def test_lm_counts_and_base_equal_brute_force(spark, hard, none):
 def test_lm_beats_the_base_on_held_out_rows(spark):
     got = gru_lm.score_documents(load(spark, BIG, "documents")).collect()
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
+
+
+def test_softmaxes_are_worked_out_in_small_pieces(monkeypatch):
+    """No array of all states by all classes is made, and pieces of any size give the same."""
+    v, rng = small_vocabulary(), np.random.default_rng(5)
+    p = {k: x.astype(np.float64) for k, x in noisy(v, rng).items()}
+    states, target = rng.uniform(-1, 1, (700, gru_lm.HIDDEN)), rng.integers(0, v.size + 1, 700)
+    rows = []
+    whole = gru_lm.Softmax.exponentials
+    monkeypatch.setattr(gru_lm.Softmax, "exponentials", lambda self, seen, a, b: rows.append(len(seen)) or whole(self, seen, a, b))
+    loss, g, back = gru_lm.output_gradients(p, v, states, target)
+    monkeypatch.setattr(gru_lm, "CELLS", 1)
+    del rows[:]
+    loss_, g_, back_ = gru_lm.output_gradients(p, v, states, target)
+    assert max(rows) <= 64 and np.isclose(loss, loss_) and np.allclose(back, back_) and all(np.allclose(g[k], g_[k]) for k in g)
+    assert np.isclose(loss, -gru_lm.output_log(p, v, states, target).sum())
+    large = {k: x + 80.0 if k in ("class_b", "word_b") else x for k, x in p.items()}          # centred: the same chances
+    loss_, g_, back_ = gru_lm.output_gradients(large, v, states, target)
+    assert np.isclose(loss, loss_) and np.allclose(back, back_) and all(np.allclose(g[k], g_[k]) for k in g)
