@@ -63,6 +63,8 @@ DISCOUNT = 0.6
 COUNT_WORDS = 300_000
 #: Tokens that are scored together.
 BLOCK_TOKENS = 4_000_000
+#: Bytes of a block whose freeing tells the C library to keep a step's memory (glibc takes note up to 32 MB).
+KEPT = 31 << 20
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -156,9 +158,10 @@ def sigmoid(x):
 
 
 def step(gx: np.ndarray, s: np.ndarray, wh: np.ndarray):
-    """One recurrence: update and reset gates, candidate, new state."""
+    """One recurrence: update and reset gates, candidate, new state.  The gates are columns:
+    it is quickest where ``gx`` and ``s`` hold theirs together (transposes of units x lanes)."""
     h = s.shape[1]
-    a = s @ wh
+    a = (wh.T @ s.T).T
     gates = sigmoid(gx[:, :2 * h] + a[:, :2 * h])
     z, r = gates[:, :h], gates[:, h:]
     cand = np.tanh(gx[:, 2 * h:] + r * a[:, 2 * h:])
@@ -178,7 +181,9 @@ class Targets:
     def __init__(self, v: Vocabulary, states: np.ndarray, target: np.ndarray):
         self.by = np.argsort(target.astype(np.int16 if v.size < 32_000 else np.int32), kind="stable")
         self.target = target[self.by]
-        self.seen = np.concatenate([states, np.ones((len(states), 1), states.dtype)], axis=1)[self.by]
+        seen = np.ones((len(states), states.shape[1] + 1), states.dtype)
+        seen[:, :-1] = states
+        self.seen = seen.take(self.by, axis=0)
         self.edges = np.append(np.searchsorted(self.target, v.first), len(target))
         self.k = np.repeat(np.arange(v.classes + 1), np.diff(self.edges))
         # rows whose class has a choice of words, and (its words, its rows) for each such class
@@ -193,6 +198,13 @@ class Targets:
         return out
 
 
+def keep_memory() -> None:
+    """A step's arrays are freed and made again at once.  glibc gives freed memory back to the
+    system, which then has to clear the pages anew, unless a block of more than half as much
+    was freed before; this frees one, untouched.  It changes speed only."""
+    np.empty(KEPT, np.uint8)
+
+
 class Softmax:
     """Weights of one softmax, or of all classes' softmaxes: a row each, its bias last."""
 
@@ -200,11 +212,16 @@ class Softmax:
         self.w = np.concatenate([w, bias[:, None]], axis=1)
         self.by_state = np.concatenate([w, np.ones((len(w), 1), w.dtype)], axis=1)
         # Logits stay small (states lie within -1 and 1); rows are only centred where one may be large.
-        self.large = bool(len(w)) and float(np.abs(self.w).sum(axis=1).max()) > 60
+        self.large = bool(len(w)) and float((np.abs(self.w) @ np.ones(self.w.shape[1], w.dtype)).max()) > 60
+        self.room = np.empty(0, w.dtype)
 
     def exponentials(self, seen: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray | float]:
-        """exp of the logits of rows ``a`` to ``b``, and what was taken off them before."""
-        x, off = seen @ self.w[a:b].T, 0.0
+        """exp of the logits of rows ``a`` to ``b``, and what was taken off them before.
+        They lie in the same room each time, so they are to be used before the next ones."""
+        n, kind = len(seen) * (b - a), np.result_type(seen, self.w)
+        if n > len(self.room) or kind != self.room.dtype:
+            self.room = np.empty(max(n, CELLS), kind)
+        x, off = np.matmul(seen, self.w[a:b].T, out=self.room[:n].reshape(len(seen), b - a)), 0.0
         if self.large:
             off = x.max(axis=1)
             x -= off[:, None]
@@ -222,8 +239,8 @@ def pieces(low: int, high: int, width: int) -> Iterator[tuple[int, int]]:
 
 def own_logits(t: Targets, classes: Softmax, words: Softmax) -> np.ndarray:
     """The logits of each target's class and, inside it, word."""
-    out = np.einsum("ij,ij->i", t.seen, classes.w[t.k])
-    out[t.chosen] += np.einsum("ij,ij->i", t.seen[t.chosen], words.w[t.target[t.chosen]])
+    out = np.einsum("ij,ij->i", t.seen, classes.w.take(t.k, axis=0))
+    out[t.chosen] += np.einsum("ij,ij->i", t.seen[t.chosen], words.w.take(t.target[t.chosen], axis=0))
     return out
 
 
@@ -248,8 +265,8 @@ def output_gradients(p: dict, v: Vocabulary, states: np.ndarray, target: np.ndar
     t, (classes, words) = Targets(v, states, target), softmaxes(p)
     chosen, k = t.target[t.chosen], t.k
     sums = np.ones((len(target), 2), states.dtype)                  # of a row's exponentials: classes, words
-    back = -classes.w[k, :h]
-    back[t.chosen] -= words.w[chosen, :h]
+    back = -classes.w[:, :h].take(k, axis=0)
+    back[t.chosen] -= words.w[:, :h].take(chosen, axis=0)
     loss, grads = -float(own_logits(t, classes, words).sum()), []
     for n, (softmax, parts) in enumerate(((classes, [(0, len(classes.w), 0, len(target))]), (words, t.parts))):
         g = np.zeros_like(softmax.w)
@@ -308,24 +325,32 @@ def score_streams(p: dict, v: Vocabulary, docs: list[np.ndarray], lanes: int = S
             inputs[i, at + 1:at + n] = docs[d][:-1]
             at += n
     table = np.concatenate([p["embed"] @ p["wx"] + p["b"], p["b"][None]]).astype(np.float32)
-    s = np.zeros((n_lanes, HIDDEN), np.float32)
+    s = np.zeros((HIDDEN, n_lanes), np.float32)             # units x lanes
+    lives = np.searchsorted(-load, -np.arange(longest), side="left").tolist()       # lanes longer than t
     states, wanted, whose, held = [], [], [], 0
-    for t in range(longest):
-        live = int(np.searchsorted(-load, -t, side="left"))              # lanes longer than t
+    for t, live in enumerate(lives):
         x = inputs[:live, t]
-        s = np.where((x == begin_id)[:, None], np.float32(0), s[:live])
-        s = step(table[x], s, p["wh"])[0]
+        begins = x == begin_id
+        s = s[:, :live]
+        if begins.any():
+            s = np.where(begins, np.float32(0), s)
+        s = step(np.ascontiguousarray(table.take(x, axis=0).T).T, s.T, p["wh"])[0].T
         states.append(s)
         wanted.append(target[:live, t])
         whose.append(owner[:live, t])
         held += live
         if held >= SCORE_STATES or t == longest - 1:
-            total += np.bincount(np.concatenate(whose), output_log(p, v, np.concatenate(states), np.concatenate(wanted)),
+            total += np.bincount(np.concatenate(whose), output_log(p, v, np.concatenate(states, axis=1).T, np.concatenate(wanted)),
                                  len(docs))
             states, wanted, whose, held = [], [], [], 0
     return total
 
 
+def by_units(x: np.ndarray) -> np.ndarray:
+    """The last two axes (windows and units) the other way round, in memory too."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1))
+
+
 def gradients(p: dict, v: Vocabulary, inputs: np.ndarray, target: np.ndarray) -> tuple[float, dict]:
     """Mean loss and gradients of one batch of windows (lanes x time); the state
     before a window or a document (input ``v.size + 1``) is zero and gradients
@@ -333,7 +358,7 @@ def gradients(p: dict, v: Vocabulary, inputs: np.ndarray, target: np.ndarray) ->
     n, length = inputs.shape
     h = HIDDEN
     inputs, target = np.ascontiguousarray(inputs.T), np.ascontiguousarray(target.T)     # by time
-    inside = (inputs <= v.size).astype(p["wh"].dtype)[:, :, None]
+    inside = (inputs <= v.size).astype(p["wh"].dtype)
     # What a word adds to the gates, worked out once per word that is there.
     words = inputs.reshape(-1)
     by = np.argsort(words.astype(np.int16 if v.size < 32_000 else np.int32), kind="stable")
@@ -346,14 +371,16 @@ def gradients(p: dict, v: Vocabulary, inputs: np.ndarray, target: np.ndarray) ->
     embedded[:len(some)] = p["embed"][some]
     row = np.empty(len(words), np.int32)
     row[by] = np.cumsum(starts) - 1
-    gx = (embedded @ p["wx"] + p["b"])[row].reshape(length, n, 3 * h)
-    s = np.zeros((n, h), gx.dtype)
-    states, before, z, r, cand, ah = np.empty((6, length, n, h), gx.dtype)
+    # By time, units, windows: what is done to one unit or gate runs over all windows.
+    gx = by_units((embedded @ p["wx"] + p["b"]).take(row, axis=0).reshape(length, n, 3 * h))
+    s = np.zeros((h, n), gx.dtype)
+    states, before, z, r, cand, ah = np.empty((6, length, h, n), gx.dtype)
     for t in range(length):
-        before[t] = s * inside[t]
-        states[t], z[t], r[t], cand[t], ah[t] = step(gx[t], before[t], p["wh"])
+        np.multiply(s, inside[t], out=before[t])
+        for kept, x in zip((states, z, r, cand, ah), step(gx[t].T, before[t].T, p["wh"])):
+            kept[t] = x.T
         s = states[t]
-    flat, want = states.reshape(-1, h), target.reshape(-1)
+    flat, want = by_units(states).reshape(-1, h), target.reshape(-1)
     real = np.flatnonzero(want >= 0)
     whole = len(real) == len(want)
     if not whole:
@@ -369,24 +396,25 @@ def gradients(p: dict, v: Vocabulary, inputs: np.ndarray, target: np.ndarray) ->
     else:
         below = np.zeros((length * n, h), back.dtype)
         below[real] = back
-    below = below.reshape(length, n, h)
+    below = by_units(below.reshape(length, n, h))
     # What the chain from step to step does not change, for all steps at once.
     by_cand = (1 - z) * (1 - cand * cand)
     by_z, by_r = (before - cand) * z * (1 - z), ah * r * (1 - r)
-    ds, dxs, das = np.zeros((n, h), gx.dtype), np.empty_like(gx), np.empty_like(gx)
+    ds, dxs, das = np.zeros((h, n), gx.dtype), np.empty_like(gx), np.empty_like(gx)
     for t in reversed(range(length)):
-        ds = ds + below[t]
-        dcand = ds * by_cand[t]
+        ds += below[t]
         dx, da = dxs[t], das[t]
-        dx[:, :h] = ds * by_z[t]
-        dx[:, h:2 * h] = dcand * by_r[t]
-        dx[:, 2 * h:] = dcand
-        da[:, :2 * h] = dx[:, :2 * h]
-        da[:, 2 * h:] = dcand * r[t]
-        ds = (ds * z[t] + da @ p["wh"].T) * inside[t]
-    g["wh"] = before.reshape(-1, h).T @ das.reshape(-1, 3 * h)
+        dcand = np.multiply(ds, by_cand[t], out=dx[2 * h:])
+        np.multiply(ds, by_z[t], out=dx[:h])
+        np.multiply(dcand, by_r[t], out=dx[h:2 * h])
+        da[:2 * h] = dx[:2 * h]
+        np.multiply(dcand, r[t], out=da[2 * h:])
+        ds *= z[t]
+        ds += p["wh"] @ da
+        ds *= inside[t]
+    g["wh"] = (before @ das.transpose(0, 2, 1)).sum(axis=0)
     # The steps of one word together, then through what it adds.
-    added = np.add.reduceat(dxs.reshape(-1, 3 * h)[by], first, axis=0)
+    added = np.add.reduceat(by_units(dxs).reshape(-1, 3 * h).take(by, axis=0), first, axis=0)
     g["b"] = added.sum(axis=0)
     g["wx"] = embedded.T @ added
     g["embed"][some] = added[:len(some)] @ p["wx"].T
@@ -475,6 +503,7 @@ def training_batches(texts: Iterable[bytes], v: Vocabulary, turn: int = 0,
 
 def _train(p: dict, v: Vocabulary, turn: int, every: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         trainer = Trainer(p, v, rate)
         texts = (t.as_py() for b in batches for t in b.column("t").cast(pa.binary()))
         for inputs, target in training_batches(texts, v, turn, every):
@@ -534,6 +563,7 @@ SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 
 def _score(p: dict, v: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         # One look-up per token: a head word's place, whose facts are arrays; the last place is any other word.
         names = list(v.head)
         place = {w: i for i, w in enumerate(names)}

@@ -432,3 +432,26 @@ def test_softmaxes_are_worked_out_in_small_pieces(monkeypatch):
     large = {k: x + 80.0 if k in ("class_b", "word_b") else x for k, x in p.items()}          # centred: the same chances
     loss_, g_, back_ = gru_lm.output_gradients(large, v, states, target)
     assert np.isclose(loss, loss_) and np.allclose(back, back_) and all(np.allclose(g[k], g_[k]) for k in g)
+
+
+def test_lm_steps_keep_their_memory():
+    """op6: the arrays of a training step are not fetched from the system anew at every step."""
+    resource = pytest.importorskip("resource")
+    head = {b"w%d" % i: 90_000 // (i + 1) + 5 for i in range(20_000)} | {gru_lm.END: 500}
+    v, rng = gru_lm.Vocabulary(head, sum(head.values()) + 800, len(head) + 300), np.random.default_rng(0)
+    shape, faults = (gru_lm.LANES, gru_lm.WINDOW), []
+    trainer = gru_lm.Trainer(gru_lm.start(v), v)
+    gru_lm.keep_memory()
+    for _ in range(8):
+        x = rng.integers(0, v.size + 1, shape)
+        trainer.learn(x, x)
+        faults.append(resource.getrusage(resource.RUSAGE_SELF).ru_minflt)
+    assert np.median(np.diff(faults)) < 1000            # 3,700 pages before
+
+
+def test_lm_step_of_lanes_held_by_unit():
+    """op6: one step, lanes or units together in memory."""
+    rng, h = np.random.default_rng(0), gru_lm.HIDDEN
+    gx, s, wh = rng.normal(size=(20, 3 * h)), rng.normal(size=(20, h)), rng.normal(size=(h, 3 * h))
+    plain, turned = gru_lm.step(gx, s, wh), gru_lm.step(np.asfortranarray(gx), np.asfortranarray(s), wh)
+    assert all(np.allclose(a, b) for a, b in zip(plain, turned)) and all(x.T.flags.c_contiguous for x in turned[:1])
