@@ -34,12 +34,11 @@ other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,10 +58,8 @@ SCORE_STATES, CELLS = 1 << 16, 40_000
 TRAIN_EVERY, PASSES, RATE = 1, 1, 0.03
 #: Discount of the counts inside the class of other words.
 DISCOUNT = 0.6
-#: Words that a worker counts before it hands its partial counts on.
-COUNT_WORDS = 300_000
-#: Tokens that are scored together.
-BLOCK_TOKENS = 4_000_000
+#: Bytes of texts whose words are counted together, are looked up together, and are scored together.
+COUNT_BYTES, PART_BYTES, SCORE_BYTES = 8 << 20, 4 << 20, 16 << 20
 #: Bytes of a block whose freeing tells the C library to keep a step's memory (glibc takes note up to 32 MB).
 KEPT = 31 << 20
 
@@ -72,23 +69,60 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def portions(texts: Iterable[pa.Array], most: int) -> Iterator[pa.Array]:
+    """The same texts in arrays of about ``most`` bytes, more only by the last text of one."""
+    held, size = [], 0
+    for part in texts:
+        upto = np.cumsum(pc.binary_length(part).to_numpy() + np.int64(1))       # each with its end
+        at = 0
+        while at < len(part):
+            before = int(upto[at - 1]) if at else 0
+            stop = min(int(np.searchsorted(upto, before + most - size)) + 1, len(part))
+            held.append(part.slice(at, stop - at))
+            size, at = size + int(upto[stop - 1]) - before, stop
+            if size >= most:
+                yield pa.concat_arrays(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_arrays(held)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` all the texts laid end to end, and the number of words up to each text's end.
+
+    Arrow's kernels fold and cut at the same bytes, but leave an empty word where
+    a text begins or ends with white space, or has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, upto = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy()[1:]
+    there = pc.binary_length(words).to_numpy() > 0
+    if not there.all():
+        upto = np.concatenate([[0], np.cumsum(there)])[upto]
+        words = words.filter(pa.array(there))
+    return words, upto
+
+
+def look_up(words: pa.Array, names: pa.Array) -> np.ndarray:
+    """Each word's place among the names; their number where it is not there."""
+    return pc.index_in(words, value_set=names).fill_null(len(names)).to_numpy()
+
+
+def with_ends(ids: np.ndarray, upto: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words with ``end`` after each text, and where each text ends then."""
+    ends = upto + np.arange(1, len(upto) + 1)
+    out, word = np.full(len(ids) + len(ends), end, np.int32), np.ones(len(ids) + len(ends), bool)
+    word[ends - 1] = False
+    out[word] = ids
+    return out, ends
+
+
 # -- counts ------------------------------------------------------------------
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                          names=["word", "c"])
-    for b in batches:
-        for t in b.column("t").cast(pa.binary()).to_pylist():
-            seen.update(words_of(t))
-            seen[END] += 1
-            if len(seen) > COUNT_WORDS:
-                yield out()
-                seen = Counter()
-    if seen:
-        yield out()
+    for texts in portions((b.column("t") for b in batches), COUNT_BYTES):
+        seen = pc.value_counts(split_words(texts)[0])
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([seen.field("values"), pa.array([END], pa.binary())]),
+                                          pa.concat_arrays([seen.field("counts"), pa.array([len(texts)], pa.int64())])],
+                                         names=["word", "c"])
 
 
 def training_docs(docs: DataFrame) -> DataFrame:
@@ -110,6 +144,7 @@ class Vocabulary:
         self.log_base = math.log10(total + distinct + 1)
         top = sorted(head.items(), key=lambda x: (-x[1], x[0]))[:vocab]
         self.number = {w: i for i, (w, _) in enumerate(top)}
+        self.names = pa.array(list(self.number), pa.binary())
         self.size = len(top)                       # number `size` is "another word"
         mass = np.array([c for _, c in top], float)
         self.classes = max(1, min(classes or math.isqrt(self.size), self.size))
@@ -210,6 +245,7 @@ class Softmax:
 
     def __init__(self, w: np.ndarray, bias: np.ndarray):
         self.w = np.concatenate([w, bias[:, None]], axis=1)
+        self.down = np.ascontiguousarray(self.w.T)
         self.by_state = np.concatenate([w, np.ones((len(w), 1), w.dtype)], axis=1)
         # Logits stay small (states lie within -1 and 1); rows are only centred where one may be large.
         self.large = bool(len(w)) and float((np.abs(self.w) @ np.ones(self.w.shape[1], w.dtype)).max()) > 60
@@ -221,7 +257,7 @@ class Softmax:
         n, kind = len(seen) * (b - a), np.result_type(seen, self.w)
         if n > len(self.room) or kind != self.room.dtype:
             self.room = np.empty(max(n, CELLS), kind)
-        x, off = np.matmul(seen, self.w[a:b].T, out=self.room[:n].reshape(len(seen), b - a)), 0.0
+        x, off = np.matmul(seen, self.down[:, a:b], out=self.room[:n].reshape(len(seen), b - a)), 0.0
         if self.large:
             off = x.max(axis=1)
             x -= off[:, None]
@@ -263,33 +299,36 @@ def output_gradients(p: dict, v: Vocabulary, states: np.ndarray, target: np.ndar
     softmaxes, and by the states."""
     h = states.shape[1]
     t, (classes, words) = Targets(v, states, target), softmaxes(p)
-    chosen, k = t.target[t.chosen], t.k
-    sums = np.ones((len(target), 2), states.dtype)                  # of a row's exponentials: classes, words
-    back = -classes.w[:, :h].take(k, axis=0)
-    back[t.chosen] -= words.w[:, :h].take(chosen, axis=0)
-    loss, grads = -float(own_logits(t, classes, words).sum()), []
-    for n, (softmax, parts) in enumerate(((classes, [(0, len(classes.w), 0, len(target))]), (words, t.parts))):
-        g = np.zeros_like(softmax.w)
+    chosen = t.target[t.chosen]
+    # By units, rows: what is done to each row's sum runs over all rows.
+    by_unit = np.ascontiguousarray(t.seen.T)
+    back, loss, grads = np.zeros((h, len(target)), states.dtype), 0.0, []
+    for softmax, parts in ((classes, [(0, len(classes.w), 0, len(target))]), (words, t.parts)):
+        g, got = np.zeros_like(softmax.down), np.zeros((len(target), h + 1), states.dtype)
+        got[:, h] = 1
         for a, b, low, high in parts:
             by_state = softmax.by_state[a:b]
             for i, j in pieces(low, high, b - a):
                 # The chances are never divided by their sums themselves, only what they are multiplied to.
-                seen = t.seen[i:j]
-                e, off = softmax.exponentials(seen, a, b)
-                r = e @ by_state                                    # the last column: the sums
-                sums[i:j, n] = r[:, h]
-                r /= r[:, h:].copy()
-                back[i:j] += r[:, :h]
-                g[a:b] += e.T @ (seen / sums[i:j, n:n + 1])
+                e, off = softmax.exponentials(t.seen[i:j], a, b)
+                r = np.matmul(e, by_state, out=got[i:j])            # the last column: the sums
+                g[:, a:b] += (by_unit[:, i:j] / r[:, h]) @ e
                 if softmax.large:
                     loss += float(off.sum())
-        grads.append(g)
-    loss += float(np.log(sums).sum(dtype=np.float64))
+        got = np.ascontiguousarray(got.T)
+        back += got[:h] / got[h]
+        loss += float(np.log(got[h]).sum(dtype=np.float64))
+        grads.append(g.T)
+    back = np.ascontiguousarray(back.T)
+    back -= classes.w[:, :h].take(t.k, axis=0)
+    back[t.chosen] -= words.w[:, :h].take(chosen, axis=0)
     # What the targets themselves take off: rows of a class, and of a word, lie together.
-    for g, rows, at in ((grads[0], t.seen, k), (grads[1], t.seen[t.chosen], chosen)):
+    for g, w, rows, at in ((grads[0], classes.w, t.seen, t.k), (grads[1], words.w, t.seen[t.chosen], chosen)):
         if len(at):
             first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            g[at[first]] -= np.add.reduceat(rows, first, axis=0)
+            own, at = np.add.reduceat(rows, first, axis=0), at[first]
+            g[at] -= own
+            loss -= float(np.einsum("ij,ij->", own, w[at], dtype=np.float64))      # their logits
     (gc, gw) = grads
     return loss, {"class_w": gc[:, :h].T, "class_b": gc[:, h], "word_w": gw[:, :h], "word_b": gw[:, h]}, t.back_in_order(back)
 
@@ -451,22 +490,17 @@ class Trainer:
 
 
 def numbers(v: Vocabulary, words: list[bytes]) -> np.ndarray:
-    return text_numbers(v, [words])[0]              # the end token is added
+    return look_up(pa.array([*words, END], pa.binary()), v.names)
 
 
-def text_numbers(v: Vocabulary, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+def text_numbers(v: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the words of texts laid end to end, and where each text ends (its
     end token included)."""
-    words: list[bytes] = []
-    ends = np.empty(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        words += t
-        words.append(END)
-        ends[i] = len(words)
-    return np.fromiter(map(v.number.get, words, repeat(v.size)), np.int32, len(words)), ends
+    words, upto = split_words(texts)
+    return with_ends(look_up(words, v.names), upto, v.number.get(END, v.size))
 
 
-def training_batches(texts: Iterable[bytes], v: Vocabulary, turn: int = 0,
+def training_batches(texts: Iterable[bytes] | Iterable[pa.Array], v: Vocabulary, turn: int = 0,
                      every: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Batches of (inputs, targets), windows x ``WINDOW``, over the words of all texts laid end to end.
 
@@ -476,14 +510,15 @@ def training_batches(texts: Iterable[bytes], v: Vocabulary, turn: int = 0,
     """
     size, first = every * LANES * WINDOW, turn * (every // 2 or 1) % every
     held, count = [], 0
-    texts = iter(texts)
+    arrays = (t if isinstance(t, pa.Array) else pa.array([t], pa.binary()).view(pa.string()) for t in texts)
 
     def windows(steps: np.ndarray) -> np.ndarray:
         return steps.reshape(2, -1, WINDOW)[:, first::every]
 
-    while some := list(islice(texts, 256)):
-        ids, ends = text_numbers(v, [words_of(t) for t in some])
-        before = np.concatenate([[v.size + 1], ids[:-1]])
+    for some in portions(arrays, PART_BYTES):
+        ids, ends = text_numbers(v, some)
+        before = np.empty_like(ids)
+        before[0], before[1:] = v.size + 1, ids[:-1]
         before[ends[:-1]] = v.size + 1
         held.append(np.stack([before, ids]))
         count += len(ids)
@@ -505,8 +540,7 @@ def _train(p: dict, v: Vocabulary, turn: int, every: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_memory()
         trainer = Trainer(p, v, rate)
-        texts = (t.as_py() for b in batches for t in b.column("t").cast(pa.binary()))
-        for inputs, target in training_batches(texts, v, turn, every):
+        for inputs, target in training_batches((b.column("t") for b in batches), v, turn, every):
             trainer.learn(inputs, target)
         if trainer.tokens:
             weight = float(trainer.tokens)
@@ -566,44 +600,46 @@ def _score(p: dict, v: Vocabulary):
         keep_memory()
         # One look-up per token: a head word's place, whose facts are arrays; the last place is any other word.
         names = list(v.head)
-        place = {w: i for i, w in enumerate(names)}
+        places, end = pa.array(names, pa.binary()), names.index(END) if END in v.head else len(names)
         log_c1 = np.array([math.log10(v.head[w] + 1) for w in names] + [0.0])
         number = np.array([v.number.get(w, v.size) for w in names] + [v.size], np.int32)
         share = np.array([0.0 if w in v.number else v.log_other(v.head[w]) for w in names] + [0.0])
-        none = len(names)
+
+        def facts(texts: pa.Array):
+            """Of each text: its words' numbers, facts of its own, and its rare words and how often each is there."""
+            words, upto = split_words(texts)
+            found = look_up(words, places)
+            outside = np.flatnonzero(found == len(names))
+            rare = words.take(pa.array(outside)).dictionary_encode()
+            kinds = pa.concat_arrays([rare.dictionary, pa.array([END], pa.binary())])
+            pairs = np.searchsorted(upto, outside, side="right") * len(kinds) + rare.indices.to_numpy()
+            if end == len(names):                       # few texts, long ones: the end is rare itself
+                pairs = np.concatenate([pairs, np.arange(1, len(texts) + 1) * len(kinds) - 1])
+            pairs, times = np.unique(pairs, return_counts=True)
+            owner = pairs // len(kinds)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32()), pa.StructArray.from_arrays(
+                    [kinds.take(pa.array(pairs - owner * len(kinds))), pa.array(times, pa.int32())], names=["word", "tf"]))
+            at, ends = with_ends(found, upto, end)
+            starts = np.concatenate([[0], ends[:-1]])
+            n = ends - starts
+            known = n - np.add.reduceat(at == len(names), starts, dtype=np.int64)
+            base = np.add.reduceat(log_c1[at], starts) - n * v.log_base
+            inner = np.add.reduceat(share[at], starts) if share.any() else np.zeros(len(n))
+            return np.split(number[at], ends[:-1]), n, known, base, inner, lists
+
         for b in batches:
-            meta = list(zip(*(b.column(c).to_pylist() for c in ("row", "doc_id", "held_out"))))
-            docs, rows, tokens, done = [], [], 0, 0
-            rare, times, upto = [], [], [0]
-            texts = b.column("t").cast(pa.binary())
-            for i in range(len(texts)):
-                words = words_of(texts[i].as_py())
-                words.append(END)
-                at = np.fromiter(map(place.get, words, repeat(none)), np.int32, len(words))
-                docs.append(number[at])
+            done = 0
+            for texts in portions([b.column("t")], SCORE_BYTES):
+                part, done = b.slice(done, len(texts)), done + len(texts)
                 # rare words go on to be joined with their counts
-                outside = np.flatnonzero(at == none).tolist()
-                seen = Counter([words[k] for k in outside])
-                rare += seen.keys()
-                times += seen.values()
-                upto.append(len(rare))
-                rows.append((len(words), len(words) - len(outside), float(log_c1[at].sum()) - len(words) * v.log_base,
-                             float(share[at].sum())))
-                tokens += len(words)
-                if tokens >= BLOCK_TOKENS or i == len(texts) - 1:
-                    model = score_streams(p, v, docs)
-                    n, known, base_, inner_ = zip(*rows)
-                    lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays(
-                        [pa.array(rare, pa.binary()), pa.array(times, pa.int32())], names=["word", "tf"]))
-                    part = meta[done:i + 1]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([m[0] for m in part], pa.int64()), pa.array([m[1] for m in part], pa.int64()),
-                        pa.array([m[2] for m in part], pa.bool_()), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                        pa.array(base_, pa.float64()), pa.array((model + np.array(inner_)) / math.log(10), pa.float64()),
-                        lists],
-                        names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
-                    docs, rows, tokens, done = [], [], 0, i + 1
-                    rare, times, upto = [], [], [0]
+                docs, n, known, base, inner, lists = zip(*map(facts, portions([texts], PART_BYTES)))
+                model = score_streams(p, v, [d for x in docs for d in x])
+                yield pa.RecordBatch.from_arrays([
+                    part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(np.concatenate(n), pa.int64()),
+                    pa.array(np.concatenate(known), pa.int64()), pa.array(np.concatenate(base), pa.float64()),
+                    pa.array((model + np.concatenate(inner)) / math.log(10), pa.float64()), pa.concat_arrays(lists)],
+                    names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
     return run
 
 

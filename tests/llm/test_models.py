@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from driftline.llm import gru_lm, quality_cnn, quality_rules, toxicity
@@ -455,3 +456,67 @@ def test_lm_step_of_lanes_held_by_unit():
     gx, s, wh = rng.normal(size=(20, 3 * h)), rng.normal(size=(20, h)), rng.normal(size=(h, 3 * h))
     plain, turned = gru_lm.step(gx, s, wh), gru_lm.step(np.asfortranarray(gx), np.asfortranarray(s), wh)
     assert all(np.allclose(a, b) for a, b in zip(plain, turned)) and all(x.T.flags.c_contiguous for x in turned[:1])
+
+
+def lm_batches(texts, size):
+    """Batches as the tasks get them: texts are bytes, UTF-8 or not."""
+    for i in range(0, len(texts), size):
+        part = texts[i:i + size]
+        ids = pa.array(range(i, i + len(part)), pa.int64())
+        yield pa.RecordBatch.from_arrays([ids, ids, pa.array([False] * len(part)), pa.array(part, pa.binary()).view(pa.string())],
+                                         names=["row", "doc_id", "held_out", "t"])
+
+
+def test_lm_texts_are_cut_as_words_of_does():
+    """op6: Arrow's kernels fold and cut at the same bytes, in portions of any size."""
+    rng = np.random.default_rng(6)
+    texts = [b"a" + bytes([c]) + b"B" for c in range(256)] + [b"", b" ", b" \t a  b\n", "\u00c4\u212a\u2003\u0130 \x85x".encode(), b"x" * 999]
+    texts += [bytes(rng.choice(np.frombuffer(b"aBz \t\n\x0b\x0c\r\x1c\x1f\xff", np.uint8), rng.integers(0, 60))) for _ in range(300)]
+    whole = pa.array(texts, pa.binary()).view(pa.string())
+    for most in (1, 40, 10_000_000):
+        got, parts = [], list(gru_lm.portions([whole.slice(0, 100), whole.slice(100, 0), whole.slice(100)], most))
+        assert len(parts) == (len(texts) if most == 1 else len(parts)) and (most < 1000 or len(parts) == 1)
+        for part in parts:
+            words, upto = gru_lm.split_words(part)
+            got += [x.tolist() for x in np.split(np.array([*words.to_pylist(), None], object)[:-1], upto)[:-1]]
+        assert got == [gru_lm.words_of(t) for t in texts]
+
+
+def test_lm_makes_no_object_of_each_word(monkeypatch):
+    """op6: counting, training and scoring cut and look up words in arrays; the same numbers as word by word."""
+    v, rng = small_vocabulary(), np.random.default_rng(8)
+    texts = [b" ".join(b"W%d" % i for i in rng.integers(0, 400, n)) for n in [0, 1, 3, 40, 700, 5, 0, 90]]
+    words = [gru_lm.words_of(t) for t in texts]
+    streams = [gru_lm.numbers(v, w) for w in words]
+    p = {k: x.astype(np.float32) for k, x in noisy(v, rng).items()}
+    model = gru_lm.score_streams(p, v, streams) + [sum(v.log_other(v.head[x]) for x in w if x in v.head and x not in v.number) for w in words]
+
+    def one_by_one(text):
+        raise AssertionError("words as objects")
+    monkeypatch.setattr(gru_lm, "words_of", one_by_one)
+    counts = Counter()
+    for b in gru_lm._count(lm_batches(texts, 3)):
+        for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist()):
+            counts[w] += c
+    assert counts == Counter(x for w in words for x in [*w, gru_lm.END])
+    targets = np.concatenate([b[1].ravel() for b in gru_lm.training_batches(texts, v)])
+    assert targets[targets >= 0].tolist() == np.concatenate(streams).tolist()
+    monkeypatch.setattr(gru_lm, "SCORE_BYTES", 900)
+    monkeypatch.setattr(gru_lm, "PART_BYTES", 200)
+    rows = [r for b in gru_lm._score(p, v)(lm_batches(texts, 5)) for r in b.to_pylist()]
+    assert [r["row"] for r in rows] == list(range(len(texts))) and [r["n_tokens"] for r in rows] == [len(w) + 1 for w in words]
+    assert [{r["word"]: r["tf"] for r in x["rare"]} for x in rows] == [Counter(x for x in w if x not in v.head) for w in words]
+    assert [r["n_known"] for r in rows] == [1 + sum(x in v.head for x in w) for w in words]
+    assert np.allclose([r["model"] * math.log(10) for r in rows], model, rtol=1e-4)
+    base = [sum(math.log10(v.head[x] + 1) for x in [*w, gru_lm.END] if x in v.head) - (len(w) + 1) * v.log_base for w in words]
+    assert np.allclose([r["base"] for r in rows], base, rtol=1e-12)
+
+
+def test_lm_rare_end_token(monkeypatch, frame):
+    """op6: in long texts the end token is a rare word itself."""
+    monkeypatch.setattr(gru_lm, "HEAD_SHARE", 3)
+    docs = [(i, " a  b c" * (20 + i) + " d" * (i % 3), "s") for i in range(30)]
+    got = gru_lm.score_documents(frame(docs)).collect()
+    n, expect = brute_lm([d[:2] for d in docs])
+    for a, b in zip(sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.base_score) for r in got), sorted(expect)):
+        assert a[:4] == b[:4] and a[4] == pytest.approx(b[4], rel=1e-9)
